@@ -193,10 +193,11 @@ def features_for_scoring(requests: DataFrame, features: DataFrame) -> DataFrame:
         **{c: F.lit(v) for c, v in SCORING_DEFAULTS.items()},
     }
     names = list(dict.fromkeys([*own, *stored]))
+    carried = [c for c in requests.columns if c not in (*own, "plot_id")]
 
     def pick(c: str) -> Column:
         default = own.get(c, F.lit(None))
         return (F.when(absent, default).otherwise(F.col(f"_stored.{c}")) if c in stored
                 else F.when(absent, default)).alias(c)
 
-    return joined.select("plot_id", *[pick(c) for c in names], (~absent).alias("has_features"))
+    return joined.select("plot_id", *carried, *[pick(c) for c in names], (~absent).alias("has_features"))
