@@ -39,12 +39,13 @@ REPORT = f"""select p.*, r.missing_ref, r.missing_cur, case when psi >= 0.25 the
 REPORT_SPEC = "feature:s type:s psi:f missing_ref:f missing_cur:f level:s"
 
 
-@query("i1_choose_features", "feature:s type:s", """
-select * from (values ('gdd', 'numeric'), ('ndvi', 'numeric'), ('precip', 'numeric'), ('stage', 'categorical')) v(feature, type)""")
+@query("i1_choose_features", "feature:s type:s present:i", """
+select unnest(['gdd', 'ndvi', 'precip', 'stage']) as feature, unnest(['numeric', 'numeric', 'numeric', 'categorical']) as type,
+ unnest([count(gdd), count(ndvi), count(precip), count(stage)]) as present from snapshots""", ("snapshots",))
 def _(t):
     kinds = D.feature_types(t.snapshots.drop("event_id", "ds"))
-    pairs = [F.struct(F.lit(k).alias("feature"), F.lit(v).alias("type")) for k, v in kinds.items()]
-    return t.spark.range(1).select(F.inline(F.array(*pairs)))
+    present = t.snapshots.agg(*[F.count(c).alias(c) for c in kinds]).unpivot([], list(kinds), "feature", "present")
+    return present.withColumn("type", F.create_map(*[F.lit(x) for kv in kinds.items() for x in kv])[F.col("feature")])
 
 
 @query("i2_numeric_psi", "feature:s psi:f", NUMERIC_SQL, ("snapshots",))

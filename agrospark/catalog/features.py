@@ -3,8 +3,8 @@
 from pyspark.sql import functions as F
 
 from agrospark.catalog.base import IDX, Tables, query
-from agrospark.catalog.indices import inputs_of
-from agrospark.catalog.phenology import SUMMARY_SPEC, SUMMARY_SQL, stages_of, summary_of
+from agrospark.catalog.indices import inputs_of, stored_stages
+from agrospark.catalog.phenology import SUMMARY_SPEC, SUMMARY_SQL, summary_of
 from agrospark.operators import features as X
 from agrospark.operators import indices as I
 from agrospark.operators import phenology as P
@@ -18,10 +18,10 @@ TOTALS_SQL = ("select plot_id, coalesce(sum(precip_mm), 0) as precip_total, coal
 TOTALS_SPEC = ("plot_id:i precip_total:f gdd_sum:f gdd_peak:f latitude:f longitude:f " + " ".join(f"mean_{i}:f" for i in IDX))
 
 
-def daily_of(t: Tables):
-    weather, stages = t.weather, stages_of(t)
+def daily_of(t: Tables, stages=None):
+    stages = stored_stages(t) if stages is None else stages
     samples = I.plot_indices(t.pixels, I.satellite_input(stages, P.vt_dates(stages)))
-    return X.daily_features(weather, P.infer_planting_dates(weather, t.plots), stages, samples)
+    return X.daily_features(t.weather, stages, stages, samples)
 
 
 def samples_of(t: Tables):
@@ -42,7 +42,8 @@ def _(t):
        f"""select a.*, s.planting_date, s."VT", s.confidence, s.season, s.altitude, s."VT" - s.planting_date as days_to_vt
  from ({TOTALS_SQL}) a left join stages s on s.plot_id = a.plot_id""", ("daily", "stages"))
 def _(t):
-    return X.plot_features(daily_of(t), stages_of(t))
+    stages = stored_stages(t)
+    return X.plot_features(daily_of(t, stages), stages)
 
 
 @query("f2_totals_since_planting", "plot_id:i precip_total:f gdd_sum:f gdd_peak:f", """
@@ -50,7 +51,7 @@ select plot_id, sum(precip_mm) as precip_total, sum(daily_gdd) as gdd_sum, max(c
 where date >= planting_date group by plot_id""", ("cumulative",))
 def _(t):
     weather = t.weather
-    daily = X.daily_features(weather, P.infer_planting_dates(weather, t.plots), stages_of(t))
+    daily = X.daily_features(weather, P.infer_planting_dates(weather, t.plots), stored_stages(t))
     return X.plot_totals(daily, since_planting=True)
 
 

@@ -6,13 +6,19 @@ from agrospark.catalog.base import IDX, Tables, query
 from agrospark.catalog.phenology import stages_of
 from agrospark.operators import indices as I
 from agrospark.operators import phenology as P
+from agrospark.sources import files
 
 INDEX_SPEC = " ".join(f"{i}:f" for i in IDX)
 STATS_SPEC = " ".join(f"{s}_{i}:f" for i in IDX for s in ("mean", "std", "min", "max"))
 
 
+def stored_stages(t: Tables):
+    """The stage table as the jobs keep it: one row per plot, stored once and used several times."""
+    return files.store(stages_of(t), "crop_stages")
+
+
 def inputs_of(t: Tables):
-    stages = stages_of(t)
+    stages = stored_stages(t)
     return I.satellite_input(stages, P.vt_dates(stages))
 
 

@@ -104,6 +104,11 @@ def daily_gdd(tmax: Column, tmin: Column, base: float = S.GDD_BASE_C) -> Column:
     return F.when(warmth > 0, warmth).when(warmth.isNotNull(), 0.0)
 
 
+def gdd_units(gdd: Column) -> Column:
+    """Degree days as whole millionths, 0 when missing: exact to sum, cheap to add."""
+    return F.coalesce(F.round(gdd * S.GDD_UNIT).cast("bigint"), F.lit(0))
+
+
 def maturity_class(altitude: Column) -> Column:
     return (
         F.when(altitude < S.BASE_ALTITUDE_M, "early")

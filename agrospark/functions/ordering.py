@@ -105,12 +105,7 @@ def exact_quantiles(
         F.when(small | F.lit(p + slack >= 1), F.col("_max")).otherwise(F.col("_points")[m + i])
         for i, p in enumerate(probs)
     ]
-    ranks = [f(F.lit(p) * (F.col("n") - 1)).cast("bigint") for p in probs for f in (F.floor, F.ceil)]
-    sketch = sketch.select(
-        *keys, "n", F.array(*lows).alias("_lo"), F.array(*highs).alias("_hi"),
-        F.array_distinct(F.array(*ranks)).alias("_ranks"),
-    )
-    brackets = sketch.select(*keys, "_lo", "_hi")
+    brackets = sketch.select(*keys, F.array(*lows).alias("_lo"), F.array(*highs).alias("_hi"))
     if few_keys:
         brackets = F.broadcast(brackets)
 
@@ -122,23 +117,29 @@ def exact_quantiles(
         .select(*keys, "_slot", F.when(inside, F.col(value)).alias("_value"))
         .groupBy(*keys, "_slot", "_value").agg(F.count("*").alias("_rows"))
     )
+    # One row per key and slot (at most len(probs) + 1 slots): where a slot begins, and the group size.
     earlier = W.partitionBy(*keys).orderBy("_slot").rowsBetween(W.unboundedPreceding, -1)
     starts = (
         counted.groupBy(*keys, "_slot").agg(
             F.sum("_rows").alias("_all"),
             F.sum(F.when(F.col("_value").isNull(), F.col("_rows")).otherwise(0)).alias("_gap"),
         )
-        .select(*keys, "_slot", (F.coalesce(F.sum("_all").over(earlier), F.lit(0)) + F.col("_gap")).alias("_start"))
+        .select(
+            *keys, "_slot",
+            (F.coalesce(F.sum("_all").over(earlier), F.lit(0)) + F.col("_gap")).alias("_start"),
+            F.sum("_all").over(W.partitionBy(*keys)).alias("n"),
+        )
     )
     smaller = W.partitionBy(*keys, "_slot").orderBy("_value").rowsBetween(W.unboundedPreceding, -1)
+    wanted = F.array_distinct(F.array(*[
+        f(F.lit(p) * (F.col("n") - 1)).cast("bigint") for p in probs for f in (F.floor, F.ceil)]))
     hits = (
         counted.where(F.col("_value").isNotNull())
         .withColumn("_smaller", F.coalesce(F.sum("_rows").over(smaller), F.lit(0)))
-        .join(starts, [*keys, "_slot"])
+        .join(F.broadcast(starts) if few_keys else starts, [*keys, "_slot"])
         .withColumn("_from", F.col("_start") + F.col("_smaller"))
-        .join(sketch.select(*keys, "n", "_ranks"), keys)
         .withColumn("_rank", F.explode(F.filter(
-            "_ranks", lambda r: (r >= F.col("_from")) & (r < F.col("_from") + F.col("_rows")))))
+            wanted, lambda r: (r >= F.col("_from")) & (r < F.col("_from") + F.col("_rows")))))
     )
     found = hits.groupBy(*keys).agg(
         F.first("n").alias("n"),

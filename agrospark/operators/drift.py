@@ -69,7 +69,7 @@ def _psi(counts: DataFrame) -> DataFrame:
 def numeric_psi(reference: DataFrame, current: DataFrame, features: Sequence[str], bins: int = 10) -> DataFrame:
     """PSI over quantile bins of the reference; bins are [a, b), so repeated edges leave empty bins.
 
-    Every bin counts, also one that neither side falls into (it adds nothing).
+    A bin that neither side falls into adds nothing. Features without a value have no row.
     """
     edges = bin_edges(reference, features, bins)
     # One row per feature: bounded by the number of columns.
@@ -79,7 +79,7 @@ def numeric_psi(reference: DataFrame, current: DataFrame, features: Sequence[str
         .groupBy("feature", "bin")
         .agg(F.count_if("is_ref").alias("ref"), F.count_if(~F.col("is_ref")).alias("cur"))
     )
-    return _all_features(_psi(counts), reference, features)
+    return _psi(counts)
 
 
 def categorical_psi(reference: DataFrame, current: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -88,14 +88,7 @@ def categorical_psi(reference: DataFrame, current: DataFrame, features: Sequence
         _long(reference, current, features, "categorical").groupBy("feature", "value")
         .agg(F.count_if("is_ref").alias("ref"), F.count_if(~F.col("is_ref")).alias("cur"))
     )
-    return _all_features(_psi(counts), reference, features)
-
-
-def _all_features(psi: DataFrame, any_df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Features without a single value on a side still report 0."""
-    names = any_df.sparkSession.range(1).select(
-        F.explode(F.array(*[F.lit(c) for c in features])).alias("feature"))
-    return names.join(psi, "feature", "left").select("feature", F.coalesce("psi", F.lit(0.0)).alias("psi"))
+    return _psi(counts)
 
 
 def drift_report(
@@ -105,15 +98,18 @@ def drift_report(
     numeric, other = choose_features(current, ignore)
     parts = []
     if numeric:
-        parts.append(numeric_psi(reference, current, numeric, bins).withColumn("type", F.lit("numeric")))
+        parts.append(numeric_psi(reference, current, numeric, bins))
     if other:
-        parts.append(categorical_psi(reference, current, other).withColumn("type", F.lit("categorical")))
+        parts.append(categorical_psi(reference, current, other))
     if not parts:
         raise ValueError("no feature columns to compare")
     psi = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    # Every feature has a row here, also one without a value on a side, whose PSI is 0.
     rates = missing_rates(reference, current, [*numeric, *other])
-    return psi.join(rates, "feature").select(
-        "feature", "type", "psi", "missing_ref", "missing_cur", C.drift_level(F.col("psi")).alias("level"))
+    value = F.coalesce("psi", F.lit(0.0))
+    return rates.join(F.broadcast(psi), "feature", "left").select(
+        "feature", F.when(F.col("feature").isin(*numeric), "numeric").otherwise("categorical").alias("type"),
+        value.alias("psi"), "missing_ref", "missing_cur", C.drift_level(value).alias("level"))
 
 
 def drift_summary(report: DataFrame, ds: str | None = None, status: str = "ok") -> DataFrame:

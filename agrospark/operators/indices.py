@@ -97,7 +97,9 @@ def match_samples(
     """Pixels with every sample whose window [sample - w, sample + w) holds their scene.
 
     The sample numbers follow from the day difference, so the interval join is an equi-join on
-    the plot plus a sequence of at most 2 w / step numbers.
+    the plot plus a sequence of at most 2 w / step numbers. Rows are placed by (plot, pixel) before
+    they are multiplied: the shuffle carries each scene once, and grouping by (plot, sample, pixel)
+    afterwards needs no other.
     """
     period = with_period_end(plots.where(F.col("planting_date").isNotNull()), default_days).select(
         "plot_id", "planting_date", "vt_date")
@@ -110,7 +112,8 @@ def match_samples(
         .where(F.col("_from") <= F.col("_to"))
     )
     return (
-        joined.withColumn("sample_no", F.explode(F.sequence("_from", "_to")))
+        joined.repartition("plot_id", "pixel_id")
+        .withColumn("sample_no", F.explode(F.sequence("_from", "_to")))
         .withColumn("sample_date", F.date_add("planting_date", F.col("sample_no") * step_days))
         .drop("_from", "_to", "planting_date", "vt_date")
     )
@@ -140,18 +143,32 @@ def busy_pixels(
     return F.broadcast(crowded) if found <= broadcast_rows else crowded
 
 
+def _median_of(values: Column) -> Column:
+    """Median of a short array: the middle value, or the mean of the two in the middle."""
+    def middle(a: Column) -> Column:
+        n = F.size(a)
+        low, high = F.get(a, F.floor((n - 1) / 2).cast("int")), F.get(a, F.floor(n / 2).cast("int"))
+        return low + (high - low) * 0.5
+
+    ordered = F.array_sort(F.array_compact(values))
+    return F.transform(F.array(ordered), middle)[0]
+
+
 def median_image(matched: DataFrame, busy: DataFrame | None = None) -> DataFrame:
     """Exact temporal median per pixel and index.
 
-    The built-in median keeps one group's values in a task, which is right for the few scenes a
-    window holds. Rows of `busy` pixels are taken out and ranked by `exact_quantiles` instead,
-    which spreads a group over tasks.
+    The few scenes a window holds are collected once per pixel and sorted per index. Rows of `busy`
+    pixels are taken out and ranked by `exact_quantiles` instead, which spreads a group over tasks.
     """
-    plain = [F.median(i).alias(i) for i in S.INDICES]
+    def from_lists(df: DataFrame) -> DataFrame:
+        scenes = df.groupBy(*PIXEL_KEY).agg(F.collect_list(F.struct(*S.INDICES)).alias("_scenes"))
+        return scenes.select(*PIXEL_KEY, *[
+            _median_of(F.col("_scenes")[i]).alias(i) for i in S.INDICES])
+
     if busy is None:
-        return matched.groupBy(*PIXEL_KEY).agg(*plain)
+        return from_lists(matched)
     pair = ["plot_id", "pixel_id"]
-    usual = matched.join(busy, pair, "left_anti").groupBy(*PIXEL_KEY).agg(*plain)
+    usual = from_lists(matched.join(busy, pair, "left_anti"))
     crowded = matched.join(busy, pair, "left_semi")
     long = crowded.unpivot(PIXEL_KEY, list(S.INDICES), "_index", "_v")
     ranked = exact_quantiles(long, [*PIXEL_KEY, "_index"], "_v", [0.5])

@@ -79,12 +79,12 @@ def with_daily_gdd(weather: DataFrame, base: float = S.GDD_BASE_C) -> DataFrame:
 def with_cumulative_gdd(weather: DataFrame) -> DataFrame:
     """Running GDD from the planting date on; NULL before it, or when there is none.
 
-    Needs `planting_date` and `daily_gdd`. Sums are exact decimals, read out as double.
+    Needs `planting_date` and `daily_gdd`. Sums are exact, read out as double.
     """
     growing = F.col("date") >= F.col("planting_date")
-    step = F.when(growing, F.coalesce("daily_gdd", F.lit(0.0))).cast(S.EXACT_SUM)
+    step = F.when(growing, C.gdd_units(F.col("daily_gdd")))
     total = F.sum(step).over(_so_far())
-    return weather.withColumn("gdd_cumulative", F.when(growing, total).cast("double"))
+    return weather.withColumn("gdd_cumulative", F.when(growing, total) / F.lit(float(S.GDD_UNIT)))
 
 
 def stage_thresholds(plots: DataFrame) -> DataFrame:
@@ -104,10 +104,10 @@ def _first_planting_rows(planting: DataFrame, date: str) -> DataFrame:
 def _stages_of_days(days: DataFrame) -> DataFrame:
     """Stage dates per plot from days that carry planting_date, altitude, season and daily_gdd."""
     growing = F.col("date") >= F.col("planting_date")
-    step = F.when(growing, F.coalesce("daily_gdd", F.lit(0.0))).cast(S.EXACT_SUM)
+    step = F.when(growing, C.gdd_units(F.col("daily_gdd")))
     cumulative = days.withColumn("_total", F.when(growing, F.sum(step).over(_so_far())))
     found = [
-        F.min(F.when(F.col("_total") >= C.stage_threshold(F.col("altitude"), s), F.col("date"))).alias(s)
+        F.min(F.when(F.col("_total") >= C.stage_threshold(F.col("altitude"), s) * S.GDD_UNIT, F.col("date"))).alias(s)
         for s in S.STAGES
     ]
     per_plot = cumulative.groupBy("plot_id").agg(
@@ -151,7 +151,8 @@ def stage_dates_from_weather(weather: DataFrame, plots: DataFrame, base: float =
     with the running sum; nothing is read or shuffled twice. Plots never planted have no row.
     """
     suitable = C.rain_ok(F.col("precip_mm")) & C.warm_enough(F.col("max_temp_c"), F.col("min_temp_c"))
-    whole_plot = W.partitionBy("plot_id")
+    # Ordered like the running sum, so that one sort serves both windows.
+    whole_plot = W.partitionBy("plot_id").orderBy("date").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     known = _with_coordinates(weather).join(plots.select("plot_id", "altitude", "season"), "plot_id", "left")
     first_day = F.min(F.when(suitable, F.col("date"))).over(whole_plot)
     altitude = F.coalesce("altitude", F.lit(S.BASE_ALTITUDE_M))
@@ -223,12 +224,12 @@ def long_form_stages(
         "plot_id", "date", "latitude", "longitude", "daily_gdd"
     ).join(planting.select("plot_id", "planting_date"), "plot_id")
     growing = F.col("date") >= F.col("planting_date")
-    step = F.when(growing, F.coalesce("daily_gdd", F.lit(0.0))).cast(S.EXACT_SUM)
+    step = F.when(growing, C.gdd_units(F.col("daily_gdd")))
     total = days.withColumn("_total", F.when(growing, F.sum(step).over(_so_far())))
     hits = [
         F.struct(
             F.lit(stage).alias("crop_stage"),
-            F.min(F.when(F.col("_total") >= need, F.struct("date", F.col("_total").alias("gdd")))).alias("hit"),
+            F.min(F.when(F.col("_total") >= need * S.GDD_UNIT, F.struct("date", F.col("_total").alias("gdd")))).alias("hit"),
             F.lit(need).alias("ideal_gdd"),
         )
         for stage, need in thresholds.items()
@@ -243,7 +244,7 @@ def long_form_stages(
     return rows.where(F.col("s.hit").isNotNull()).select(
         "plot_id", "latitude", "longitude", "planting_date",
         F.col("s.crop_stage").alias("crop_stage"), F.col("s.hit.date").alias("stage_date"),
-        F.col("s.hit.gdd").cast("double").alias("gdd"), F.col("s.ideal_gdd").alias("ideal_gdd"))
+        (F.col("s.hit.gdd") / F.lit(float(S.GDD_UNIT))).alias("gdd"), F.col("s.ideal_gdd").alias("ideal_gdd"))
 
 
 def latest_stage(long_stages: DataFrame) -> DataFrame:

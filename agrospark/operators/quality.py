@@ -89,7 +89,8 @@ def missing_rates(reference: DataFrame, current: DataFrame, features: Sequence[s
     def side(df: DataFrame, name: str) -> DataFrame:
         shares = df.agg(*[F.avg(F.col(f"`{c}`").isNull().cast("double")).alias(c) for c in features])
         return shares.unpivot([], [f"`{c}`" for c in features], "feature", name)
-    return side(reference, "missing_ref").join(side(current, "missing_cur"), "feature")
+    # One row per column on either side.
+    return side(reference, "missing_ref").join(F.broadcast(side(current, "missing_cur")), "feature")
 
 
 def unmatched_features(merged: DataFrame, features: Sequence[str]) -> DataFrame:

@@ -57,8 +57,8 @@ DRIFT_IGNORED = ("plot_id", "date", "planting_date", "latitude", "longitude")
 SCORING_DROPPED = ("plot_id", "planting_date", "latitude", "longitude", "season")
 # -------------------------------------------------------------------------------------------
 
-# Running sums are kept in this type, so that the order of partial sums cannot move a threshold.
-EXACT_SUM = "decimal(18,6)"
+# Running degree days are whole millionths, so that the order of partial sums cannot move a threshold.
+GDD_UNIT = 1_000_000
 
 PLOTS = T.StructType([
     T.StructField("plot_id", T.LongType()),

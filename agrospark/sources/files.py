@@ -38,6 +38,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def store(df: DataFrame, name: str) -> DataFrame:
+    """Write a stage result to the shared scratch folder and read it back.
+
+    For results that several later steps use: they are computed once, survive lost executors, and
+    come back with a known size.
+    """
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def read_text_table(spark: SparkSession, path: str) -> DataFrame:
     """A CSV with header, all columns as text under trimmed names; typing is the caller's job.
 
