@@ -97,15 +97,11 @@ def exact_quantiles(
         F.approx_percentile(value, points, accuracy).alias("_points"),
     )
     small = F.col("n") < 10 * accuracy
-    lows = [
-        F.when(small | F.lit(p - slack <= 0), F.col("_min")).otherwise(F.col("_points")[i])
-        for i, p in enumerate(probs)
-    ]
-    highs = [
-        F.when(small | F.lit(p + slack >= 1), F.col("_max")).otherwise(F.col("_points")[m + i])
-        for i, p in enumerate(probs)
-    ]
-    brackets = sketch.select(*keys, F.array(*lows).alias("_lo"), F.array(*highs).alias("_hi"))
+    low, high = F.slice("_points", 1, m), F.slice("_points", m + 1, m)
+    brackets = sketch.select(
+        *keys,
+        F.when(small, F.array_repeat("_min", m)).otherwise(low).alias("_lo"),
+        F.when(small, F.array_repeat("_max", m)).otherwise(high).alias("_hi"))
     if few_keys:
         brackets = F.broadcast(brackets)
 
@@ -117,29 +113,32 @@ def exact_quantiles(
         .select(*keys, "_slot", F.when(inside, F.col(value)).alias("_value"))
         .groupBy(*keys, "_slot", "_value").agg(F.count("*").alias("_rows"))
     )
-    # One row per key and slot (at most len(probs) + 1 slots): where a slot begins, and the group size.
-    earlier = W.partitionBy(*keys).orderBy("_slot").rowsBetween(W.unboundedPreceding, -1)
+    at = F.array(*[F.lit(float(p)) for p in probs])
+    # One row per key and slot (at most len(probs) + 1 slots): where a slot begins, the group size
+    # and the ranks to look for.
+    by_slot = W.partitionBy(*keys).orderBy("_slot")
     starts = (
         counted.groupBy(*keys, "_slot").agg(
             F.sum("_rows").alias("_all"),
             F.sum(F.when(F.col("_value").isNull(), F.col("_rows")).otherwise(0)).alias("_gap"),
         )
+        .withColumn("_upto", F.sum("_all").over(by_slot.rowsBetween(W.unboundedPreceding, 0)))
+        .withColumn("n", F.sum("_all").over(by_slot.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)))
         .select(
-            *keys, "_slot",
-            (F.coalesce(F.sum("_all").over(earlier), F.lit(0)) + F.col("_gap")).alias("_start"),
-            F.sum("_all").over(W.partitionBy(*keys)).alias("n"),
+            *keys, "_slot", "n", (F.col("_upto") - F.col("_all") + F.col("_gap")).alias("_start"),
+            F.array_distinct(F.flatten(F.transform(at, lambda p: F.array(
+                F.floor(p * (F.col("n") - 1)).cast("bigint"), F.ceil(p * (F.col("n") - 1)).cast("bigint"))))
+            ).alias("_wanted"),
         )
     )
     smaller = W.partitionBy(*keys, "_slot").orderBy("_value").rowsBetween(W.unboundedPreceding, -1)
-    wanted = F.array_distinct(F.array(*[
-        f(F.lit(p) * (F.col("n") - 1)).cast("bigint") for p in probs for f in (F.floor, F.ceil)]))
     hits = (
         counted.where(F.col("_value").isNotNull())
         .withColumn("_smaller", F.coalesce(F.sum("_rows").over(smaller), F.lit(0)))
         .join(F.broadcast(starts) if few_keys else starts, [*keys, "_slot"])
         .withColumn("_from", F.col("_start") + F.col("_smaller"))
         .withColumn("_rank", F.explode(F.filter(
-            wanted, lambda r: (r >= F.col("_from")) & (r < F.col("_from") + F.col("_rows")))))
+            "_wanted", lambda r: (r >= F.col("_from")) & (r < F.col("_from") + F.col("_rows")))))
     )
     found = hits.groupBy(*keys).agg(
         F.first("n").alias("n"),
@@ -147,10 +146,10 @@ def exact_quantiles(
         F.map_from_entries(F.collect_list(F.struct("_rank", F.col("_value").cast("double")))).alias("_at"),
     )
 
-    def interpolated(p: float) -> Column:
-        position = F.lit(p) * (F.col("n") - 1)
-        low = F.element_at("_at", F.floor(position).cast("bigint"))
-        high = F.element_at("_at", F.ceil(position).cast("bigint"))
-        return low + (high - low) * (position - F.floor(position))
+    def interpolated(p: Column) -> Column:
+        position = p * (F.col("n") - 1)
+        below = F.element_at("_at", F.floor(position).cast("bigint"))
+        above = F.element_at("_at", F.ceil(position).cast("bigint"))
+        return below + (above - below) * (position - F.floor(position))
 
-    return found.select(*keys, "n", F.array(*[interpolated(p) for p in probs]).alias("quantiles"))
+    return found.select(*keys, "n", F.transform(at, interpolated).alias("quantiles"))

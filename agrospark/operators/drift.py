@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from agrospark import schemas as S
 from agrospark.functions import columns as C
 from agrospark.functions.ordering import exact_quantiles
-from agrospark.operators.quality import missing_rates
 
 
 def choose_features(
@@ -26,69 +25,76 @@ def feature_types(df: DataFrame, ignore: Sequence[str] = S.DRIFT_IGNORED) -> dic
     return {**dict.fromkeys(numeric, "numeric"), **dict.fromkeys(other, "categorical")}
 
 
-def _long(reference: DataFrame, current: DataFrame, features: Sequence[str], kind: str) -> DataFrame:
-    """(is_ref, feature, value) without missing values; unpivoting happens inside the scan stage."""
-    def side(df: DataFrame, is_ref: bool) -> DataFrame:
-        cast = df.select(*[feature_value(df, c, kind) for c in features])
-        return cast.unpivot([], [f"`{c}`" for c in features], "feature", "value").withColumn("is_ref", F.lit(is_ref))
-
-    return side(reference, True).unionByName(side(current, False)).where(F.col("value").isNotNull())
-
-
-def feature_value(df: DataFrame, name: str, kind: str):
+def _number(df: DataFrame, name: str) -> Column:
     col = F.col(f"`{name}`")
-    if kind != "numeric":
-        return col.cast("string").alias(name)
     if isinstance(df.schema[name].dataType, T.BooleanType):
         col = col.cast("int")
-    return C.clean_nan(col.cast("double")).alias(name)
+    return C.clean_nan(col.cast("double"))
 
 
 def bin_edges(reference: DataFrame, features: Sequence[str], bins: int = 10) -> DataFrame:
     """Inner quantile edges of every feature, rounded so that engines agree on values at an edge."""
-    long = reference.select(*[feature_value(reference, c, "numeric") for c in features]).unpivot(
+    long = reference.select(*[_number(reference, c).alias(c) for c in features]).unpivot(
         [], [f"`{c}`" for c in features], "feature", "value")
     probs = [i / bins for i in range(1, bins)]
     edges = exact_quantiles(long, ["feature"], "value", probs, few_keys=True)
     return edges.select("feature", F.transform("quantiles", lambda e: F.round(e, 9)).alias("edges"))
 
 
-def _psi(counts: DataFrame) -> DataFrame:
-    """PSI per feature from (feature, group, ref, cur) counts; an empty side gives 0.
+def tally(
+    reference: DataFrame, current: DataFrame, numeric: Sequence[str], other: Sequence[str], bins: int = 10
+) -> DataFrame:
+    """Rows per (feature, bin) on both sides; a category is its own bin, a missing value has none.
 
-    Works on one row per group value; the totals are a second small aggregate, joined back.
+    Everything the report needs of the values, in one pass over both tables and one shuffle of
+    partial counts. Numeric bins are [a, b), so repeated edges leave empty bins.
     """
-    totals = counts.groupBy("feature").agg(F.sum("ref").alias("_ref"), F.sum("cur").alias("_cur"))
-    shares = counts.join(totals, "feature")
+    def side(df: DataFrame, is_ref: bool) -> DataFrame:
+        nothing = F.lit(None)
+        cells = [
+            F.struct(F.lit(c).alias("feature"), _number(df, c).alias("number"), nothing.cast("string").alias("text"))
+            for c in numeric
+        ] + [
+            F.struct(F.lit(c).alias("feature"), nothing.cast("double").alias("number"),
+                     F.col(f"`{c}`").cast("string").alias("text"))
+            for c in other
+        ]
+        return df.select(F.inline(F.array(*cells))).withColumn("is_ref", F.lit(is_ref))
+
+    cells = side(reference, True).unionByName(side(current, False))
+    place = F.col("text")
+    if numeric:
+        # One row per feature: bounded by the number of columns.
+        cells = cells.join(F.broadcast(bin_edges(reference, numeric, bins)), "feature", "left")
+        inside = F.size(F.filter(F.coalesce("edges", F.array().cast("array<double>")), lambda e: e <= F.col("number")))
+        place = F.when(F.col("number").isNotNull(), inside.cast("string")).otherwise(F.col("text"))
+    return cells.groupBy("feature", place.alias("bin")).agg(
+        F.count_if("is_ref").alias("ref"), F.count_if(~F.col("is_ref")).alias("cur"))
+
+
+def stability(counts: DataFrame) -> DataFrame:
+    """PSI and missing rates per feature from a tally; a side without values gives PSI 0."""
+    known = F.col("bin").isNotNull()
+    totals = counts.groupBy("feature").agg(
+        *[F.sum(F.when(known, F.col(s)).otherwise(0)).alias(f"_{s}") for s in ("ref", "cur")],
+        *[F.try_divide(F.sum(F.when(~known, F.col(s)).otherwise(0)), F.sum(s)).alias(f"missing_{s}")
+          for s in ("ref", "cur")],
+    )
     term = C.psi_term(
         C.share_or_floor(F.col("ref"), F.col("_ref")), C.share_or_floor(F.col("cur"), F.col("_cur")))
-    return shares.groupBy("feature").agg(F.sum(
-        F.when((F.col("_ref") > 0) & (F.col("_cur") > 0), term).otherwise(0.0)).alias("psi"))
+    counted = known & (F.col("_ref") > 0) & (F.col("_cur") > 0)
+    # One row per feature again.
+    return counts.join(F.broadcast(totals), "feature").groupBy("feature").agg(
+        F.sum(F.when(counted, term).otherwise(0.0)).alias("psi"),
+        F.first("missing_ref").alias("missing_ref"), F.first("missing_cur").alias("missing_cur"))
 
 
 def numeric_psi(reference: DataFrame, current: DataFrame, features: Sequence[str], bins: int = 10) -> DataFrame:
-    """PSI over quantile bins of the reference; bins are [a, b), so repeated edges leave empty bins.
-
-    A bin that neither side falls into adds nothing. Features without a value have no row.
-    """
-    edges = bin_edges(reference, features, bins)
-    # One row per feature: bounded by the number of columns.
-    binned = _long(reference, current, features, "numeric").join(F.broadcast(edges), "feature")
-    counts = (
-        binned.withColumn("bin", F.size(F.filter("edges", lambda e: e <= F.col("value"))))
-        .groupBy("feature", "bin")
-        .agg(F.count_if("is_ref").alias("ref"), F.count_if(~F.col("is_ref")).alias("cur"))
-    )
-    return _psi(counts)
+    return stability(tally(reference, current, features, [], bins)).select("feature", "psi")
 
 
 def categorical_psi(reference: DataFrame, current: DataFrame, features: Sequence[str]) -> DataFrame:
-    """PSI over the union of values, as text; one conditional count replaces the outer join."""
-    counts = (
-        _long(reference, current, features, "categorical").groupBy("feature", "value")
-        .agg(F.count_if("is_ref").alias("ref"), F.count_if(~F.col("is_ref")).alias("cur"))
-    )
-    return _psi(counts)
+    return stability(tally(reference, current, [], features)).select("feature", "psi")
 
 
 def drift_report(
@@ -96,20 +102,11 @@ def drift_report(
 ) -> DataFrame:
     """Feature, type, PSI, missing rates and level, one row per feature of the current table."""
     numeric, other = choose_features(current, ignore)
-    parts = []
-    if numeric:
-        parts.append(numeric_psi(reference, current, numeric, bins))
-    if other:
-        parts.append(categorical_psi(reference, current, other))
-    if not parts:
+    if not numeric and not other:
         raise ValueError("no feature columns to compare")
-    psi = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    # Every feature has a row here, also one without a value on a side, whose PSI is 0.
-    rates = missing_rates(reference, current, [*numeric, *other])
-    value = F.coalesce("psi", F.lit(0.0))
-    return rates.join(F.broadcast(psi), "feature", "left").select(
-        "feature", F.when(F.col("feature").isin(*numeric), "numeric").otherwise("categorical").alias("type"),
-        value.alias("psi"), "missing_ref", "missing_cur", C.drift_level(value).alias("level"))
+    kind = F.when(F.col("feature").isin(*numeric), "numeric").otherwise("categorical")
+    return stability(tally(reference, current, numeric, other, bins)).select(
+        "feature", kind.alias("type"), "psi", "missing_ref", "missing_cur", C.drift_level(F.col("psi")).alias("level"))
 
 
 def drift_summary(report: DataFrame, ds: str | None = None, status: str = "ok") -> DataFrame:
