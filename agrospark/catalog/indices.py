@@ -31,7 +31,8 @@ def matched_of(t: Tables):
 
 
 def medians_of(t: Tables):
-    return I.median_image(matched_of(t), I.busy_pixels(I.usable_scenes(t.pixels)))
+    scenes = scenes_of(t).select("plot_id", "date", "pixel_id", *IDX)
+    return I.sampled_medians(scenes, inputs_of(t), busy=I.busy_pixels(I.usable_scenes(t.pixels)))
 
 
 @query("e1_bands", "plot_id:i date:d pixel_id:i blue:f green:f red:f red_edge:f nir:f swir:f", "select * from pixels", ("pixels",))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from agrospark import schemas as S
 from agrospark.functions import columns as C
@@ -33,9 +33,9 @@ def daily_features(
 ) -> DataFrame:
     """One row per plot-day with GDD, stage label and the indices of sample days.
 
-    Indices join first on (plot_id, date), the partitioning a per-day aggregate leaves behind;
-    the two plot tables and the running sum then share one exchange on plot_id. Duplicate plots
-    or samples on the right are reduced to one unless `dedupe` is off.
+    Days and samples are placed by plot_id once; the joins on plot and on (plot, date) and the
+    running sum all work on that placement. Duplicate plots or samples on the right are reduced to
+    one unless `dedupe` is off.
     """
     planted = planting.withColumnsRenamed(
         {"inferred_planting_date": "planting_date"}).select("plot_id", "planting_date")
@@ -44,11 +44,12 @@ def daily_features(
         planted = planted.groupBy("plot_id").agg(F.min("planting_date").alias("planting_date"))
         calendar = one_per_plot(calendar, ["planting_date", *S.STAGES])
     days = weather.select(
-        "plot_id", "date", "latitude", "longitude", "max_temp_c", "min_temp_c", "precip_mm")
+        "plot_id", "date", "latitude", "longitude", "max_temp_c", "min_temp_c", "precip_mm"
+    ).repartition("plot_id")
     extra: list[str] = []
     if indices is not None:
         extra = [c for pair in zip(MEANS, CUMULATIVES) for c in pair if c in indices.columns]
-        samples = indices.select("plot_id", "date", *extra)
+        samples = indices.select("plot_id", "date", *extra).repartition("plot_id")
         if dedupe:
             samples = samples.groupBy("plot_id", "date").agg(F.min(F.struct(*extra)).alias("row")).select(
                 "plot_id", "date", "row.*")
@@ -132,42 +133,65 @@ def feature_view(table: DataFrame, columns: Sequence[str], key: str = "plot_id",
 
 def lookup_asof(
     entities: DataFrame, view: DataFrame, key: str = "plot_id", ts: str = "ts", view_ts: str = "date",
-    block: str = "month",
+    block: str = "day",
 ) -> DataFrame:
     """For each entity row the newest features of its key at or before its time.
 
-    Entities and features are merged into one timeline per (key, calendar block) and read with a
-    running `last`; what earlier blocks end with is carried in from one row per block. No
-    entity-feature pairs are formed, and a busy key is spread over its blocks.
+    No entity-feature pairs are formed. Features are first reduced to one row per key and time.
+
+    A view by day needs no ordering of entities at all: a timeline of the days that are offered or
+    asked for is read with a running `last` (a key has no more of them than the calendar), and
+    entities take their day's answer by an equi-join. A view by time merges both sides into one
+    timeline per (key, calendar `block`); what earlier blocks end with is carried in from one row per
+    block, so a busy key is spread over its blocks.
     """
     features = [c for c in view.columns if c not in (key, view_ts)]
-    moment = F.col(view_ts).cast("timestamp_ntz")
-    # One row per key and time.
     offers = (
         view.where(F.col(view_ts).isNotNull())
-        .select(F.col(key).alias("_key"), moment.alias("_ts"), F.struct(*features).alias("_features"))
-        .groupBy("_key", "_ts").agg(F.min("_features").alias("_features"))
-        .withColumn("_row", F.lit(None).cast(entities.schema))
+        .select(F.col(key).alias("_key"), F.col(view_ts).alias("_at"), F.struct(*features).alias("_features"))
+        .groupBy("_key", "_at").agg(F.min("_features").alias("_features"))
     )
-    asks = entities.select(
-        F.col(key).alias("_key"), F.col(ts).cast("timestamp_ntz").alias("_ts"),
+    by_day = isinstance(view.schema[view_ts].dataType, T.DateType)
+    found = _asof_by_day(entities, offers, key, ts) if by_day else _asof_by_time(entities, offers, key, ts, block)
+    return found.select(
+        *[F.col(f"`{c}`") for c in entities.columns], *[F.col(f"_found.{c}").alias(c) for c in features])
+
+
+def _asof_by_day(entities: DataFrame, offers: DataFrame, key: str, ts: str) -> DataFrame:
+    asked = entities.select(F.col(key).alias("_key"), F.col(ts).cast("date").alias("_at")).distinct()
+    empty = F.lit(None).cast(offers.schema["_features"].dataType)
+    line = offers.unionByName(asked.withColumn("_features", empty)).groupBy("_key", "_at").agg(
+        F.max("_features").alias("_features"), F.count_if(F.col("_features").isNull()).alias("_asks"))
+    so_far = W.partitionBy("_key").orderBy("_at").rowsBetween(W.unboundedPreceding, 0)
+    answers = line.select(
+        "_key", "_at", "_asks", F.last("_features", ignorenulls=True).over(so_far).alias("_found")
+    ).where((F.col("_asks") > 0) & F.col("_found").isNotNull())
+    same = (F.col(key) == F.col("_key")) & (F.col(ts).cast("date") == F.col("_at"))
+    return entities.join(answers.drop("_asks"), same, "left")
+
+
+def _asof_by_time(entities: DataFrame, offers: DataFrame, key: str, ts: str, block: str) -> DataFrame:
+    offered = offers.withColumn("_at", F.col("_at").cast("timestamp_ntz")).withColumn(
+        "_row", F.lit(None).cast(entities.schema))
+    asked = entities.select(
+        F.col(key).alias("_key"), F.col(ts).cast("timestamp_ntz").alias("_at"),
         F.lit(None).cast(offers.schema["_features"].dataType).alias("_features"),
         F.struct(*[F.col(f"`{c}`") for c in entities.columns]).alias("_row"),
     )
-    line = offers.unionByName(asks).withColumn("_block", F.date_trunc(block, "_ts"))
+    line = offered.unionByName(asked).withColumn("_block", F.date_trunc(block, "_at"))
+    before = W.partitionBy("_key").orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
     carried = line.groupBy("_key", "_block").agg(
-        F.max_by("_features", F.when(F.col("_features").isNotNull(), F.col("_ts"))).alias("_tail"),
+        F.max_by("_features", F.when(F.col("_features").isNotNull(), F.col("_at"))).alias("_tail"),
         F.count("_row").alias("_asks"),
-    ).withColumn("_carried", F.last("_tail", ignorenulls=True).over(
-        W.partitionBy("_key").orderBy("_block").rowsBetween(W.unboundedPreceding, -1))
-    ).where(F.col("_asks") > 0).select("_key", "_block", "_carried")
-    inside = W.partitionBy("_key", "_block").orderBy("_ts", F.col("_row").isNotNull())
-    seen = line.withColumn("_seen", F.last("_features", ignorenulls=True).over(
-        inside.rowsBetween(W.unboundedPreceding, 0))).where(F.col("_row").isNotNull())
-    same = (seen["_key"].eqNullSafe(carried["_key"])) & (seen["_block"].eqNullSafe(carried["_block"]))
-    return seen.join(carried, same, "left").withColumn(
-        "_found", F.coalesce(F.col("_seen"), F.col("_carried"))
-    ).select("_row.*", *[F.col(f"_found.{c}").alias(c) for c in features])
+    ).withColumn("_carried", F.last("_tail", ignorenulls=True).over(before)).where(
+        F.col("_asks") > 0).select(F.col("_key").alias("_k"), F.col("_block").alias("_b"), "_carried")
+    inside = W.partitionBy("_key", "_block").orderBy("_at", F.col("_row").isNotNull()).rowsBetween(
+        W.unboundedPreceding, 0)
+    seen = line.withColumn("_seen", F.last("_features", ignorenulls=True).over(inside)).where(
+        F.col("_row").isNotNull())
+    same = (F.col("_key") == F.col("_k")) & (F.col("_block") == F.col("_b"))
+    return seen.join(carried, same, "left").select(
+        "_row.*", F.coalesce(F.col("_seen"), F.col("_carried")).alias("_found"))
 
 
 def lookup_features(snapshot: DataFrame, requested: DataFrame) -> DataFrame:

@@ -92,14 +92,15 @@ def sample_dates(plots: DataFrame, step_days: int = 5, default_days: int = 60) -
 
 
 def match_samples(
-    pixels: DataFrame, plots: DataFrame, window_days: int = 10, step_days: int = 5, default_days: int = 60
+    pixels: DataFrame, plots: DataFrame, window_days: int = 10, step_days: int = 5, default_days: int = 60,
+    place: bool = False,
 ) -> DataFrame:
     """Pixels with every sample whose window [sample - w, sample + w) holds their scene.
 
     The sample numbers follow from the day difference, so the interval join is an equi-join on
-    the plot plus a sequence of at most 2 w / step numbers. Rows are placed by (plot, pixel) before
-    they are multiplied: the shuffle carries each scene once, and grouping by (plot, sample, pixel)
-    afterwards needs no other.
+    the plot plus a sequence of at most 2 w / step numbers. With `place`, rows are placed by
+    (plot, pixel) before they are multiplied: the shuffle carries each scene once, and grouping by
+    (plot, sample, pixel) afterwards needs no other. Leave it off where partial aggregates follow.
     """
     period = with_period_end(plots.where(F.col("planting_date").isNotNull()), default_days).select(
         "plot_id", "planting_date", "vt_date")
@@ -111,9 +112,10 @@ def match_samples(
         .withColumn("_to", F.least(F.floor((offset + window_days) / step_days).cast("int"), last))
         .where(F.col("_from") <= F.col("_to"))
     )
+    if place:
+        joined = joined.repartition("plot_id", "pixel_id")
     return (
-        joined.repartition("plot_id", "pixel_id")
-        .withColumn("sample_no", F.explode(F.sequence("_from", "_to")))
+        joined.withColumn("sample_no", F.explode(F.sequence("_from", "_to")))
         .withColumn("sample_date", F.date_add("planting_date", F.col("sample_no") * step_days))
         .drop("_from", "_to", "planting_date", "vt_date")
     )
@@ -154,29 +156,35 @@ def _median_of(values: Column) -> Column:
     return F.transform(F.array(ordered), middle)[0]
 
 
-def median_image(matched: DataFrame, busy: DataFrame | None = None) -> DataFrame:
-    """Exact temporal median per pixel and index.
+def median_image(matched: DataFrame) -> DataFrame:
+    """Exact temporal median per pixel and index: a window's few scenes collected once, sorted per index."""
+    scenes = matched.groupBy(*PIXEL_KEY).agg(F.collect_list(F.struct(*S.INDICES)).alias("_scenes"))
+    return scenes.select(*PIXEL_KEY, *[_median_of(F.col("_scenes")[i]).alias(i) for i in S.INDICES])
 
-    The few scenes a window holds are collected once per pixel and sorted per index. Rows of `busy`
-    pixels are taken out and ranked by `exact_quantiles` instead, which spreads a group over tasks.
-    """
-    def from_lists(df: DataFrame) -> DataFrame:
-        scenes = df.groupBy(*PIXEL_KEY).agg(F.collect_list(F.struct(*S.INDICES)).alias("_scenes"))
-        return scenes.select(*PIXEL_KEY, *[
-            _median_of(F.col("_scenes")[i]).alias(i) for i in S.INDICES])
 
-    if busy is None:
-        return from_lists(matched)
-    pair = ["plot_id", "pixel_id"]
-    usual = from_lists(matched.join(busy, pair, "left_anti"))
-    crowded = matched.join(busy, pair, "left_semi")
-    long = crowded.unpivot(PIXEL_KEY, list(S.INDICES), "_index", "_v")
+def ranked_median_image(matched: DataFrame) -> DataFrame:
+    """The same image for pixels with very many scenes: no group is gathered anywhere."""
+    long = matched.unpivot(PIXEL_KEY, list(S.INDICES), "_index", "_v")
     ranked = exact_quantiles(long, [*PIXEL_KEY, "_index"], "_v", [0.5])
     wide = ranked.groupBy(*PIXEL_KEY).agg(*[
         F.max(F.when(F.col("_index") == i, F.col("quantiles")[0])).alias(i) for i in S.INDICES])
     # Pixels whose indices are all NULL keep their row.
-    keys = crowded.select(*PIXEL_KEY).distinct()
-    return usual.unionByName(keys.join(wide, PIXEL_KEY, "left"))
+    return matched.select(*PIXEL_KEY).distinct().join(wide, PIXEL_KEY, "left")
+
+
+def sampled_medians(
+    scenes: DataFrame, plots: DataFrame, window_days: int = 10, step_days: int = 5, default_days: int = 60,
+    busy: DataFrame | None = None,
+) -> DataFrame:
+    """Scenes to median images. Rows of `busy` pixels part before anything is placed by pixel."""
+    def matched(part: DataFrame, place: bool) -> DataFrame:
+        return match_samples(part, plots, window_days, step_days, default_days, place).select(*PIXEL_KEY, *S.INDICES)
+
+    if busy is None:
+        return median_image(matched(scenes, True))
+    pair = ["plot_id", "pixel_id"]
+    usual = median_image(matched(scenes.join(busy, pair, "left_anti"), True))
+    return usual.unionByName(ranked_median_image(matched(scenes.join(busy, pair, "left_semi"), False)))
 
 
 def mean_image(matched: DataFrame) -> DataFrame:
@@ -220,11 +228,11 @@ def plot_indices(
     Samples without a scene have no row.
     """
     require(plots, ["plot_id", "latitude", "longitude", "planting_date"], "satellite input")
-    scenes = with_indices(with_bands(usable_scenes(pixels, max_cloud_pct=max_cloud_pct))).select(
-        "plot_id", "date", "pixel_id", *S.INDICES)
-    matched = match_samples(scenes, plots, window_days, step_days, default_days).select(*PIXEL_KEY, *S.INDICES)
-    busy = busy_pixels(usable_scenes(pixels, max_cloud_pct=max_cloud_pct), busy_limit, window_days)
-    samples = with_cumulative_means(image_statistics(median_image(matched, busy)))
+    usable = usable_scenes(pixels, max_cloud_pct=max_cloud_pct)
+    scenes = with_indices(with_bands(usable)).select("plot_id", "date", "pixel_id", *S.INDICES)
+    busy = busy_pixels(usable, busy_limit, window_days)
+    images = sampled_medians(scenes, plots, window_days, step_days, default_days, busy)
+    samples = with_cumulative_means(image_statistics(images))
     order = [f"{s}_{i}" for i in S.INDICES for s in ("mean", "std", "min", "max", "cumulative")]
     return samples.select(
         "plot_id", F.col("sample_date").alias("date"),

@@ -13,6 +13,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Tables placed by plot_id may join on (plot_id, date) as they are. A plot holds at most one row
+    # per calendar day, so placing by plot alone cannot skew a join.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 

@@ -70,22 +70,20 @@ def test_scoring_defaults(spark):
     assert (got[3].altitude, got[3].season) == (900.0, "Short Rains")
 
 
-@pytest.mark.parametrize("block", ["day", "week", "year"])
-def test_asof_matches_merge_asof_with_a_hot_key(spark, block):
+@pytest.mark.parametrize("kind, block", [("date", "day"), ("timestamp_ntz", "day"), ("timestamp_ntz", "week"), ("timestamp_ntz", "year")])
+def test_asof_matches_merge_asof_with_a_hot_key(spark, kind, block):
     start = dt.datetime(2021, 1, 1)
     entities = [(i, 1 if i % 3 else i % 7, start + dt.timedelta(hours=(i * 37) % 5000)) for i in range(300)]
-    view = [(1 if i % 2 else i % 9, (start + dt.timedelta(days=(i * 13) % 200)).date(), float(i)) for i in range(150)]
-    e = spark.createDataFrame(entities, "id long, plot_id long, ts timestamp_ntz")
-    v = spark.createDataFrame(view, "plot_id long, date date, gdd double")
+    step = 24 if kind == "date" else 7
+    view = [(1 if i % 2 else i % 9, start + dt.timedelta(hours=step * ((i * 13) % 200)), float(i)) for i in range(150)]
+    e = spark.createDataFrame([*entities, (300, None, start), (301, 1, None)], "id long, plot_id long, ts timestamp_ntz")
+    v = spark.createDataFrame(view, "plot_id long, date timestamp_ntz, gdd double").withColumn("date", F.col("date").cast(kind))
     got = {r.id: r.gdd for r in X.lookup_asof(e, X.feature_view(v, ["gdd", "absent"]), block=block).collect()}
-    left = pd.DataFrame(entities, columns=["id", "plot_id", "ts"]).sort_values("ts")
-    right = pd.DataFrame(view, columns=["plot_id", "date", "gdd"]).groupby(["plot_id", "date"], as_index=False)["gdd"].min()
-    right["ts"] = pd.to_datetime(right["date"])
-    left["ts"] = left["ts"].astype("datetime64[ns]")
-    right["ts"] = right["ts"].astype("datetime64[ns]")
-    wanted = pd.merge_asof(left, right.sort_values("ts"), on="ts", by="plot_id")
-    assert len(got) == 300
-    assert got == {int(r.id): (None if pd.isna(r.gdd) else r.gdd) for r in wanted.itertuples()}
+    left = pd.DataFrame(entities, columns=["id", "plot_id", "ts"]).astype({"ts": "datetime64[ns]"}).sort_values("ts")
+    right = pd.DataFrame(view, columns=["plot_id", "ts", "gdd"]).astype({"ts": "datetime64[ns]"})
+    right = right.groupby(["plot_id", "ts"], as_index=False)["gdd"].min().sort_values("ts")
+    wanted = {int(r.id): (None if pd.isna(r.gdd) else r.gdd) for r in pd.merge_asof(left, right, on="ts", by="plot_id").itertuples()}
+    assert got == {**wanted, 300: None, 301: None} and len(set(wanted.values())) > 20
 
 
 def test_lookup_features_is_a_filter(spark):

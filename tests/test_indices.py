@@ -69,8 +69,8 @@ def test_busy_pixels_take_the_ranked_path_with_equal_results(spark):
     assert I.busy_pixels(px) is None
     busy = I.busy_pixels(px, limit=600)
     assert [tuple(r) for r in busy.collect()] == [(1, 1)]
-    m = I.match_samples(px, plots(spark, "2021-10-11"))
-    plain, split = (sorted(map(str, I.median_image(m, b).collect())) for b in (None, busy))
+    where = plots(spark, "2021-10-11")
+    plain, split = (sorted(map(str, I.sampled_medians(px, where, busy=b).collect())) for b in (None, busy))
     assert plain == split
 
 

@@ -5,6 +5,7 @@ import re
 import pytest
 
 from agrospark.catalog.base import REGISTRY, Tables
+from agrospark.operators import features as X
 from agrospark.operators import indices as I
 from agrospark.operators import phenology as P
 
@@ -51,7 +52,7 @@ def test_window_match_shuffles_scenes_once(spark):
     stages.count()
     plots = I.satellite_input(stages, P.vt_dates(stages))
     scenes = I.with_indices(I.with_bands(t.pixels)).select("plot_id", "date", "pixel_id", "ndvi")
-    matched = I.match_samples(scenes, plots)
+    matched = I.match_samples(scenes, plots, place=True)
     grouped = physical(matched.groupBy(*I.PIXEL_KEY).count())
     assert len(re.findall(r"Exchange hashpartitioning\(plot_id#\d+L, pixel_id#\d+L", grouped)) == 1
     assert not re.search(r"Exchange hashpartitioning\([^)]*sample_date", grouped)
@@ -65,3 +66,20 @@ def test_single_partition_windows_run_over_block_summaries_only(spark, name):
         partition = re.search(r"windowspecdefinition\(([^,]*)", window).group(1)
         if "ASC" in partition:  # no partition columns: ordered right away
             assert partition.startswith("_block"), window
+
+
+def test_daily_features_place_stored_days_once(spark, tmp_path):
+    t = Tables(spark, SF)
+    stages = P.stage_dates_from_weather(t.weather, t.plots)
+    stored = {}
+    for name, df in (("weather", t.weather), ("stages", stages), ("samples", I.plot_indices(t.pixels, I.satellite_input(stages, P.vt_dates(stages))))):
+        df.write.parquet(str(tmp_path / name))
+        stored[name] = spark.read.parquet(str(tmp_path / name))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with tables too large to broadcast
+    try:
+        plan = physical(X.daily_features(stored["weather"], stored["stages"], stored["stages"], stored["samples"]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    assert exchanges and all(re.match(r"plot_id#\d+L, \d+$", e) for e in exchanges), exchanges
+    assert len(exchanges) == 4  # days, samples and the two plot tables, each once
