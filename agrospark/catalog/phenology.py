@@ -6,6 +6,7 @@ from agrospark import schemas as S
 from agrospark.catalog.base import Tables, query
 from agrospark.functions import columns as C
 from agrospark.operators import phenology as P
+from agrospark.sources import files
 
 STAGE_SPEC = ("plot_id:i latitude:f longitude:f altitude:f season:s planting_date:d method:s confidence:f "
               "VE:d V2:d V6:d VT:d R1:d R4:d R6:d")
@@ -20,6 +21,11 @@ def planted(t: Tables):
     return planting.select("plot_id", F.col("inferred_planting_date").alias("planting_date"))
 
 
+def stored_planting(t: Tables):
+    """Planting dates as the jobs keep them: one row per plot, stored once and used several times."""
+    return files.store(planted(t), "planting_dates")
+
+
 @query("d1_altitude_delay", "plot_id:i altitude:f delay_days:i",
        """select plot_id, altitude, case when altitude <= 1200 then 0 else floor((altitude - 1200) / 100) end as delay_days from plots""",
        ("plots",))
@@ -179,7 +185,7 @@ SUMMARY_SPEC = ("plot_id:i latitude:f longitude:f planting_date:d max_temp_c:f m
 
 
 def summary_of(t: Tables):
-    planting = planted(t)
+    planting = stored_planting(t)
     return P.season_summary(t.weather, P.latest_stage(P.long_form_stages(t.weather, planting)), planting)
 
 

@@ -128,3 +128,16 @@ def write_snapshot(
         .partitionBy(DAY)
         .parquet(root)
     )
+
+
+def write_bucketed(df: DataFrame, table: str, buckets: int, key: str = "plot_id", order: str = "date") -> None:
+    """A catalog table bucketed by plot and sorted by day.
+
+    Weather, daily features and samples stored this way with the same number of buckets join and
+    aggregate per plot without a shuffle. Bucket counts belong to the size of the table (a few
+    hundred MB per bucket).
+    """
+    sort = [key, order] if order in df.columns else [key]
+    # Rows meet their bucket before the write, so that a bucket is one file.
+    placed = df.repartition(buckets, key)
+    placed.write.mode("overwrite").bucketBy(buckets, key).sortBy(*sort).saveAsTable(table)

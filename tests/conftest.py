@@ -13,7 +13,8 @@ from agrospark.session import get_session  # noqa: E402
 def spark(tmp_path_factory):
     session = get_session("tests", "local[8]", **{
         "spark.sql.shuffle.partitions": "4", "spark.driver.memory": "6g",
-        "spark.ui.showConsoleProgress": "false", "spark.log.level": "ERROR"})
+        "spark.ui.showConsoleProgress": "false", "spark.log.level": "ERROR",
+        "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse"))})
     session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoints")))
     yield session
     session.stop()

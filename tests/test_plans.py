@@ -8,6 +8,7 @@ from agrospark.catalog.base import REGISTRY, Tables
 from agrospark.operators import features as X
 from agrospark.operators import indices as I
 from agrospark.operators import phenology as P
+from agrospark.sources import snapshots
 
 SF = "/root/testdata/sf0.001"
 # Scoring and streaming queries run jobs while they are built; their plans are Spark ML's or end in a file.
@@ -83,3 +84,19 @@ def test_daily_features_place_stored_days_once(spark, tmp_path):
     exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
     assert exchanges and all(re.match(r"plot_id#\d+L, \d+$", e) for e in exchanges), exchanges
     assert len(exchanges) == 4  # days, samples and the two plot tables, each once
+
+
+def test_bucketed_tables_need_no_shuffle(spark):
+    t = Tables(spark, SF)
+    snapshots.write_bucketed(t.weather, "weather_b", 4)
+    snapshots.write_bucketed(P.with_plot_metadata(P.infer_planting_dates(t.weather, t.plots), t.plots), "planting_b", 4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        stages = P.stage_dates(spark.table("weather_b"), spark.table("planting_b"))
+        assert "Exchange" not in physical(stages)
+        wanted = P.stage_dates_from_weather(t.weather, t.plots)
+        assert sorted(map(str, stages.collect())) == sorted(map(str, wanted.collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("drop table weather_b")
+        spark.sql("drop table planting_b")
