@@ -185,6 +185,8 @@ def _asof_by_time(entities: DataFrame, offers: DataFrame, key: str, ts: str, blo
         F.count("_row").alias("_asks"),
     ).withColumn("_carried", F.last("_tail", ignorenulls=True).over(before)).where(
         F.col("_asks") > 0).select(F.col("_key").alias("_k"), F.col("_block").alias("_b"), "_carried")
+    # One small row per block goes to the timeline, which must not be placed by key alone.
+    carried = carried.repartition("_k", "_b")
     inside = W.partitionBy("_key", "_block").orderBy("_at", F.col("_row").isNotNull()).rowsBetween(
         W.unboundedPreceding, 0)
     seen = line.withColumn("_seen", F.last("_features", ignorenulls=True).over(inside)).where(

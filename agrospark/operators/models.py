@@ -256,6 +256,14 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+def run_rows(metrics: DataFrame, day: str, suffix: str = "_RandomSearch") -> DataFrame:
+    """Rows of the `model_runs` table from a comparison: name, parameters, metrics and start."""
+    scores = F.create_map(*[x for m in ("RMSE", "MAE", "R2") for x in (F.lit(m), F.col(m))])
+    return metrics.select(
+        F.concat_ws("-", "model", F.lit(day)).alias("run_id"), F.concat("model", F.lit(suffix)).alias("run_name"),
+        F.col("best_params").alias("params"), scores.alias("metrics"), F.lit(day).cast("timestamp_ntz").alias("start_time"))
+
+
 def newest_run(runs: DataFrame, prefix: str) -> DataFrame:
     """The latest started run whose name begins with the prefix."""
     others = [c for c in runs.columns]

@@ -6,7 +6,7 @@ Weather is one row per (plot_id, date), which the duplicate gate enforces and
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window as W, WindowSpec, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window as W, WindowSpec, functions as F
 
 from agrospark import schemas as S
 from agrospark.functions import columns as C
@@ -211,6 +211,14 @@ def vt_source_summary(vt: DataFrame) -> DataFrame:
     return counted.withColumn("percentage", F.col("plots") * 100.0 / F.sum("plots").over(W.partitionBy()))
 
 
+def run_metadata(stages: DataFrame, vt: DataFrame, execution_date: str) -> DataFrame:
+    """The summary of a run in one row, VT sources as a map of at most three entries."""
+    sources = vt.groupBy("source").agg(F.count("*").alias("plots")).agg(
+        F.map_from_entries(F.collect_list(F.struct("source", "plots")))).scalar()
+    return stage_summary(stages).select(
+        F.lit(execution_date).alias("execution_date"), "*", sources.alias("source_distribution"))
+
+
 def long_form_stages(
     weather: DataFrame, planting: DataFrame, thresholds: dict[str, int] | None = None,
     base: float = S.GDD_BASE_C,
@@ -293,15 +301,3 @@ def with_current_stage(days: DataFrame, stages: DataFrame, name: str = "current_
 def with_days_since_planting(days: DataFrame) -> DataFrame:
     return days.withColumn("days_since_planting", F.datediff("date", "planting_date"))
 
-
-STAGE_SCHEMA = T.StructType([
-    T.StructField("plot_id", T.LongType()),
-    T.StructField("latitude", T.DoubleType()),
-    T.StructField("longitude", T.DoubleType()),
-    T.StructField("altitude", T.DoubleType()),
-    T.StructField("season", T.StringType()),
-    T.StructField("planting_date", T.DateType()),
-    T.StructField("method", T.StringType()),
-    T.StructField("confidence", T.DoubleType()),
-    *[T.StructField(s, T.DateType()) for s in S.STAGES],
-])

@@ -60,6 +60,13 @@ def weather_gate(df: DataFrame) -> DataFrame:
     return df
 
 
+def require_rows(df: DataFrame, what: str) -> DataFrame:
+    """Hand a stored result on, or raise when a run produced nothing."""
+    if df.isEmpty():
+        raise ValueError(f"no {what}")
+    return df
+
+
 def unique_days(weather: DataFrame) -> DataFrame:
     """One row per (plot_id, date): the least row, by a total order over all other columns.
 

@@ -42,6 +42,7 @@ def weather_to_stages(
     stages = P.stage_dates_from_weather(checked, plots)
     snapshots.write_snapshot(planting, tables.path("planting_dates"), day)
     snapshots.write_snapshot(stages, tables.path("crop_stages"), day)
+    Q.require_rows(snapshots.read_snapshot(spark, tables.path("planting_dates"), day), "planting dates inferred")
     stored = snapshots.read_snapshot(spark, tables.path("crop_stages"), day).drop(snapshots.DAY)
     snapshots.write_snapshot(P.vt_dates(stored), tables.path("vt_stages"), day)
     return {
@@ -60,7 +61,7 @@ def satellite_samples(
         raise FileNotFoundError("no crop stages or VT dates; run weather_to_stages first")
     samples = I.plot_indices(pixels, I.satellite_input(stages, vt))
     snapshots.write_snapshot(samples, tables.path("satellite_indices"), day)
-    return snapshots.read_snapshot(spark, tables.path("satellite_indices"), day)
+    return Q.require_rows(snapshots.read_snapshot(spark, tables.path("satellite_indices"), day), "satellite samples")
 
 
 def materialize_features(spark: SparkSession, tables: Tables, day: str | dt.date) -> dict[str, DataFrame]:
@@ -131,6 +132,21 @@ def train_models(
     return Trained(fitted, predictions, metrics)
 
 
+def score_plots(
+    spark: SparkSession, tables: Tables, requests: DataFrame, model: PipelineModel, columns: Sequence[str],
+    name: str, day: str | dt.date,
+) -> tuple[DataFrame, DataFrame]:
+    """Score requests on the newest plot features; the day's predictions are the prediction log."""
+    features = snapshots.read_latest(spark, tables.path("plot_features"), day)
+    if features is None:
+        raise FileNotFoundError("no plot features; run materialize_features first")
+    rows = X.features_for_scoring(requests, features.drop(snapshots.DAY))
+    scored = M.score_batch(rows, lambda df: model.transform(M.as_double(df, columns)), name)
+    snapshots.write_snapshot(scored, tables.path("predictions"), day)
+    stored = snapshots.read_snapshot(spark, tables.path("predictions"), day)
+    return stored, M.score_counts(stored)
+
+
 def drift_check(
     spark: SparkSession, tables: Tables, day: str | dt.date, reference_days: int = 30
 ) -> tuple[DataFrame | None, DataFrame]:

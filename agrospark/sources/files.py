@@ -17,24 +17,25 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A new folder under the cluster's shared checkpoint folder.
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder the cluster names; a temporary one only for local runs without a setting."""
+    context = spark.sparkContext
+    if not context.getCheckpointDir():
+        root = spark.conf.get("spark.checkpoint.dir", None)
+        if root is None and not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(root or tempfile.mkdtemp(prefix="agrospark-"))
+    return context.getCheckpointDir()
 
-    Only where none is configured (local tests) a temporary folder becomes the checkpoint folder.
-    """
-    root = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if root is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="agrospark-"))
-        root = spark.sparkContext.getCheckpointDir()
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A new folder under the shared one."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """A reliable checkpoint, so that a lost executor does not redo the whole plan."""
-    spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        root = spark.conf.get("spark.checkpoint.dir", None)
-        spark.sparkContext.setCheckpointDir(root or tempfile.mkdtemp(prefix="agrospark-"))
+    checkpoint_dir(df.sparkSession)
     return df.checkpoint()
 
 

@@ -98,15 +98,19 @@ def union_last_n(
 
 
 def read_last_n(
-    spark: SparkSession, root: str, day: str | dt.date, n: int = 30, gap_days: int = 1
+    spark: SparkSession, root: str, day: str | dt.date, n: int = 30, gap_days: int = 1,
+    skip_unreadable: bool = False,
 ) -> DataFrame | None:
-    """`union_last_n` on a stored table: the days come from the folder listing."""
+    """`union_last_n` on a stored table: the days come from the folder listing.
+
+    `skip_unreadable` passes over damaged files instead of failing.
+    """
     limit = _as_date(day) - dt.timedelta(days=gap_days)
     days = [d for d in list_days(spark, root) if d <= limit][-n:]
     if not days:
         return None
     return (
-        spark.read.option("mergeSchema", True).parquet(root)
+        spark.read.option("mergeSchema", True).option("ignoreCorruptFiles", skip_unreadable).parquet(root)
         .where(F.col(DAY).isin([F.lit(d) for d in days]))
     )
 

@@ -1,7 +1,10 @@
 import pytest
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
 
 from agrospark.catalog.base import Tables as TestTables
+from agrospark.operators import models as M
+from agrospark.operators import phenology as P
 from agrospark.operators import quality as Q
 from agrospark.plans import jobs
 from agrospark.sources import snapshots
@@ -31,6 +34,13 @@ def test_daily_runs_from_weather_to_drift(spark, tmp_path):
     table = jobs.training_table(labels, features["plot_features"])
     assert table.count() == 10 and table.where("match_tier > 0").count() == 10
     assert table.where("plot_id is null").count() == 0 and "plant_doy" in table.columns
+    numbers = ["precip_total", "gdd_sum", "plant_doy"]
+    model = M.pipeline(RandomForestRegressor(numTrees=3, maxDepth=3, seed=1), numbers, M.TARGET).fit(
+        M.as_double(M.training_rows(table), [*numbers, M.TARGET]))
+    scored, counts = jobs.score_plots(spark, tables, t.score_requests, model, numbers, "forest", "2024-01-02")
+    assert tuple(counts.first()) == (150, 150, 0) and scored.select("model_name").distinct().count() == 1
+    meta = P.run_metadata(out["crop_stages"], out["vt_stages"], "2024-01-01").first()
+    assert sum(meta.source_distribution.values()) == meta.plot_count == 10
 
 
 def test_bad_weather_stops_the_run(spark, tmp_path):

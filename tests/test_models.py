@@ -61,6 +61,8 @@ def test_train_and_compare(spark):
     assert set(metrics) == {"boosted", "forest", "ensemble"}
     assert metrics["forest"].best_params and metrics["ensemble"].best_params is None
     assert out.predictions.count() == 60 and "pred_ensemble" in out.predictions.columns
+    runs = M.run_rows(out.metrics, "2024-01-01")
+    assert M.newest_run(runs, "forest").first().metrics["RMSE"] == metrics["forest"].RMSE
     r = out.predictions.first()
     assert r.pred_ensemble == pytest.approx((r.pred_boosted + r.pred_forest) / 2)
 
