@@ -180,8 +180,9 @@ SUMMARY_SQL = f"""select w.plot_id, arg_min(w.latitude, date) as latitude, arg_m
  avg(humidity_pct) as humidity_pct, sum(solar_energy_mjm2) as solar_energy_mjm2, avg(wind_speed_kmh) as wind_speed_kmh,
  avg(cloud_cover_pct) as cloud_cover_pct from weather w join ({LATEST_SQL}) l on l.plot_id = w.plot_id
  and w.date between l.planting_date and l.stage_date group by w.plot_id"""
-SUMMARY_SPEC = ("plot_id:i latitude:f longitude:f planting_date:d max_temp_c:f min_temp_c:f mean_temp_c:f precip_mm:f "
-                "humidity_pct:f solar_energy_mjm2:f wind_speed_kmh:f cloud_cover_pct:f")
+# Means of coarse values over 2^k days end in ...5 at the sixth place; nine places avoid such ties.
+SUMMARY_SPEC = ("plot_id:i latitude:f longitude:f planting_date:d max_temp_c:f min_temp_c:f mean_temp_c:f9 precip_mm:f "
+                "humidity_pct:f9 solar_energy_mjm2:f wind_speed_kmh:f9 cloud_cover_pct:f9")
 
 
 def summary_of(t: Tables):

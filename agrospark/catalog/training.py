@@ -43,8 +43,8 @@ def _(t):
 
 @query("g3_join_null_safe", f"event_id:i {FEATURES}", """
 select e.event_id, f.precip_total, f.gdd_sum from (select event_id, nullif(user_id % 40, 0) as plot_id, date '1995-01-01' + (user_id % 30)::int as d from events) e
- left join (select nullif(plot_id % 40, 0) as k, planting_date, min((precip_total is not null, precip_total))[2] as precip_total,
- arg_min(gdd_sum, (precip_total is not null, precip_total, gdd_sum)) as gdd_sum from feature_rows group by 1, 2) f
+ left join (select k, planting_date, m[2] as precip_total, m[4] as gdd_sum from (select nullif(plot_id % 40, 0) as k, planting_date,
+  min((precip_total is not null, precip_total, gdd_sum is not null, gdd_sum)) as m from feature_rows group by 1, 2)) f
  on f.k is not distinct from e.plot_id and f.planting_date = e.d""", ("feature_rows",))
 def _(t):
     day = F.date_add(F.lit("1995-01-01").cast("date"), (F.col("user_id") % 30).cast("int"))
