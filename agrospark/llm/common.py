@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -51,8 +52,14 @@ def split_words(text: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     return bounds, coded.indices.to_numpy(zero_copy_only=False), coded.dictionary
 
 
-def as_array(column: pa.ChunkedArray | pa.Array) -> pa.Array:
-    return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+def slices(batch: pa.RecordBatch, column: str = "text", size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows with about `size` bytes of text, so that memory does not follow the batch."""
+    lengths = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(lengths, dtype=np.int64) // size
+    cuts = np.concatenate(([0], np.flatnonzero(np.diff(part)) + 1, [batch.num_rows]))
+    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        if b > a:
+            yield batch.slice(a, b - a)
 
 
 def gather(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:

@@ -115,7 +115,7 @@ class WordEncoder:
     seen before are kept up to `limit`, beyond which they are encoded again.
     """
 
-    def __init__(self, name: str, limit: int = 600_000):
+    def __init__(self, name: str, limit: int = 300_000):
         path = common.tokenizer_path(name)
         from tokenizers import Tokenizer
 
@@ -165,9 +165,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str = "word_bpe_49k.json",
     """
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_encoder(tokenizer)
-        for page, batch in enumerate(batches):
-            if not batch.num_rows:
-                continue
+        for page, batch in enumerate(piece for batch in batches for piece in common.slices(batch)):
             lengths, ids = encoder(batch.column("text"), end_id)
             packed, offsets, escapes = pack(ids)
             yield pa.RecordBatch.from_arrays([
