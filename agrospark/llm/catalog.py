@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from agrospark.llm import simple8b
+from agrospark.llm import bpe, chat, quality, simple8b
 
 QUERIES = {
+    "op4_bpe": bpe.op4_bpe,
     "op5_simple8b": simple8b.op5_simple8b,
+    "op7_quality": quality.op7_quality,
+    "op10_chat": chat.op10_chat,
 }
 
 SQL: dict[str, str] = {}
