@@ -232,6 +232,7 @@ def encode_texts(docs: DataFrame, tokenizer: str = "word_bpe_49k.json") -> DataF
                  pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pa.array(values, pa.int32()))],
                 names=[*keep, "n_tokens", "token_ids"])
 
+    common.ship(docs.sparkSession)
     schema = docs.select(*keep).schema.add("n_tokens", T.LongType()).add("token_ids", T.ArrayType(T.IntegerType()))
     return docs.select(*keep).mapInArrow(run, schema)
 
@@ -245,6 +246,7 @@ def decode_ids(encoded: DataFrame, tokenizer: str = "word_bpe_49k.json", readabl
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())],
                                              names=["doc_id", "text"])
 
+    common.ship(encoded.sparkSession)
     rows = encoded.select("doc_id", "token_ids")
     return rows.mapInArrow(run, rows.select("doc_id").schema.add("text", T.StringType()))
 
@@ -271,6 +273,7 @@ def digests(docs: DataFrame, tokenizer: str = "word_bpe_49k.json") -> DataFrame:
                 pa.array([hashlib.sha256(b" ".join(map(decoded.__getitem__, c))).hexdigest() for c in each]),
             ], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
+    common.ship(docs.sparkSession)
     rows = common.texts(docs)
     schema = rows.select("doc_id").schema.add("n_tokens", T.LongType()).add("ids_sha256", T.StringType())
     return rows.mapInArrow(run, schema.add("decoded_sha256", T.StringType()))

@@ -47,19 +47,11 @@ def unescape(text: str) -> str:
     return _ESCAPED.sub(lambda m: _PLAIN[m[1]], text) if "\\" in text else text
 
 
-def _buffers(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(offsets, bytes) of a column of texts."""
-    text = text.cast(pa.large_string())
-    _, offsets, data = text.buffers()
-    at = np.frombuffer(offsets, np.int64)[text.offset:text.offset + len(text) + 1]
-    return at, np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
-
-
 def assemble(roles: pa.Array, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(bytes of all turns, where each turn begins and the end, where each text begins) of escaped columns."""
     head, line, tail = (np.frombuffer(s.encode(), np.uint8) for s in (HEAD, "\n", TAIL))
-    role_at, role_bytes = _buffers(roles)
-    text_at, text_bytes = _buffers(texts)
+    role_at, role_bytes = common.text_bytes(roles)
+    text_at, text_bytes = common.text_bytes(texts)
     n = len(roles)
     lengths = np.empty((n, 5), dtype=np.int64)
     lengths[:, 0], lengths[:, 2], lengths[:, 4] = len(head), len(line), len(tail)
@@ -96,7 +88,7 @@ def format_conversations(turns: DataFrame) -> DataFrame:
             learned = np.asarray(pc.equal(batch.column("role"), LEARNED))
             base = np.repeat(piece_at[:-1], np.diff(bounds))
             begin = (text_at - base)[learned]
-            end = begin + np.diff(_buffers(texts)[0])[learned]
+            end = begin + np.diff(common.text_bytes(texts)[0])[learned]
             spans = np.concatenate(([0], np.cumsum(learned)))[bounds].astype(np.int32)
             k = len(first)
             formatted = pa.Array.from_buffers(
@@ -110,6 +102,7 @@ def format_conversations(turns: DataFrame) -> DataFrame:
             ], names=[f.split()[0] for f in PIECE.split(", ")])
             piece += k
 
+    common.ship(turns.sparkSession)
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
     keys = ("conv_id", "turn", "role", "text")
     rows = turns.select(F.col("conv_id").cast("bigint").alias("conv_id"), "turn", text("role"), text("text"))
@@ -167,6 +160,7 @@ def read_digests(pieces: DataFrame) -> DataFrame:
         if begun:
             yield row()
 
+    common.ship(pieces.sparkSession)
     placed = pieces.repartition("conv_id").sortWithinPartitions("conv_id", "part", "piece")
     return placed.mapInArrow(run, "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, "
                                   "loss_sha256 string, formatted_chars bigint")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import shutil
+import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,6 +17,19 @@ BREAKS = r"\x20\x09-\x0D"
 BLANKS = " \t\n\x0b\x0c\r"
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application; their workers import it by name."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        name = os.path.join(tempfile.mkdtemp(prefix="agrospark-code-"), "agrospark")
+        context.addPyFile(shutil.make_archive(name, "zip", os.path.dirname(package), os.path.basename(package)))
+        _shipped.add(context.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -62,6 +77,15 @@ def slices(batch: pa.RecordBatch, column: str = "text", size: int = 4 << 20) ->
             yield batch.slice(a, b - a)
 
 
+def text_bytes(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(offsets, bytes) of a column of texts, as they lie in its buffers."""
+    text = text.cast(pa.large_string())
+    _, offsets, data = text.buffers()
+    at = np.frombuffer(offsets, np.int64)[text.offset:text.offset + len(text) + 1]
+    data = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
+    return at - at[0], data[at[0]:at[-1]]
+
+
 def gather(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Indices start, start+1, ... of each run, one run after the other."""
     ends = np.cumsum(lengths)

@@ -44,9 +44,8 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     large = ids >> np.uint64(60) > 0
     blocks, row = -(-n // BLOCK), BLOCK + int(COUNTS.max())
     widths = np.zeros((blocks, row), dtype=np.uint8)  # what stands after a block's end has width 0
-    exact = np.where(large, 64, np.ceil(np.log2(np.maximum(ids, np.uint64(1)).astype(np.float64) + 0.5))).astype(np.uint8)
-    short = ids < np.uint64(1 << 48)
-    exact[~short & ~large] = np.maximum(exact[~short & ~large], 49)  # doubles are not exact there: 60 bits hold all
+    exact = np.frexp(ids.astype(np.float64))[1]  # bits of an id; doubles may round a long one up
+    exact = np.where(large, 64, np.minimum(exact, 60)).astype(np.uint8)
     padded = np.zeros(blocks * BLOCK, dtype=np.uint8)
     padded[:n] = exact
     widths[:, :BLOCK] = padded.reshape(blocks, BLOCK)
@@ -112,10 +111,10 @@ class WordEncoder:
     The tokenizer drops white space and no token crosses it, so a text's ids are those of its words in order. It
     also parts a Latin letter or digit from the sign behind it, so a blank between them changes nothing; bars,
     angle brackets and apostrophes, which special tokens and contractions contain, are left as they are. Words
-    seen before are kept up to `limit`, beyond which they are encoded again.
+    seen before are remembered; beyond `limit` all are forgotten and encoded again.
     """
 
-    def __init__(self, name: str, limit: int = 300_000):
+    def __init__(self, name: str, limit: int = 600_000):
         path = common.tokenizer_path(name)
         from tokenizers import Tokenizer
 
@@ -123,26 +122,33 @@ class WordEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.limit = limit
-        self.known: dict[str, list[int]] = {}
-
-    def _ids(self, distinct: list[str]) -> list[list[int]]:
-        known = self.known
-        new = [w for w in distinct if w not in known]
-        made = dict(zip(new, (e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False))))
-        if len(known) + len(made) <= self.limit:
-            known.update(made)
-            return list(map(known.__getitem__, distinct))
-        return [made[w] if w in made else known[w] for w in distinct]
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.sizes, self.pool = np.zeros(0, np.int64), np.zeros(0, np.uint32)
+
+    def _numbers(self, distinct: list[str]) -> np.ndarray:
+        """Numbers of words, whose ids are then in the pool."""
+        if len(self.known) > self.limit:
+            self._forget()
+        new = [w for w in distinct if w not in self.known]
+        if new:
+            ids = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
+            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+            flat = np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(sizes.sum()))
+            self.sizes, self.pool = np.append(self.sizes, sizes), np.append(self.pool, flat)
+        return np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
 
     def __call__(self, text: pa.Array, end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
         """(number of ids of each text, ids of all), each text followed by end_id if there is one."""
         parted = pc.replace_substring_regex(text, r"([A-Za-z0-9])([.,;:!?$&%*#()])", r"\1 \2")
         bounds, codes, distinct = common.split_words(parted)
-        ids = self._ids(distinct.to_pylist())
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        pool = np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(sizes.sum()))
+        codes = self._numbers(distinct.to_pylist())[codes]
+        sizes, pool = self.sizes, self.pool
         if end_id is not None:  # one more word, the end, after the words of each text
-            codes = np.insert(codes.astype(np.int64), bounds[1:], len(sizes))
+            codes = np.insert(codes, bounds[1:], len(sizes))
             bounds = bounds + np.arange(len(bounds))
             sizes, pool = np.append(sizes, 1), np.append(pool, np.uint32(end_id))
         starts = np.cumsum(sizes) - sizes
@@ -176,6 +182,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str = "word_bpe_49k.json",
                 pa.array([packed.tobytes()], pa.binary()), pa.array([escapes.tobytes()], pa.binary()),
             ], names=[f.split()[0] for f in PAGE.split(", ")])
 
+    common.ship(docs.sparkSession)
     ordered = (common.texts(docs).withColumn("doc_id", F.col("doc_id").cast("bigint"))
                .repartitionByRange("doc_id").sortWithinPartitions("doc_id")
                .withColumn("part", F.spark_partition_id()))
@@ -197,6 +204,7 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
                     pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pa.array(ids.astype(np.int64), pa.int64())),
                 ], names=["part", "page", "doc_id", "start", "n_tokens", "ids"])
 
+    common.ship(spark)
     pages = spark.read.schema(PAGE).parquet(path)
     return _global_start(pages, pages.mapInArrow(
         decode, "part int, page int, doc_id bigint, start bigint, n_tokens bigint, ids array<bigint>"))
@@ -233,6 +241,7 @@ def read_digests(spark: SparkSession, path: str) -> DataFrame:
                     pa.array(np.diff(upto), pa.int64()), pa.array(crcs, pa.int64()),
                 ], names=["part", "page", "doc_id", "start", "n_tokens", "ids_crc32"])
 
+    common.ship(spark)
     pages = spark.read.schema(PAGE).parquet(path)
     return _global_start(pages, pages.mapInArrow(
         digest, "part int, page int, doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"))
