@@ -213,7 +213,7 @@ class _Linker:
                 return
 
 
-def components(docs: DataFrame, size: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
+def components(docs: DataFrame, size: int = 5, percent: int = 80, small: int = SMALL) -> tuple[DataFrame, DataFrame]:
     """(signatures of (doc_id, text), (node, component) of the documents that are linked to a different text)."""
     common.ship(docs.sparkSession)
     signed = store(signatures(docs, size), "signatures")
@@ -229,10 +229,10 @@ def components(docs: DataFrame, size: int = 5, percent: int = 80) -> tuple[DataF
         named = linker.component(rows, "node", "c")
         mixed = named.groupBy("key").agg(F.min("c").alias("c1"), F.max("c").alias("c2")).where("c1 != c2").select("key")
         left = store(named.join(mixed, "key"), "mixed-buckets")
-        few = left.where(F.col("n") <= SMALL).select("key", "node", "c")
+        few = left.where(F.col("n") <= small).select("key", "node", "c")
         other = few.select("key", F.col("node").alias("b"), F.col("c").alias("cb"))
         linker.compare(few.withColumnRenamed("node", "a").join(other, "key").where("a < b and c != cb").select("a", "b").distinct())
-        many = left.where(F.col("n") > SMALL)
+        many = left.where(F.col("n") > small)
         if many.isEmpty():
             break
         bands = classes.select("node", F.posexplode("bands").alias("next", "part"))
@@ -242,7 +242,7 @@ def components(docs: DataFrame, size: int = 5, percent: int = 80) -> tuple[DataF
     return signed.join(nodes, ["s1", "s2"], "left"), linker.component(nodes.select("node"), "node", "component")
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, small: int = SMALL) -> DataFrame:
     """doc_id, n_shingles, component_id and kept, one row for each row of docs.
 
     Two documents are linked if their sets of `size`-word shingles share at least `percent` of their union; a
@@ -250,7 +250,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     nothing; nor is a row without doc_id, which is kept. Repeated rows are one document.
     """
     rows = common.texts(docs).withColumn("doc_id", F.col("doc_id").cast("bigint"))
-    signed, found = components(rows, size, percent)
+    signed, found = components(rows, size, percent, small)
     done = signed.join(found, "node", "left")
     component = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.coalesce("component", "node")).otherwise(F.col("doc_id"))
     return done.select("doc_id", "n_shingles", component.alias("component_id")) \

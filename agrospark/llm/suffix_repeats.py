@@ -239,7 +239,7 @@ def class_repeats(classes: DataFrame, limit: int = LIMIT) -> DataFrame:
     return whole
 
 
-def repeat_groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def repeat_groups(docs: DataFrame, limit: int = LIMIT) -> tuple[DataFrame, DataFrame]:
     """(classes with their repeats, occurrences of classes) of (doc_id, h, text); joined on core, s1, s2, they are all
     maximal repeat groups with all their occurrences."""
     all_segments = store(segments(docs), "segments")
@@ -263,16 +263,16 @@ def repeat_groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     same = classes.where("n > 1").select(
         F.concat(F.lit("="), F.hex("core"), F.hex("s1"), F.hex("s2")).alias("repeat"), "core", "s1", "s2",
         F.col("at.rel").alias("before"), (F.col("at.size") - F.col("at.rel")).alias("after"))
-    return class_repeats(data).unionByName(same), found
+    return class_repeats(data, limit).unionByName(same), found
 
 
 def _same_document() -> Column:
     return F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("d.h") == F.col("w.h"))
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
+def repeated_spans(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
     """doc_id, h and `spans` (begin, end): the bytes of each document that a repeated string of SIZE bytes covers."""
-    repeats, occurrences = repeat_groups(docs)
+    repeats, occurrences = repeat_groups(docs, limit)
     # All windows of a segment hold its anchor, so what its repeats cover is one run of bytes.
     covered = store(repeats.groupBy("core", "s1", "s2").agg(
         F.max("before").alias("before"), F.max("after").alias("after")), "covered")
@@ -282,7 +282,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         .groupBy("doc_id", "h").agg(F.collect_list("span").alias("spans"))
 
 
-def remove_repeats(docs: DataFrame, kept: bool = True) -> DataFrame:
+def remove_repeats(docs: DataFrame, kept: bool = True, limit: int = LIMIT) -> DataFrame:
     """One row for each row of docs: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if wanted, the `kept` bytes.
 
     A byte goes if a string of SIZE bytes that covers it also begins anywhere else, in this document or another. A
@@ -290,7 +290,7 @@ def remove_repeats(docs: DataFrame, kept: bool = True) -> DataFrame:
     """
     common.ship(docs.sparkSession)
     rows = common.texts(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("h"), "text")
-    spans = repeated_spans(rows)
+    spans = repeated_spans(rows, limit)
     joined = rows.alias("d").join(spans.alias("w"), _same_document(), "left").select("d.doc_id", "d.text", "w.spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
