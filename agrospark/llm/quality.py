@@ -13,8 +13,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from agrospark.llm import common
+from agrospark.sources.files import store
 
 WINDOW = 5
+BROADCAST_LANGUAGES = 10_000  # rows of some hundred bytes
 # Common words by language; the bins of the word histogram.
 COMMON = {
     "en": "the of and to in is that for it as with was on are by be at from this or",
@@ -22,8 +24,8 @@ COMMON = {
     "fr": "de la le et les des en un du une que est pour qui dans par sur au plus avec",
     "es": "de la que el en y a los se del las un por con no una su para es al",
 }
-# Characters by class; what is in none of them is a letter outside A-Z or another sign.
-CLASSES = {"lower": "[a-z]+", "upper": "[A-Z]+", "digit": "[0-9]+", "blank": rf"[{common.BREAKS}]+",
+# Characters by class; what is in none of them is a small letter, a letter outside A-Z or another sign.
+CLASSES = {"upper": "[A-Z]+", "digit": "[0-9]+", "blank": rf"[{common.BREAKS}]+",
            "stop": "[.,;:!?'\"()-]+", "symbol": r"[#*$%&|<>@^~_=+/\\\[\]{}]+"}
 
 
@@ -67,7 +69,7 @@ def measured(docs: DataFrame) -> DataFrame:
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),
         F.coalesce(covered, F.lit(0)).cast("bigint").alias("n_repeat_words"),
         total.alias("n_chars"), F.array(*shares).alias("classes"),
-        F.transform(bins, lambda b: F.size(F.filter("known", lambda w: w == b))).alias("common"))
+        F.transform(bins, lambda b: F.size("known") - F.size(F.array_remove("known", b))).alias("common"))
     rest = lambda whole, parts: F.concat(
         F.col(parts), F.array(F.col(whole).cast("int") - F.aggregate(parts, F.lit(0), lambda a, x: a + x)))
     return d.withColumn("classes", rest("n_chars", "classes")).withColumn("common", rest("n_words", "common"))
@@ -104,7 +106,9 @@ def judged(docs: DataFrame, max_class: float = 0.28, max_common: float = 0.5, mi
     of five that it holds twice. A null or empty text has no words and fails. One that passes is kept unless it is long enough
     to be compared and further than the limit from its language.
     """
-    ref = references(docs)
+    ref = store(references(docs), "language-references")
+    if ref.count() <= BROADCAST_LANGUAGES:  # else documents meet their language's row by a join on it
+        ref = F.broadcast(ref)
     m = measured(docs)
     j = m.join(ref, m["lang"].eqNullSafe(ref["ref_lang"]), "left")
     n = F.col("n_words")
