@@ -39,14 +39,18 @@ class Transducer:
 
     def __init__(self, vocab: dict[str, int], merges: Iterable[tuple[str, str]], suffix: str = ""):
         self.vocab, self.suffix = vocab, suffix
-        self.ranks = {tuple(pair): rank for rank, pair in enumerate(merges)}
+        self.ranks = {pair: rank for rank, pair in enumerate(merges)}
         self.names = {i: t for t, i in vocab.items()}
-        symbols = {t: self._symbols(t) for t in vocab}
-        #: How far the merge list can look ahead: the length of its longest token that it can make.
-        self.lookahead = max((len(s) for s in symbols.values()), default=1)
+        # How a token is made: the rank of its merge (-1 for a symbol) and the parts.
+        self.order = dict.fromkeys(self.names, -1)
+        self.left, self.right, self.joins = {}, {}, {}
+        for (a, b), rank in self.ranks.items():
+            token = vocab[a + b]
+            self.order[token], self.left[token], self.right[token] = rank, vocab[a], vocab[b]
+            self.joins[vocab[a], vocab[b]] = rank
+        #: How far the merge list can look ahead: the length of its longest token.
+        self.lookahead = max((len(self._symbols(t)) for t in vocab), default=1)
         self._whole: dict[int, bool] = {}
-        self._pairs: dict[tuple[int, int], bool] = {}
-        self.pair_limit = 1_000_000
 
     def _symbols(self, token: str) -> list[str]:
         if self.suffix and token.endswith(self.suffix):
@@ -55,7 +59,7 @@ class Transducer:
         return list(token)
 
     def merged(self, symbols: list[str]) -> list[str]:
-        """Merging in rank order, leftmost first; used on at most two tokens' symbols."""
+        """Merging in rank order, leftmost first; used on a token's own symbols."""
         parts, ranks = list(symbols), self.ranks
         while len(parts) > 1:
             best = min((ranks.get(pair, len(ranks)), i) for i, pair in enumerate(zip(parts, parts[1:])))
@@ -72,15 +76,22 @@ class Transducer:
         return self._whole[token]
 
     def apart(self, left: int, right: int) -> bool:
-        """Whether merging leaves the two tokens side by side."""
-        known = self._pairs.get((left, right))
-        if known is None:
-            a, b = self.names[left], self.names[right]
-            known = self.merged(self._symbols(a) + self._symbols(b)) == [a, b]
-            if len(self._pairs) >= self.pair_limit:
-                self._pairs.clear()
-            self._pairs[left, right] = known
-        return known
+        """Whether merging leaves the two tokens side by side.
+
+        The merges that made them are undone, the later one first. The parts that then meet at the border must have
+        no merge of their own that comes before the one undone; of equal ones, the one further left comes first.
+        """
+        order, limit = self.order, len(self.ranks)
+        while True:
+            if self.joins.get((left, right), limit) < limit:
+                return False
+            made, after = order[left], order[right]
+            if made > after:
+                limit, left = made, self.right[left]
+            elif after >= 0:
+                limit, right = after + 1, self.left[right]
+            else:
+                return True
 
     def __call__(self, symbols: Iterable[str]) -> Iterator[int]:
         vocab, reach = self.vocab, self.lookahead
@@ -92,15 +103,14 @@ class Transducer:
             text += symbol
             n = len(text)
             tail = self.suffix if ahead is None else ""
-            for size in range(min(reach, n), 0, -1):
-                token = vocab.get(text[n - size:] + tail)
-                if token is None or not self.whole(token):
-                    continue
-                before = last[n - size]
-                if before == -1 or self.apart(before, token):
-                    last.append(token)
-                    back.append(n - size)
-                    break
+            for start in range(max(n - reach, 0), n):
+                token = vocab.get(text[start:] + tail)
+                if token is not None and self.whole(token):
+                    before = last[start]
+                    if before == -1 or self.apart(before, token):
+                        last.append(token)
+                        back.append(start)
+                        break
             else:
                 raise ValueError(f"the vocabulary has no token for {symbol!r}")
             if ahead is not None and n % (2 * reach) == 0:
