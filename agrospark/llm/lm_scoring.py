@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from agrospark.llm import common
 from agrospark.sources.files import store
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 6 << 20
 END = np.uint64(xxhash.xxh3_64_intdigest(b"\n"))  # no word contains a line feed
 STEPS = 4  # cells per power of two, in which the EM's probabilities are gathered
 NONE = -(1 << 20)  # the cell of probability 0
