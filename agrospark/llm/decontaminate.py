@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from agrospark.llm import common
+from agrospark.sources.files import store
 
 # Places of a span of eleven tokens that a seed takes.
 MASKS = ("11011000011", "10110101100", "11100010110")
@@ -44,19 +45,23 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, window: int = 16, percent: i
     items = benchmark.select("item_id", tokens(F.col("text")).alias("tokens")).where(F.size("tokens") >= least) \
         .dropDuplicates(["item_id", "tokens"])
     known = seeds(items, "item_id", "tokens").select(
-        "seed", "item_id", F.xxhash64("tokens").alias("item"), F.col("place").alias("item_place"), F.size("tokens").alias("length")).distinct()
+        "seed", "item_id", F.xxhash64("tokens").alias("item"), F.col("place").alias("item_place"),
+        F.size("tokens").alias("length")).distinct()
     if known.count() <= BROADCAST_SEEDS:
         known = F.broadcast(known)
     rows = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"), tokens(F.col("text")).alias("tokens"))
-    shift = F.col("place") - F.col("item_place")
-    # The document's tokens where the item would lie; what is outside the text is null, equal to nothing.
-    hits = seeds(rows, "doc_id", "h", "tokens").join(known, "seed").select(
-        "doc_id", "h", "item_id", "item", shift.alias("shift"),
-        F.slice("tokens", F.greatest(shift, F.lit(0)) + 1, F.col("length") + F.least(shift, F.lit(0))).alias("there"))
-    aligned = hits.groupBy("doc_id", "h", "item_id", "item", "shift").agg(F.first("there").alias("there"))
+    # Only places and seeds go into the join; the tokens of the few documents with a hit are fetched afterwards.
+    hits = store(seeds(rows, "doc_id", "h").join(known, "seed").select(
+        "doc_id", "h", "item_id", "item", "length", (F.col("place") - F.col("item_place")).alias("shift")).distinct(), "seed-hits")
+    d, w = rows.alias("d"), hits.alias("w")
+    shift = F.col("w.shift")
     own = items.select("item_id", F.xxhash64("tokens").alias("item"), "tokens")
-    same = F.zip_with(F.slice("tokens", F.least(F.greatest(-F.col("shift"), F.lit(0)) + 1, F.size("tokens")), F.size("tokens")),
-                      "there", lambda a, b: F.coalesce(a == b, F.lit(False)).cast("int"))
+    aligned = d.join(w, F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("d.h") == F.col("w.h"))).select(
+        "w.doc_id", "w.h", "w.item_id", "w.item", "w.shift",
+        F.slice("d.tokens", F.greatest(shift, F.lit(0)) + 1, F.col("w.length") + F.least(shift, F.lit(0))).alias("there"))
+    # Both sides from the first token that they may have in common, as far as the document goes.
+    mine = F.slice("tokens", F.greatest(-F.col("shift"), F.lit(0)) + 1, F.size("there"))
+    same = F.zip_with(mine, "there", lambda a, b: (a == b).cast("int"))
     compared = aligned.join(own, ["item_id", "item"]).select(
         "doc_id", "h", "item_id", "shift", same.alias("same"), F.least(F.size("tokens"), F.lit(window)).alias("size"))
     starts = F.when(F.size("same") >= F.col("size"), F.sequence(F.lit(0), F.size("same") - F.col("size"))) \
