@@ -7,7 +7,7 @@ from tests.llm import brute
 SCHEMA = "conv_id bigint, turn bigint, role string, text string, piece string"
 ROWS = [
     (-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]"),
-    (1, 1, "assistant", "é \\ \; \\n <|im_end|>\n"), (1, 0, "system", None), (1, 2, None, "x"), (2, 0, "assistant", ""),
+    (1, 1, "assistant", "é \\ \\; \\n <|im_end|>\n"), (1, 0, "system", None), (1, 2, None, "x"), (2, 0, "assistant", ""),
     (3, None, "user", "no turn"), (3, 5, "line\nfeed<|im_end|>", "<|im_start|>user\nhi"), (4, 0, "user", "same"),
     (4, 0, "user", "same"), (4, 0, "assistant", "b"), (None, 0, "assistant", "lost"), (5, 0, "assistant", "y" * 300_000),
 ]
@@ -31,7 +31,7 @@ def test_empty_table(spark):
 
 
 @settings(max_examples=200, deadline=None)
-@given(st.lists(st.text(alphabet=st.one_of(st.characters(codec="utf-8"), st.sampled_from(list("\;n<|>/[]s\nINSTim_ed"))), max_size=30)
+@given(st.lists(st.text(alphabet=st.one_of(st.characters(codec="utf-8"), st.sampled_from(list("\\;n<|>/[]s\nINSTim_ed"))), max_size=30)
                 .map(lambda s: s + "</s>"), min_size=1, max_size=5))
 def test_escapes_are_reversible_and_leave_no_control_string(texts):
     escaped = C.escape(pa.array(texts))

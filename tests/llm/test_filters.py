@@ -121,7 +121,7 @@ def substituted(text, places):
 
 def test_passages_with_substitutions_are_found(spark, documents):
     item = " ".join(prose(600, 40).split())
-    rows = [(1, prose(1, 80) + " " + item), (2, substituted(item, {3, 9, 17, 26, 33})), (3, prose(2, 50) + " " + " ".join(item.split()[10:28])),
+    rows = [(1, prose(1, 80) + " " + item), (2, substituted(item, {3, 9, 17, 26, 33})), (3, prose(602, 50) + " " + " ".join(item.split()[10:28])),
             (4, prose(3, 200)), (5, None), (6, ""), (7, item.upper().replace(" ", ", ")), (8, " ".join(item.split()[:8])),
             (9, substituted(item, set(range(0, 40, 2)))), (None, item), (1, "other text of the same id")]
     items = [(10, item), (11, "too short"), (12, None), (13, PASSAGE), (10, item)]

@@ -9,7 +9,9 @@ from agrospark.llm import lm_scoring as L
 from tests.llm import brute
 from tests.llm.texts import ROWS
 
-HELD = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+
+def held_out():
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
 
 
 def tokens(text):
@@ -39,7 +41,7 @@ def plain(rows, weights):
 
 
 def check(spark, documents, rows):
-    known = L.known_counts(documents(rows), HELD)
+    known = L.known_counts(documents(rows), held_out())
     model = L.learn(known)
     got = sorted(map(tuple, L.score(known, model).collect()), key=lambda r: (r[0] is not None, r[0] or 0))
     want = sorted(plain(rows, model.weights), key=lambda r: (r[0] is not None, r[0] or 0))
@@ -61,7 +63,7 @@ def test_nothing_to_learn_from(spark, documents):
     only_held = [(d, "a b") for d in range(60) if zlib.crc32(str(d).encode()) % 7 == 2]
     _, got = check(spark, documents, only_held)
     assert all(g[5:] == (0.0, 0.0) for g in got)
-    assert L.score_documents(documents([]), HELD).count() == 0
+    assert L.score_documents(documents([]), held_out()).count() == 0
 
 
 def test_the_mixture_is_a_distribution_and_beats_the_base(spark, documents):

@@ -27,7 +27,7 @@ def test_encoding_equals_the_library(spark, documents, library):
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.text(alphabet=st.one_of(st.characters(codec="utf-8"), st.sampled_from(list("aeintrs'<|>\u0301 Σς"))), max_size=40))
+@given(st.text(alphabet=st.one_of(st.characters(exclude_categories=("Cn", "Co", "Cs")), st.sampled_from(list("aeintrs'<|>\u0301 Σς"))), max_size=40))
 def test_any_text(library, ours, text):
     ids = list(ours.encode(text))
     assert ids == library.encode(text, add_special_tokens=False).ids
@@ -52,7 +52,7 @@ def test_long_words_are_emitted_before_they_end(library, ours, word):
 
 def test_decoding_bytes_as_they_come(ours):
     ids = list(ours.encode("Hello wörld \U0001f600!"))
-    assert "".join(ours.decoded(ids, readable=True)) == "hello wörld \U0001f600 ! "
+    assert "".join(ours.decoded(ids, readable=True)) == "hello wörld \U0001f600! "
     assert list(ours.decoded([], readable=True)) == [""]
 
 
