@@ -3,8 +3,8 @@
 1. A document is the set of its word shingles. `BANDS * ROWS` universal hashes give its signature, one minimum each.
    Documents with equal sets are one class from here on.
 2. Each band of the signature is a bucket key. The members of a bucket are compared with its least member first, by
-   signature, then on the full sets, for each member the most similar candidate before others; what is linked is
-   contracted to components, and pairs inside a component are not compared again.
+   signature, then on the full sets, for each member the most similar candidates before all others; what is linked
+   is contracted to components, and pairs inside a component are not compared again.
 3. Buckets that still hold several components are not done. In a small one, members of different components are
    compared with each other. A large one is split by the later bands: two documents that are similar enough agree on
    many bands, so they meet again in a part; then step 2 is repeated on the parts.
@@ -22,13 +22,14 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from agrospark.llm import common
 from agrospark.sources.files import store
 
 BANDS, ROWS = 28, 5
 SMALL = 50  # members of a bucket whose pairs may be formed
+FIRST = (1, 6, None)  # candidates of a document that are compared before the components are looked at again; then all
 MARGIN = 0.15  # how far a signature's estimate may be below the similarity; over four standard deviations
 
 SIGNATURE = "doc_id bigint, n_shingles bigint, s1 bigint, s2 bigint, sketch binary, bands array<bigint>"
@@ -200,15 +201,18 @@ class _Linker:
             return
         nodes = todo.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         sets = store(_sets(self.docs, nodes, self.size), "shingle-sets")
-        while True:
-            best = todo.groupBy("b").agg(F.max(F.struct("share", (-F.col("a")).alias("a"))).alias("x")) \
-                .select((-F.col("x.a")).alias("a"), "b")
-            best = store(best, "best-candidates")
-            links = _linked(best, sets, self.percent)
-            if self.found is not None:
-                links = links.unionByName(self.found.select(F.col("component").alias("a"), F.col("node").alias("b")))
-            self.found = connected_components(links)
-            todo = store(self.between(todo.join(best, ["a", "b"], "left_anti")), "candidates")
+        by_share = Window.partitionBy("b").orderBy(F.desc("share"), "a")
+        for most in FIRST:
+            ranked = store(todo.withColumn("rank", F.row_number().over(by_share)), "ranked-candidates")
+            chosen = ranked if most is None else ranked.where(F.col("rank") <= most)
+            links = store(_linked(chosen.select("a", "b"), sets, self.percent), "links")
+            if not links.isEmpty():
+                if self.found is not None:
+                    links = links.unionByName(self.found.select(F.col("component").alias("a"), F.col("node").alias("b")))
+                self.found = connected_components(links)
+            if most is None:
+                return
+            todo = store(self.between(ranked.where(F.col("rank") > most).drop("rank")), "candidates")
             if todo.isEmpty():
                 return
 
