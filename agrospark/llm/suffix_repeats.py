@@ -243,8 +243,8 @@ def repeat_groups(docs: DataFrame, limit: int = LIMIT) -> tuple[DataFrame, DataF
     """(classes with their repeats, occurrences of classes) of (doc_id, h, text); joined on core, s1, s2, they are all
     maximal repeat groups with all their occurrences."""
     all_segments = store(segments(docs), "segments")
-    cores = all_segments.groupBy("core").agg(F.count("*").alias("n"), F.min("c1").alias("a"), F.max("c1").alias("b")) \
-        .where("n > 1").select("core", (F.col("a") != F.col("b")).alias("mixed"))
+    cores = store(all_segments.groupBy("core").agg(F.count("*").alias("n"), F.min("c1").alias("a"), F.max("c1").alias("b"))
+                  .where("n > 1").select("core", (F.col("a") != F.col("b")).alias("mixed")), "repeated-cores")
     found = store(all_segments.join(cores, "core").withColumnsRenamed({"c1": "s1", "c2": "s2"}), "repeat-segments")
     place = F.struct("doc_id", "h", "start", "size", "rel")
     classes = store(found.groupBy("core", "s1", "s2", "mixed").agg(F.count("*").alias("n"), F.min(place).alias("at")),
