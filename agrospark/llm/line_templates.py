@@ -1,9 +1,11 @@
 """Line dedup by a log-template tree: lines are parsed to templates, and templates that recur across documents go.
 
 The tree has a fixed depth: the number of tokens, then the first `depth` tokens, where a token with a digit is a
-variable field already. In a leaf, a token is fixed at its place if it stands there in `min_docs` lines and documents;
-all others are variable. A line's template is its leaf and its fixed tokens; it recurs if it is found in `min_docs`
-documents and enough of it is fixed. All lines of a recurring template are dropped but those of the first document.
+variable field already. In a leaf, a word is fixed at its place if it stands there in `min_docs` lines and in the
+share `agreed` of the leaf's lines, or if its whole line is found in `min_docs` documents; all other tokens are
+variable. The share keeps prose apart: its lines may begin alike and hold the same small words, but never agree. A
+line's template is its leaf and its fixed words; it recurs if it is found in `min_docs` documents and enough of it is
+fixed, so rows of numbers never do. All lines of a recurring template are dropped but those of the first document.
 
 Lines with the same tokens are counted once with the number of their documents before tokens are looked at, so a line
 that a third of all documents share is one row. Texts are told apart by their hash: exact copies count as one
@@ -12,7 +14,7 @@ document, and are treated alike.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from agrospark.llm import common
 from agrospark.sources.files import store
@@ -20,32 +22,58 @@ from agrospark.sources.files import store
 FIELD = "<*>"
 
 
+def _text(text: Column) -> Column:
+    return F.coalesce(text, F.lit(""))
+
+
+def prepared_lines(text: Column) -> Column:
+    """The lines of a text, tokens with a digit as variable fields, one blank between tokens.
+
+    The whole text is prepared at once, and only where there is something to do.
+    """
+    field = f"(?<![^{common.BREAKS}])[^{common.BREAKS}0-9]*+[0-9][^{common.BREAKS}]*+"
+    masked = F.when(text.rlike("[0-9]"), F.regexp_replace(text, field, FIELD)).otherwise(text)
+    return F.split(F.regexp_replace(masked, r"[\x09\x0B-\x0D][\x20\x09\x0B-\x0D]*|\x20[\x20\x09\x0B-\x0D]+", " "), "\n", -1)
+
+
 def parsed_lines(docs: DataFrame, depth: int, min_tokens: int) -> DataFrame:
-    """doc_id, h (the text's hash), line (number), tokens with variable fields, their hash and their leaf."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    lines = docs.select(F.col("doc_id"), F.xxhash64(text).alias("h"), F.posexplode(F.split(text, "\n", -1)).alias("line", "said"))
-    tokens = F.transform(common.words(F.col("said")), lambda w: F.when(w.rlike("[0-9]"), FIELD).otherwise(w))
-    return lines.select("doc_id", "h", "line", tokens.alias("tokens")).where(F.size("tokens") >= min_tokens).select(
-        "*", F.xxhash64("tokens").alias("same"),
-        F.xxhash64(F.size("tokens"), F.slice("tokens", 1, depth)).alias("leaf"))
+    """doc_id, h (the text's hash), line (number), the hash of its tokens, and its leaf."""
+    text = _text(F.col("text"))
+    lines = docs.select("doc_id", F.xxhash64(text).alias("h"), F.posexplode(prepared_lines(text)).alias("line", "said"))
+    lines = lines.withColumn("said", F.trim("said")).withColumn(
+        "size", F.length("said") - F.length(F.replace("said", F.lit(" "), F.lit(""))) + 1)
+    return lines.where((F.col("said") != "") & (F.col("size") >= min_tokens)).select(
+        "doc_id", "h", "line", F.xxhash64("said").alias("same"),
+        F.xxhash64("size", F.substring_index("said", " ", depth)).alias("leaf"))
+
+
+def tokens_of(docs: DataFrame, kinds: DataFrame) -> DataFrame:
+    """The tokens of each kind of line, read where it was found first. Texts are placed by their hash, at any size."""
+    cuts = kinds.groupBy("at.doc_id", "at.h").agg(F.collect_list(F.struct("same", "at.line")).alias("cuts"))
+    text = _text(F.col("text"))
+    d, w = docs.select("doc_id", F.xxhash64(text).alias("h"), "text").alias("d"), cuts.alias("w").hint("merge")
+    found = d.join(w, F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("d.h") == F.col("w.h")))
+    lines = found.select("w.cuts", prepared_lines(_text(F.col("d.text"))).alias("lines"))
+    each = lines.select("lines", F.explode("cuts").alias("cut"))
+    return each.select("cut.same", F.split(F.trim(F.get("lines", F.col("cut.line"))), " ").alias("tokens")).dropDuplicates(["same"])
 
 
-def recurring_lines(docs: DataFrame, min_docs: int, depth: int, min_tokens: int, min_fixed: float) -> DataFrame:
+def recurring_lines(docs: DataFrame, min_docs: int, depth: int, min_tokens: int, min_fixed: float, agreed: float) -> DataFrame:
     """(h, lines): the numbers of the lines that go, by text."""
-    parsed = parsed_lines(docs, depth, min_tokens)
-    lines = store(parsed.select("doc_id", "h", "line", "same", "leaf"), "lines")
+    lines = store(parsed_lines(docs, depth, min_tokens), "lines")
     # A line and its documents; the first of them, by doc_id, keeps its lines.
-    kinds = lines.groupBy("same", "leaf", "h").agg(F.min("doc_id").alias("doc_id")).groupBy("same", "leaf").agg(
-        F.count("*").alias("n"), F.min(F.struct("doc_id", "h")).alias("home"))
-    kinds = store(kinds, "line-kinds")
-    busy = kinds.groupBy("leaf").agg(F.sum("n").alias("all")).where(F.col("all") >= min_docs).select("leaf")
+    kinds = lines.groupBy("same", "leaf", "h").agg(F.min("doc_id").alias("doc_id"), F.min("line").alias("line")) \
+        .groupBy("same", "leaf").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "h", "line")).alias("at"))
+    kinds = store(kinds.withColumn("home", F.struct("at.doc_id", "at.h")), "line-kinds")
+    busy = kinds.groupBy("leaf").agg(F.sum("n").alias("all")).where(F.col("all") >= min_docs)
     kinds = store(kinds.join(busy, "leaf"), "busy-lines")
-    known = parsed.select("same", "tokens").join(kinds.select("same"), "same", "left_semi").dropDuplicates(["same"])
+    known = store(tokens_of(docs, kinds), "line-texts")
     placed = store(kinds.join(known, "same").select(
-        "same", "leaf", "n", "home", F.posexplode("tokens").alias("place", "token")), "line-tokens")
+        "same", "leaf", "n", "all", "home", F.posexplode("tokens").alias("place", "token")), "line-tokens")
     fixed = placed.groupBy("leaf", "place", "token").agg(F.sum("n").alias("seen")).where(F.col("seen") >= min_docs)
     marked = placed.join(store(fixed, "fixed-tokens"), ["leaf", "place", "token"], "left")
-    stands = F.col("seen").isNotNull() & (F.col("token") != FIELD)
+    stands = F.col("token").rlike(r"\p{L}") & (
+        (F.col("n") >= min_docs) | F.coalesce(F.col("seen") >= agreed * F.col("all"), F.lit(False)))
     templates = marked.groupBy("same", "leaf", "n", "home").agg(
         F.xxhash64(F.sort_array(F.collect_list(F.when(stands, F.struct("place", "token"))))).alias("template"),
         F.avg(stands.cast("int")).alias("share"))
@@ -57,18 +85,19 @@ def recurring_lines(docs: DataFrame, min_docs: int, depth: int, min_tokens: int,
     return store(dropped.groupBy("h").agg(F.collect_set("line").alias("lines")), "dropped-lines")
 
 
-def drop_recurring_lines(docs: DataFrame, min_docs: int = 5, depth: int = 2, min_tokens: int = 3,
-                         min_fixed: float = 0.6) -> DataFrame:
+def drop_recurring_lines(docs: DataFrame, min_docs: int = 5, depth: int = 3, min_tokens: int = 3,
+                         min_fixed: float = 0.6, agreed: float = 0.5) -> DataFrame:
     """docs with `text` without the lines of recurring templates, and n_dropped; n_chars follows if docs has it.
 
     Every row stays, also one that loses all its lines (it has an empty text then). Lines with fewer tokens than
     `min_tokens` are never dropped. A null text stays null. A row without doc_id comes first among the documents.
     Other columns are kept; a column n_dropped that docs has already is replaced.
     """
-    gone = recurring_lines(docs, min_docs, depth, min_tokens, min_fixed).select(F.col("h").alias("_h"), F.col("lines").alias("_lines"))
+    gone = recurring_lines(docs, min_docs, depth, min_tokens, min_fixed, agreed) \
+        .select(F.col("h").alias("_h"), F.col("lines").alias("_lines"))
     columns = [c for c in docs.columns if c != "n_dropped"]
     rows = docs.select(F.struct(*columns).alias("row"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("_h"))
-    rows = rows.join(gone, "_h", "left")
+    rows = rows.join(gone.hint("merge"), "_h", "left")
     lines = F.split(F.col("row.text"), "\n", -1)
     left = F.array_except(F.sequence(F.lit(0), F.size("said") - 1), "_lines")
     rows = rows.withColumn("said", F.when(F.col("_lines").isNotNull(), lines))
