@@ -7,11 +7,12 @@ counts: each training document in turn is taken out of all counts and its tokens
 
 How it runs: documents are placed in blocks of bounded size. A block counts its own words and pairs and sends the
 sorted keys, packed, to the task that owns a range of keys; this adds the blocks' counts and returns to every block
-those that other blocks have changed. So a key crosses the network once per block, however often it occurs, and the
-text once. Each block then knows the full counts of its tokens, and writes them per document; the weights and the
-scores are computed from that table.
+what the others have counted, in the same order. So a key crosses the network once per block, however often it
+occurs, and the text once. Each block then knows the full counts of its tokens, and writes them per document; the
+weights and the scores are computed from that table.
 
-Words and pairs are known by 64-bit hashes from there on.
+Words are known by 64-bit hashes from there on; pairs by hashes with `SPARE` bits more than it takes to number the
+corpus's bytes, so that at any size about one pair in a million shares its count with another.
 """
 
 from __future__ import annotations
@@ -24,18 +25,20 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from agrospark.llm import common
-from agrospark.sources.files import store
+from agrospark.sources.files import scratch_dir
 
 BLOCK_BYTES = 6 << 20
 END = np.uint64(xxhash.xxh3_64_intdigest(b"\n"))  # no word contains a line feed
+SPARE = 20
 STEPS = 4  # cells per power of two, in which the EM's probabilities are gathered
 NONE = -(1 << 20)  # the cell of probability 0
 
 COUNTED = "bucket int, block int, size int, keys binary, counts binary"
-CHANGED = "block int, size int, keys binary, counts binary, tokens bigint, distinct bigint"
+OTHERS = "block int, bucket int, size int, counts binary, tokens bigint, distinct bigint"
 KNOWN = ("doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base double, words binary, pairs binary, "
          "tokens bigint, distinct bigint, cells binary, sums binary")
 
@@ -49,13 +52,19 @@ def unpacked(data: bytes) -> np.ndarray:
     return np.frombuffer(data, np.uint8).reshape(8, -1).T.copy().view("<u8").reshape(-1)
 
 
-def pack_keys(keys: np.ndarray) -> bytes:
-    """Ascending keys as differences."""
-    return packed(np.diff(keys, prepend=np.uint64(0)))
+def sent(values: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(packed(values))
 
 
-def unpack_keys(data: bytes) -> np.ndarray:
-    return np.cumsum(unpacked(data), dtype=np.uint64)
+def received(data: bytes) -> np.ndarray:
+    return unpacked(zstandard.ZstdDecompressor().decompress(data))
+
+
+def ranges(keys: np.ndarray, key_bits: int, bits: int) -> list[tuple[int, int, int]]:
+    """(owner, first, end) of ascending keys, by their highest bits."""
+    owner = (keys >> np.uint64(key_bits - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
+    first = np.flatnonzero(np.diff(owner, prepend=-1))
+    return list(zip(owner[first].tolist(), first.tolist(), [*first[1:].tolist(), len(keys)]))
 
 
 def pair_keys(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -77,7 +86,7 @@ class Block:
     trained: np.ndarray  # per token, whether its document is learned from
 
     @classmethod
-    def of(cls, table: pa.Table) -> Block:
+    def of(cls, table: pa.Table, pair_bits: int) -> Block:
         text = pc.ascii_lower(table["text"].combine_chunks())
         bounds, codes, distinct = common.split_words(text)
         hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, distinct.cast(pa.large_binary()).to_pylist()),
@@ -87,7 +96,7 @@ class Block:
         bounds = bounds + np.arange(len(bounds))
         before = np.concatenate((place[-1:], tokens[:-1])) if len(tokens) else tokens
         number, pair_of = np.unique(before * len(keys) + tokens, return_inverse=True)
-        found = pair_keys(keys[number // len(keys)], keys[number % len(keys)])
+        found = pair_keys(keys[number // len(keys)], keys[number % len(keys)]) >> np.uint64(64 - pair_bits)
         pairs, rank = np.unique(found, return_inverse=True)
         trained = np.repeat(~np.asarray(table["held_out"].combine_chunks()), np.diff(bounds))
         return cls(keys, tokens, pairs, rank[pair_of], bounds, trained)
@@ -112,45 +121,43 @@ def _batch(names: str, columns: list[list]) -> pa.Table:
     return pa.table([pa.array(c, kinds[k]) for c, (_, k) in zip(columns, fields)], names=[n for n, _ in fields])
 
 
-def _count(bits: int):
-    """A block's keys with its counts, cut by ranges of keys."""
+def _count(bits: int, pair_bits: int):
+    """A block's keys with its counts, cut by ranges of keys; ascending keys go as differences."""
     def run(table: pa.Table) -> pa.Table:
-        block, number = Block.of(table), table["block"][0].as_py()
+        block, number = Block.of(table, pair_bits), table["block"][0].as_py()
         rows = []
-        for size, keys, counts in zip((1, 2), (block.keys, block.pairs), block.counts()):
-            owner = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
-            first = np.flatnonzero(np.diff(owner, prepend=-1))
-            for a, b in zip(first.tolist(), [*first[1:].tolist(), len(keys)]):
-                rows.append((int(owner[a]), number, size, pack_keys(keys[a:b]), packed(counts[a:b])))
+        for size, keys, counts, key_bits in zip((1, 2), (block.keys, block.pairs), block.counts(), (64, pair_bits)):
+            for owner, a, b in ranges(keys, key_bits, bits):
+                rows.append((owner, number, size, sent(np.diff(keys[a:b], prepend=np.uint64(0))), sent(counts[a:b])))
         return _batch(COUNTED, [list(c) for c in zip(*rows)])
 
     return run
 
 
 def _merge(table: pa.Table) -> pa.Table:
-    """Adds the counts of a range of keys; per block, the keys whose count is not its own, and the totals."""
+    """Adds the counts of a range of keys; per block, what others have counted of its keys, in their order."""
     rows, block, size = [], table["block"].to_pylist(), table["size"].to_pylist()
+    bucket = table["bucket"][0].as_py()
     key_data, count_data = table["keys"].to_pylist(), table["counts"].to_pylist()
     for n in (1, 2):
         mine = [i for i, s in enumerate(size) if s == n]
         if not mine:
             continue
-        parts = [unpack_keys(key_data[i]) for i in mine]
+        parts = [np.cumsum(received(key_data[i]), dtype=np.uint64) for i in mine]
         keys = np.concatenate(parts)
-        counts = np.concatenate([unpacked(count_data[i]) for i in mine])
+        counts = np.concatenate([received(count_data[i]) for i in mine])
         upto = np.concatenate(([0], np.cumsum([len(p) for p in parts])))
         distinct, inverse = np.unique(keys, return_inverse=True)
         # Whole numbers: bincount would add them as doubles.
         total = np.zeros(len(distinct), dtype=np.uint64)
         np.add.at(total, inverse, counts)
-        changed = total[inverse] != counts
+        others = total[inverse] - counts
         if n == 1:
-            rows.append((-1, 0, b"", b"", int(total.sum()), int((total > 0).sum())))
+            rows.append((-1, bucket, 0, b"", int(total.sum()), int((total > 0).sum())))
         for i, a, b in zip(mine, upto[:-1].tolist(), upto[1:].tolist()):
-            told = np.flatnonzero(changed[a:b]) + a
-            if len(told):
-                rows.append((block[i], n, pack_keys(keys[told]), packed(total[inverse[told]]), 0, 0))
-    return _batch(CHANGED, [list(c) for c in zip(*rows)] or [[] for _ in CHANGED.split(", ")])
+            if others[a:b].any():
+                rows.append((block[i], bucket, n, sent(others[a:b]), 0, 0))
+    return _batch(OTHERS, [list(c) for c in zip(*rows)] or [[] for _ in OTHERS.split(", ")])
 
 
 def _log_cell(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -164,19 +171,19 @@ def frequency_bucket(counts: np.ndarray) -> np.ndarray:
     return np.where(counts > 0, np.floor(np.log2(np.maximum(counts, 1))) + 1, 0).astype(np.int64)
 
 
-def _know(docs: pa.Table, changed: pa.Table) -> pa.Table:
+def _know(docs: pa.Table, others: pa.Table, bits: int, pair_bits: int) -> pa.Table:
     """Every document's tokens with their counts in the whole corpus, and the block's held-out cells."""
     if not docs.num_rows:  # what is addressed to no block: sums over a range of keys
-        none = [None] * changed.num_rows
+        none = [None] * others.num_rows
         return _batch(KNOWN, [none, none, none, none, none, none, none,
-                              changed["tokens"].to_pylist(), changed["distinct"].to_pylist(), none, none])
-    block = Block.of(docs)
+                              others["tokens"].to_pylist(), others["distinct"].to_pylist(), none, none])
+    block = Block.of(docs, pair_bits)
     totals = block.counts()
-    size = np.asarray(changed["size"].to_pylist())
-    for n, keys, total in zip((1, 2), (block.keys, block.pairs), totals):
-        for i in np.flatnonzero(size == n).tolist():
-            told = unpack_keys(changed["keys"][i].as_py())
-            total[np.searchsorted(keys, told)] = unpacked(changed["counts"][i].as_py())
+    told = {key: i for i, key in enumerate(zip(others["size"].to_pylist(), others["bucket"].to_pylist()))}
+    for n, keys, total, key_bits in zip((1, 2), (block.keys, block.pairs), totals, (64, pair_bits)):
+        for owner, a, b in ranges(keys, key_bits, bits):
+            if (n, owner) in told:
+                total[a:b] += received(others["counts"][told[n, owner]].as_py())
     word, pair = totals[0][block.tokens], totals[1][block.pair_of]
     context = np.empty_like(word)
     context[1:] = word[:-1]
@@ -268,15 +275,22 @@ def known_counts(docs: DataFrame, held_out: Column) -> DataFrame:
     common.ship(docs.sparkSession)
     rows = common.texts(docs).select(
         F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.coalesce(held_out, F.lit(False)).alias("held_out"))
-    blocks = max(1, math.ceil(common.total_bytes(docs) / BLOCK_BYTES))
-    bits = math.ceil(math.log2(blocks))
+    size = common.total_bytes(docs)
+    blocks = max(1, math.ceil(size / BLOCK_BYTES))
+    bits, pair_bits = math.ceil(math.log2(blocks)), min(64, size.bit_length() + SPARE)
     # By id and text, so that neither a missing id nor a text of many copies fills a block.
     placed = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text", F.length("text")), F.lit(blocks)).cast("int")) \
         .repartition(blocks, "block")
-    counted = placed.groupBy("block").applyInArrow(_count(bits), COUNTED)
-    changed = counted.repartition(1 << bits, "bucket").groupBy("bucket").applyInArrow(_merge, CHANGED)
-    known = placed.groupBy("block").cogroup(changed.repartition(blocks, "block").groupBy("block")).applyInArrow(_know, KNOWN)
-    return store(known, "token-counts")
+    counted = placed.groupBy("block").applyInArrow(_count(bits, pair_bits), COUNTED)
+    others = counted.repartition(1 << bits, "bucket").groupBy("bucket").applyInArrow(_merge, OTHERS)
+
+    def know(docs: pa.Table, others: pa.Table) -> pa.Table:
+        return _know(docs, others, bits, pair_bits)
+
+    known = placed.groupBy("block").cogroup(others.repartition(blocks, "block").groupBy("block")).applyInArrow(know, KNOWN)
+    path = scratch_dir(docs.sparkSession, "token-counts")
+    known.write.option("compression", "zstd").parquet(path)
+    return docs.sparkSession.read.schema(KNOWN).parquet(path)
 
 
 def learn(known: DataFrame) -> Model:
