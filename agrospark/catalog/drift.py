@@ -17,7 +17,7 @@ def sides(t: Tables):
 NUMERIC_SQL = """
 with v as (select ds = (select max(ds) from snapshots) as cur, unnest(['gdd', 'ndvi', 'precip']) as feature, unnest([gdd, ndvi, precip]) as value
   from snapshots where ds = (select max(ds) from snapshots) or ds in (select ds from (select distinct ds from snapshots) order by ds desc limit 31)),
- e as (select feature, list_transform(quantile_cont(value, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]), lambda x: round(x, 9)) as edges
+ e as (select feature, quantile_cont(value, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) as edges
   from v where not cur and value is not null group by feature),
  b as (select v.feature, len(list_filter(edges, lambda x: x <= value)) as bin, count(*) filter (not cur) as r, count(*) filter (cur) as c
   from v join e on e.feature = v.feature where value is not null group by 1, 2),
@@ -53,6 +53,22 @@ def _(t):
     return D.numeric_psi(*sides(t), NUMERIC)
 
 
+SMALL_SQL = """
+with v as (select event_id % 4 = 0 as cur, 1e-12::double * (event_id * 7919 % 1000 + case when event_id % 4 = 0 then 500 else 0 end) as value from events),
+ e as (select quantile_cont(value, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) as edges from v where not cur),
+ b as (select len(list_filter(edges, lambda x: x <= value)) as bin, count(*) filter (not cur) as r, count(*) filter (cur) as c from v, e group by 1),
+ s as (select case when r = 0 then 1e-6::double else r / sum(r) over () end as rs, case when c = 0 then 1e-6::double else c / sum(c) over () end as cs from b)
+select 'value' as feature, sum((cs - rs) * ln(cs / rs)) as psi from s"""
+
+
+@query("i2_psi_of_a_small_feature", "feature:s psi:f", SMALL_SQL)
+def _(t):
+    current = F.col("event_id") % 4 == 0
+    number = F.col("event_id") * 7919 % 1000 + F.when(current, 500).otherwise(0)
+    rows = t.events.select(current.alias("cur"), (F.lit(1e-12) * number).alias("value"))
+    return D.numeric_psi(rows.where(~F.col("cur")), rows.where("cur"), ["value"])
+
+
 @query("i2_bin_edges", "feature:s edge:f", """
 select feature, unnest(quantile_cont(value, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9])) as edge from (
  select unnest(['l_quantity', 'l_extendedprice', 'l_discount']) as feature, unnest([l_quantity, l_extendedprice, l_discount]) as value

@@ -46,6 +46,28 @@ def _(t):
     return X.plot_features(daily_of(t, stages), stages)
 
 
+def repeated_stages(t: Tables):
+    """Every plot's stages a second time, without dates: the full row must win."""
+    stages = stored_stages(t)
+    dates = [c for c, kind in stages.dtypes if kind == "date"]
+    return stages.unionByName(stages.withColumns({c: F.lit(None).cast("date") for c in dates}))
+
+
+@query("f1_repeated_stages", "plot_id:i date:d days_since_planting:i current_stage:s",
+       "select plot_id, date, days_since_planting, current_stage from daily", ("daily",))
+def _(t):
+    stages = repeated_stages(t)
+    return X.daily_features(t.weather, stages, stages)
+
+
+@query("f3_repeated_stages", "plot_id:i planting_date:d VT:d days_to_vt:i", """
+select plot_id, planting_date, "VT", "VT" - planting_date as days_to_vt from (select distinct plot_id from daily) d
+ left join (select plot_id as pid, planting_date, "VT" from stages) s on pid = plot_id""", ("daily", "stages"))
+def _(t):
+    stages = repeated_stages(t)
+    return X.plot_features(X.daily_features(t.weather, stages, stages), stages)
+
+
 @query("f2_totals_since_planting", "plot_id:i precip_total:f gdd_sum:f gdd_peak:f", """
 select plot_id, sum(precip_mm) as precip_total, sum(daily_gdd) as gdd_sum, max(cum) as gdd_peak from cumulative
 where date >= planting_date group by plot_id""", ("cumulative",))

@@ -27,8 +27,9 @@ def order_rows(t: Tables):
 
 def fitted(t: Tables, estimator, categories=()) -> tuple[PipelineModel, object]:
     rows = M.exact_split(order_rows(t), "o_orderkey")
-    flow = M.pipeline(estimator, NUMBERS, TARGET, categories)
-    return flow.fit(rows.where(~F.col("is_test"))), rows.where("is_test")
+    train = rows.where(~F.col("is_test"))
+    flow = M.pipeline(estimator, NUMBERS, TARGET, categories, M.bins_needed(train, categories))
+    return flow.fit(train), rows.where("is_test")
 
 
 def scored(t: Tables, estimator, categories=()):
@@ -139,7 +140,7 @@ def _(t):
     return M.newest_run(runs, "purch")
 
 
-VERSIONS = "select event_type as name, event_id as version, case event_id % 3 when 0 then 'Production' when 1 then 'Staging' else 'None' end as stage from events"
+VERSIONS = "select event_type as name, event_id as version, case event_id % 3 when 0 then 'Production' when 1 then 'Staging' else 'None' end as stage, event_id as run_id from events"
 
 
 def versions_of(t):
@@ -158,8 +159,14 @@ def _(t):
     return M.promote(v, "click", newest)
 
 
-@query("h13_register_version", "name:s version:i stage:s", f"""
-with v as ({VERSIONS}) select * from v union all select 'click', max(version) + 1, 'None' from v where name = 'click'""")
+@query("h13_register_first_version", "name:s version:i stage:s run_id:i", "select 'yield' as name, 1 as version, 'None' as stage, count(*) as run_id from events")
+def _(t):
+    runs = t.events.agg(F.count("*").alias("n")).scalar()
+    return M.register_version(versions_of(t).where(F.col("name").isNull()), "yield", runs)
+
+
+@query("h13_register_version", "name:s version:i stage:s run_id:i", f"""
+with v as ({VERSIONS}) select * from v union all select 'click', max(version) + 1, 'None', 7 from v where name = 'click'""")
 def _(t):
     return M.register_version(versions_of(t), "click", F.lit(7).cast("long"))
 

@@ -27,14 +27,15 @@ def _(t):
 
 @query("c3_unique_days", "plot_id:i date:d max_temp_c:f min_temp_c:f mean_temp_c:f precip_mm:f", """
 select plot_id, date, m.* from (select plot_id, date, max_temp_c, min_temp_c, mean_temp_c, precip_mm, row_number() over (
- partition by plot_id, date order by max_temp_c nulls first, min_temp_c nulls first, mean_temp_c nulls first, precip_mm nulls first) as rn
+ partition by plot_id, date order by max_temp_c nulls last, min_temp_c nulls last, mean_temp_c nulls last, precip_mm nulls last) as rn
  from raw_weather) m where rn = 1""".replace("plot_id, date, m.*", "m.*"), ("raw_weather",))
 def _(t):
     return Q.unique_days(t.raw_weather)
 
 
 @query("c4_weather_verdict", "null_max_temp_c:i null_min_temp_c:i null_precip_mm:i out_of_range:i duplicates:i passed:b",
-       f"select {NULLS}, {RANGE}, {DUPES}, false as passed from raw_weather", ("raw_weather",))
+       f"""select *, null_max_temp_c + null_min_temp_c + null_precip_mm + out_of_range + duplicates = 0 as passed
+ from (select {NULLS}, {RANGE}, {DUPES} from raw_weather)""", ("raw_weather",))
 def _(t):
     return Q.weather_verdict(t.raw_weather)
 

@@ -44,7 +44,7 @@ def _(t):
 @query("g3_join_null_safe", f"event_id:i {FEATURES}", """
 select e.event_id, f.precip_total, f.gdd_sum from (select event_id, nullif(user_id % 40, 0) as plot_id, date '1995-01-01' + (user_id % 30)::int as d from events) e
  left join (select k, planting_date, m[2] as precip_total, m[4] as gdd_sum from (select nullif(plot_id % 40, 0) as k, planting_date,
-  min((precip_total is not null, precip_total, gdd_sum is not null, gdd_sum)) as m from feature_rows group by 1, 2)) f
+  min((precip_total is null, precip_total, gdd_sum is null, gdd_sum)) as m from feature_rows group by 1, 2)) f
  on f.k is not distinct from e.plot_id and f.planting_date = e.d""", ("feature_rows",))
 def _(t):
     day = F.date_add(F.lit("1995-01-01").cast("date"), (F.col("user_id") % 30).cast("int"))
@@ -54,6 +54,29 @@ def _(t):
     return G.join_on_plot_and_date(labels, features, null_safe=True)
 
 
+G3_SQL = """
+select l.label_no, l.plot_id, f.precip_total, f.gdd_sum from labels_in l left join feature_rows f
+ on f.plot_id = l.plot_id and f.planting_date = l.planting_date"""
+G4_SQL = """
+select l.label_no, l.plot_id, f.precip_total, f.gdd_sum from labels_in l left join feature_rows f on f.plot_id = l.plot_id"""
+
+
+def repeated_features(t):
+    """Every feature row a second time, without its values: the full one must win."""
+    rows = t.feature_rows
+    return rows.unionByName(rows.withColumns({c: F.lit(None).cast("double") for c in ("precip_total", "gdd_sum")}))
+
+
+@query("g3_join_repeated_features", f"label_no:i plot_id:i {FEATURES}", G3_SQL, ("labels_in", "feature_rows"))
+def _(t):
+    return G.join_on_plot_and_date(t.labels_in, repeated_features(t))
+
+
+@query("g4_join_repeated_features", f"label_no:i plot_id:i {FEATURES}", G4_SQL, ("labels_in", "feature_rows"))
+def _(t):
+    return G.join_on_plot(t.labels_in, repeated_features(t))
+
+
 @query("g4_join_plot", f"label_no:i plot_id:i {FEATURES}", """
 select l.label_no, l.plot_id, f.precip_total, f.gdd_sum from labels_in l left join feature_rows f on f.plot_id = l.plot_id""",
        ("labels_in", "feature_rows"))
@@ -72,6 +95,13 @@ def _(t):
     return G.join_on_coordinates(t.labels_in, t.feature_rows)
 
 
+@query("g5_join_repeated_features", f"label_no:i plot_id:i {FEATURES}", f"""
+select l.label_no, l.plot_id, f.precip_total, f.gdd_sum from labels_in l left join feature_rows f on {COORDS}""",
+       ("labels_in", "feature_rows"))
+def _(t):
+    return G.join_on_coordinates(t.labels_in, repeated_features(t))
+
+
 TIERS = f"""select l.label_no, a.precip_total as p1, b.precip_total as p2, c.precip_total as p3,
  a.gdd_sum as g1, b.gdd_sum as g2, c.gdd_sum as g3 from labels_in l
  left join feature_rows a on a.plot_id = l.plot_id and a.planting_date = l.planting_date

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, functions as F
@@ -14,6 +15,15 @@ def clean_nan(col: Column) -> Column:
     return F.when(~F.isnan(col), col)
 
 
+def complete_row(columns: Sequence[str]) -> Column:
+    """The columns as a struct that sorts missing values last: a flag in front of every value.
+
+    Its minimum is one whole row, whatever the order of the rows, and never an empty one beside a full one.
+    """
+    return F.struct(*[
+        x for i, c in enumerate(columns) for x in (F.col(f"`{c}`").isNull().alias(f"_missing_{i}"), F.col(f"`{c}`").alias(c))])
+
+
 def to_number(col: Column) -> Column:
     return clean_nan(F.trim(col.cast("string")).try_cast("double"))
 

@@ -22,9 +22,9 @@ SCORING_DEFAULTS = {
 
 
 def one_per_plot(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The least row per plot by a total order, as a partial aggregate."""
-    row = F.struct(*columns)
-    return df.groupBy("plot_id").agg(F.min(row).alias("row")).select("plot_id", "row.*")
+    """The least row per plot by a total order, missing values last, as a partial aggregate."""
+    return df.groupBy("plot_id").agg(F.min(C.complete_row(columns)).alias("row")).select(
+        "plot_id", *[F.col(f"row.`{c}`").alias(c) for c in columns])
 
 
 def daily_features(
@@ -51,8 +51,8 @@ def daily_features(
         extra = [c for pair in zip(MEANS, CUMULATIVES) for c in pair if c in indices.columns]
         samples = indices.select("plot_id", "date", *extra).repartition("plot_id")
         if dedupe:
-            samples = samples.groupBy("plot_id", "date").agg(F.min(F.struct(*extra)).alias("row")).select(
-                "plot_id", "date", "row.*")
+            samples = samples.groupBy("plot_id", "date").agg(F.min(C.complete_row(extra)).alias("row")).select(
+                "plot_id", "date", *[F.col(f"row.`{c}`").alias(c) for c in extra])
         days = days.join(samples, ["plot_id", "date"], "left")
     days = P.with_current_stage(days.join(planted, "plot_id", "left"), calendar)
     days = P.with_cumulative_gdd(P.with_daily_gdd(days, base))

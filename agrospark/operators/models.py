@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
@@ -144,9 +145,12 @@ def training_rows(df: DataFrame, target: str = TARGET) -> DataFrame:
 
 
 def pipeline(
-    estimator: Estimator, features: Sequence[str], target: str, categories: Sequence[str] = ()
+    estimator: Estimator, features: Sequence[str], target: str, categories: Sequence[str] = (), bins: int = 32,
 ) -> Pipeline:
-    """Impute, index categories, assemble, fit; StringIndexer metadata marks codes as categorical."""
+    """Impute, index categories, assemble, fit; StringIndexer metadata marks codes as categorical.
+
+    A tree needs a bin for every category: pass `bins_needed` of the training rows.
+    """
     filled = [f"{c}__filled" for c in features]
     coded = [f"{c}__code" for c in categories]
     stages: list = [Imputer(inputCols=list(features), outputCols=filled, strategy="mean")]
@@ -154,21 +158,32 @@ def pipeline(
         stages.append(StringIndexer(
             inputCols=list(categories), outputCols=coded, stringOrderType="alphabetAsc", handleInvalid="keep"))
     stages.append(VectorAssembler(inputCols=filled + coded, outputCol="features", handleInvalid="keep"))
-    stages.append(estimator.copy().setFeaturesCol("features").setLabelCol(target))
+    tree = estimator.copy().setFeaturesCol("features").setLabelCol(target)
+    stages.append(tree.setMaxBins(max(bins, tree.getMaxBins())) if categories else tree)
     return Pipeline(stages=stages)
 
 
+def bins_needed(rows: DataFrame, categories: Sequence[str], most: int = 10_000) -> int:
+    """Bins for the column with the most categories and its unknown ones; beyond `most` it is no category."""
+    if not categories:
+        return 32
+    counts = rows.agg(*[F.count_distinct(f"`{c}`").alias(c) for c in categories]).first()
+    wide = {c: counts[c] for c in categories if counts[c] > most}
+    if wide:
+        raise ValueError(f"too many categories for a tree: {wide}")
+    return max(32, max(counts) + 1)
+
+
 def as_double(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({c: F.col(f"`{c}`").cast("double") for c in columns})
 
 
 def draw_params(learner: Learner, estimator: Estimator, draws: int, seed: int = 42) -> list[dict]:
-    """Distinct random points of the search space as ParamMaps."""
+    """Distinct random points of the search space as ParamMaps; all points of a space that has no more."""
     rng = random.Random(seed)
     seen: dict[tuple, dict] = {}
-    for _ in range(draws * 20):
-        if len(seen) == draws:
-            break
+    points = math.prod(len({str(v) for v in values}) for values in learner.space.values()) if learner.space else 0
+    while len(seen) < min(draws, points):
         point = {name: rng.choice(list(values)) for name, values in learner.space.items()}
         key = tuple(sorted((k, str(v)) for k, v in point.items()))
         seen.setdefault(key, {estimator.getParam(k): v for k, v in point.items()})
@@ -181,7 +196,7 @@ def random_search(
 ) -> CrossValidatorModel:
     """Random draws of the space, k folds, least mean RMSE; the winner is refitted on all rows."""
     estimator = learner.make()
-    flow = pipeline(estimator, features, target, categories)
+    flow = pipeline(estimator, features, target, categories, bins_needed(train, categories))
     tree = flow.getStages()[-1]
     grid = draw_params(learner, tree, draws, seed) or ParamGridBuilder().build()
     search = CrossValidator(
@@ -225,7 +240,7 @@ def evaluate(predictions: DataFrame, actual: str = "actual", prefix: str = "pred
         F.sqrt(F.avg(error * error)).alias("RMSE"),
         F.avg(F.abs(error)).alias("MAE"),
         (1 - F.try_divide(F.avg(error * error), F.var_pop(actual))).alias("R2"),
-    ).withColumn("model", F.substring("model", len(prefix) + 1, 1000))
+    ).withColumn("model", F.substr("model", F.lit(len(prefix) + 1)))
 
 
 def leaderboard(metrics: DataFrame) -> DataFrame:
@@ -275,13 +290,12 @@ def newest_run(runs: DataFrame, prefix: str) -> DataFrame:
 
 
 def register_version(versions: DataFrame, name: str, run_id: Column) -> DataFrame:
-    """The versions with one more of the model, numbered after its highest."""
+    """The versions with one more of the model, numbered after its highest; `run_id` is a constant."""
     added = versions.agg(
         F.lit(name).alias("name"),
         (F.coalesce(F.max(F.when(F.col("name") == name, F.col("version"))), F.lit(0)) + 1).alias("version"),
         F.lit("None").alias("stage"),
-        F.first(run_id).alias("run_id"),
-    )
+    ).withColumn("run_id", run_id)
     return versions.unionByName(added)
 
 

@@ -119,10 +119,6 @@ def split_valid(df: DataFrame, name: str = "reasons") -> tuple[DataFrame, DataFr
     return df.where(F.size(name) == 0).drop(name), df.where(F.size(name) > 0)
 
 
-def _optional(col: Column, ok: Column) -> Column:
-    return col.isNull() | ok
-
-
 def validate_plots(df: DataFrame, max_altitude: float = 10_000.0, with_year_rule: bool = True) -> DataFrame:
     """Plots with the list of violated rules; a missing altitude becomes the base altitude."""
     out = df.withColumn("altitude", F.coalesce("altitude", F.lit(S.BASE_ALTITUDE_M)))

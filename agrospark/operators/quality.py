@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from agrospark import schemas as S
+from agrospark.functions import columns as C
 
 GATE_COLUMNS = ("max_temp_c", "min_temp_c", "precip_mm")
 
@@ -68,15 +69,14 @@ def require_rows(df: DataFrame, what: str) -> DataFrame:
 
 
 def unique_days(weather: DataFrame) -> DataFrame:
-    """One row per (plot_id, date): the least row, by a total order over all other columns.
+    """One row per (plot_id, date): the least row, by a total order over all other columns, missing last.
 
     Bounds a plot's history by the calendar, however often its days were delivered.
     """
     rest = [c for c in weather.columns if c not in ("plot_id", "date")]
-    row = F.struct(*rest)
     return (
-        weather.groupBy("plot_id", "date").agg(F.min(row).alias("row"))
-        .select("plot_id", "date", *[F.col(f"row.{c}").alias(c) for c in rest])
+        weather.groupBy("plot_id", "date").agg(F.min(C.complete_row(rest)).alias("row"))
+        .select("plot_id", "date", *[F.col(f"row.`{c}`").alias(c) for c in rest])
         .select(*weather.columns)
     )
 

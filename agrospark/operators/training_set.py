@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from agrospark.functions import columns as C
 from agrospark.functions.names import rename_first
 from agrospark.operators.normalize import normalize_labels
 
@@ -108,8 +109,9 @@ def _tier(
         *[expr.alias(f"_{name}_{i}") for i, expr in enumerate(pairs.values())],
         F.struct(*[F.col(f"`{c}`") for c in carried]).alias(name))
     keys = [f"_{name}_{i}" for i in range(len(pairs))]
-    if dedupe:
-        right = right.groupBy(*keys).agg(F.min(name).alias(name))
+    if dedupe:  # the least row with missing values last, so that an empty one never hides a full one
+        least = right.select(*keys, f"{name}.*").groupBy(*keys).agg(F.min(C.complete_row(carried)).alias("_row"))
+        right = least.select(*keys, F.struct(*[F.col(f"_row.`{c}`").alias(c) for c in carried]).alias(name))
     condition = None
     for key, left in zip(keys, pairs):
         same = F.col(left).eqNullSafe(F.col(key)) if null_safe else F.col(left) == F.col(key)

@@ -53,13 +53,44 @@ def store(df: DataFrame, name: str) -> DataFrame:
 def read_text_table(spark: SparkSession, path: str) -> DataFrame:
     """A CSV with header, all columns as text under trimmed names; typing is the caller's job.
 
-    The header is read from the first line only, so no pass over the data infers types.
+    Columns go by name: the files of a folder may have them in different orders, and a column that a file lacks is
+    NULL there. Headers are the files' first lines, so no pass over the data infers types.
     """
     if not exists(spark, path):
         raise FileNotFoundError(f"input table not found: {path}")
-    header = spark.read.option("header", True).csv(path).columns
-    schema = T.StructType([T.StructField(c.strip(), T.StringType()) for c in header])
-    return spark.read.schema(schema).option("header", True).option("enforceSchema", True).csv(path)
+    tables = []
+    for header, paths in _by_header(spark, path).items():
+        names = spark.read.option("header", True).csv(paths[0]).columns
+        schema = T.StructType([T.StructField(c.strip(), T.StringType()) for c in names])
+        tables.append(spark.read.schema(schema).option("header", True).option("enforceSchema", True).csv(paths))
+    if not tables:
+        return spark.read.option("header", True).csv(path)
+    whole = tables[0]
+    for table in tables[1:]:
+        whole = whole.unionByName(table, allowMissingColumns=True)
+    return whole
+
+
+def _by_header(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """The data files of a CSV table by their first line."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark.sparkContext._jsc.hadoopConfiguration())
+    found: dict[str, list[str]] = {}
+    for status in fs.listStatus(p):
+        file = status.getPath()
+        if status.isDirectory() or file.getName()[0] in "_.":
+            continue
+        codec, raw = codecs.getCodec(file), fs.open(file)
+        try:
+            stream = codec.createInputStream(raw) if codec is not None else raw
+            line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
+        finally:
+            raw.close()
+        if line is not None:
+            found.setdefault(line, []).append(file.toString())
+    return found
 
 
 def read_plots(spark: SparkSession, path: str) -> DataFrame:

@@ -9,7 +9,6 @@ from tests.conftest import by
 
 def numpy_psi(ref, cur, bins=10):
     edges = np.quantile(ref, np.linspace(0, 1, bins + 1))
-    edges = np.round(edges, 9)
     edges[0], edges[-1] = -np.inf, np.inf
     r, c = np.histogram(ref, bins=edges)[0] / len(ref), np.histogram(cur, bins=edges)[0] / len(cur)
     r, c = np.where(r == 0, 1e-6, r), np.where(c == 0, 1e-6, c)
@@ -28,6 +27,13 @@ def test_numeric_psi_matches_numpy(spark):
     assert D.numeric_psi(frame(spark, ref), frame(spark, ref), ["x"]).first().psi == pytest.approx(0.0)
 
 
+def test_small_features_are_not_rounded_away(spark):
+    rng = np.random.default_rng(3)
+    ref, cur = (1e-12 * rng.uniform(0, 1, 400)).tolist(), (1e-12 * rng.uniform(3, 4, 400)).tolist()
+    got = D.numeric_psi(frame(spark, ref), frame(spark, cur), ["x"]).first().psi
+    assert got == pytest.approx(numpy_psi(ref, cur)) and got > 1
+
+
 def test_repeated_edges_and_constant_values(spark):
     ref, cur = [1.0] * 50 + [2.0] * 5, [1.0] * 20 + [2.0] * 20
     got = D.numeric_psi(frame(spark, ref), frame(spark, cur), ["x"]).first().psi

@@ -37,6 +37,19 @@ def test_learners_fit_importance_and_reload(spark, tmp_path):
     assert [r.prediction for r in again.orderBy("id").collect()] == [r.prediction for r in scored.orderBy("id").collect()]
 
 
+def test_many_categories_and_the_first_registration(spark):
+    rows = training(spark, 400).withColumn("crop", F.concat(F.lit("c"), (F.col("id") % 70).cast("string")))
+    bins = M.bins_needed(rows, ["crop"])
+    assert bins == 71 and M.bins_needed(rows, []) == 32
+    flow = M.pipeline(RandomForestRegressor(numTrees=2, maxDepth=3, seed=1), ["a"], M.TARGET, ["crop"], bins)
+    assert flow.fit(rows).transform(rows).count() == 400
+    with pytest.raises(ValueError):
+        M.bins_needed(rows, ["crop"], most=50)
+    none = spark.createDataFrame([], "name string, version long, stage string, run_id string")
+    first = M.register_version(none, "yield", F.lit("run-1")).first()
+    assert (first.version, first.run_id) == (1, "run-1")
+
+
 def test_parameter_draws_are_distinct_and_repeatable():
     learner = M.Learner("x", lambda: None, {"numTrees": [1, 2], "maxDepth": [3, 4]})
 

@@ -79,6 +79,23 @@ def test_payload_flattening(spark, tmp_path):
     assert (r.max_temp_c, r.min_temp_c, r.mean_temp_c, r.precip_mm, r.humidity_pct) == (28.5, 18.2, 23.35, 12.5, None)
 
 
+def test_what_cannot_be_read_is_told(spark, tmp_path):
+    (tmp_path / "l.txt").write_text('{"plot_id": 1, "days": [{"datetime": "no day"}, {"datetime": "2021-10-07"}]}\n{broken\n{"plot_id": 2}')
+    rows = payload.flatten_with_errors(payload.read_payloads(spark, str(tmp_path / "l.txt"))).collect()
+    assert sorted((r.plot_id or 0, r.error or "", r.unread is not None) for r in rows) == [
+        (0, "document", True), (1, "", False), (1, "date", True)]
+
+
+def test_csv_columns_go_by_name(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("plot_id, latitude,longitude\n1,-1.5,37.5\n")
+    (tmp_path / "in" / "b.csv").write_text("longitude,plot_id,latitude,extra\n37.6,2,-1.6,x\n")
+    (tmp_path / "in" / "_skip").write_text("nothing")
+    got = by(files.read_text_table(spark, str(tmp_path / "in")), "plot_id")
+    assert (got["1"].latitude, got["1"].longitude, got["1"].extra) == ("-1.5", "37.5", None)
+    assert (got["2"].latitude, got["2"].longitude, got["2"].extra) == ("-1.6", "37.6", "x")
+
+
 def test_csv_plots(spark, tmp_path):
     path = tmp_path / "plots.csv"
     path.write_text("plot_id,longitude,latitude,Altitude,planting_date,season\n"

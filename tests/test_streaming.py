@@ -54,6 +54,21 @@ def test_intake_drops_repeats_and_sets_rejects_aside(spark, tmp_path):
     assert [(r.date, r.reasons) for r in bad] == [(day("2021-10-02"), ["max_temp_c"])]
 
 
+def test_a_bad_first_delivery_does_not_hide_the_corrected_day(spark, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    texts = [doc(1, [("2021-10-01", 99.0)]), doc(1, [("2021-10-01", 20.0)]), "{broken", doc(2, [("no date", 20.0)])]
+    for i, text in enumerate(texts):
+        (landing / f"{i}.txt").write_text(text)
+    batch = intake.weather_days(spark.read.text(str(landing)).withColumnRenamed("value", "payload")).collect()
+    out = {n: str(tmp_path / n) for n in ("weather", "rejects", "state")}
+    intake.start_intake(intake.payload_stream(spark, str(landing), 1), out["weather"], out["rejects"], out["state"]).awaitTermination()
+    good, bad = spark.read.parquet(out["weather"]).collect(), spark.read.parquet(out["rejects"]).collect()
+    assert [(r.plot_id, r.max_temp_c) for r in good] == [(1, 20.0)]
+    assert sorted(r.reasons[0] for r in bad) == ["date", "document", "max_temp_c"]
+    assert sorted(",".join(r.reasons) for r in batch) == ["", "date", "document", "max_temp_c"]
+
+
 def test_stage_events_with_late_and_repeated_days_settle_on_the_batch_answer(spark, tmp_path):
     frame = pd.DataFrame([(p, d.date(), 25.0 + p, 15.0, 0.0) for p in (1, 2) for d in pd.date_range("2021-01-01", periods=70)],
                          columns=["plot_id", "date", "max_temp_c", "min_temp_c", "precip_mm"])
