@@ -5,13 +5,12 @@
 2. Each band of the signature is a bucket key. The members of a bucket are compared with its least member first, by
    signature, then on the full sets, for each member the most similar candidates before all others; what is linked
    is contracted to components, and pairs inside a component are not compared again.
-3. Buckets that still hold several components are not done. In a small one, members of different components are
-   compared with each other. A large one is split by the later bands: two documents that are similar enough agree on
-   many bands, so they meet again in a part; then step 2 is repeated on the parts.
+3. Members of buckets that still hold several components are joined exactly, by the shingles they share: only those
+   that more than one component has count, and only the rarest of a document, as many as a link cannot do without.
 4. Components are found by alternating large-star and small-star steps until the edges no longer change.
 
-No bucket is gathered in one task, and pairs are formed inside small buckets only, never cut off elsewhere. A link is
-missed if two sets of the wanted similarity share no band; for five rows in 28 bands at 0.8 that is one in 60 000.
+No bucket is gathered in one task, and no bucket's pairs are formed. A link is missed if two sets of the wanted
+similarity share no band; for five rows in 28 bands at 0.8 that is one in 60 000.
 """
 
 from __future__ import annotations
@@ -28,7 +27,6 @@ from agrospark.llm import common
 from agrospark.sources.files import store
 
 BANDS, ROWS = 28, 5
-SMALL = 50  # members of a bucket whose pairs may be formed
 FIRST = (1, 6, None)  # candidates of a document that are compared before the components are looked at again; then all
 MARGIN = 0.15  # how far a signature's estimate may be below the similarity; over four standard deviations
 
@@ -179,9 +177,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
 class _Linker:
     """The components found so far, and the comparisons that extend them."""
 
-    def __init__(self, docs: DataFrame, classes: DataFrame, size: int, percent: int):
-        self.docs, self.size, self.percent = docs, size, percent
-        self.sketches = classes.select("node", "sketch")
+    def __init__(self, classes: DataFrame, sets: DataFrame, percent: int):
+        self.sketches, self.sets, self.percent = classes.select("node", "sketch"), sets, percent
         self.found: DataFrame | None = None
 
     def component(self, rows: DataFrame, node: str, name: str) -> DataFrame:
@@ -197,56 +194,86 @@ class _Linker:
     def compare(self, pairs: DataFrame) -> None:
         """Links all of the pairs (a, b) that are similar enough."""
         todo = store(_alike(pairs, self.sketches, self.percent / 100 - MARGIN), "candidates")
-        if todo.isEmpty():
-            return
-        nodes = todo.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        sets = store(_sets(self.docs, nodes, self.size), "shingle-sets")
         by_share = Window.partitionBy("b").orderBy(F.desc("share"), "a")
         for most in FIRST:
+            if todo.isEmpty():
+                return
             ranked = store(todo.withColumn("rank", F.row_number().over(by_share)), "ranked-candidates")
             chosen = ranked if most is None else ranked.where(F.col("rank") <= most)
-            links = store(_linked(chosen.select("a", "b"), sets, self.percent), "links")
+            links = store(_linked(chosen.select("a", "b"), self.sets, self.percent), "links")
             if not links.isEmpty():
                 if self.found is not None:
                     links = links.unionByName(self.found.select(F.col("component").alias("a"), F.col("node").alias("b")))
                 self.found = connected_components(links)
-            if most is None:
-                return
-            todo = store(self.between(ranked.where(F.col("rank") > most).drop("rank")), "candidates")
-            if todo.isEmpty():
-                return
-
-
-def components(docs: DataFrame, size: int = 5, percent: int = 80, small: int = SMALL) -> tuple[DataFrame, DataFrame]:
+            if most is not None:
+                todo = store(self.between(ranked.where(F.col("rank") > most).drop("rank")), "candidates")
+
+    def tokens(self, members: DataFrame) -> DataFrame:
+        """node, c, size and token of every shingle of the members (node, c)."""
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for part in (batch.slice(i, 500) for i in range(0, batch.num_rows, 500)):
+                    sets = [np.frombuffer(x, np.int64) for x in part.column("shingles").to_pylist()]
+                    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+                    of = pa.array(np.repeat(np.arange(len(sets)), sizes))
+                    yield pa.RecordBatch.from_arrays([
+                        part.column("node").take(of), part.column("c").take(of), pa.array(np.repeat(sizes, sizes)),
+                        pa.array(np.concatenate(sets))], names=["node", "c", "size", "token"])
+
+        rows = self.sets.join(members, "node").select("node", "c", "shingles")
+        return rows.mapInArrow(run, "node bigint, c bigint, size bigint, token bigint")
+
+    def near(self, members: DataFrame) -> DataFrame:
+        """Pairs (a, b) of different components among members (node, c), no pair of enough similarity left out.
+
+        Two sets of the wanted similarity share at least `need` shingles of either. Shingles that only one component
+        has are shared by no such pair, so a member with too few others is out, twice over. Of the rest, in an order
+        that puts rare shingles first, one of each set's first (others - need + 1) is shared.
+        """
+        def shared(rows: DataFrame) -> DataFrame:
+            seen = rows.groupBy("token").agg(F.min("c").alias("c1"), F.max("c").alias("c2"), F.count("*").alias("seen"))
+            return store(seen.where("c1 != c2").select("token", "seen"), "shared-shingles")
+
+        need = F.ceil(F.lit(self.percent) * F.col("size") / 100)
+        for _ in range(2):
+            rows = self.tokens(members)
+            others = rows.join(shared(rows), "token").groupBy("node", "c", "size").agg(F.count("*").alias("n"))
+            members = store(others.where(F.col("n") >= need).select("node", "c"), "near-members")
+        rows = self.tokens(members)
+        mine = Window.partitionBy("node")
+        first = rows.join(shared(rows), "token").withColumn("n", F.count("*").over(mine)) \
+            .withColumn("rank", F.row_number().over(mine.orderBy("seen", "token")))
+        first = store(first.where(F.col("rank") <= F.col("n") - need + 1).select("token", "node", "c", "size"), "first-shingles")
+        # The component with the most members of a shingle need not be paired with itself.
+        most = first.groupBy("token", "c").agg(F.count("*").alias("n")).groupBy("token").agg(F.max_by("c", F.struct("n", "c")).alias("most"))
+        asking = store(first.join(most, "token").where("c != most").drop("most"), "asking")
+        other = first.select("token", F.col("node").alias("b"), F.col("c").alias("cb"), F.col("size").alias("sb"))
+        pairs = asking.join(other, "token").where("c != cb").where(
+            F.lit(100) * F.least("size", "sb") >= F.lit(self.percent) * F.greatest("size", "sb"))
+        return pairs.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
+
+
+def components(docs: DataFrame, size: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
     """(signatures of (doc_id, text), (node, component) of the documents that are linked to a different text)."""
     common.ship(docs.sparkSession)
     signed = store(signatures(docs, size), "signatures")
     classes = store(signed.where("n_shingles > 0 and doc_id is not null").groupBy("s1", "s2").agg(
         F.min("doc_id").alias("node"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands")), "classes")
-    linker = _Linker(docs, classes, size, percent)
-    rows = classes.select("node", F.posexplode("bands").alias("band", "key"))
-    for depth in range(BANDS):
-        buckets = rows.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1")
-        rows = store(rows.join(buckets, "key"), "buckets")
-        linker.compare(rows.where("node != a").select("a", F.col("node").alias("b")).distinct())
-        # What still holds several components.
-        named = linker.component(rows, "node", "c")
-        mixed = named.groupBy("key").agg(F.min("c").alias("c1"), F.max("c").alias("c2")).where("c1 != c2").select("key")
-        left = store(named.join(mixed, "key"), "mixed-buckets")
-        few = left.where(F.col("n") <= small).select("key", "node", "c")
-        other = few.select("key", F.col("node").alias("b"), F.col("c").alias("cb"))
-        linker.compare(few.withColumnRenamed("node", "a").join(other, "key").where("a < b and c != cb").select("a", "b").distinct())
-        many = left.where(F.col("n") > small)
-        if many.isEmpty():
-            break
-        bands = classes.select("node", F.posexplode("bands").alias("next", "part"))
-        rows = many.select("key", "node", "band").join(bands, "node").where("next > band").select(
-            "node", F.col("next").alias("band"), F.xxhash64("key", "part").alias("key"))
+    rows = classes.select("node", F.explode("bands").alias("key"))
+    buckets = rows.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1")
+    rows = store(rows.join(buckets.select("key", "a"), "key"), "buckets")
+    sets = store(_sets(docs, rows.select("node").distinct(), size), "shingle-sets")
+    linker = _Linker(classes, sets, percent)
+    linker.compare(rows.where("node != a").select("a", F.col("node").alias("b")).distinct())
+    named = linker.component(rows, "node", "c")
+    mixed = named.groupBy("key").agg(F.min("c").alias("c1"), F.max("c").alias("c2")).where("c1 != c2").select("key")
+    members = store(named.join(mixed, "key").select("node", "c").distinct(), "mixed-members")
+    linker.compare(linker.near(members))
     nodes = classes.select("s1", "s2", "node")
     return signed.join(nodes, ["s1", "s2"], "left"), linker.component(nodes.select("node"), "node", "component")
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, small: int = SMALL) -> DataFrame:
+def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id and kept, one row for each row of docs.
 
     Two documents are linked if their sets of `size`-word shingles share at least `percent` of their union; a
@@ -254,7 +281,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, small: in
     nothing; nor is a row without doc_id, which is kept. Repeated rows are one document.
     """
     rows = common.texts(docs).withColumn("doc_id", F.col("doc_id").cast("bigint"))
-    signed, found = components(rows, size, percent, small)
+    signed, found = components(rows, size, percent)
     done = signed.join(found, "node", "left")
     component = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.coalesce("component", "node")).otherwise(F.col("doc_id"))
     return done.select("doc_id", "n_shingles", component.alias("component_id")) \
