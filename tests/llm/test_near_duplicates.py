@@ -17,12 +17,12 @@ def test_components_equal_those_of_all_pairs(spark, documents, size, percent):
     assert result(M.near_duplicates(documents(rows), size, percent)) == brute.near(rows, percent, size)
 
 
-def test_large_buckets_are_split_not_cut(spark, documents):
+def test_mixed_buckets_are_joined_exactly(spark, documents):
     # Texts that share much but too little to be linked, and some that are linked among them.
     rows = [(i, changed(BASE, i, 25)) for i in range(30)] + [(50 + i, changed(changed(BASE, i, 25), 99 + i, 1)) for i in range(5)]
     want = brute.near(rows)
     assert 25 <= sum(kept for _, _, kept in want.values()) < 35
-    assert result(M.near_duplicates(documents(rows), 3, 85, small=3)) == want
+    assert result(M.near_duplicates(documents(rows), 3, 85)) == want
 
 
 def test_chains_and_missing_ids(spark, documents):
