@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import functools
 import itertools
+import json
 import zlib
 from collections.abc import Iterator
 
@@ -24,6 +25,8 @@ from agrospark.llm import common
 from agrospark.sources.files import scratch_dir
 
 BLOCK = 1024
+PAGE_IDS = 1 << 20  # ids of a page, about
+JOINED = 4000  # words that the tokenizer is given as one text
 # Fixed values of the format: ids per word and bits per id, by selector; selector 0 is the escape.
 COUNTS = np.array([1, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1], dtype=np.int64)
 BITS = np.array([60, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60], dtype=np.uint64)
@@ -122,6 +125,10 @@ class WordEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.limit = limit
+        suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
+        vocab = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocab.values(), default=0) + 1, dtype=bool)  # ids that end a word
+        self.ends[[i for t, i in vocab.items() if suffix and t.endswith(suffix)]] = True
         self._forget()
 
     def _forget(self) -> None:
@@ -133,14 +140,28 @@ class WordEncoder:
         if len(self.known) > self.limit:
             self._forget()
         new = [w for w in distinct if w not in self.known]
-        if new:
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
-            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-            flat = np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(sizes.sum()))
-            self.sizes, self.pool = np.append(self.sizes, sizes), np.append(self.pool, flat)
+        letters = [w for w in new if w.isalpha()] if self.ends.any() else []
+        other = [w for w in new if not w.isalpha()] if letters else new
+        groups = [letters[i:i + JOINED] for i in range(0, len(letters), JOINED)]
+        parts = [self._joined(some) or self._each(some) for some in groups] + [self._each(other)]
+        for some in (*groups, other):
+            self.known.update(zip(some, range(len(self.known), len(self.known) + len(some))))
+        self.sizes = np.concatenate([self.sizes, *(p[0] for p in parts)])
+        self.pool = np.concatenate([self.pool, *(p[1] for p in parts)])
         return np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
 
+    def _each(self, some: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(number of ids of each word, ids)."""
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)] if some else []
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        return sizes, np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(sizes.sum()))
+
+    def _joined(self, some: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """The same for words of letters only, encoded as one text: each has one id that ends a word, its last."""
+        ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, dtype=np.uint32)
+        last = np.flatnonzero(self.ends[ids])
+        return (np.diff(last, prepend=-1), ids) if len(last) == len(some) else None
+
     def __call__(self, text: pa.Array, end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
         """(number of ids of each text, ids of all), each text followed by end_id if there is one."""
         parted = pc.replace_substring_regex(text, r"([A-Za-z0-9])([.,;:!?$&%*#()])", r"\1 \2")
@@ -171,18 +192,24 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str = "word_bpe_49k.json",
     """
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_encoder(tokenizer)
-        for page, batch in enumerate(piece for batch in batches for piece in common.slices(batch)):
-            lengths, ids = encoder(batch.column("text"), end_id)
-            packed, offsets, escapes = pack(ids)
-            yield pa.RecordBatch.from_arrays([
-                pa.array([batch.column("part")[0].as_py()], pa.int32()), pa.array([page], pa.int32()),
-                pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), batch.column("doc_id")),
-                pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), pa.array(lengths, pa.int32())),
-                pa.array([len(ids)], pa.int64()), pa.array([offsets.tobytes()], pa.binary()),
-                pa.array([packed.tobytes()], pa.binary()), pa.array([escapes.tobytes()], pa.binary()),
-            ], names=[f.split()[0] for f in PAGE.split(", ")])
-
-    common.ship(docs.sparkSession)
+        page = 0
+        for batch in (piece for batch in batches for piece in common.slices(batch, size=12 << 20)):
+            sizes, all_ids = encoder(batch.column("text"), end_id)
+            upto = np.concatenate(([0], np.cumsum(sizes)))
+            part = upto[:-1] // PAGE_IDS
+            cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(sizes)]
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                ids = all_ids[upto[a]:upto[b]]
+                packed, offsets, escapes = pack(ids)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([batch.column("part")[0].as_py()], pa.int32()), pa.array([page], pa.int32()),
+                    pa.ListArray.from_arrays(pa.array([0, b - a], pa.int32()), batch.column("doc_id").slice(a, b - a)),
+                    pa.ListArray.from_arrays(pa.array([0, b - a], pa.int32()), pa.array(sizes[a:b], pa.int32())),
+                    pa.array([len(ids)], pa.int64()), pa.array([offsets.tobytes()], pa.binary()),
+                    pa.array([packed.tobytes()], pa.binary()), pa.array([escapes.tobytes()], pa.binary()),
+                ], names=[f.split()[0] for f in PAGE.split(", ")])
+                page += 1
+
     ordered = (common.texts(docs).withColumn("doc_id", F.col("doc_id").cast("bigint"))
                .repartitionByRange("doc_id").sortWithinPartitions("doc_id")
                .withColumn("part", F.spark_partition_id()))
