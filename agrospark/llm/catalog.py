@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from agrospark.llm import (
     bpe, chat, decontaminate, line_templates, lm_scoring, minhash, pii, quality, simple8b, suffix_repeats,
+    twins,
 )
 
 QUERIES = {
@@ -19,4 +20,4 @@ QUERIES = {
     "op10_chat": chat.op10_chat,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = twins.SQL

@@ -129,4 +129,4 @@ def quality_filter(docs: DataFrame, **limits) -> DataFrame:
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(common.table(spark, sf_dir, "documents")).select(
         "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
-        "js_classes", "js_common")
+        F.round("js_classes", 4).alias("js_classes"), F.round("js_common", 4).alias("js_common"))
