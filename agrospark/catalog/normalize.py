@@ -13,12 +13,12 @@ DERIVED = "case when month(planting_date) between 2 and 5 then 'Long Rains' else
 SEASON = f"coalesce({NORM}, {DERIVED})"
 FILLED = f"""select *, try_cast(plot_no as bigint) as pid from raw_plots"""
 YEARS = f"""select *, coalesce(year(planting_date),
- first_value(year(planting_date) ignore nulls) over (order by pid, planting_date nulls last rows between current row and unbounded following),
- last_value(year(planting_date) ignore nulls) over (order by pid, planting_date nulls last rows between unbounded preceding and current row),
- 2021) as year from ({FILLED}) where pid is not null"""
+ first_value(year(planting_date) ignore nulls) over (order by pid nulls last, planting_date nulls last rows between current row and unbounded following),
+ last_value(year(planting_date) ignore nulls) over (order by pid nulls last, planting_date nulls last rows between unbounded preceding and current row),
+ 2021) as year from ({FILLED})"""
 CLEAN = f"""select * exclude (rn) from (select pid as plot_id, latitude, longitude, altitude, {SEASON} as season, year,
  row_number() over (partition by pid order by planting_date nulls last, longitude, latitude, altitude) as rn
- from ({YEARS}) where latitude is not null and longitude is not null) where rn = 1"""
+ from ({YEARS}) where pid is not null and latitude is not null and longitude is not null) where rn = 1"""
 PLOT_SPEC = "plot_id:i latitude:f longitude:f altitude:f season:s year:i"
 
 
@@ -53,7 +53,7 @@ def _(t):
        f"select plot_no as plot_id, planting_date, year from ({YEARS})", ("raw_plots",))
 def _(t):
     rows = N.with_planting_date(N.normalize_plot_columns(t.raw_plots))
-    return N.with_year(rows, block_size=16).where(C.to_long(F.col("plot_id")).isNotNull())
+    return N.with_year(rows)
 
 
 @query("b7_clean_plots", PLOT_SPEC, CLEAN, ("raw_plots",))
@@ -159,7 +159,7 @@ def _(t):
         (F.col("o_orderkey") * 7 + 3).alias("key"), F.col("o_orderpriority").alias("boxes_crop"),
         F.col("o_orderdate").cast("date").cast("string").alias("boxes_planting_date"),
         F.col("o_orderstatus").alias("boxes_farmer_district"), F.lit("0,0").alias("boxes_box1_gps"))
-    return N.tidy_harvest_sheet(sheet, "key", block_size=5000)
+    return N.tidy_harvest_sheet(sheet, "key")
 
 
 @query("b18_validate_stages", "plot_id:i reasons:s", """

@@ -1,8 +1,9 @@
 """Global order without a global sort in one task: row numbers, neighbours and exact quantiles.
 
-Each helper works in two levels. Rows are cut into blocks by a monotone function of the sort key;
-only one row per block (a count, a first and a last value) meets in a single window, and the row
-level work runs inside blocks.
+Each helper works in two levels. Rows are placed by ranges of the sort key and stored; a block is what
+one partition holds, so there are as many blocks as partitions whatever the keys are. Only one row per
+block (a count, a first and a last value) meets in a single window, and the row level work runs inside
+blocks.
 """
 
 from __future__ import annotations
@@ -11,15 +12,17 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from agrospark.sources.files import store
 
-def number_rows(
-    df: DataFrame, key: Column, block: Column, name: str = "row_id", start: int = 1
-) -> DataFrame:
-    """Consecutive numbers in the order of `key`, which must identify a row.
 
-    `block` must be a monotone function of `key` whose groups are small (key ranges, prefixes).
-    """
-    cut = df.withColumn("_block", block)
+def _in_ranges(df: DataFrame, key: Column) -> DataFrame:
+    """The rows with the number of their key range as `_block`; stored, so that it stays what it is."""
+    return store(df.repartitionByRange(key).withColumn("_block", F.spark_partition_id()), "key-ranges")
+
+
+def number_rows(df: DataFrame, key: Column, name: str = "row_id", start: int = 1) -> DataFrame:
+    """Consecutive numbers in the order of `key`, which must identify a row."""
+    cut = _in_ranges(df, key)
     before = W.orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
     offsets = (
         cut.groupBy("_block").agg(F.count("*").alias("_rows"))
@@ -34,16 +37,14 @@ def number_rows(
     )
 
 
-def fill_from_neighbours(
-    df: DataFrame, key: str, first_value: str, last_value: str, name: str, block_size: int = 100_000
-) -> DataFrame:
-    """Backward then forward fill along a unique numeric key.
+def fill_from_neighbours(df: DataFrame, key: str, first_value: str, last_value: str, name: str) -> DataFrame:
+    """Backward then forward fill along a unique key.
 
     `first_value` is what a row offers to rows before it, `last_value` what it offers to itself
     and to rows after it. The result takes the nearest following offer, else the nearest
     preceding one.
     """
-    cut = df.withColumn("_block", F.floor(F.col(key) / block_size))
+    cut = _in_ranges(df, F.col(key))
     inside = W.partitionBy("_block").orderBy(key)
     following = inside.rowsBetween(1, W.unboundedFollowing)
     preceding = inside.rowsBetween(W.unboundedPreceding, 0)

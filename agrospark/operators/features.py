@@ -114,12 +114,11 @@ def with_planting_calendar(df: DataFrame, planting: str = "planting_date") -> Da
 def with_category_code(df: DataFrame, column: str = "crop_type", name: str | None = None) -> DataFrame:
     """Codes 0..k-1 by sorted text; a missing value is the category 'nan'.
 
-    Only distinct values are numbered, in blocks of equal two-letter prefixes.
+    Only distinct values are numbered, by ranges of the text.
     """
     text = F.coalesce(F.col(column).cast("string"), F.lit("nan"))
     values = df.select(text.alias("_category")).distinct()
-    codes = number_rows(
-        values, F.col("_category"), F.substring("_category", 1, 2), name="_code", start=0)
+    codes = number_rows(values, F.col("_category"), name="_code", start=0)
     return (
         df.withColumn("_category", text).join(codes, "_category", "left")
         .withColumn(name or f"{column}_enc", F.col("_code").cast("int")).drop("_category", "_code")

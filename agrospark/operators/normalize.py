@@ -58,14 +58,11 @@ def with_season(df: DataFrame, planting: str = "planting_date") -> DataFrame:
     return df.withColumn("season", derived)
 
 
-def with_year(
-    df: DataFrame, planting: str = "planting_date", default: int = S.DEFAULT_YEAR,
-    block_size: int = 100_000,
-) -> DataFrame:
+def with_year(df: DataFrame, planting: str = "planting_date", default: int = S.DEFAULT_YEAR) -> DataFrame:
     """Year of the planting date; gaps take the next known year, else the last one, else the default.
 
-    Rows are ordered by (plot_id, planting date, gaps last). Only one row per plot enters the fill,
-    so duplicates of a plot cost nothing there.
+    Rows are ordered by (plot_id, planting date, gaps last), rows without a readable id after all others.
+    Only one row per plot enters the fill, so duplicates of a plot cost nothing there.
     """
     if "year" in df.columns:
         return df
@@ -76,10 +73,13 @@ def with_year(
         rows.where(F.col("_key").isNotNull()).groupBy("_key")
         .agg(F.year(F.min(planting)).alias("_first"), F.year(F.max(planting)).alias("_last"))
     )
-    filled = fill_from_neighbours(per_plot, "_key", "_first", "_last", "_filled", block_size)
+    filled = fill_from_neighbours(per_plot, "_key", "_first", "_last", "_filled")
+    last = per_plot.agg(F.max_by("_last", F.when(F.col("_last").isNotNull(), F.col("_key")))).scalar()
+    unread = F.coalesce(rows.where(F.col("_key").isNull()).agg(F.year(F.max(planting))).scalar(), last)
     return (
         rows.join(filled.select("_key", "_filled"), "_key", "left")
-        .withColumn("year", F.coalesce("_year", "_filled", F.lit(default)).cast("int"))
+        .withColumn("year", F.coalesce(
+            "_year", "_filled", F.when(F.col("_key").isNull(), unread), F.lit(default)).cast("int"))
         .drop("_key", "_year", "_filled")
     )
 
@@ -235,12 +235,12 @@ def cast_all_numeric(df: DataFrame, drop: Sequence[str] = ("Unnamed: 0",)) -> Da
         C.to_number(F.col(f"`{c}`")).alias(c) for c in df.columns if c not in drop])
 
 
-def tidy_harvest_sheet(df: DataFrame, key: str, block_size: int = 100_000) -> DataFrame:
+def tidy_harvest_sheet(df: DataFrame, key: str) -> DataFrame:
     """Number the farms, drop the gps text, rename, parse dates, add the strict season, order columns.
 
     `key` is a unique number per sheet row; it fixes the row order, which files do not.
     """
-    numbered = number_rows(df, F.col(key), F.floor(F.col(key) / block_size), name="Plot_No")
+    numbered = number_rows(df, F.col(key), name="Plot_No")
     out = numbered.drop("boxes_box1_gps").withColumnsRenamed(SHEET_RENAMES)
     dates = [c for c in ("planting_date", "expected_harvest_date", "wet_completed_time") if c in out.columns]
     out = out.withColumns({c: C.to_day(F.col(c)) for c in dates})

@@ -7,9 +7,12 @@ from agrospark.functions import ordering as O
 
 
 def test_number_rows_is_global_and_gapless(spark):
-    df = spark.range(0, 1000).select(((F.col("id") * 37) % 1000 * 3).alias("k"))
-    got = O.number_rows(df, F.col("k"), F.floor(F.col("k") / 70), start=0).orderBy("k").collect()
-    assert [r.row_id for r in got] == list(range(1000))
+    for step in (3, 1_000_003):  # sparse keys make no more blocks than dense ones
+        df = spark.range(0, 1000).select(((F.col("id") * 37) % 1000 * step).alias("k"))
+        got = O.number_rows(df, F.col("k"), start=0).orderBy("k").collect()
+        assert [r.row_id for r in got] == list(range(1000))
+    names = spark.range(200).select(F.format_string("https://one.prefix/%05d", "id").alias("k"))
+    assert [r.row_id for r in O.number_rows(names, F.col("k")).orderBy("k").collect()] == list(range(1, 201))
 
 
 PROBS = [i / 10 for i in range(1, 10)]
