@@ -187,7 +187,7 @@ def _repeats(table: pa.Table) -> pa.Table:
 
 def _among(contents: DataFrame) -> DataFrame:
     """The maximal repeats among distinct contents (key, c1, c2, rel, data), many keys to a task."""
-    buckets = max(1, math.ceil(contents.count() / 2000))
+    buckets = max(1, math.ceil(contents.count() / 500))
     placed = contents.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)).cast("int"))
     return placed.groupBy("bucket").applyInArrow(_repeats, REPEAT)
 
