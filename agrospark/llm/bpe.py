@@ -160,6 +160,7 @@ class Tokenizer:
         splits = [p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"]
         self._split = regex.compile(splits[0].replace(r"\s", r"\p{White_Space}"))
         self._known: dict[str, tuple[int, ...]] = {}
+        self._written: dict[str, tuple[int, bytes, bytes]] = {}
         self.limit = limit
 
     def _word(self, word: str) -> tuple[int, ...]:
@@ -183,9 +184,19 @@ class Tokenizer:
             for match in self._split.finditer(piece.lower()):
                 yield from self._word(match[0])
 
+    def written(self, chunk: str) -> tuple[int, bytes, bytes]:
+        """Number of ids of a chunk, the ids in decimals, and what they decode to."""
+        found = self._written.get(chunk)
+        if found is None:
+            ids = list(self.encode(chunk))
+            found = len(ids), " ".join(map(str, ids)).encode(), self.decode(ids).encode()
+            if len(self._written) < self.limit and len(chunk) <= 64:
+                self._written[chunk] = found
+        return found
+
     def decode(self, ids: Iterable[int]) -> str:
         """What the file's decoder gives for ids, special tokens included."""
-        return "".join(self.decoded(ids))
+        return " ".join(map(self.names.__getitem__, ids)) if self.joined else "".join(self.decoded(ids))
 
     def decoded(self, ids: Iterable[int], readable: bool = False) -> Iterator[str]:
         """Pieces of text, one id at a time.
@@ -194,10 +205,8 @@ class Tokenizer:
         character that is not complete yet; bytes that are no text give the replacement character.
         """
         if self.joined and not readable:
-            first = True
-            for i in ids:
-                yield self.names[i] if first else " " + self.names[i]
-                first = False
+            for k, i in enumerate(ids):
+                yield " " + self.names[i] if k else self.names[i]
             return
         machine = codecs.getincrementaldecoder("utf-8")("replace")
         for i in ids:
@@ -265,11 +274,12 @@ def digests(docs: DataFrame, tokenizer: str = "word_bpe_49k.json") -> DataFrame:
     """doc_id, n_tokens, ids_sha256 (of the decimal ids, joined by blanks) and decoded_sha256 of every text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load(tokenizer)
-        for batch in (piece for batch in batches for piece in common.slices(batch)):
-            bounds, codes, ids = _chunks(model, batch.column("text"))
-            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-            numbers = [" ".join(map(str, x)).encode() for x in ids]
-            decoded = [model.decode(x).encode() for x in ids]  # the decoder's only state is whether it is the first
+        for batch in (piece for batch in batches for piece in common.slices(batch, size=12 << 20)):
+            bounds, codes, distinct = common.split_words(batch.column("text"))
+            # A decoder that joins tokens has no state but whether it has begun, so chunks are decoded by themselves.
+            each = list(map(model.written, distinct.to_pylist()))
+            sizes = np.fromiter((x[0] for x in each), np.int64, len(each))
+            numbers, decoded = [x[1] for x in each], [x[2] for x in each]
             upto = np.concatenate(([0], np.cumsum(sizes[codes])))[bounds]
             if not sizes.all():  # chunks without a token, as of other white space
                 full = sizes[codes] > 0
