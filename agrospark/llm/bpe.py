@@ -51,6 +51,12 @@ class Transducer:
         #: How far the merge list can look ahead: the length of its longest token.
         self.lookahead = max((len(self._symbols(t)) for t in vocab), default=1)
         self._whole: dict[int, bool] = {}
+        self.trie: dict = {}
+        for token, i in vocab.items():
+            node = self.trie
+            for symbol in self._symbols(token):
+                node = node.setdefault(symbol, {})
+            node[None] = i
 
     def _symbols(self, token: str) -> list[str]:
         if self.suffix and token.endswith(self.suffix):
@@ -94,20 +100,24 @@ class Transducer:
                 return True
 
     def __call__(self, symbols: Iterable[str]) -> Iterator[int]:
-        vocab, reach = self.vocab, self.lookahead
+        reach, trie, whole, apart = self.lookahead, self.trie, self._whole, self.apart
         stream = iter(symbols)
         ahead = next(stream, None)
-        text, last, back = "", [-1], [0]  # since the last emission: symbols, last token per place, where it begins
+        # Since the last emission: number of symbols, last token per place, where it begins.
+        n, last, back = 0, [-1], [0]
+        growing: list[tuple[int, dict]] = []  # places from which a token may still be growing, and how far it is
         while ahead is not None:
             symbol, ahead = ahead, next(stream, None)
-            text += symbol
-            n = len(text)
-            tail = self.suffix if ahead is None else ""
-            for start in range(max(n - reach, 0), n):
-                token = vocab.get(text[start:] + tail)
-                if token is not None and self.whole(token):
+            if ahead is None:
+                symbol += self.suffix
+            growing.append((n, trie))
+            growing = [(start, node[symbol]) for start, node in growing if symbol in node]
+            n += 1
+            for start, node in growing:  # the longest token first
+                token = node.get(None)
+                if token is not None and (whole[token] if token in whole else self.whole(token)):
                     before = last[start]
-                    if before == -1 or self.apart(before, token):
+                    if before == -1 or apart(before, token):
                         last.append(token)
                         back.append(start)
                         break
@@ -117,9 +127,10 @@ class Transducer:
                 meet = self._meeting(back, n - reach + 1, n)
                 if meet:
                     yield from self._path(last, back, meet)
-                    text, last = text[meet:], last[meet:]
+                    n, last = n - meet, last[meet:]
                     back = [0, *(b - meet for b in back[meet + 1:])]
-        yield from self._path(last, back, len(text))
+                    growing = [(start - meet, node) for start, node in growing if start >= meet]
+        yield from self._path(last, back, n)
 
     @staticmethod
     def _meeting(back: list[int], low: int, high: int) -> int:
@@ -181,8 +192,8 @@ class Tokenizer:
             if not piece.isascii():
                 # Case is changed letter by letter: a sigma at a word's end is like any other.
                 piece = unicodedata.normalize("NFC", piece).replace("Σ", "σ")
-            for match in self._split.finditer(piece.lower()):
-                yield from self._word(match[0])
+            for word in self._split.findall(piece.lower()):
+                yield from self._word(word)
 
     def written(self, chunk: str) -> tuple[int, bytes, bytes]:
         """Number of ids of a chunk, the ids in decimals, and what they decode to."""
