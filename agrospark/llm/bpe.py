@@ -154,7 +154,7 @@ class Transducer:
 class Tokenizer:
     """Texts to ids and back, by a tokenizer's file (NFC, white space and lower case; split by pattern; byte level)."""
 
-    def __init__(self, path: str, limit: int = 300_000):
+    def __init__(self, path: str, limit: int = 500_000):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
