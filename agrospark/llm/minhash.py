@@ -5,11 +5,12 @@
 2. Each band of the signature is a bucket key. The members of a bucket are compared with its least member first, by
    signature, then on the full sets, for each member the most similar candidates before all others; what is linked
    is contracted to components, and pairs inside a component are not compared again.
-3. Members of buckets that still hold several components are joined exactly, by the shingles they share: only those
-   that more than one component has count, and only the rarest of a document, as many as a link cannot do without.
+3. Buckets that still hold several components are joined exactly. A member stays if it shares enough shingles with
+   other components to be linked to one; buckets connect those that stay to families; a family's members outside its
+   largest component are compared with all of it, block by block, from the full sets.
 4. Components are found by alternating large-star and small-star steps until the edges no longer change.
 
-No bucket is gathered in one task, and no bucket's pairs are formed. A link is missed if two sets of the wanted
+No bucket or family is gathered in one task, and none of their pairs are formed as rows. A link is missed if two sets of the wanted
 similarity share no band; for five rows in 28 bands at 0.8 that is one in 60 000.
 """
 
@@ -21,13 +22,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from agrospark.llm import common
 from agrospark.sources.files import store
 
 BANDS, ROWS = 28, 5
-FIRST = (1, 6, None)  # candidates of a document that are compared before the components are looked at again; then all
+BLOCK = 400  # sets of a block, when the members of a family are compared
 MARGIN = 0.15  # how far a signature's estimate may be below the similarity; over four standard deviations
 
 SIGNATURE = "doc_id bigint, n_shingles bigint, s1 bigint, s2 bigint, sketch binary, bands array<bigint>"
@@ -154,17 +155,16 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Large-star hangs every larger neighbour of a node on the least neighbour, small-star every smaller one and the
     node itself. Each step is a minimum per node and a join, so no neighbourhood is gathered.
     """
-    edges = store(edges.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
+    edges = edges.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     state = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = store(large, "large-star")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")) \
             .unionByName(least.select("u", F.col("m").alias("v"))).distinct()
-        edges = store(small, "small-star")
+        edges = store(small, "stars")
         new = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if new == state:
             break
@@ -193,20 +193,26 @@ class _Linker:
 
     def compare(self, pairs: DataFrame) -> None:
         """Links all of the pairs (a, b) that are similar enough."""
-        todo = store(_alike(pairs, self.sketches, self.percent / 100 - MARGIN), "candidates")
         by_share = Window.partitionBy("b").orderBy(F.desc("share"), "a")
-        for most in FIRST:
-            if todo.isEmpty():
-                return
-            ranked = store(todo.withColumn("rank", F.row_number().over(by_share)), "ranked-candidates")
-            chosen = ranked if most is None else ranked.where(F.col("rank") <= most)
-            links = store(_linked(chosen.select("a", "b"), self.sets, self.percent), "links")
-            if not links.isEmpty():
-                if self.found is not None:
-                    links = links.unionByName(self.found.select(F.col("component").alias("a"), F.col("node").alias("b")))
-                self.found = connected_components(links)
-            if most is not None:
-                todo = store(self.between(ranked.where(F.col("rank") > most).drop("rank")), "candidates")
+        alike = _alike(pairs, self.sketches, self.percent / 100 - MARGIN)
+        ranked = store(alike.withColumn("first", F.row_number().over(by_share) == 1), "candidates")
+        # Most documents are linked by their most similar candidate; after that few pairs lie between components.
+        if self.link(ranked.where("first")):
+            self.link(self.between(ranked.where("not first")))
+        else:
+            self.link(ranked.where("not first"))
+
+    def link(self, pairs: DataFrame) -> bool:
+        """Compares the full sets of the pairs (a, b); joins the components of those that are linked, if any are."""
+        return self.join(store(_linked(pairs.select("a", "b"), self.sets, self.percent), "links"))
+
+    def join(self, links: DataFrame) -> bool:
+        if links.isEmpty():
+            return False
+        if self.found is not None:
+            links = links.unionByName(self.found.select(F.col("component").alias("a"), F.col("node").alias("b")))
+        self.found = connected_components(links)
+        return True
 
     def tokens(self, members: DataFrame) -> DataFrame:
         """node, c, size and token of every shingle of the members (node, c)."""
@@ -223,34 +229,78 @@ class _Linker:
         rows = self.sets.join(members, "node").select("node", "c", "shingles")
         return rows.mapInArrow(run, "node bigint, c bigint, size bigint, token bigint")
 
-    def near(self, members: DataFrame) -> DataFrame:
-        """Pairs (a, b) of different components among members (node, c), no pair of enough similarity left out.
+    def possible(self, members: DataFrame) -> DataFrame:
+        """The members (node, c) that may still be linked to another component.
 
-        Two sets of the wanted similarity share at least `need` shingles of either. Shingles that only one component
-        has are shared by no such pair, so a member with too few others is out, twice over. Of the rest, in an order
-        that puts rare shingles first, one of each set's first (others - need + 1) is shared.
+        Two sets of the wanted similarity share at least `need` shingles, which follows from their sizes. A shingle
+        that only one component has is shared by no pair of components. So a member is out that has fewer others than
+        it needs with the smallest set that has one of them.
         """
-        def shared(rows: DataFrame) -> DataFrame:
-            seen = rows.groupBy("token").agg(F.min("c").alias("c1"), F.max("c").alias("c2"), F.count("*").alias("seen"))
-            return store(seen.where("c1 != c2").select("token", "seen"), "shared-shingles")
-
-        need = F.ceil(F.lit(self.percent) * F.col("size") / 100)
-        for _ in range(2):
-            rows = self.tokens(members)
-            others = rows.join(shared(rows), "token").groupBy("node", "c", "size").agg(F.count("*").alias("n"))
-            members = store(others.where(F.col("n") >= need).select("node", "c"), "near-members")
         rows = self.tokens(members)
-        mine = Window.partitionBy("node")
-        first = rows.join(shared(rows), "token").withColumn("n", F.count("*").over(mine)) \
-            .withColumn("rank", F.row_number().over(mine.orderBy("seen", "token")))
-        first = store(first.where(F.col("rank") <= F.col("n") - need + 1).select("token", "node", "c", "size"), "first-shingles")
-        # The component with the most members of a shingle need not be paired with itself.
-        most = first.groupBy("token", "c").agg(F.count("*").alias("n")).groupBy("token").agg(F.max_by("c", F.struct("n", "c")).alias("most"))
-        asking = store(first.join(most, "token").where("c != most").drop("most"), "asking")
-        other = first.select("token", F.col("node").alias("b"), F.col("c").alias("cb"), F.col("size").alias("sb"))
-        pairs = asking.join(other, "token").where("c != cb").where(
-            F.lit(100) * F.least("size", "sb") >= F.lit(self.percent) * F.greatest("size", "sb"))
-        return pairs.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
+        seen = rows.groupBy("token").agg(F.min("c").alias("c1"), F.max("c").alias("c2"), F.min("size").alias("low"))
+        shared = store(seen.where("c1 != c2").select("token", "low"), "shared-shingles")
+        others = rows.join(shared, "token").groupBy("node", "c", "size").agg(F.count("*").alias("n"), F.min("low").alias("low"))
+        percent, smallest = F.lit(self.percent), F.greatest(F.col("low"), F.ceil(F.lit(self.percent) * F.col("size") / 100))
+        need = F.ceil(percent * (F.col("size") + smallest) / (100 + self.percent))
+        return store(others.where(F.col("n") >= need).select("node", "c"), "possible-members")
+
+    def link_families(self, members: DataFrame, buckets: DataFrame) -> None:
+        """Links the members (node, c) of different components that are similar enough, and in one family.
+
+        A family is what buckets (key, node) connect. Members outside its largest component are compared with all of
+        it, in pairs of blocks: what a task holds is two blocks of sets, and what it returns are the links.
+        """
+        rows = buckets.join(members.select("node"), "node", "left_semi")
+        hubs = rows.groupBy("key").agg(F.min("node").alias("a"))
+        families = connected_components(rows.join(hubs, "key").select("a", F.col("node").alias("b"))).withColumnRenamed("component", "family")
+        known = store(members.join(families, "node"), "families")
+        parts = known.groupBy("family", "c").agg(F.count("*").alias("m")).groupBy("family").agg(
+            F.sum("m").alias("all"), F.max(F.struct("m", "c")).alias("most"))
+        parts = parts.where(F.col("all") > F.col("most.m")).select(
+            "family", F.col("most.c").alias("most"), F.ceil(F.col("all") / BLOCK).cast("int").alias("blocks"),
+            F.ceil((F.col("all") - F.col("most.m")) / BLOCK).cast("int").alias("asking"))
+        placed = known.join(store(parts, "family-sizes"), "family").join(self.sets, "node")
+        block = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        told = ("family", "node", "c", "shingles")
+        ask = placed.where("c != most").select(*told, block("asking").alias("x"), every("blocks").alias("y"))
+        # Other names, since both come from one table.
+        all_of = placed.select(*[F.col(c).alias(f"{c}_of") for c in told], block("blocks").alias("y_of"), every("asking").alias("x_of"))
+        percent = self.percent
+
+        def compare(asking: pa.Table, others: pa.Table) -> pa.Table:
+            return _links_between(asking, others.rename_columns([c.removesuffix("_of") for c in others.column_names]), percent)
+
+        links = ask.groupBy("family", "x", "y").cogroup(all_of.groupBy("family_of", "x_of", "y_of")) \
+            .applyInArrow(compare, "a bigint, b bigint")
+        self.join(store(links, "links"))
+
+
+def _links_between(asking: pa.Table, others: pa.Table, percent: int) -> pa.Table:
+    """The pairs of different components that are similar enough: all overlaps by one product of membership tables."""
+    sides = [[np.frombuffer(x, np.int64) for x in t["shingles"].to_pylist()] for t in (asking, others)]
+    sizes = [np.fromiter(map(len, sets), np.int64, len(sets)) for sets in sides]
+    flat = [np.concatenate(sets) if sets else np.zeros(0, np.int64) for sets in sides]
+    both = np.intersect1d(*flat)
+    overlap = np.zeros((len(sides[0]), len(sides[1])), dtype=np.float32)
+    rows = [np.repeat(np.arange(len(s)), s) for s in sizes]
+    at = [np.searchsorted(both, f) for f in flat]
+    held = [(p < len(both)) & (both[np.minimum(p, max(len(both) - 1, 0))] == f) if len(both) else np.zeros(len(f), bool)
+            for p, f in zip(at, flat)]
+    for low in range(0, len(both), 4096):
+        tables = []
+        for r, p, h, s in zip(rows, at, held, sizes):
+            inside = h & (p >= low) & (p < low + 4096)
+            table = np.zeros((len(s), 4096), dtype=np.float32)
+            table[r[inside], p[inside] - low] = 1
+            tables.append(table)
+        overlap += tables[0] @ tables[1].T
+    overlap = overlap.astype(np.int64)
+    c = [np.asarray(t["c"]) for t in (asking, others)]
+    union = sizes[0][:, None] + sizes[1][None, :] - overlap
+    x, y = np.nonzero((100 * overlap >= percent * union) & (c[0][:, None] != c[1][None, :]))
+    a, b = np.asarray(asking["node"])[x], np.asarray(others["node"])[y]
+    return pa.table([pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())], names=["a", "b"])
 
 
 def components(docs: DataFrame, size: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
@@ -268,7 +318,7 @@ def components(docs: DataFrame, size: int = 5, percent: int = 80) -> tuple[DataF
     named = linker.component(rows, "node", "c")
     mixed = named.groupBy("key").agg(F.min("c").alias("c1"), F.max("c").alias("c2")).where("c1 != c2").select("key")
     members = store(named.join(mixed, "key").select("node", "c").distinct(), "mixed-members")
-    linker.compare(linker.near(members))
+    linker.link_families(linker.possible(members), rows.select("key", "node"))
     nodes = classes.select("s1", "s2", "node")
     return signed.join(nodes, ["s1", "s2"], "left"), linker.component(nodes.select("node"), "node", "component")
 
