@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import datetime as dt
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterable
@@ -24,7 +26,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         root = spark.conf.get("spark.checkpoint.dir", None)
         if root is None and not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(root or tempfile.mkdtemp(prefix="agrospark-"))
+        if root is None:
+            root = tempfile.mkdtemp(prefix="agrospark-")
+            atexit.register(shutil.rmtree, root, ignore_errors=True)  # ours alone, and of no use afterwards
+        context.setCheckpointDir(root)
     return context.getCheckpointDir()
 
 

@@ -109,9 +109,10 @@ def read_last_n(
     days = [d for d in list_days(spark, root) if d <= limit][-n:]
     if not days:
         return None
+    # Only the folders of these days are listed and only their footers opened to merge the schema.
     return (
-        spark.read.option("mergeSchema", True).option("ignoreCorruptFiles", skip_unreadable).parquet(root)
-        .where(F.col(DAY).isin([F.lit(d) for d in days]))
+        spark.read.option("mergeSchema", True).option("ignoreCorruptFiles", skip_unreadable)
+        .option("basePath", root).parquet(*[f"{root.rstrip('/')}/{DAY}={d}" for d in days])
     )
 
 
