@@ -123,7 +123,8 @@ def judged(docs: DataFrame, max_class: float = 0.28, max_common: float = 0.5, mi
 
 def quality_filter(docs: DataFrame, **limits) -> DataFrame:
     """The rows of docs that are kept, with their columns."""
-    return judged(docs, **limits).where("kept").select("row.*")
+    # Stored first: a filter on the verdict would be pushed below, where each part of it computes all of it again.
+    return store(judged(docs, **limits).select("row", "kept"), "judged").where("kept").select("row.*")
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
