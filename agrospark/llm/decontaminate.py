@@ -64,6 +64,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, window: int = 16, percent: i
     same = F.zip_with(mine, "there", lambda a, b: (a == b).cast("int"))
     compared = aligned.join(own, ["item_id", "item"]).select(
         "doc_id", "h", "item_id", "shift", same.alias("same"), F.least(F.size("tokens"), F.lit(window)).alias("size"))
+    compared = store(compared, "aligned")  # else the filter below would repeat the comparison for each stretch
     starts = F.when(F.size("same") >= F.col("size"), F.sequence(F.lit(0), F.size("same") - F.col("size"))) \
         .otherwise(F.array().cast("array<int>"))
     equal = lambda s: F.aggregate(F.slice("same", s + 1, F.col("size")), F.lit(0), lambda a, x: a + x)
