@@ -5,7 +5,7 @@ import pytest
 
 from agrospark.llm import decontaminate as D, line_templates as T, quality as Q
 from tests.llm import brute
-from tests.llm.texts import BASE, PASSAGE, ROWS, prose
+from tests.llm.texts import BASE, COMMON, PASSAGE, ROWS, prose
 
 BENCH = "item_id bigint, text string, doc_id bigint"
 
@@ -54,6 +54,14 @@ def test_filter_keeps_rows_as_they_are(spark, documents):
     assert Q.quality_filter(documents([])).count() == 0
 
 
+def test_long_texts_without_common_words_go(spark, documents):
+    strange = " ".join(w for w in prose(50, 400).split() if w not in COMMON)
+    rows = [(i, prose(60 + i, 150)) for i in range(20)] + [(20, strange), (21, " ".join(strange.split()[:60]))]
+    rows += [(30 + i, prose(90 + i, 150), "de") for i in range(3)]  # none has a common word: nothing to tell them by
+    kept = {r.doc_id for r in Q.quality_filter(documents(rows)).collect()}
+    assert kept == {*range(20), 21, 30, 31, 32}
+
+
 # --- lines --------------------------------------------------------------------------------------
 
 def test_templates_with_variable_fields_go_but_for_the_first_document(spark, documents):
