@@ -1,11 +1,14 @@
 """Line dedup by a log-template tree: lines are parsed to templates, and templates that recur across documents go.
 
 The tree has a fixed depth: the number of tokens, then the first `depth` tokens, where a token with a digit is a
-variable field already. In a leaf, a word is fixed at its place if it stands there in `min_docs` lines and in the
-share `agreed` of the leaf's lines, or if its whole line is found in `min_docs` documents; all other tokens are
-variable. The share keeps prose apart: its lines may begin alike and hold the same small words, but never agree. A
-line's template is its leaf and its fixed words; it recurs if it is found in `min_docs` documents and enough of it is
-fixed, so rows of numbers never do. All lines of a recurring template are dropped but those of the first document.
+variable field already. Below a leaf, a line's words are ordered by their support, the lines of the leaf that have the
+word at its place; lines found in `min_docs` documents are no part of it. A template is the words of a support and more,
+all other tokens are variable. A line has one such template for each support, one inside the other, so a small template
+is found beside large ones. A template recurs if `min_docs` documents hold it, enough of it is fixed, and its words
+belong together: they are a whole line of `min_docs` documents, or the share `agreed` of the leaf has each of them, or
+they stand together well more often (1 / `agreed` times) than words that fall there by chance. That keeps prose, whose
+lines may begin alike and hold the same small words. Rows of numbers never recur. All lines of a recurring template are
+dropped but those of the first document.
 
 Lines with the same tokens are counted once with the number of their documents before tokens are looked at, so a line
 that a third of all documents share is one row. Texts are told apart by their hash: exact copies count as one
@@ -58,29 +61,55 @@ def tokens_of(docs: DataFrame, kinds: DataFrame) -> DataFrame:
     return each.select("cut.same", F.split(F.trim(F.get("lines", F.col("cut.line"))), " ").alias("tokens")).dropDuplicates(["same"])
 
 
+def candidates(marked: DataFrame, min_docs: int, min_fixed: float, agreed: float) -> DataFrame:
+    """The templates that a line may have: its words of a support and more, for each power of two and for a share of the leaf.
+
+    `sure` ones are a line found in min_docs documents or words that the share of the leaf agrees on; for the others,
+    `chance` is the number of lines that would hold all their words if words stood there independently.
+    """
+    word = F.struct("place", F.xxhash64("token").alias("token"), F.coalesce("seen", F.lit(0)).alias("seen"))
+    lines = marked.groupBy("same", "leaf", "n", "loose", "all", "home").agg(
+        F.count("*").alias("size"), F.sort_array(F.collect_list(F.when(F.col("token").rlike(r"\p{L}"), word))).alias("words"))
+    supports = F.transform(F.filter("words", lambda w: w["seen"] > 0), lambda w: F.pow(F.lit(2.0), F.floor(F.log2(w["seen"]))))
+    verbatim, half = F.col("n") >= min_docs, F.greatest(agreed * F.col("all"), F.lit(1.0 * min_docs))
+    lines = lines.withColumn("supports", F.array_distinct(
+        F.concat(supports, F.array(half, F.when(verbatim, 0.0).otherwise(half)))))
+    held = F.transform("supports", lambda s: F.filter("words", lambda w: w["seen"] >= s))
+    lines = lines.withColumn("held", F.explode(F.array_distinct(
+        F.filter(held, lambda h: F.size(h) >= min_fixed * F.col("size")))))
+    whole = verbatim & (F.size("held") == F.size("words"))
+    return lines.select(
+        "same", "leaf", "n", "loose", "home",
+        F.xxhash64(F.transform("held", lambda w: F.struct(w["place"], w["token"]))).alias("template"),
+        (whole | F.forall("held", lambda w: w["seen"] >= half)).alias("sure"),
+        F.aggregate("held", F.col("all").cast("double"), lambda a, w: a * F.try_divide(w["seen"], F.col("all"))).alias("chance"))
+
+
 def recurring_lines(docs: DataFrame, min_docs: int, depth: int, min_tokens: int, min_fixed: float, agreed: float) -> DataFrame:
     """(h, lines): the numbers of the lines that go, by text."""
     lines = store(parsed_lines(docs, depth, min_tokens), "lines")
     # A line and its documents; the first of them, by doc_id, keeps its lines.
     kinds = lines.groupBy("same", "leaf", "h").agg(F.min("doc_id").alias("doc_id"), F.min("line").alias("line")) \
         .groupBy("same", "leaf").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "h", "line")).alias("at"))
-    kinds = store(kinds.withColumn("home", F.struct("at.doc_id", "at.h")), "line-kinds")
-    busy = kinds.groupBy("leaf").agg(F.sum("n").alias("all")).where(F.col("all") >= min_docs)
-    kinds = store(kinds.join(busy, "leaf"), "busy-lines")
+    loose = F.when(F.col("n") < min_docs, F.col("n")).otherwise(F.lit(0))
+    kinds = store(kinds.withColumn("home", F.struct("at.doc_id", "at.h")).withColumn("loose", loose), "line-kinds")
+    busy = kinds.groupBy("leaf").agg(F.sum("n").alias("whole"), F.sum("loose").alias("all")).where(F.col("whole") >= min_docs)
+    kinds = store(kinds.join(busy.drop("whole"), "leaf"), "busy-lines")
     known = store(tokens_of(docs, kinds), "line-texts")
     placed = store(kinds.join(known, "same").select(
-        "same", "leaf", "n", "all", "home", F.posexplode("tokens").alias("place", "token")), "line-tokens")
-    fixed = placed.groupBy("leaf", "place", "token").agg(F.sum("n").alias("seen")).where(F.col("seen") >= min_docs)
+        "same", "leaf", "n", "loose", "all", "home", F.posexplode("tokens").alias("place", "token")), "line-tokens")
+    fixed = placed.groupBy("leaf", "place", "token").agg(F.sum("loose").alias("seen")).where(F.col("seen") >= min_docs)
     marked = placed.join(store(fixed, "fixed-tokens"), ["leaf", "place", "token"], "left")
-    stands = F.col("token").rlike(r"\p{L}") & (
-        (F.col("n") >= min_docs) | F.coalesce(F.col("seen") >= agreed * F.col("all"), F.lit(False)))
-    templates = marked.groupBy("same", "leaf", "n", "home").agg(
-        F.xxhash64(F.sort_array(F.collect_list(F.when(stands, F.struct("place", "token"))))).alias("template"),
-        F.avg(stands.cast("int")).alias("share"))
-    templates = store(templates.where(F.col("share") >= min_fixed), "templates")
-    recurring = templates.groupBy("leaf", "template").agg(F.sum("n").alias("docs"), F.min("home").alias("home")) \
-        .where(F.col("docs") >= min_docs).select("leaf", "template", F.col("home.h").alias("kept_in"))
-    gone = store(templates.join(recurring, ["leaf", "template"]).select("same", "kept_in"), "recurring-lines")
+    possible = store(candidates(marked, min_docs, min_fixed, agreed), "templates")
+    strong = (F.col("others") * agreed >= F.col("chance")) & (F.col("others") >= F.col("chance") + 2 * F.sqrt("chance"))
+    recurring = possible.groupBy("leaf", "template").agg(
+        F.sum("n").alias("docs"), F.sum("loose").alias("others"), F.max("sure").alias("sure"), F.max("chance").alias("chance")) \
+        .where((F.col("docs") >= min_docs) & (F.col("sure") | strong)).select("leaf", "template", "docs")
+    # Of a line's templates that recur, the one of most lines takes it; its first document is sought among those lines.
+    taken = store(possible.join(recurring, ["leaf", "template"]).groupBy("same", "leaf", "home").agg(
+        F.max(F.struct("docs", "template"))["template"].alias("template")), "taken-lines")
+    first = taken.groupBy("leaf", "template").agg(F.min("home")["h"].alias("kept_in"))
+    gone = store(taken.join(first, ["leaf", "template"]).select("same", "kept_in"), "recurring-lines")
     dropped = lines.join(gone, "same").where("h != kept_in")
     return store(dropped.groupBy("h").agg(F.collect_set("line").alias("lines")), "dropped-lines")
 

@@ -83,6 +83,17 @@ def test_words_vary_too_and_numbers_are_no_template(spark, documents):
     assert all(got[i].text.endswith(f"| {i} | 2 | 3 |") and "mail" not in got[i].text for i in range(1, 9))
 
 
+def test_small_templates_are_found_beside_others_of_their_leaf(spark, documents):
+    names = prose(800, 90).split()
+    kinds = ["We saw that {} left town by the evening train", "We saw that {} won first prize at our fair",
+             "We saw that {} lost every game of last week"]
+    rows = [(i, f"{prose(810 + i, 20)}\n{kinds[i % 3].format(names[i])}") for i in range(45)]
+    rows += [(100 + i, f"{prose(900 + i, 20)}\nDo not ever print this page for more than one reader") for i in range(60)]
+    rows += [(200 + i, f"{prose(1000 + i, 20)}\nDo not ever call {names[i]} again if you like quiet nights") for i in range(7)]
+    got = {r.doc_id: r.n_dropped for r in T.drop_recurring_lines(documents(rows)).collect()}
+    assert {d for d, n in got.items() if not n} == {0, 1, 2, 100, 200} and set(got.values()) == {0, 1}
+
+
 def test_copies_count_once_and_are_treated_alike(spark, documents):
     line = "the very same footer line"
     rows = [(i, f"{BASE}\n{line}") for i in range(10)] + [(20 + i, f"{prose(300 + i, 30)}\n{line}") for i in range(3)]
