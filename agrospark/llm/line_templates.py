@@ -7,8 +7,10 @@ all other tokens are variable. A line has one such template for each support, on
 is found beside large ones. A template recurs if `min_docs` documents hold it, enough of it is fixed, and its words
 belong together: they are a whole line of `min_docs` documents, or the share `agreed` of the leaf has each of them, or
 they stand together well more often (1 / `agreed` times) than words that fall there by chance. That keeps prose, whose
-lines may begin alike and hold the same small words. Rows of numbers never recur. All lines of a recurring template are
-dropped but those of the first document.
+lines may begin alike and hold the same small words. The share `min_fixed` is that of a line's words: fields and tokens
+without letters do not count, but one word at least must be fixed. So rows of numbers are no template; like every line,
+they go if their text itself is found in `min_docs` documents. All lines of a recurring template or text are dropped but
+those of the first document.
 
 Lines with the same tokens are counted once with the number of their documents before tokens are looked at, so a line
 that a third of all documents share is one row. Texts are told apart by their hash: exact copies count as one
@@ -40,14 +42,18 @@ def prepared_lines(text: Column) -> Column:
 
 
 def parsed_lines(docs: DataFrame, depth: int, min_tokens: int) -> DataFrame:
-    """doc_id, h (the text's hash), line (number), the hash of its tokens, and its leaf."""
+    """doc_id, h (the text's hash), line (number), the hash of its tokens, its leaf, and of a line with fields the text's hash."""
     text = _text(F.col("text"))
-    lines = docs.select("doc_id", F.xxhash64(text).alias("h"), F.posexplode(prepared_lines(text)).alias("line", "said"))
-    lines = lines.withColumn("said", F.trim("said")).withColumn(
+    raw = F.when(text.rlike("[0-9]"), F.split(text, "\n", -1)).otherwise(F.array().cast("array<string>"))
+    lines = docs.select("doc_id", F.xxhash64(text).alias("h"), F.posexplode(
+        F.arrays_zip(prepared_lines(text).alias("said"), raw.alias("raw"))).alias("line", "both"))
+    lines = lines.select("doc_id", "h", "line", F.trim("both.said").alias("said"), F.col("both.raw").alias("raw")).withColumn(
         "size", F.length("said") - F.length(F.replace("said", F.lit(" "), F.lit(""))) + 1)
     return lines.where((F.col("said") != "") & (F.col("size") >= min_tokens)).select(
         "doc_id", "h", "line", F.xxhash64("said").alias("same"),
-        F.xxhash64("size", F.substring_index("said", " ", depth)).alias("leaf"))
+        F.xxhash64("size", F.substring_index("said", " ", depth)).alias("leaf"),
+        F.when(F.contains("said", F.lit(FIELD)), F.xxhash64(F.trim(F.regexp_replace("raw", f"[{common.BREAKS}]+", " "))))
+        .alias("raw"))
 
 
 def tokens_of(docs: DataFrame, kinds: DataFrame) -> DataFrame:
@@ -69,19 +75,21 @@ def candidates(marked: DataFrame, min_docs: int, min_fixed: float, agreed: float
     """
     word = F.struct("place", F.xxhash64("token").alias("token"), F.coalesce("seen", F.lit(0)).alias("seen"))
     lines = marked.groupBy("same", "leaf", "n", "loose", "all", "home").agg(
-        F.count("*").alias("size"), F.sort_array(F.collect_list(F.when(F.col("token").rlike(r"\p{L}"), word))).alias("words"))
+        F.max(F.col("token") == FIELD).alias("masked"), F.sort_array(F.collect_list(F.when(F.col("token").rlike(r"\p{L}"), word))).alias("words"))
     supports = F.transform(F.filter("words", lambda w: w["seen"] > 0), lambda w: F.pow(F.lit(2.0), F.floor(F.log2(w["seen"]))))
     verbatim, half = F.col("n") >= min_docs, F.greatest(agreed * F.col("all"), F.lit(1.0 * min_docs))
     lines = lines.withColumn("supports", F.array_distinct(
         F.concat(supports, F.array(half, F.when(verbatim, 0.0).otherwise(half)))))
     held = F.transform("supports", lambda s: F.filter("words", lambda w: w["seen"] >= s))
+    whole = lambda h: verbatim & (F.size(h) == F.size("words"))
     lines = lines.withColumn("held", F.explode(F.array_distinct(
-        F.filter(held, lambda h: F.size(h) >= min_fixed * F.col("size")))))
-    whole = verbatim & (F.size("held") == F.size("words"))
+        F.filter(held, lambda h: F.when(F.size(h) > 0, F.size(h) >= min_fixed * F.size("words")).otherwise(
+            whole(h) & ~F.col("masked"))))))
     return lines.select(
         "same", "leaf", "n", "loose", "home",
-        F.xxhash64(F.transform("held", lambda w: F.struct(w["place"], w["token"]))).alias("template"),
-        (whole | F.forall("held", lambda w: w["seen"] >= half)).alias("sure"),
+        F.when(F.size("held") == 0, F.col("same")).otherwise(
+            F.xxhash64(F.transform("held", lambda w: F.struct(w["place"], w["token"])))).alias("template"),
+        (whole("held") | F.forall("held", lambda w: w["seen"] >= half)).alias("sure"),
         F.aggregate("held", F.col("all").cast("double"), lambda a, w: a * F.try_divide(w["seen"], F.col("all"))).alias("chance"))
 
 
@@ -110,7 +118,11 @@ def recurring_lines(docs: DataFrame, min_docs: int, depth: int, min_tokens: int,
         F.max(F.struct("docs", "template"))["template"].alias("template")), "taken-lines")
     first = taken.groupBy("leaf", "template").agg(F.min("home")["h"].alias("kept_in"))
     gone = store(taken.join(first, ["leaf", "template"]).select("same", "kept_in"), "recurring-lines")
-    dropped = lines.join(gone, "same").where("h != kept_in")
+    dropped = lines.join(gone, "same").where("h != kept_in").select("h", "line")
+    # Lines with fields and no word are no template, but go if the text itself is found again.
+    again = lines.where("raw is not null").groupBy("raw", "h").agg(F.min("doc_id").alias("doc_id")).groupBy("raw").agg(
+        F.count("*").alias("docs"), F.min(F.struct("doc_id", "h"))["h"].alias("kept_in")).where(F.col("docs") >= min_docs)
+    dropped = dropped.unionByName(lines.join(store(again, "recurring-texts"), "raw").where("h != kept_in").select("h", "line"))
     return store(dropped.groupBy("h").agg(F.collect_set("line").alias("lines")), "dropped-lines")
 
 

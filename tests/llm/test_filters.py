@@ -94,6 +94,16 @@ def test_small_templates_are_found_beside_others_of_their_leaf(spark, documents)
     assert {d for d, n in got.items() if not n} == {0, 1, 2, 100, 200} and set(got.values()) == {0, 1}
 
 
+def test_lines_of_many_fields_go_and_rows_of_numbers_only_if_equal(spark, documents):
+    lines = lambda i: [f"2024-01-{i} 12:00:0{i} INFO worker-{i} finished job {i}42", f"Copyright 199{i} 2024 Foo 2.{i}",
+                       "| 7 | 8 | 9 |", "--- --- ---", f"| {i} | 2 | 3 |"]
+    rows = [(i, "\n".join([prose(1100 + i, 24), *lines(i)])) for i in range(6)]
+    got = {r.doc_id: r for r in T.drop_recurring_lines(documents(rows)).collect()}
+    assert got[0].text == rows[0][1]
+    for i in range(1, 6):
+        assert got[i].text == f"{prose(1100 + i, 24)}\n| {i} | 2 | 3 |" and got[i].n_dropped == 4
+
+
 def test_copies_count_once_and_are_treated_alike(spark, documents):
     line = "the very same footer line"
     rows = [(i, f"{BASE}\n{line}") for i in range(10)] + [(20 + i, f"{prose(300 + i, 30)}\n{line}") for i in range(3)]
