@@ -9,7 +9,7 @@ belong together: they are a whole line of `min_docs` documents, or the share `ag
 they stand together well more often (1 / `agreed` times) than words that fall there by chance. That keeps prose, whose
 lines may begin alike and hold the same small words. The share `min_fixed` is that of a line's words: fields and tokens
 without letters do not count, but one word at least must be fixed. So rows of numbers are no template; like every line,
-they go if their text itself is found in `min_docs` documents. All lines of a recurring template or text are dropped but
+they go if their text itself is found in `min_docs` documents, or in two if it is a passage of twenty tokens. All lines of a recurring template or text are dropped but
 those of the first document.
 
 Lines with the same tokens are counted once with the number of their documents before tokens are looked at, so a line
@@ -25,6 +25,7 @@ from agrospark.llm import common
 from agrospark.sources.files import store
 
 FIELD = "<*>"
+LONG = 20  # tokens of a line that is a passage: two documents do not write it independently
 
 
 def _text(text: Column) -> Column:
@@ -42,7 +43,7 @@ def prepared_lines(text: Column) -> Column:
 
 
 def parsed_lines(docs: DataFrame, depth: int, min_tokens: int) -> DataFrame:
-    """doc_id, h (the text's hash), line (number), the hash of its tokens, its leaf, and of a line with fields the text's hash."""
+    """doc_id, h (the text's hash), line (number), the hash of its tokens, its leaf, of a line with fields the text's hash, and if it is long."""
     text = _text(F.col("text"))
     raw = F.when(text.rlike("[0-9]"), F.split(text, "\n", -1)).otherwise(F.array().cast("array<string>"))
     lines = docs.select("doc_id", F.xxhash64(text).alias("h"), F.posexplode(
@@ -53,7 +54,7 @@ def parsed_lines(docs: DataFrame, depth: int, min_tokens: int) -> DataFrame:
         "doc_id", "h", "line", F.xxhash64("said").alias("same"),
         F.xxhash64("size", F.substring_index("said", " ", depth)).alias("leaf"),
         F.when(F.contains("said", F.lit(FIELD)), F.xxhash64(F.trim(F.regexp_replace("raw", f"[{common.BREAKS}]+", " "))))
-        .alias("raw"))
+        .alias("raw"), (F.col("size") >= LONG).alias("long"))
 
 
 def tokens_of(docs: DataFrame, kinds: DataFrame) -> DataFrame:
@@ -119,10 +120,13 @@ def recurring_lines(docs: DataFrame, min_docs: int, depth: int, min_tokens: int,
     first = taken.groupBy("leaf", "template").agg(F.min("home")["h"].alias("kept_in"))
     gone = store(taken.join(first, ["leaf", "template"]).select("same", "kept_in"), "recurring-lines")
     dropped = lines.join(gone, "same").where("h != kept_in").select("h", "line")
-    # Lines with fields and no word are no template, but go if the text itself is found again.
-    again = lines.where("raw is not null").groupBy("raw", "h").agg(F.min("doc_id").alias("doc_id")).groupBy("raw").agg(
-        F.count("*").alias("docs"), F.min(F.struct("doc_id", "h"))["h"].alias("kept_in")).where(F.col("docs") >= min_docs)
-    dropped = dropped.unionByName(lines.join(store(again, "recurring-texts"), "raw").where("h != kept_in").select("h", "line"))
+    # Lines with fields and no word are no template, but go if the text itself is found again; long ones go at once.
+    texts = lines.where("raw is not null or long").select("doc_id", "h", "line", "long", F.coalesce("raw", "same").alias("said"))
+    again = texts.groupBy("said", "long", "h").agg(F.min("doc_id").alias("doc_id")).groupBy("said", "long").agg(
+        F.count("*").alias("docs"), F.min(F.struct("doc_id", "h"))["h"].alias("kept_in"))
+    again = again.where(F.col("docs") >= F.when(F.col("long"), F.least(F.lit(2), F.lit(min_docs))).otherwise(min_docs))
+    again = store(again.select("said", "kept_in"), "recurring-texts")
+    dropped = dropped.unionByName(texts.join(again, "said").where("h != kept_in").select("h", "line"))
     return store(dropped.groupBy("h").agg(F.collect_set("line").alias("lines")), "dropped-lines")
 
 

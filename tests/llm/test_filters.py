@@ -104,6 +104,14 @@ def test_lines_of_many_fields_go_and_rows_of_numbers_only_if_equal(spark, docume
         assert got[i].text == f"{prose(1100 + i, 24)}\n| {i} | 2 | 3 |" and got[i].n_dropped == 4
 
 
+def test_long_lines_go_from_the_second_document_on(spark, documents):
+    passage, year = prose(1200, 40, line=40), "in 1999 " + prose(1201, 30, line=30)
+    rows = [(i, f"{prose(1210 + i, 24)}\n{passage}\n{year}\n{year.replace('1999', str(i))}") for i in range(2)]
+    got = {r.doc_id: r for r in T.drop_recurring_lines(documents(rows)).collect()}
+    assert got[0].text == rows[0][1]
+    assert got[1].text == f"{prose(1211, 24)}\n{year.replace('1999', '1')}" and got[1].n_dropped == 2
+
+
 def test_copies_count_once_and_are_treated_alike(spark, documents):
     line = "the very same footer line"
     rows = [(i, f"{BASE}\n{line}") for i in range(10)] + [(20 + i, f"{prose(300 + i, 30)}\n{line}") for i in range(3)]
