@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from agrospark.llm import (
-    bpe, chat, decontaminate, line_templates, lm_scoring, minhash, pii, quality, simple8b, suffix_repeats,
-    twins,
+    bpe, chat, collocations, decontaminate, line_templates, lm_scoring, merkle, minhash, pii, quality, simple8b,
+    suffix_repeats, twins, url_filter,
 )
 
 QUERIES = {
@@ -18,6 +18,9 @@ QUERIES = {
     "op8_line_templates": line_templates.op8_line_templates,
     "op9_minhash": minhash.op9_minhash,
     "op10_chat": chat.op10_chat,
+    "op11_collocations": collocations.op11_collocations,
+    "op12_merkle": merkle.op12_merkle,
+    "op13_url_filter": url_filter.op13_url_filter,
 }
 
 SQL: dict[str, str] = twins.SQL
