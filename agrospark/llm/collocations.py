@@ -25,9 +25,10 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from agrospark.llm import common
+from agrospark.llm.lm_scoring import received, sent
 from agrospark.sources.files import scratch_dir
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 LEAST = 30
 LONGEST = 4
 PHRASES = 2000
@@ -79,7 +80,7 @@ def _word_block(block: int, rows: list[pa.RecordBatch]) -> tuple[pa.RecordBatch,
     pick = lambda values, at: values.take(pa.array(at)).cast(pa.string())
     one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
     row = pa.RecordBatch.from_arrays([
-        pa.array([block], pa.int64()), _binary(places, np.int32), _binary(codes, np.int32),
+        pa.array([block], pa.int64()), _column(places, ascending=True), _column(codes),
         one(pick(langs.dictionary, keys // max(1, len(words)))), one(pick(words, keys % max(1, len(words)))),
         one(pa.array(counts, pa.int64())),
     ], names=_names(WORDS))
@@ -90,8 +91,14 @@ def _names(schema: str) -> list[str]:
     return [f.split()[0] for f in schema.split(", ")]
 
 
-def _binary(values: np.ndarray, kind: type) -> pa.Array:
-    return pa.array([values.astype(kind).tobytes()], pa.binary())
+def _column(values: np.ndarray, ascending: bool = False) -> pa.Array:
+    """A row's packed numbers; ascending ones as differences."""
+    return pa.array([sent(np.diff(values, prepend=0) if ascending else values)], pa.binary())
+
+
+def _numbers(data: bytes, ascending: bool = False) -> np.ndarray:
+    values = received(data).view(np.int64)
+    return np.cumsum(values) if ascending else values
 
 
 def _written(rows: DataFrame, name: str) -> DataFrame:
@@ -130,7 +137,7 @@ def pair_groups(relation: DataFrame) -> DataFrame:
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, *columns in zip(*(batch.column(c).to_pylist() for c in ("block", "firsts", "rests", "counts"))):
-                first, rest, n = (np.frombuffer(c, np.int64) for c in columns)
+                first, rest, n = _numbers(columns[0], ascending=True), *map(_numbers, columns[1:])
                 for a in range(0, len(n), 1 << 16):
                     b = min(len(n), a + (1 << 16))
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in (
@@ -155,21 +162,22 @@ def each_once(groups: DataFrame) -> DataFrame:
 def next_relation(relation: DataFrame, known: DataFrame) -> DataFrame:
     """R(k+1) before counting, from R(k) and its frequent groups (block, code, id)."""
     def extend(_: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        places = np.frombuffer(left.column("places")[0].as_py(), np.int32)
-        codes = np.frombuffer(left.column("codes")[0].as_py(), np.int32)
+        places = _numbers(left.column("places")[0].as_py(), ascending=True)
+        codes = _numbers(left.column("codes")[0].as_py())
+        right = right.sort_by("id")
+        own, ids = right.column("code").to_numpy(), right.column("id").to_numpy()
         # Semi-join: only occurrences of frequent groups stay.
-        own = right.column("code").to_numpy()
         numbers = np.full(int(max(codes.max(initial=-1), own.max(initial=-1))) + 1, -1, np.int64)
         numbers[own] = np.arange(len(own))
-        ids = right.column("id").to_numpy()
         local = numbers[codes]
         places, local = places[local >= 0], local[local >= 0]
         # Merge-join of the relation with itself: the next occurrence begins one word further.
         at = np.flatnonzero(np.diff(places) == 1)
-        keys, codes, counts = np.unique(local[at] * max(1, len(ids)) + local[at + 1], return_inverse=True, return_counts=True)
+        n = max(1, len(ids))
+        keys, codes, counts = np.unique(local[at] * n + local[at + 1], return_inverse=True, return_counts=True)
         return pa.Table.from_arrays([
-            left.column("block").slice(0, 1), _binary(places[at], np.int32), _binary(codes, np.int32),
-            _binary(ids[keys // max(1, len(ids))], np.int64), _binary(ids[keys % max(1, len(ids))], np.int64), _binary(counts, np.int64),
+            left.column("block").slice(0, 1), _column(places[at], ascending=True), _column(codes),
+            _column(ids[keys // n], ascending=True), _column(ids[keys % n]), _column(counts),
         ], names=_names(PAIRS))
 
     rows = relation.select("block", "places", "codes").groupBy("block").cogroup(known.select("block", "code", "id").groupBy("block"))
