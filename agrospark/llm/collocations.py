@@ -10,8 +10,7 @@ added up by Spark over (first part, rest), and the frequent ones go back to the
 broadcast.
 
 A phrase is known by a number, a longer phrase by the numbers of its first part and its rest, so counts are of phrases
-and not of hashes. A block's number is that of its first word among those its task has read, so the number of a block
-and that of a group in it add up to a number that no other group has; a phrase takes the least of its groups'.
+and not of hashes.
 """
 
 from __future__ import annotations
@@ -70,8 +69,8 @@ def read_words(text: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array, np.nda
     return places, coded.indices.to_numpy(zero_copy_only=False), coded.dictionary, owner
 
 
-def _word_block(block: int, rows: list[pa.RecordBatch]) -> tuple[pa.RecordBatch, int]:
-    """R1 of a block, with the distinct words of each language and how often they occur; the number of words."""
+def _word_block(block: int, rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+    """R1 of a block, with the distinct words of each language and how often they occur."""
     table = pa.Table.from_batches(rows).combine_chunks()
     places, codes, words, owner = read_words(table.column("text").chunk(0))
     langs = table.column("lang").chunk(0).dictionary_encode()
@@ -79,12 +78,11 @@ def _word_block(block: int, rows: list[pa.RecordBatch]) -> tuple[pa.RecordBatch,
     keys, codes, counts = np.unique(language * max(1, len(words)) + codes, return_inverse=True, return_counts=True)
     pick = lambda values, at: values.take(pa.array(at)).cast(pa.string())
     one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
-    row = pa.RecordBatch.from_arrays([
+    return pa.RecordBatch.from_arrays([
         pa.array([block], pa.int64()), _column(places, ascending=True), _column(codes),
         one(pick(langs.dictionary, keys // max(1, len(words)))), one(pick(words, keys % max(1, len(words)))),
         one(pa.array(counts, pa.int64())),
     ], names=_names(WORDS))
-    return row, len(places)
 
 
 def _names(schema: str) -> list[str]:
@@ -111,12 +109,11 @@ def _written(rows: DataFrame, name: str) -> DataFrame:
 def word_relation(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """R1 of all whole texts, one row per block of about `block_bytes`; a text is in one block."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, held, size = TaskContext.get().partitionId() << 40, [], 0
+        block, held, size = TaskContext.get().partitionId() << 32, [], 0
         for batch in itertools.chain((piece for whole in batches for piece in common.slices(whole, size=block_bytes // 4)), [None]):
             if held and (batch is None or size + batch.nbytes > block_bytes):
-                row, n = _word_block(block, held)
-                yield row
-                block, held, size = block + max(n, 1), [], 0
+                yield _word_block(block, held)
+                block, held, size = block + 1, [], 0
             if batch is not None:
                 held.append(batch)
                 size += batch.nbytes
@@ -148,15 +145,25 @@ def pair_groups(relation: DataFrame) -> DataFrame:
 
 
 def frequent(groups: DataFrame, keys: list[str], least: int) -> DataFrame:
-    """The groups (block, code, keys, n) whose key sums up to `least` or more: block, code, keys, id, a (the sum)."""
+    """The groups (block, code, keys, n) whose key sums up to `least` or more: block, code, keys, id, a (the sum).
+
+    Rows of a key are side by side in one partition, whose number and that of the row give the key its own; small
+    numbers, since they are sent around. Keys and sum are kept by the key's first row only.
+    """
     same = Window.partitionBy(*keys)
-    sums = groups.withColumn("a", F.sum("n").over(same)).withColumn("id", F.min(F.col("block") + F.col("code")).over(same))
-    return _written(sums.where(F.col("a") >= least).drop("n"), "frequent-groups")
+    parts = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    row = F.monotonically_increasing_id()
+    number = F.when(F.shiftright(row, 33) < parts, row.bitwiseAND((1 << 33) - 1) * parts + F.shiftright(row, 33)) \
+        .otherwise(F.raise_error(F.lit("more partitions than spark.sql.shuffle.partitions")).cast("bigint"))
+    rows = groups.withColumn("a", F.sum("n").over(same)).where(F.col("a") >= least).withColumn("number", number)
+    rows = rows.withColumn("id", F.min("number").over(same))
+    own = F.col("id") == F.col("number")
+    return _written(rows.select("block", "code", "id", *[F.when(own, F.col(c)).alias(c) for c in (*keys, "a")]), "frequent-groups")
 
 
 def each_once(groups: DataFrame) -> DataFrame:
     """Frequent groups without their blocks."""
-    return groups.where(F.col("id") == F.col("block") + F.col("code")).drop("block", "code")
+    return groups.where("a is not null").drop("block", "code")
 
 
 def next_relation(relation: DataFrame, known: DataFrame) -> DataFrame:
