@@ -5,12 +5,12 @@ have consecutive places, and a number is left out between pieces. R(k) joins R(k
 merge of two sorted columns; its rows are grouped by (first part, rest) and counted, groups of fewer than `least` are
 gone, and what remains of R(k) is its semi-join with the frequent groups. A relation is cut into blocks of texts, one
 stored row per block with its columns packed, so that occurrences are grouped within their block before anything is
-shuffled: a group crosses the network once per block, and a word that is everywhere is one row per block. Groups are
-added up by Spark over (first part, rest), and the frequent ones go back to the blocks that hold them. Nothing is
-broadcast.
+shuffled: a group crosses the network once per block, and a word that is everywhere is one entry per block.
 
-A phrase is known by a number, a longer phrase by the numbers of its first part and its rest, so counts are of phrases
-and not of hashes.
+Groups are dealt to ranges by a hash of their key, as many ranges as the session has shuffle partitions; a message holds
+what a block has for a range. A range adds up its groups and tells every block the numbers of its frequent ones.
+A phrase is known by such a number, a longer phrase by the numbers of its first part and its rest, so counts are of
+phrases and not of hashes. Nothing is broadcast.
 """
 
 from __future__ import annotations
@@ -20,11 +20,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from agrospark.llm import common
-from agrospark.llm.lm_scoring import received, sent
+from agrospark.llm.lm_scoring import pair_keys, received, sent
 from agrospark.sources.files import scratch_dir
 
 BLOCK_BYTES = 4 << 20
@@ -33,9 +35,12 @@ LONGEST = 4
 PHRASES = 2000
 NO_LANGUAGE = "und"
 
-WORDS = "block bigint, places binary, codes binary, langs array<string>, words array<string>, counts array<bigint>"
-PAIRS = "block bigint, places binary, codes binary, firsts binary, rests binary, counts binary"
-GROUPS = "block bigint, code int, first bigint, rest bigint, n bigint"
+# Columns of relations, messages, and what ranges say: to a block (block, numbers), or of a phrase (no block).
+RELATION = "block bigint, places binary, codes binary, numbers binary, langs array<string>, words binary"
+MESSAGES = "range int, block bigint, numbers binary, langs array<string>, words binary"
+ANSWERS = "block bigint, numbers binary, langs array<string>, words binary"
+WORD_PHRASES = "id bigint, a bigint, lang string, word string"
+PAIR_PHRASES = "id bigint, a bigint, first bigint, rest bigint"
 
 # Bytes of a text: of a word, blank, or end of a piece.
 _KIND = np.zeros(256, np.uint8)
@@ -69,34 +74,48 @@ def read_words(text: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array, np.nda
     return places, coded.indices.to_numpy(zero_copy_only=False), coded.dictionary, owner
 
 
-def _word_block(block: int, rows: list[pa.RecordBatch]) -> pa.RecordBatch:
-    """R1 of a block, with the distinct words of each language and how often they occur."""
-    table = pa.Table.from_batches(rows).combine_chunks()
-    places, codes, words, owner = read_words(table.column("text").chunk(0))
-    langs = table.column("lang").chunk(0).dictionary_encode()
-    language = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)[owner]
-    keys, codes, counts = np.unique(language * max(1, len(words)) + codes, return_inverse=True, return_counts=True)
-    pick = lambda values, at: values.take(pa.array(at)).cast(pa.string())
-    one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
-    return pa.RecordBatch.from_arrays([
-        pa.array([block], pa.int64()), _column(places, ascending=True), _column(codes),
-        one(pick(langs.dictionary, keys // max(1, len(words)))), one(pick(words, keys % max(1, len(words)))),
-        one(pa.array(counts, pa.int64())),
-    ], names=_names(WORDS))
-
-
 def _names(schema: str) -> list[str]:
     return [f.split()[0] for f in schema.split(", ")]
 
 
-def _column(values: np.ndarray, ascending: bool = False) -> pa.Array:
-    """A row's packed numbers; ascending ones as differences."""
-    return pa.array([sent(np.diff(values, prepend=0) if ascending else values)], pa.binary())
+def _rows(schema: str, rows: list[tuple]) -> pa.RecordBatch:
+    kinds = {"int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary(), "array<string>": pa.list_(pa.string())}
+    columns = zip(*rows) if rows else [[]] * len(_names(schema))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(list(c), kinds[f.split()[1]]) for c, f in zip(columns, schema.split(", "))], names=_names(schema))
+
+
+def _pack(*columns: np.ndarray) -> bytes:
+    """Columns of one length; ascending numbers, as most of the first ones are, go as differences."""
+    return sent(np.concatenate([np.diff(c, prepend=0) for c in columns])) if len(columns[0]) else b""
+
+
+def _unpack(data: bytes, n: int) -> np.ndarray:
+    return np.cumsum(received(data).view(np.int64).reshape(n, -1), axis=1) if data else np.zeros((n, 0), np.int64)
+
+
+def _pack_words(words: pa.Array) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(b"\n".join(words.cast(pa.large_binary()).to_pylist()))
+
+
+def _unpack_words(data: bytes) -> list[bytes]:
+    return zstandard.ZstdDecompressor().decompress(data).split(b"\n")
 
 
-def _numbers(data: bytes, ascending: bool = False) -> np.ndarray:
-    values = received(data).view(np.int64)
-    return np.cumsum(values) if ascending else values
+def _texts(words: list[bytes]) -> pa.Array:
+    return pa.array(words, pa.large_binary()).cast(pa.large_string())
+
+
+def _word_block(block: int, rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+    """R1 of a block, with the distinct words of each language and how often they occur."""
+    table = pa.Table.from_batches(rows).combine_chunks()
+    places, codes, words, owner = read_words(table.column("text").chunk(0))
+    langs = table.column("lang").chunk(0).dictionary_encode()
+    language = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)[owner]
+    n = max(1, len(words))
+    keys, codes, counts = np.unique(language * n + codes, return_inverse=True, return_counts=True)
+    return _rows(RELATION, [(block, _pack(places), _pack(codes), _pack(keys // n, counts), langs.dictionary.to_pylist(),
+                             _pack_words(words.take(pa.array(keys % n))))])
 
 
 def _written(rows: DataFrame, name: str) -> DataFrame:
@@ -120,59 +139,111 @@ def word_relation(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
 
     common.ship(docs.sparkSession)
     rows = docs.select(F.coalesce(F.col("lang"), F.lit(NO_LANGUAGE)).alias("lang"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    return _written(rows.mapInArrow(cut, WORDS), "occurrences-1")
+    return _written(rows.mapInArrow(cut, RELATION), "occurrences")
 
 
-def word_groups(relation: DataFrame) -> DataFrame:
-    zipped = F.arrays_zip("langs", "words", "counts")
-    return relation.select("block", F.posexplode(zipped).alias("code", "w")) \
-        .select("block", "code", F.col("w.langs").alias("lang"), F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
-
-
-def pair_groups(relation: DataFrame) -> DataFrame:
-    """The groups of a relation from the second on, a row each."""
-    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def words_per_language(relation: DataFrame) -> DataFrame:
+    """(lang, n): all words of a language."""
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, *columns in zip(*(batch.column(c).to_pylist() for c in ("block", "firsts", "rests", "counts"))):
-                first, rest, n = _numbers(columns[0], ascending=True), *map(_numbers, columns[1:])
-                for a in range(0, len(n), 1 << 16):
-                    b = min(len(n), a + (1 << 16))
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (
-                        np.full(b - a, block, np.int64), np.arange(a, b, dtype=np.int32), first[a:b], rest[a:b], n[a:b],
-                    )], names=_names(GROUPS))
+            for row in batch.to_pylist():
+                lang, n = _unpack(row["numbers"], 2)
+                sums = np.zeros(len(row["langs"]), np.int64)
+                np.add.at(sums, lang, n)
+                yield pa.RecordBatch.from_arrays([pa.array(row["langs"], pa.string()), pa.array(sums)], names=["lang", "n"])
 
-    return relation.select("block", "firsts", "rests", "counts").mapInArrow(unpack, GROUPS)
+    counted = relation.select("numbers", "langs").mapInArrow(add, "lang string, n bigint").where("n > 0")
+    return counted.groupBy("lang").agg(F.sum("n").alias("n"))
 
 
-def frequent(groups: DataFrame, keys: list[str], least: int) -> DataFrame:
-    """The groups (block, code, keys, n) whose key sums up to `least` or more: block, code, keys, id, a (the sum).
-
-    Rows of a key are side by side in one partition, whose number and that of the row give the key its own; small
-    numbers, since they are sent around. Keys and sum are kept by the key's first row only.
-    """
-    same = Window.partitionBy(*keys)
-    parts = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    row = F.monotonically_increasing_id()
-    number = F.when(F.shiftright(row, 33) < parts, row.bitwiseAND((1 << 33) - 1) * parts + F.shiftright(row, 33)) \
-        .otherwise(F.raise_error(F.lit("more partitions than spark.sql.shuffle.partitions")).cast("bigint"))
-    rows = groups.withColumn("a", F.sum("n").over(same)).where(F.col("a") >= least).withColumn("number", number)
-    rows = rows.withColumn("id", F.min("number").over(same))
-    own = F.col("id") == F.col("number")
-    return _written(rows.select("block", "code", "id", *[F.when(own, F.col(c)).alias(c) for c in (*keys, "a")]), "frequent-groups")
-
+def messages(relation: DataFrame, ranges: int) -> DataFrame:
+    """The groups of each block, dealt to ranges by their key: (lang and word, or first part and rest; code, count)."""
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                if row["words"] is None:
+                    first, rest, n = _unpack(row["numbers"], 3)
+                    words, key = None, pair_keys(first.view(np.uint64), rest.view(np.uint64))
+                else:
+                    first, n = _unpack(row["numbers"], 2)
+                    rest, words = np.zeros(len(n), np.int64), np.array(_unpack_words(row["words"]) if len(n) else [], object)
+                    key = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+                owner = (key % np.uint64(ranges)).astype(np.int64)
+                order = np.argsort(owner, kind="stable")
+                cuts = np.flatnonzero(np.diff(owner[order], prepend=-1))
+                rows = []
+                for part in np.split(order, cuts[1:]) if len(order) else []:
+                    said = None if words is None else zstandard.ZstdCompressor(level=1).compress(b"\n".join(words[part]))
+                    rows.append((int(owner[part[0]]), row["block"], _pack(first[part], part, n[part], rest[part]),
+                                 None if words is None else row["langs"], said))
+                yield _rows(MESSAGES, rows)
+
+    return relation.select("block", "numbers", "langs", "words").mapInArrow(deal, MESSAGES)
+
+
+def frequent(sent_groups: DataFrame, ranges: int, least: int) -> DataFrame:
+    """`ANSWERS` on the groups that sum up to `least` or more."""
+    def add_up(table: pa.Table) -> pa.Table:
+        columns = [_unpack(m, 4) for m in table.column("numbers").to_pylist()]
+        sizes = [c.shape[1] for c in columns]
+        first, code, n, rest = np.concatenate(columns, axis=1)
+        langs = words = None
+        if table.column("words")[0].is_valid:
+            words = _texts([w for m in table.column("words").to_pylist() for w in _unpack_words(m)]).dictionary_encode()
+            rest, words = words.indices.to_numpy(zero_copy_only=False).astype(np.int64), words.dictionary
+            # Languages are numbered by message; here by range.
+            named = table.column("langs").combine_chunks()
+            coded = named.flatten().dictionary_encode()
+            begins = np.repeat(named.offsets.to_numpy()[:-1] - named.offsets[0].as_py(), sizes)
+            first, langs = coded.indices.to_numpy(zero_copy_only=False)[begins + first].astype(np.int64), coded.dictionary
+        order = np.lexsort((rest, first))
+        new = np.flatnonzero(np.append(True, (np.diff(first[order]) != 0) | (np.diff(rest[order]) != 0)))
+        sums = np.add.reduceat(n[order], new)
+        kept = sums >= least
+        ids = np.where(kept, np.cumsum(kept) * ranges + table.column("range")[0].as_py(), -1)
+        id_of = np.empty(len(order), np.int64)
+        id_of[order] = np.repeat(ids, np.diff(np.append(new, len(order))))
+        rows, upto = [], np.cumsum([0, *sizes])
+        for block, a, b in zip(table.column("block").to_pylist(), upto[:-1].tolist(), upto[1:].tolist()):
+            some = a + np.flatnonzero(id_of[a:b] >= 0)
+            if len(some):
+                rows.append((block, _pack(code[some], id_of[some]), None, None))
+        if kept.any():
+            one = order[new[kept]]
+            rows.append((None, _pack(ids[kept], sums[kept], first[one], rest[one]),
+                         None if langs is None else langs.to_pylist(),
+                         None if words is None else _pack_words(words.take(pa.array(rest[one])))))
+        return pa.Table.from_batches([_rows(ANSWERS, rows)])
+
+    return _written(sent_groups.groupBy("range").applyInArrow(add_up, ANSWERS), "frequent-groups")
+
+
+def each_once(answers: DataFrame, kind: str) -> DataFrame:
+    """The frequent groups, a row each: `WORD_PHRASES` or `PAIR_PHRASES`."""
+    def flat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                ids, a, first, rest = _unpack(row["numbers"], 4)
+                if row["words"] is None:
+                    keys = [pa.array(first), pa.array(rest)]
+                else:
+                    keys = [pa.array(row["langs"], pa.string()).take(pa.array(first)), _texts(_unpack_words(row["words"])).cast(pa.string())]
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(a), *keys], names=_names(kind))
 
-def each_once(groups: DataFrame) -> DataFrame:
-    """Frequent groups without their blocks."""
-    return groups.where("a is not null").drop("block", "code")
+    return answers.where("block is null").drop("block").mapInArrow(flat, kind)
 
 
-def next_relation(relation: DataFrame, known: DataFrame) -> DataFrame:
-    """R(k+1) before counting, from R(k) and its frequent groups (block, code, id)."""
+def next_relation(relation: DataFrame, answers: DataFrame) -> DataFrame:
+    """R(k+1) before counting, from R(k) and the numbers of its frequent groups."""
     def extend(_: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        places = _numbers(left.column("places")[0].as_py(), ascending=True)
-        codes = _numbers(left.column("codes")[0].as_py())
-        right = right.sort_by("id")
-        own, ids = right.column("code").to_numpy(), right.column("id").to_numpy()
+        if not len(left):
+            return pa.Table.from_batches([_rows(RELATION, [])])
+        places, codes = (_unpack(left.column(c)[0].as_py(), 1)[0] for c in ("places", "codes"))
+        told = [_unpack(m, 2) for m in right.column("numbers").to_pylist()]
+        own, ids = np.concatenate(told, axis=1) if told else np.zeros((2, 0), np.int64)
+        order = np.argsort(ids)
+        own, ids = own[order], ids[order]
         # Semi-join: only occurrences of frequent groups stay.
         numbers = np.full(int(max(codes.max(initial=-1), own.max(initial=-1))) + 1, -1, np.int64)
         numbers[own] = np.arange(len(own))
@@ -182,13 +253,12 @@ def next_relation(relation: DataFrame, known: DataFrame) -> DataFrame:
         at = np.flatnonzero(np.diff(places) == 1)
         n = max(1, len(ids))
         keys, codes, counts = np.unique(local[at] * n + local[at + 1], return_inverse=True, return_counts=True)
-        return pa.Table.from_arrays([
-            left.column("block").slice(0, 1), _column(places[at], ascending=True), _column(codes),
-            _column(ids[keys // n], ascending=True), _column(ids[keys % n]), _column(counts),
-        ], names=_names(PAIRS))
+        return pa.Table.from_batches([_rows(RELATION, [
+            (left.column("block")[0].as_py(), _pack(places[at]), _pack(codes), _pack(ids[keys // n], ids[keys % n], counts), None, None)])])
 
-    rows = relation.select("block", "places", "codes").groupBy("block").cogroup(known.select("block", "code", "id").groupBy("block"))
-    return _written(rows.applyInArrow(extend, PAIRS), "occurrences")
+    blocks = relation.select("block", "places", "codes").groupBy("block")
+    told = answers.where("block is not null").select("block", "numbers").groupBy("block")
+    return _written(blocks.cogroup(told).applyInArrow(extend, RELATION), "occurrences")
 
 
 def score(a: Column, left: Column, right: Column) -> Column:
@@ -215,16 +285,16 @@ def candidates(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, bloc
     Phrases: lang, phrase, a, l, r, cut, score of their lowest-scoring cut, and inside: how often the most frequent
     phrase with one word more occurs that holds them, null without one.
     """
+    ranges = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     relation = word_relation(docs, block_bytes)
-    words = word_groups(relation)
-    totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
-    groups = frequent(words, ["lang", "word"], least)
-    phrases = [each_once(groups).select("id", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"),
-                                        F.array("a").alias("heads"), F.array("a").alias("tails"), "a")]
+    totals = words_per_language(relation)
+    answers = frequent(messages(relation, ranges), ranges, least)
+    phrases = [each_once(answers, WORD_PHRASES).select(
+        "id", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), F.array("a").alias("heads"), F.array("a").alias("tails"), "a")]
     for _ in range(longest - 1):
-        relation = next_relation(relation, groups)
-        groups = frequent(pair_groups(relation), ["first", "rest"], least)
-        phrases.append(_written(_longer(each_once(groups), phrases[-1]), "phrases"))
+        relation = next_relation(relation, answers)
+        answers = frequent(messages(relation, ranges), ranges, least)
+        phrases.append(_written(_longer(each_once(answers, PAIR_PHRASES), phrases[-1]), "phrases"))
     found = []
     for size, (level, above) in enumerate(zip(phrases[1:], [*phrases[2:], None]), 2):
         cut = lambda k: F.struct(
