@@ -29,7 +29,7 @@ from agrospark.llm import common
 from agrospark.llm.lm_scoring import pair_keys, received, sent
 from agrospark.sources.files import scratch_dir
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 LEAST = 30
 LONGEST = 4
 PHRASES = 2000
