@@ -117,7 +117,7 @@ class WordEncoder:
     seen before are remembered; beyond `limit` all are forgotten and encoded again.
     """
 
-    def __init__(self, name: str, limit: int = 600_000):
+    def __init__(self, name: str, limit: int = 1_000_000):
         path = common.tokenizer_path(name)
         from tokenizers import Tokenizer
 
