@@ -85,13 +85,17 @@ def _rows(schema: str, rows: list[tuple]) -> pa.RecordBatch:
         [pa.array(list(c), kinds[f.split()[1]]) for c, f in zip(columns, schema.split(", "))], names=_names(schema))
 
 
-def _pack(*columns: np.ndarray) -> bytes:
-    """Columns of one length; ascending numbers, as most of the first ones are, go as differences."""
-    return sent(np.concatenate([np.diff(c, prepend=0) for c in columns])) if len(columns[0]) else b""
+def _pack(up: int, *columns: np.ndarray) -> bytes:
+    """Columns of one length; the first `up` are ascending and go as differences."""
+    return sent(np.concatenate([np.diff(c, prepend=0) if i < up else c for i, c in enumerate(columns)])) if len(columns[0]) else b""
 
 
-def _unpack(data: bytes, n: int) -> np.ndarray:
-    return np.cumsum(received(data).view(np.int64).reshape(n, -1), axis=1) if data else np.zeros((n, 0), np.int64)
+def _unpack(up: int, data: bytes, n: int) -> np.ndarray:
+    if not data:
+        return np.zeros((n, 0), np.int64)
+    columns = received(data).view(np.int64).reshape(n, -1)
+    columns[:up] = np.cumsum(columns[:up], axis=1)
+    return columns
 
 
 def _pack_words(words: pa.Array) -> bytes:
@@ -114,7 +118,7 @@ def _word_block(block: int, rows: list[pa.RecordBatch]) -> pa.RecordBatch:
     language = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)[owner]
     n = max(1, len(words))
     keys, codes, counts = np.unique(language * n + codes, return_inverse=True, return_counts=True)
-    return _rows(RELATION, [(block, _pack(places), _pack(codes), _pack(keys // n, counts), langs.dictionary.to_pylist(),
+    return _rows(RELATION, [(block, _pack(1, places), _pack(0, codes), _pack(1, keys // n, counts), langs.dictionary.to_pylist(),
                              _pack_words(words.take(pa.array(keys % n))))])
 
 
@@ -147,7 +151,7 @@ def words_per_language(relation: DataFrame) -> DataFrame:
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                lang, n = _unpack(row["numbers"], 2)
+                lang, n = _unpack(1, row["numbers"], 2)
                 sums = np.zeros(len(row["langs"]), np.int64)
                 np.add.at(sums, lang, n)
                 yield pa.RecordBatch.from_arrays([pa.array(row["langs"], pa.string()), pa.array(sums)], names=["lang", "n"])
@@ -163,10 +167,10 @@ def messages(relation: DataFrame, ranges: int) -> DataFrame:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
                 if row["words"] is None:
-                    first, rest, n = _unpack(row["numbers"], 3)
+                    first, rest, n = _unpack(1, row["numbers"], 3)
                     words, key = None, pair_keys(first.view(np.uint64), rest.view(np.uint64))
                 else:
-                    first, n = _unpack(row["numbers"], 2)
+                    first, n = _unpack(1, row["numbers"], 2)
                     rest, words = np.zeros(len(n), np.int64), np.array(_unpack_words(row["words"]) if len(n) else [], object)
                     key = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
                 owner = (key % np.uint64(ranges)).astype(np.int64)
@@ -175,7 +179,7 @@ def messages(relation: DataFrame, ranges: int) -> DataFrame:
                 rows = []
                 for part in np.split(order, cuts[1:]) if len(order) else []:
                     said = None if words is None else zstandard.ZstdCompressor(level=1).compress(b"\n".join(words[part]))
-                    rows.append((int(owner[part[0]]), row["block"], _pack(first[part], part, n[part], rest[part]),
+                    rows.append((int(owner[part[0]]), row["block"], _pack(2, first[part], part, n[part], rest[part]),
                                  None if words is None else row["langs"], said))
                 yield _rows(MESSAGES, rows)
 
@@ -185,7 +189,7 @@ def messages(relation: DataFrame, ranges: int) -> DataFrame:
 def frequent(sent_groups: DataFrame, ranges: int, least: int) -> DataFrame:
     """`ANSWERS` on the groups that sum up to `least` or more."""
     def add_up(table: pa.Table) -> pa.Table:
-        columns = [_unpack(m, 4) for m in table.column("numbers").to_pylist()]
+        columns = [_unpack(2, m, 4) for m in table.column("numbers").to_pylist()]
         sizes = [c.shape[1] for c in columns]
         first, code, n, rest = np.concatenate(columns, axis=1)
         langs = words = None
@@ -208,10 +212,10 @@ def frequent(sent_groups: DataFrame, ranges: int, least: int) -> DataFrame:
         for block, a, b in zip(table.column("block").to_pylist(), upto[:-1].tolist(), upto[1:].tolist()):
             some = a + np.flatnonzero(id_of[a:b] >= 0)
             if len(some):
-                rows.append((block, _pack(code[some], id_of[some]), None, None))
+                rows.append((block, _pack(1, code[some], id_of[some]), None, None))
         if kept.any():
             one = order[new[kept]]
-            rows.append((None, _pack(ids[kept], sums[kept], first[one], rest[one]),
+            rows.append((None, _pack(2, ids[kept], first[one], sums[kept], rest[one]),
                          None if langs is None else langs.to_pylist(),
                          None if words is None else _pack_words(words.take(pa.array(rest[one])))))
         return pa.Table.from_batches([_rows(ANSWERS, rows)])
@@ -224,7 +228,7 @@ def each_once(answers: DataFrame, kind: str) -> DataFrame:
     def flat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                ids, a, first, rest = _unpack(row["numbers"], 4)
+                ids, first, a, rest = _unpack(2, row["numbers"], 4)
                 if row["words"] is None:
                     keys = [pa.array(first), pa.array(rest)]
                 else:
@@ -239,8 +243,8 @@ def next_relation(relation: DataFrame, answers: DataFrame) -> DataFrame:
     def extend(_: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         if not len(left):
             return pa.Table.from_batches([_rows(RELATION, [])])
-        places, codes = (_unpack(left.column(c)[0].as_py(), 1)[0] for c in ("places", "codes"))
-        told = [_unpack(m, 2) for m in right.column("numbers").to_pylist()]
+        places, codes = (_unpack(up, left.column(c)[0].as_py(), 1)[0] for up, c in ((1, "places"), (0, "codes")))
+        told = [_unpack(1, m, 2) for m in right.column("numbers").to_pylist()]
         own, ids = np.concatenate(told, axis=1) if told else np.zeros((2, 0), np.int64)
         order = np.argsort(ids)
         own, ids = own[order], ids[order]
@@ -254,7 +258,7 @@ def next_relation(relation: DataFrame, answers: DataFrame) -> DataFrame:
         n = max(1, len(ids))
         keys, codes, counts = np.unique(local[at] * n + local[at + 1], return_inverse=True, return_counts=True)
         return pa.Table.from_batches([_rows(RELATION, [
-            (left.column("block")[0].as_py(), _pack(places[at]), _pack(codes), _pack(ids[keys // n], ids[keys % n], counts), None, None)])])
+            (left.column("block")[0].as_py(), _pack(1, places[at]), _pack(0, codes), _pack(1, ids[keys // n], ids[keys % n], counts), None, None)])])
 
     blocks = relation.select("block", "places", "codes").groupBy("block")
     told = answers.where("block is not null").select("block", "numbers").groupBy("block")
