@@ -126,6 +126,36 @@ def _(t):
     return X.lookup_asof(entities, X.feature_view(bought, ["gdd", "ndvi"]), block="week")
 
 
+AS_OF_DAY = """
+with v as (select plot_id, ds, min((gdd, ndvi)) as best from (select user_id as plot_id, cast(ts as date) as ds, value as gdd,
+  (event_id % 13)::double as ndvi from events where event_type = 'purchase') group by plot_id, ds)"""
+
+
+@query("a10_repeated_rows", "event_id:i plot_id:i ts:t gdd:f ndvi:f", AS_OF_DAY + """
+select e.event_id, e.user_id as plot_id, e.ts, v.best[1] as gdd, v.best[2] as ndvi from events e asof left join v
+ on e.user_id = v.plot_id and e.ts >= v.ds""")
+def _(t):
+    """Every offered day comes once more without its values; the complete row is the one that is found."""
+    bought = t.events.where(F.col("event_type") == "purchase").select(
+        F.col("user_id").alias("plot_id"), F.col("ts").cast("date").alias("date"), F.col("value").alias("gdd"),
+        (F.col("event_id") % 13).cast("double").alias("ndvi"))
+    empty = bought.withColumns({c: F.lit(None).cast("double") for c in ("gdd", "ndvi")})
+    entities = t.events.select("event_id", F.col("user_id").alias("plot_id"), "ts")
+    return X.lookup_asof(entities, X.feature_view(bought.unionByName(empty), ["gdd", "ndvi"]))
+
+
+@query("a10_lookup_by_time", "event_id:i plot_id:i ts:t gdd:f ndvi:f", """
+with v as (select plot_id, ts, min((gdd, ndvi)) as best from (select user_id as plot_id, ts, value as gdd,
+  (event_id % 13)::double as ndvi from events where event_type = 'purchase') group by plot_id, ts)
+select e.event_id, e.user_id as plot_id, e.ts, v.best[1] as gdd, v.best[2] as ndvi from events e asof left join v
+ on e.user_id = v.plot_id and e.ts >= v.ts""")
+def _(t):
+    bought = t.events.where(F.col("event_type") == "purchase").select(
+        F.col("user_id").alias("plot_id"), "ts", F.col("value").alias("gdd"), (F.col("event_id") % 13).cast("double").alias("ndvi"))
+    entities = t.events.select("event_id", F.col("user_id").alias("plot_id"), "ts")
+    return X.lookup_asof(entities, X.feature_view(bought, ["gdd", "ndvi"], ts="ts"), view_ts="ts")
+
+
 @query("a11_lookup_features", SNAP_SPEC, """
 select * from snapshots where ds = (select max(ds) from snapshots) and plot_id in (select plot_id from plots)""", ("snapshots", "plots"))
 def _(t):

@@ -136,7 +136,8 @@ def lookup_asof(
 ) -> DataFrame:
     """For each entity row the newest features of its key at or before its time.
 
-    No entity-feature pairs are formed. Features are first reduced to one row per key and time.
+    No entity-feature pairs are formed. Features are first reduced to one row per key and time, a complete one
+    before one with missing values.
 
     A view by day needs no ordering of entities at all: a timeline of the days that are offered or
     asked for is read with a running `last` (a key has no more of them than the calendar), and
@@ -147,8 +148,8 @@ def lookup_asof(
     features = [c for c in view.columns if c not in (key, view_ts)]
     offers = (
         view.where(F.col(view_ts).isNotNull())
-        .select(F.col(key).alias("_key"), F.col(view_ts).alias("_at"), F.struct(*features).alias("_features"))
-        .groupBy("_key", "_at").agg(F.min("_features").alias("_features"))
+        .groupBy(F.col(key).alias("_key"), F.col(view_ts).alias("_at")).agg(F.min(C.complete_row(features)).alias("_row"))
+        .select("_key", "_at", F.struct(*[F.col(f"_row.`{c}`").alias(c) for c in features]).alias("_features"))
     )
     by_day = isinstance(view.schema[view_ts].dataType, T.DateType)
     found = _asof_by_day(entities, offers, key, ts) if by_day else _asof_by_time(entities, offers, key, ts, block)

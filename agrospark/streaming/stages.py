@@ -1,63 +1,150 @@
-"""Stage events as weather days arrive: running degree days per plot as keyed state."""
+"""Stage events as weather days arrive: running degree days per plot as keyed state that ends with the season."""
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from agrospark import schemas as S
 from agrospark.functions import columns as C
+from agrospark.streaming import state as K
 
 EVENT_SCHEMA = "plot_id long, stage string, stage_date date, gdd double, revision long"
-# The degree days of the season by day. A season has at most some hundred days, which bounds the
-# state; it lets a late day re-run the sum from the day it touches.
-STATE_SCHEMA = "days array<date>, gdd array<double>, reported map<string, date>, revision long"
 
 
 def with_growth_inputs(days: DataFrame, plots: DataFrame, base: float = S.GDD_BASE_C) -> DataFrame:
-    """Days since planting with their degree days and the plot's thresholds (a stream-static join)."""
+    """Days since planting, counted from 1970, with their degree days in whole units (missing where a temperature is)
+    and the plot's thresholds (a stream-static join)."""
     static = plots.select(
         "plot_id", "planting_date", *[C.stage_threshold(F.col("altitude"), s).alias(s) for s in S.STAGES])
+    gdd = C.daily_gdd(F.col("max_temp_c"), F.col("min_temp_c"), base)
     return days.join(static, "plot_id").where(F.col("date") >= F.col("planting_date")).select(
-        "plot_id", "date", C.daily_gdd(F.col("max_temp_c"), F.col("min_temp_c"), base).alias("gdd"), *S.STAGES)
-
-
-def _advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    days, gdd, reported, revision = state.get if state.exists else ([], [], {}, 0)
-    known = dict(zip(days, gdd))
-    thresholds = None
-    for batch in batches:
-        if thresholds is None:
-            thresholds = {s: float(batch[s].iloc[0]) for s in S.STAGES}
-        for day, value in zip(batch["date"], batch["gdd"]):
-            # The first delivery of a day counts, as in the batch job after the duplicate gate.
-            known.setdefault(day, 0.0 if pd.isna(value) else float(value))
-    ordered = sorted(known)
-    running = pd.Series([known[d] for d in ordered]).round(6).cumsum().round(6)
-    now, totals = {}, {}
-    for stage, need in (thresholds or {}).items():
-        hit = running.ge(need)
-        if hit.any():
-            at = int(hit.idxmax())
-            now[stage], totals[stage] = ordered[at], float(running.iloc[at])
-    changed = [s for s in now if dict(reported or {}).get(s) != now[s]]
-    revision += 1
-    state.update((ordered, [known[d] for d in ordered], now, revision))
-    if changed:
-        yield pd.DataFrame({
-            "plot_id": [key[0]] * len(changed), "stage": changed,
-            "stage_date": [now[s] for s in changed], "gdd": [totals[s] for s in changed],
-            "revision": [revision] * len(changed),
-        })
-
-
-def stage_events(days: DataFrame, plots: DataFrame, base: float = S.GDD_BASE_C) -> DataFrame:
-    """Emits a stage when it is reached, and again under a higher revision when a late day moves it."""
-    return with_growth_inputs(days, plots, base).groupBy("plot_id").applyInPandasWithState(
-        _advance, EVENT_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout)
+        "plot_id", F.unix_date("date").alias("day"), F.when(gdd.isNotNull(), C.gdd_units(gdd)).cast("double").alias("units"), *S.STAGES)
+
+
+class Season(StatefulProcessor):
+    """One plot's season: a record per month with its days' degree days and the sum before it, and what was reported.
+
+    A new day changes its month; sums are carried on from there and no earlier month is read. The first delivery of a
+    day that has both temperatures counts. A day without them is known but adds nothing, until it comes complete.
+
+    When R6 is reached, the season is kept for `grace` days, else for `idle` days from its last delivery; then a timer
+    clears it. What is left is a mark, for `remember` days, by which days that come after the end are known and
+    passed over; then nothing is. (Without a mark, the days of a part of a season would begin another one.)
+    """
+
+    def __init__(self, grace: float, idle: float, remember: float):
+        self.grace, self.idle, self.remember = grace, idle, remember
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.months = handle.getMapState("months", "month int", "before bigint, complete int, units binary")
+        self.reported = handle.getValueState("reported", "revision bigint, " + ", ".join(f"{s} int" for s in S.STAGES))
+        self.ended = handle.getValueState("ended", "day int", max(1, int(self.remember * K.DAY_MS)))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        now = timerValues.getCurrentProcessingTimeInMs()
+        given: dict[int, float] = {}
+        thresholds = None
+        for chunk in rows:
+            if thresholds is None:
+                thresholds = {s: float(chunk[s].iloc[0]) * S.GDD_UNIT for s in S.STAGES}
+            chunk = chunk.dropna(subset=["units"]).drop_duplicates("day")
+            for day, units in zip(chunk["day"].tolist(), chunk["units"].tolist()):
+                given.setdefault(day, units)
+        if thresholds is None or self.ended.exists():
+            return
+        before = self.reported.get() if self.reported.exists() else (0, *[None] * len(S.STAGES))
+        stages, totals = dict(zip(S.STAGES, before[1:])), {}
+        touched = self._enter(given)
+        if touched is not None:
+            self._carry_on(touched, thresholds, stages, totals)
+        changed = [s for s, old in zip(S.STAGES, before[1:]) if stages[s] != old]
+        revision = before[0] + 1
+        self.reported.update((revision, *[stages[s] for s in S.STAGES]))
+        K.set_timer(self.handle, now, int((self.idle if stages[S.STAGES[-1]] is None else self.grace) * K.DAY_MS))
+        if changed:
+            yield pd.DataFrame({
+                "plot_id": [key[0]] * len(changed), "stage": changed,
+                "stage_date": [K.EPOCH + dt.timedelta(days=stages[s]) for s in changed],
+                "gdd": [totals[s] / S.GDD_UNIT for s in changed], "revision": [revision] * len(changed)})
+
+    def _enter(self, given: dict[int, float]) -> int | None:
+        """Put the days that are not known complete into their months; the first month that has changed."""
+        by_month: dict[int, dict[int, int]] = {}
+        for day, units in given.items():
+            month, place = K.month_of(day)
+            by_month.setdefault(month, {})[place] = int(units)
+        changed = []
+        for month, places in by_month.items():
+            held = self.months.getValue((month,)) if self.months.containsKey((month,)) else (0, 0, bytes(31 * 8))
+            units, complete = np.frombuffer(held[2], np.int64).copy(), held[1]
+            for place, value in places.items():
+                if not complete >> place & 1:
+                    complete |= 1 << place
+                    units[place] = value
+            if complete != held[1]:
+                self.months.updateValue((month,), (held[0], complete, units.tobytes()))
+                changed.append(month)
+        return min(changed, default=None)
+
+    def _carry_on(self, touched: int, thresholds: dict[str, float], stages: dict[str, int | None], totals: dict[str, int]) -> None:
+        """Sums from the first changed month on, and the stages that are reached in these months."""
+        known = sorted(k[0] for k in self.months.keys())
+        ahead = [m for m in known if m < touched]
+        running = 0
+        if ahead:
+            before, _, units = self.months.getValue((ahead[-1],))
+            running = before + int(np.frombuffer(units, np.int64).sum())
+        for month in known[len(ahead):]:
+            before, complete, data = self.months.getValue((month,))
+            if before != running:
+                self.months.updateValue((month,), (running, complete, data))
+            sums = running + np.cumsum(np.frombuffer(data, np.int64))
+            for stage, need in thresholds.items():
+                if running < need <= sums[-1]:
+                    place = int(np.searchsorted(sums, need))
+                    stages[stage], totals[stage] = K.first_day(month) + place, int(sums[place])
+            running = int(sums[-1])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        last = self.reported.get()[-1] if self.reported.exists() else None
+        self.months.clear()
+        self.reported.clear()
+        self.ended.update((last,))
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def stage_events(
+    days: DataFrame, plots: DataFrame, base: float = S.GDD_BASE_C, grace: float = 30, idle: float = 400, remember: float = 400,
+) -> DataFrame:
+    """Emits a stage when it is reached, and again under a higher revision when a late or completed day moves it.
+
+    `grace`, `idle` and `remember` are days of processing time, see `Season`.
+    """
+    return with_growth_inputs(days, plots, base).groupBy("plot_id").transformWithStateInPandas(
+        Season(grace, idle, remember), EVENT_SCHEMA, "update", "ProcessingTime")
+
+
+def start_stages(
+    days: DataFrame, plots: DataFrame, events_path: str, checkpoint: str, trigger: dict | None = None, **options
+) -> StreamingQuery:
+    """The events of every micro-batch under its own `batch` folder, which a replayed batch overwrites."""
+    trigger = trigger or {"availableNow": True}
+    with K.settings(days.sparkSession, trigger):
+        return (
+            stage_events(days, plots, **options).writeStream.outputMode("update")
+            .foreachBatch(lambda batch, n: batch.write.mode("overwrite").parquet(f"{events_path}/batch={n}"))
+            .option("checkpointLocation", checkpoint).trigger(**trigger).start()
+        )
 
 
 def settled_stages(events: DataFrame) -> DataFrame:
