@@ -49,9 +49,15 @@ def infer_planting_dates(
         weather.where(suitable).groupBy("plot_id")
         .agg(F.min_by(_day_values(), F.struct("date", "precip_mm", "max_temp_c", "min_temp_c")).alias("day"))
     )
-    known = first.join(plots.select("plot_id", "altitude"), "plot_id", "left")
+    return planting_rows(first.join(plots.select("plot_id", "altitude"), "plot_id", "left"), min_rain, min_temp)
+
+
+def planting_rows(
+    found: DataFrame, min_rain: float = S.MIN_PLANTING_RAIN_MM, min_temp: float = S.MIN_PLANTING_TEMP_C
+) -> DataFrame:
+    """Planting dates from (plot_id, altitude, day), the first suitable day."""
     delay = C.altitude_delay(F.coalesce("altitude", F.lit(S.BASE_ALTITUDE_M)))
-    return known.select(
+    return found.select(
         "plot_id",
         F.date_add("day.date", delay).alias("inferred_planting_date"),
         F.lit(None).cast("date").alias("actual_planting_date"),
@@ -101,8 +107,8 @@ def _first_planting_rows(planting: DataFrame, date: str) -> DataFrame:
     return planting.groupBy("plot_id").agg(F.min_by(row, order).alias("row")).select("plot_id", "row.*")
 
 
-def _stages_of_days(days: DataFrame) -> DataFrame:
-    """Stage dates per plot from days that carry planting_date, altitude, season and daily_gdd."""
+def _stages_of_days(days: DataFrame, *more: Column) -> DataFrame:
+    """Stage dates per plot from days that carry planting_date, altitude, season and daily_gdd; and further aggregates."""
     growing = F.col("date") >= F.col("planting_date")
     step = F.when(growing, C.gdd_units(F.col("daily_gdd")))
     cumulative = days.withColumn("_total", F.when(growing, F.sum(step).over(_so_far())))
@@ -116,11 +122,12 @@ def _stages_of_days(days: DataFrame) -> DataFrame:
         F.first("altitude").alias("altitude"),
         F.first("season").alias("season"),
         F.first("planting_date").alias("planting_date"),
-        *found,
+        *found, *more,
     )
     return per_plot.select(
         "plot_id", "latitude", "longitude", "altitude", "season", "planting_date",
-        F.lit("gdd").alias("method"), C.stage_confidence().alias("confidence"), *S.STAGES)
+        F.lit("gdd").alias("method"), C.stage_confidence().alias("confidence"), *S.STAGES,
+        *per_plot.columns[6 + len(S.STAGES):])
 
 
 def _with_coordinates(weather: DataFrame) -> DataFrame:
@@ -144,12 +151,8 @@ def stage_dates(weather: DataFrame, planting: DataFrame, base: float = S.GDD_BAS
     return _stages_of_days(days.join(first, "plot_id"))
 
 
-def stage_dates_from_weather(weather: DataFrame, plots: DataFrame, base: float = S.GDD_BASE_C) -> DataFrame:
-    """`infer_planting_dates` and `stage_dates` in one pass over the weather.
-
-    The first suitable day is a window minimum over the plot, which shares its exchange on plot_id
-    with the running sum; nothing is read or shuffled twice. Plots never planted have no row.
-    """
+def _days_since_planting(weather: DataFrame, plots: DataFrame, base: float) -> DataFrame:
+    """Days of planted plots with `suitable`, planting_date, altitude, season and daily_gdd."""
     suitable = C.rain_ok(F.col("precip_mm")) & C.warm_enough(F.col("max_temp_c"), F.col("min_temp_c"))
     # Ordered like the running sum, so that one sort serves both windows.
     whole_plot = W.partitionBy("plot_id").orderBy("date").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
@@ -157,10 +160,25 @@ def stage_dates_from_weather(weather: DataFrame, plots: DataFrame, base: float =
     first_day = F.min(F.when(suitable, F.col("date"))).over(whole_plot)
     altitude = F.coalesce("altitude", F.lit(S.BASE_ALTITUDE_M))
     days = (
-        known.withColumn("_first", first_day).where(F.col("_first").isNotNull())
+        known.withColumn("suitable", suitable).withColumn("_first", first_day).where(F.col("_first").isNotNull())
         .withColumn("planting_date", F.date_add("_first", C.altitude_delay(altitude)))
     )
-    return _stages_of_days(with_daily_gdd(days, base))
+    return with_daily_gdd(days, base)
+
+
+def stage_dates_from_weather(weather: DataFrame, plots: DataFrame, base: float = S.GDD_BASE_C) -> DataFrame:
+    """`infer_planting_dates` and `stage_dates` in one pass over the weather.
+
+    The first suitable day is a window minimum over the plot, which shares its exchange on plot_id
+    with the running sum; nothing is read or shuffled twice. Plots never planted have no row.
+    """
+    return _stages_of_days(_days_since_planting(weather, plots, base))
+
+
+def planting_and_stages(weather: DataFrame, plots: DataFrame, base: float = S.GDD_BASE_C) -> DataFrame:
+    """`stage_dates_from_weather` with the first suitable `day`, from which `planting_rows` makes the planting dates."""
+    order = F.when(F.col("suitable"), F.struct("date", "precip_mm", "max_temp_c", "min_temp_c"))
+    return _stages_of_days(_days_since_planting(weather, plots, base), F.min_by(_day_values(), order).alias("day"))
 
 
 def vt_dates(stages: DataFrame, fallback_days: int = 55) -> DataFrame:

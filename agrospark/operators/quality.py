@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from agrospark import schemas as S
 from agrospark.functions import columns as C
@@ -61,6 +61,59 @@ def weather_gate(df: DataFrame) -> DataFrame:
     return df
 
 
+COPIES, NEW_DAY, NEW_PLOT = "_count_copies", "_count_new_day", "_count_new_plot"
+
+
+def counted_days(weather: DataFrame) -> DataFrame:
+    """The distinct rows of the weather with what `gate_metrics` counts: how often a row came, and whether it is the
+    first of its day and of its plot.
+
+    Equal rows are counted before they are shuffled. Then a plot's rows, which the calendar bounds unless days were
+    delivered with different values, lie in order in one partition, as they are stored.
+    """
+    rows = weather.groupBy(*[F.col(f"`{c}`") for c in weather.columns]).agg(F.count("*").alias(COPIES))
+    place = Window.partitionBy("plot_id").orderBy("date")
+    return rows.withColumn(NEW_DAY, ~F.lag(F.struct("date")).over(place).eqNullSafe(F.struct("date"))) \
+        .withColumn(NEW_PLOT, F.row_number().over(place) == 1)
+
+
+def gate_metrics(columns: Sequence[str], date: str = "date") -> dict[str, Column]:
+    """Profile and gates of `counted_days`, as aggregates that a write can collect: nothing is distinct in them."""
+    copies = F.col(COPIES)
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    beyond = (F.col("max_temp_c") > S.TEMP_MAX_C) | (F.col("max_temp_c") < S.TEMP_MIN_C)
+    return {
+        "row_count": total(copies), "plot_count": F.count_if(F.col(NEW_PLOT) & F.col("plot_id").isNotNull()),
+        "date_start": F.min(date), "date_end": F.max(date),
+        **{f"null_{c}": total(F.when(F.col(f"`{c}`").isNull(), copies)) for c in columns},
+        "duplicate_count": total(copies - 1), "duplicates": total(copies) - F.count_if(NEW_DAY),
+        "out_of_range": total(F.when(beyond, copies)),
+    }
+
+
+def check_gate(seen: dict) -> None:
+    """Raise with the counts if a gate is broken."""
+    counts = {k: seen[k] for k in (*[f"null_{c}" for c in GATE_COLUMNS], "out_of_range", "duplicates") if seen[k]}
+    if counts:
+        raise QualityError(f"weather validation failed: {counts}")
+
+
+def table_metrics(df: DataFrame, date: str | None = None) -> dict[str, Column]:
+    """Profile of a table with at most one row per plot and day, as aggregates that a write can collect."""
+    when = {"date_start": F.min(date), "date_end": F.max(date)} if date else {}
+    return {"row_count": F.count(F.lit(1)), **when, **{f"null_{c}": missing(c) for c in df.columns}}
+
+
+PROFILE = ("table string, row_count bigint, plot_count bigint, date_start date, date_end date, columns array<string>, "
+           "null_counts map<string, bigint>, duplicate_count bigint")
+
+
+def profile_row(table: str, columns: Sequence[str], seen: dict) -> tuple:
+    """A row of `PROFILE`; what a write has not counted is missing."""
+    return (table, seen.get("row_count"), seen.get("plot_count"), seen.get("date_start"), seen.get("date_end"), list(columns),
+            {c: seen[f"null_{c}"] for c in columns if f"null_{c}" in seen}, seen.get("duplicate_count"))
+
+
 def require_rows(df: DataFrame, what: str) -> DataFrame:
     """Hand a stored result on, or raise when a run produced nothing."""
     if df.isEmpty():

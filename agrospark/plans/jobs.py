@@ -30,25 +30,57 @@ class Tables:
         return f"{self.root.rstrip('/')}/{name}"
 
 
+def store(
+    spark: SparkSession, tables: Tables, name: str, df: DataFrame, day: str | dt.date, cluster: Sequence[str] = (),
+    date: str | None = None, keyed: bool = False,
+) -> DataFrame:
+    """Write the day of a table, and its profile from what the write has counted; `keyed`: a row per plot."""
+    metrics = Q.table_metrics(df.drop(snapshots.DAY), date)
+    if keyed:
+        metrics |= {"plot_count": F.count("plot_id"), "duplicate_count": F.lit(0) * F.count(F.lit(1))}
+    seen = snapshots.write_snapshot(df, tables.path(name), day, cluster, metrics)
+    store_profile(spark, tables, name, df.drop(snapshots.DAY).columns, seen, day)
+    return snapshots.read_snapshot(spark, tables.path(name), day)
+
+
+def store_profile(spark: SparkSession, tables: Tables, name: str, columns: Sequence[str], seen: dict, day: str | dt.date) -> None:
+    """One row per stored table and day; a table that is written again replaces its own."""
+    row = spark.createDataFrame([Q.profile_row(name, columns, seen)], Q.PROFILE)
+    row.withColumn(snapshots.DAY, F.lit(str(day)).cast("date")).coalesce(1).write.mode("overwrite") \
+        .option("partitionOverwriteMode", "dynamic").partitionBy(snapshots.DAY, "table").parquet(tables.path("profiles"))
+
+
+def validate_weather(spark: SparkSession, tables: Tables, day: str | dt.date) -> DataFrame:
+    """Raw weather to validated weather: one read of the raw day counts everything that gate and profile need while a
+    staged copy is written; the copy is published if the gate holds, else the counts are raised."""
+    raw = snapshots.read_snapshot(spark, tables.path("raw_weather"), day).drop(snapshots.DAY)
+    staged = tables.path("staged_weather")
+    seen = snapshots.write_snapshot(Q.counted_days(raw), staged, day, metrics=Q.gate_metrics(raw.columns))
+    store_profile(spark, tables, "raw_weather", raw.columns, seen, day)
+    try:
+        Q.check_gate(seen)
+        snapshots.publish_snapshot(spark, staged, tables.path("validated_weather"), day)
+    finally:
+        snapshots.discard_snapshot(spark, staged, day)
+    store_profile(spark, tables, "validated_weather", raw.columns, seen, day)
+    return snapshots.read_snapshot(spark, tables.path("validated_weather"), day)
+
+
 def weather_to_stages(
     spark: SparkSession, tables: Tables, weather: DataFrame, plots: DataFrame, day: str | dt.date
 ) -> dict[str, DataFrame]:
-    """Gate the weather, then store weather, planting dates, stages and VT dates of the day."""
+    """Gate the weather, then store weather, planting dates, stages and VT dates of the day.
+
+    Planting dates and stages come of one read of the validated weather.
+    """
     snapshots.write_snapshot(weather, tables.path("raw_weather"), day, ["plot_id"])
-    raw = snapshots.read_snapshot(spark, tables.path("raw_weather"), day).drop(snapshots.DAY)
-    snapshots.write_snapshot(Q.weather_gate(raw), tables.path("validated_weather"), day, ["plot_id"])
-    checked = snapshots.read_snapshot(spark, tables.path("validated_weather"), day).drop(snapshots.DAY)
-    planting = P.infer_planting_dates(checked, plots)
-    stages = P.stage_dates_from_weather(checked, plots)
-    snapshots.write_snapshot(planting, tables.path("planting_dates"), day)
-    snapshots.write_snapshot(stages, tables.path("crop_stages"), day)
-    Q.require_rows(snapshots.read_snapshot(spark, tables.path("planting_dates"), day), "planting dates inferred")
-    stored = snapshots.read_snapshot(spark, tables.path("crop_stages"), day).drop(snapshots.DAY)
-    snapshots.write_snapshot(P.vt_dates(stored), tables.path("vt_stages"), day)
-    return {
-        name: snapshots.read_snapshot(spark, tables.path(name), day)
-        for name in ("planting_dates", "crop_stages", "vt_stages")
-    }
+    checked = validate_weather(spark, tables, day).drop(snapshots.DAY)
+    both = files.store(P.planting_and_stages(checked, plots), "planting-and-stages")
+    planting = store(spark, tables, "planting_dates", P.planting_rows(both), day, date="inferred_planting_date", keyed=True)
+    Q.require_rows(planting, "planting dates inferred")
+    stages = store(spark, tables, "crop_stages", both.drop("day"), day, date="planting_date", keyed=True)
+    vt = store(spark, tables, "vt_stages", P.vt_dates(stages.drop(snapshots.DAY)), day, date="vt_stage_date", keyed=True)
+    return {"planting_dates": planting, "crop_stages": stages, "vt_stages": vt}
 
 
 def satellite_samples(
@@ -60,8 +92,7 @@ def satellite_samples(
     if stages is None or vt is None:
         raise FileNotFoundError("no crop stages or VT dates; run weather_to_stages first")
     samples = I.plot_indices(pixels, I.satellite_input(stages, vt))
-    snapshots.write_snapshot(samples, tables.path("satellite_indices"), day)
-    return Q.require_rows(snapshots.read_snapshot(spark, tables.path("satellite_indices"), day), "satellite samples")
+    return Q.require_rows(store(spark, tables, "satellite_indices", samples, day), "satellite samples")
 
 
 def materialize_features(spark: SparkSession, tables: Tables, day: str | dt.date) -> dict[str, DataFrame]:
@@ -74,18 +105,12 @@ def materialize_features(spark: SparkSession, tables: Tables, day: str | dt.date
     if weather is None or planting is None or stages is None:
         raise FileNotFoundError("weather, planting dates and crop stages are needed")
     daily = X.daily_features(weather, planting, stages, samples)
-    snapshots.write_snapshot(daily, tables.path("daily_features"), day, ["plot_id"])
-    stored = snapshots.read_snapshot(spark, tables.path("daily_features"), day)
-    snapshots.write_snapshot(X.plot_features(stored, stages), tables.path("plot_features"), day)
-    return {
-        name: snapshots.read_snapshot(spark, tables.path(name), day)
-        for name in ("daily_features", "plot_features")
-    }
+    stored = store(spark, tables, "daily_features", daily, day, ["plot_id"], "date")
+    return {"daily_features": stored, "plot_features": store(spark, tables, "plot_features", X.plot_features(stored, stages), day, keyed=True)}
 
 
 def store_labels(spark: SparkSession, tables: Tables, harvest: DataFrame, day: str | dt.date) -> DataFrame:
-    snapshots.write_snapshot(G.yield_labels(harvest), tables.path("labels"), day)
-    return snapshots.read_snapshot(spark, tables.path("labels"), day)
+    return store(spark, tables, "labels", G.yield_labels(harvest), day)
 
 
 def training_table(labels: DataFrame, features: DataFrame, mode: str = "row") -> DataFrame:

@@ -5,9 +5,10 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 DAY = "ds"
+HELPER = "_count_"  # columns that only the metrics of a write need; they are not written
 
 
 def _as_date(day: str | dt.date) -> dt.date:
@@ -117,22 +118,48 @@ def read_last_n(
 
 
 def write_snapshot(
-    df: DataFrame, root: str, day: str | dt.date, files_per_day: Sequence[str] = ()
-) -> None:
+    df: DataFrame, root: str, day: str | dt.date, files_per_day: Sequence[str] = (),
+    metrics: dict[str, Column] | None = None,
+) -> dict:
     """Replace one day of a dated table; other days stay untouched.
 
     `files_per_day` names columns to cluster rows by. Rebalancing lets AQE size the files and
-    split a skewed cluster.
+    split a skewed cluster. `metrics` are aggregates that the write itself collects: they are taken
+    of the rows as they are written, behind the last exchange, so that a repeated stage counts once.
     """
     out = df.drop(DAY)
     out = out.hint("rebalance", *files_per_day) if files_per_day else out
+    seen = Observation() if metrics else None
+    if metrics:
+        out = out.observe(seen, *[c.alias(name) for name, c in metrics.items()])
     (
-        out.withColumn(DAY, F.lit(_as_date(day)))
+        out.withColumn(DAY, F.lit(_as_date(day))).drop(*[c for c in out.columns if c.startswith(HELPER)])
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(DAY)
         .parquet(root)
     )
+    return dict(seen.get) if metrics else {}
+
+
+def _folder(spark: SparkSession, root: str, day: str | dt.date):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{DAY}={_as_date(day)}")
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def publish_snapshot(spark: SparkSession, staged: str, root: str, day: str | dt.date) -> None:
+    """Move a staged day into a dated table, in place of the day that is there. No file is read."""
+    files, source = _folder(spark, staged, day)
+    _, target = _folder(spark, root, day)
+    files.delete(target, True)
+    files.mkdirs(target.getParent())
+    if files.exists(source) and not files.rename(source, target):
+        raise OSError(f"cannot move {source} to {target}")
+
+
+def discard_snapshot(spark: SparkSession, staged: str, day: str | dt.date) -> None:
+    files, source = _folder(spark, staged, day)
+    files.delete(source, True)
 
 
 def write_bucketed(df: DataFrame, table: str, buckets: int, key: str = "plot_id", order: str = "date") -> None:

@@ -8,6 +8,7 @@ from agrospark.operators import phenology as P
 from agrospark.operators import quality as Q
 from agrospark.plans import jobs
 from agrospark.sources import snapshots
+from tests.conftest import day
 
 SF = "/root/testdata/sf0.001"
 
@@ -50,3 +51,38 @@ def test_bad_weather_stops_the_run(spark, tmp_path):
         jobs.weather_to_stages(spark, tables, bad, t.plots, "2024-01-01")
     assert snapshots.list_days(spark, tables.path("validated_weather")) == []
     assert snapshots.list_days(spark, tables.path("raw_weather")) != []
+    assert snapshots.list_days(spark, tables.path("staged_weather")) == []
+    counted = spark.read.parquet(tables.path("profiles")).first()
+    assert counted.table == "raw_weather" and counted.row_count == t.weather.count()
+
+
+def test_profiles_are_counted_by_the_writes(spark, tmp_path):
+    t, tables = TestTables(spark, SF), jobs.Tables(str(tmp_path))
+    jobs.weather_to_stages(spark, tables, t.weather, t.plots, "2024-01-01")
+    jobs.weather_to_stages(spark, tables, t.weather.where("plot_id < 5"), t.plots, "2024-01-02")
+    rows = {(r.table, str(r.ds)): r for r in spark.read.parquet(tables.path("profiles")).collect()}
+    assert {n for n, _ in rows} == {"raw_weather", "validated_weather", "planting_dates", "crop_stages", "vt_stages"}
+    for at in ("2024-01-01", "2024-01-02"):
+        for name in ("validated_weather", "crop_stages"):
+            stored, row = snapshots.read_snapshot(spark, tables.path(name), at).drop("ds"), rows[name, at]
+            want = Q.profile(stored, "date" if "date" in stored.columns else "planting_date").first()
+            for c in ("row_count", "plot_count", "date_start", "date_end", "null_counts", "columns", "duplicate_count"):
+                assert row[c] == want[c], (name, c)
+
+
+def test_counts_of_repeated_and_missing_rows(spark, tmp_path):
+    schema = "plot_id long, date date, max_temp_c double, min_temp_c double, precip_mm double"
+    rows = [(1, day("2021-01-01"), 20.0, 10.0, 1.0)] * 3 + [(1, day("2021-01-01"), None, 10.0, 1.0), (1, None, 99.0, 10.0, 1.0), (1, None, 99.0, 10.0, None),
+            (None, day("2021-01-02"), -60.0, 1.0, 0.0), (2, day("2021-01-01"), 20.0, 10.0, 1.0)]
+    for n, data in enumerate((rows, [])):
+        df = spark.createDataFrame(data, schema)
+        df.write.parquet(str(tmp_path / f"in{n}"))
+        df = spark.read.parquet(str(tmp_path / f"in{n}"))
+        seen = snapshots.write_snapshot(Q.counted_days(df), str(tmp_path / f"out{n}"), "2024-01-01", metrics=Q.gate_metrics(df.columns))
+        verdict, profile = Q.weather_verdict(df).first(), Q.profile(df).first()
+        assert all(seen[c] == verdict[c] for c in verdict.asDict() if c != "passed")
+        assert all(seen[c] == profile[c] for c in ("row_count", "plot_count", "date_start", "date_end", "duplicate_count"))
+        if data:
+            assert spark.read.parquet(str(tmp_path / f"out{n}")).columns == [*df.columns, "ds"]
+            with pytest.raises(Q.QualityError):
+                Q.check_gate(seen)

@@ -12,7 +12,7 @@ from agrospark.sources import snapshots
 
 SF = "/root/testdata/sf0.001"
 # Scoring and streaming queries run jobs while they are built; their plans are Spark ML's or end in a file.
-NAMES = [n for n in REGISTRY if not n.startswith(("h2", "h3", "h4", "h5", "h6", "h7", "h11", "h12", "h_", "j3", "j4", "a15"))]
+NAMES = [n for n in REGISTRY if not n.startswith(("h2", "h3", "h4", "h5", "h6", "h7", "h11", "h12", "h_", "j3", "j4", "a15", "c4_staged", "c4_observed", "a12_stored"))]
 
 
 def physical(df):
@@ -32,6 +32,18 @@ def test_fused_stage_plan_shuffles_once_per_key(spark):
     assert plan.count(": Scan") + plan.count("FileScan") <= 2
 
 
+def test_planting_and_stages_read_the_weather_once(spark, tmp_path):
+    t = Tables(spark, SF)
+    t.weather.write.parquet(str(tmp_path / "weather"))
+    t.plots.write.parquet(str(tmp_path / "plots"))
+    weather, plots = (spark.read.parquet(str(tmp_path / n)) for n in ("weather", "plots"))
+    both = P.planting_and_stages(weather, plots)
+    assert len(re.findall(r"FileScan parquet \[[^\]]*precip_mm", physical(both))) == 1
+    key = lambda rows: sorted(map(str, rows))
+    assert key(both.drop("day").collect()) == key(P.stage_dates_from_weather(weather, plots).collect())
+    assert key(P.planting_rows(both).collect()) == key(P.infer_planting_dates(weather, plots).collect())
+
+
 def test_scans_prune_columns_and_push_filters(spark):
     t = Tables(spark, SF)
     plan = physical(P.with_daily_gdd(t.weather).select("plot_id", "date", "daily_gdd"))
