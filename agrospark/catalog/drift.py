@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from agrospark.catalog.base import Tables, query
 from agrospark.operators import drift as D
-from agrospark.sources import snapshots as A
+from agrospark.sources import files, snapshots as A
 
 NUMERIC = ("gdd", "ndvi", "precip")
 
@@ -99,3 +99,18 @@ def _(t):
 @query("i6_top_drift", REPORT_SPEC, f"select * from ({REPORT}) order by psi desc, feature limit 20", ("snapshots",))
 def _(t):
     return D.top_drift(D.drift_report(*sides(t)))
+
+
+@query("i4_report_from_sketches", REPORT_SPEC, REPORT, ("snapshots",))
+def _(t):
+    """The report from sketches and category counts that were stored day by day."""
+    reference, current = sides(t)
+    numeric, other = D.choose_features(current)
+    root = files.scratch_dir(t.spark, "sketches")
+    for name, rows in (("ref", reference), ("cur", current)):
+        D.category_counts(rows, other).write.parquet(f"{root}/categories/{name}")
+    # Several parts of the reference, as days are.
+    for k in range(3):
+        D.sketches(reference.where(F.pmod(F.xxhash64("plot_id", "gdd"), F.lit(3)) == k), numeric).write.mode("append").parquet(f"{root}/sketches")
+    stored = tuple(t.spark.read.parquet(f"{root}/categories/{n}") for n in ("ref", "cur"))
+    return D.drift_report(reference, current, sketch=D.merged(t.spark.read.parquet(f"{root}/sketches")), categories=stored)

@@ -72,7 +72,7 @@ def _(t):
 
 @query("a12_stored_profiles", "table:s row_count:i plot_count:i date_start:d date_end:d null_vt:i duplicate_count:i", """
 select 'validated_weather' as "table", count(*) as row_count, count(distinct plot_id) as plot_count, min(date) as date_start, max(date) as date_end,
- null::bigint as null_vt, count(*) - count(distinct (weather.*)) as duplicate_count from weather
+ null::bigint as null_vt, count(*) - count(distinct (plot_id, date)) as duplicate_count from weather
 union all select 'crop_stages', count(*), count(distinct plot_id), min(planting_date), max(planting_date), count(*) - count("VT"), 0 from stages
 union all select 'planting_dates', count(*), count(distinct plot_id), min(inferred_planting_date), max(inferred_planting_date), null, 0 from planting""",
        ("weather", "planting", "stages"))

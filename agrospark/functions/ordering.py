@@ -15,14 +15,14 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from agrospark.sources.files import store
 
 
-def _in_ranges(df: DataFrame, key: Column) -> DataFrame:
+def in_ranges(df: DataFrame, key: Column) -> DataFrame:
     """The rows with the number of their key range as `_block`; stored, so that it stays what it is."""
     return store(df.repartitionByRange(key).withColumn("_block", F.spark_partition_id()), "key-ranges")
 
 
 def number_rows(df: DataFrame, key: Column, name: str = "row_id", start: int = 1) -> DataFrame:
     """Consecutive numbers in the order of `key`, which must identify a row."""
-    cut = _in_ranges(df, key)
+    cut = in_ranges(df, key)
     before = W.orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
     offsets = (
         cut.groupBy("_block").agg(F.count("*").alias("_rows"))
@@ -44,7 +44,7 @@ def fill_from_neighbours(df: DataFrame, key: str, first_value: str, last_value:
     and to rows after it. The result takes the nearest following offer, else the nearest
     preceding one.
     """
-    cut = _in_ranges(df, F.col(key))
+    cut = in_ranges(df, F.col(key))
     inside = W.partitionBy("_block").orderBy(key)
     following = inside.rowsBetween(1, W.unboundedFollowing)
     preceding = inside.rowsBetween(W.unboundedPreceding, 0)

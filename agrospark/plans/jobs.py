@@ -106,6 +106,7 @@ def materialize_features(spark: SparkSession, tables: Tables, day: str | dt.date
         raise FileNotFoundError("weather, planting dates and crop stages are needed")
     daily = X.daily_features(weather, planting, stages, samples)
     stored = store(spark, tables, "daily_features", daily, day, ["plot_id"], "date")
+    store_sketches(spark, tables, day)
     return {"daily_features": stored, "plot_features": store(spark, tables, "plot_features", X.plot_features(stored, stages), day, keyed=True)}
 
 
@@ -172,21 +173,52 @@ def score_plots(
     return stored, M.score_counts(stored)
 
 
+def store_sketches(spark: SparkSession, tables: Tables, day: str | dt.date) -> None:
+    """Quantile sketches and category counts of the day's daily features, kept beside them for later drift checks."""
+    daily = snapshots.read_snapshot(spark, tables.path("daily_features"), day).drop(snapshots.DAY)
+    numeric, other = D.choose_features(daily)
+    snapshots.write_snapshot(D.sketches(daily, numeric), tables.path("feature_sketches"), day)
+    snapshots.write_snapshot(D.category_counts(daily, other), tables.path("category_counts"), day)
+
+
+def stored_sketches(
+    spark: SparkSession, tables: Tables, days: Sequence[dt.date], current: dt.date, numeric: Sequence[str], other: Sequence[str]
+) -> tuple[DataFrame | None, tuple[DataFrame, DataFrame] | None]:
+    """Merged sketches of the reference days, and category counts of both sides; None where a day or feature lacks its own."""
+    def read(name: str, wanted: Sequence[dt.date], features: Sequence[str]) -> DataFrame | None:
+        root = tables.path(name)
+        if not features or not set(wanted) <= set(snapshots.list_days(spark, root)):
+            return None
+        rows = spark.read.parquet(root).where(F.col(snapshots.DAY).isin(*wanted) & F.col("feature").isin(*features))
+        # One row per feature and day.
+        return rows if rows.select("feature", snapshots.DAY).distinct().count() == len(wanted) * len(features) else None
+
+    sketch = read("feature_sketches", days, numeric)
+    counts = read("category_counts", [*days, current], other)
+    here = F.col(snapshots.DAY) == F.lit(current)
+    return (None if sketch is None else D.merged(sketch),
+            None if counts is None else (counts.where(~here).drop(snapshots.DAY), counts.where(here).drop(snapshots.DAY)))
+
+
 def drift_check(
     spark: SparkSession, tables: Tables, day: str | dt.date, reference_days: int = 30
 ) -> tuple[DataFrame | None, DataFrame]:
-    """Report and summary of the day's daily features against the days before."""
+    """Report and summary of the day's daily features against the days before.
+
+    Stored sketches bracket the edges, so that both sides are read once; days without sketches are read for them.
+    """
     root = tables.path("daily_features")
     chosen = snapshots.pick_day(snapshots.list_days(spark, root), day)
     if chosen is None:
         return None, D.empty_summary(spark, str(day), "no_data")
-    reference = snapshots.read_last_n(spark, root, chosen, reference_days)
-    if reference is None:
+    days = snapshots.last_days(spark, root, chosen, reference_days)
+    if not days:
         return None, D.empty_summary(spark, str(chosen), "no_reference")
+    reference = snapshots.read_last_n(spark, root, chosen, reference_days)
     current = snapshots.read_snapshot(spark, root, chosen).drop(snapshots.DAY)
-    report = D.drift_report(reference.drop(snapshots.DAY), current)
-    snapshots.write_snapshot(report, tables.path("drift_report"), chosen)
-    stored = snapshots.read_snapshot(spark, tables.path("drift_report"), chosen)
+    sketch, categories = stored_sketches(spark, tables, days, chosen, *D.choose_features(current))
+    report = D.drift_report(reference.drop(snapshots.DAY), current, sketch=sketch, categories=categories)
+    stored = store(spark, tables, "drift_report", report, chosen)
     return stored, D.drift_summary(stored, str(chosen))
 
 

@@ -98,6 +98,14 @@ def union_last_n(
     return df.join(F.broadcast(kept), DAY, "left_semi")
 
 
+def last_days(
+    spark: SparkSession, root: str, day: str | dt.date, n: int = 30, gap_days: int = 1
+) -> list[dt.date]:
+    """The newest `n` stored days that lie at least `gap_days` before `day`."""
+    limit = _as_date(day) - dt.timedelta(days=gap_days)
+    return [d for d in list_days(spark, root) if d <= limit][-n:]
+
+
 def read_last_n(
     spark: SparkSession, root: str, day: str | dt.date, n: int = 30, gap_days: int = 1,
     skip_unreadable: bool = False,
@@ -106,8 +114,7 @@ def read_last_n(
 
     `skip_unreadable` passes over damaged files instead of failing.
     """
-    limit = _as_date(day) - dt.timedelta(days=gap_days)
-    days = [d for d in list_days(spark, root) if d <= limit][-n:]
+    days = last_days(spark, root, day, n, gap_days)
     if not days:
         return None
     # Only the folders of these days are listed and only their footers opened to merge the schema.

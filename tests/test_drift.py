@@ -74,3 +74,72 @@ def test_levels_at_the_limits(spark):
 def test_feature_choice(spark):
     df = spark.createDataFrame([], "plot_id long, date date, latitude double, a int, b boolean, c string, d date")
     assert D.choose_features(df) == (["a", "b"], ["c", "d"])
+
+
+def values(rng, n=6000):
+    """Even, tied, skewed and constant features with holes; nine tenths of `skewed` are one value."""
+    return [(float(rng.normal()), float(rng.integers(0, 4)), 7.0 if i % 10 else float(rng.normal(7, 3)), 1.0,
+             None if i % 3 else float(rng.exponential())) for i in range(n)]
+
+
+NAMES = ["even", "tied", "skewed", "constant", "holes"]
+
+
+def want_edges(rows):
+    columns = zip(*rows)
+    return {n: np.quantile([v for v in c if v is not None], [i / 10 for i in range(1, 10)]).tolist() for n, c in zip(NAMES, columns)}
+
+
+@pytest.mark.parametrize("whole", [0, 100_000])
+def test_edges_from_brackets_are_exact(spark, whole):
+    rows = values(np.random.default_rng(7))
+    df = spark.createDataFrame(rows, ", ".join(f"{n} double" for n in NAMES)).repartition(7)
+    between = D.brackets(D.sketches(df, NAMES), whole=whole)
+    got = {r.feature: r.edges for r in D.exact_edges(df, {"ref": df}, NAMES, 10, between=between)[1].collect()}
+    for name, edges in want_edges(rows).items():
+        assert got[name] == pytest.approx(edges, abs=1e-12), name
+    cells = D.counted_cells({"ref": df}, NAMES, between)
+    if not whole:  # values outside the brackets are not kept
+        assert cells.where("feature = 'even'").count() < 400
+    assert cells.where("feature = 'skewed' and value = 7.0").first().ref == 5400
+
+
+def test_edges_beside_their_brackets_are_found_again(spark):
+    rows = values(np.random.default_rng(8), 900)
+    df = spark.createDataFrame(rows, ", ".join(f"{n} double" for n in NAMES))
+    wrong = D.sketches(df, NAMES).select("feature", F.array_repeat("least", 9).alias("lo"), F.array_repeat("least", 9).alias("hi"))
+    assert D.cell_edges(D.counted_cells({"ref": df}, NAMES, wrong), wrong).where("edges is null").count() > 0
+    got = {r.feature: r.edges for r in D.exact_edges(df, {"ref": df}, NAMES, 10, between=wrong)[1].collect()}
+    for name, edges in want_edges(rows).items():
+        assert got[name] == pytest.approx(edges, abs=1e-12), name
+
+
+def test_sketches_of_days_add_up(spark):
+    rng = np.random.default_rng(9)
+    days = [values(rng, 2000) for _ in range(4)]
+    schema = ", ".join(f"{n} double" for n in NAMES)
+    stored = None
+    for rows in days[:3]:
+        part = D.sketches(spark.createDataFrame(rows, schema), NAMES)
+        stored = part if stored is None else stored.unionByName(part)
+    ref, cur = spark.createDataFrame(sum(days[:3], []), schema), spark.createDataFrame(days[3], schema)
+    merged = D.merged(stored)
+    assert by(merged, "feature")["holes"].present == 3 * 667
+    key = lambda df: sorted((r.feature, round(r.psi, 12), r.missing_ref) for r in df.collect())
+    assert key(D.drift_report(ref, cur, sketch=merged)) == key(D.drift_report(ref, cur))
+
+
+def test_ranks_are_taken_in_ranges(spark):
+    """No window over a feature's cells: they are ordered inside ranges only, which a feature may span."""
+    rows = [(float(i),) for i in range(4000)]
+    df = spark.createDataFrame(rows, "even double")
+    between = D.brackets(D.sketches(df, ["even"]))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        edges = D.cell_edges(D.counted_cells({"ref": df}, ["even"], between), between)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert edges.first().edges == pytest.approx([399.9 * i for i in range(1, 10)])
+    plan = edges._jdf.queryExecution().executedPlan().toString()
+    wide = [w for w in plan.split("\n") if "windowspecdefinition" in w and "slot" in w]
+    assert wide and all("_block" in w for w in wide)

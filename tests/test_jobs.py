@@ -1,8 +1,11 @@
+import datetime as dt
+
 import pytest
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
 
 from agrospark.catalog.base import Tables as TestTables
+from agrospark.operators import drift as D
 from agrospark.operators import models as M
 from agrospark.operators import phenology as P
 from agrospark.operators import quality as Q
@@ -31,6 +34,19 @@ def test_daily_runs_from_weather_to_drift(spark, tmp_path):
     report, summary = jobs.drift_check(spark, tables, "2024-01-02")
     assert summary.first().status == "ok" and summary.first().n_high == 0
     assert report.where("psi > 1e-9").count() == 0  # the same weather again
+    # The sketches that are stored with the features give the same report as the features alone.
+    current = snapshots.read_snapshot(spark, tables.path("daily_features"), "2024-01-02").drop("ds")
+    shifted = current.withColumn("gdd_daily", F.col("gdd_daily") + 1) if "gdd_daily" in current.columns else current
+    snapshots.write_snapshot(shifted, tables.path("daily_features"), "2024-01-03")
+    jobs.store_sketches(spark, tables, "2024-01-03")
+    report, _ = jobs.drift_check(spark, tables, "2024-01-03")
+    numeric, other = D.choose_features(shifted)
+    days = snapshots.last_days(spark, tables.path("daily_features"), "2024-01-03")
+    assert len(days) == 2 and all(x is not None for x in jobs.stored_sketches(spark, tables, days, dt.date(2024, 1, 3), numeric, other))
+    reference = snapshots.read_last_n(spark, tables.path("daily_features"), "2024-01-03").drop("ds")
+    plain = D.drift_report(reference, shifted)
+    key = lambda df: sorted((r.feature, round(r.psi, 9), r.missing_cur) for r in df.collect())
+    assert key(report) == key(plain)
     labels = jobs.store_labels(spark, tables, t.harvest, "2024-01-01")
     table = jobs.training_table(labels, features["plot_features"])
     assert table.count() == 10 and table.where("match_tier > 0").count() == 10
