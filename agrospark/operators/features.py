@@ -167,7 +167,8 @@ def _asof_by_day(entities: DataFrame, offers: DataFrame, key: str, ts: str) -> D
         "_key", "_at", "_asks", F.last("_features", ignorenulls=True).over(so_far).alias("_found")
     ).where((F.col("_asks") > 0) & F.col("_found").isNotNull())
     same = (F.col(key) == F.col("_key")) & (F.col(ts).cast("date") == F.col("_at"))
-    return entities.join(answers.drop("_asks"), same, "left")
+    # Answers lie by key; placed by key and day, a key with most of the entities is spread over its days.
+    return entities.join(answers.drop("_asks").repartition("_key", "_at"), same, "left")
 
 
 def _asof_by_time(entities: DataFrame, offers: DataFrame, key: str, ts: str, block: str) -> DataFrame:

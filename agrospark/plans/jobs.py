@@ -17,7 +17,7 @@ from agrospark.operators import normalize as N
 from agrospark.operators import phenology as P
 from agrospark.operators import quality as Q
 from agrospark.operators import training_set as G
-from agrospark.sources import files, snapshots
+from agrospark.sources import files, registry, snapshots
 
 
 @dataclass(frozen=True)
@@ -158,6 +158,48 @@ def train_models(
     return Trained(fitted, predictions, metrics)
 
 
+def training_run(
+    spark: SparkSession, tables: Tables, day: str | dt.date, key: str = "plot_id", name: str = "yield",
+    learners: Sequence[str] = tuple(M.LEARNERS), **options,
+) -> Trained | None:
+    """Labels and features of the day, or the newest ones, to models, runs, results and versions.
+
+    Without labels the run ends quietly. Every model is saved under its run id; the best one (least RMSE) becomes
+    the next version of `name`, and Production if no better one is there: its RMSE is compared with that of
+    the version in Production.
+    """
+    labels = files.read_labels(spark, tables.path("labels"), day)
+    if labels is None:
+        return None
+    features = snapshots.read_latest(spark, tables.path("plot_features"), day)
+    if features is None:
+        raise FileNotFoundError("no plot features; run materialize_features first")
+    table = training_table(labels.drop(snapshots.DAY), features.drop(snapshots.DAY))
+    trained = train_models(table, key, learners, **options)
+    for model, fitted in trained.models.items():
+        M.save_model(fitted, f"{tables.path('models')}/{model}-{day}")
+    metrics = files.store(trained.metrics, "metrics")
+    files.write_training_results(tables.path("training_results"), day, metrics, trained.predictions)
+    runs = M.run_rows(metrics, str(day))
+    store(spark, tables, "model_runs", runs, day)
+    single = metrics.where(F.col("model").isin(*trained.models))
+    best = single.orderBy("RMSE", "model").first()
+    register_best(spark, tables, name, f"{best['model']}-{day}", best["RMSE"], str(day))
+    return trained
+
+
+def register_best(spark: SparkSession, tables: Tables, name: str, run_id: str, rmse: float, at: str) -> int:
+    """The run as the next version of the model; Production if no version there has a lower RMSE."""
+    root = tables.path("registry")
+    version = registry.register(spark, root, name, run_id, f"{tables.path('models')}/{run_id}", at)
+    live = registry.current_versions(spark, root).where((F.col("name") == name) & (F.col("stage") == "Production"))
+    runs = spark.read.parquet(tables.path("model_runs")).select("run_id", F.col("metrics")["RMSE"].alias("live_rmse"))
+    score = live.join(runs, "run_id").agg(F.min("live_rmse")).first()[0]
+    if score is None or rmse <= score:
+        registry.set_stage(spark, root, name, version, "Production", at)
+    return version
+
+
 def score_plots(
     spark: SparkSession, tables: Tables, requests: DataFrame, model: PipelineModel, columns: Sequence[str],
     name: str, day: str | dt.date,
@@ -206,15 +248,21 @@ def drift_check(
     """Report and summary of the day's daily features against the days before.
 
     Stored sketches bracket the edges, so that both sides are read once; days without sketches are read for them.
+    Reference days that cannot be read are left out, and listed in the `quarantine` table.
     """
     root = tables.path("daily_features")
     chosen = snapshots.pick_day(snapshots.list_days(spark, root), day)
     if chosen is None:
         return None, D.empty_summary(spark, str(day), "no_data")
     days = snapshots.last_days(spark, root, chosen, reference_days)
+    damaged = snapshots.damaged_files(spark, root, days)
+    if damaged:
+        quarantine = spark.createDataFrame(damaged, "damaged_day date, file string, reason string")
+        snapshots.write_snapshot(quarantine.coalesce(1), tables.path("quarantine"), chosen)
+    days = [d for d in days if d not in {bad for bad, _, _ in damaged}]
     if not days:
         return None, D.empty_summary(spark, str(chosen), "no_reference")
-    reference = snapshots.read_last_n(spark, root, chosen, reference_days)
+    reference = snapshots.read_days(spark, root, days)
     current = snapshots.read_snapshot(spark, root, chosen).drop(snapshots.DAY)
     sketch, categories = stored_sketches(spark, tables, days, chosen, *D.choose_features(current))
     report = D.drift_report(reference.drop(snapshots.DAY), current, sketch=sketch, categories=categories)

@@ -112,16 +112,48 @@ def read_last_n(
 ) -> DataFrame | None:
     """`union_last_n` on a stored table: the days come from the folder listing.
 
-    `skip_unreadable` passes over damaged files instead of failing.
+    `skip_unreadable` leaves out days with a file that cannot be opened (`damaged_files` tells which), instead of
+    failing; a part of a day is never read.
     """
     days = last_days(spark, root, day, n, gap_days)
+    if skip_unreadable:
+        bad = {d for d, _, _ in damaged_files(spark, root, days)}
+        days = [d for d in days if d not in bad]
+    return read_days(spark, root, days)
+
+
+def read_days(spark: SparkSession, root: str, days: Sequence[dt.date]) -> DataFrame | None:
     if not days:
         return None
     # Only the folders of these days are listed and only their footers opened to merge the schema.
-    return (
-        spark.read.option("mergeSchema", True).option("ignoreCorruptFiles", skip_unreadable)
-        .option("basePath", root).parquet(*[f"{root.rstrip('/')}/{DAY}={d}" for d in days])
-    )
+    return spark.read.option("mergeSchema", True).option("basePath", root).parquet(
+        *[f"{root.rstrip('/')}/{DAY}={d}" for d in days])
+
+
+def damaged_files(spark: SparkSession, root: str, days: Sequence[dt.date]) -> list[tuple[dt.date, str, str]]:
+    """(day, file, reason) of the first file of each day that cannot be opened.
+
+    A job over all files reads their footers only and passes over those that cannot be read. Files that gave no row
+    are opened one by one, until a day has a damaged one: they may be empty, which is no damage.
+    """
+    if not days:
+        return []
+    paths = [f"{root.rstrip('/')}/{DAY}={d}" for d in days]
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("basePath", root).load(paths).select("path", DAY)
+    footers = spark.read.schema("_none int").option("ignoreCorruptFiles", True).option("basePath", root).parquet(*paths)
+    sound = footers.select(F.col("_metadata.file_path").alias("sound")).groupBy("sound").count()
+    plain = lambda c: F.regexp_replace(c, "^file:/+", "/")
+    doubtful = listed.join(sound, plain("path") == plain("sound"), "left_anti").orderBy("path")
+    found: dict[dt.date, tuple[dt.date, str, str]] = {}
+    for row in doubtful.toLocalIterator():
+        day = _as_date(row[DAY])
+        if day in found:
+            continue
+        try:
+            spark.read.parquet(row["path"])
+        except Exception as e:  # noqa: BLE001 - whatever keeps the file from being opened is the reason
+            found[day] = (day, row["path"], str(e).splitlines()[0][:200])
+    return sorted(found.values())
 
 
 def write_snapshot(
