@@ -9,7 +9,7 @@ from agrospark.catalog.base import Tables, query
 from agrospark.operators import features as X
 from agrospark.operators import models as M
 from agrospark.plans import jobs
-from agrospark.sources import files
+from agrospark.sources import files, registry
 
 NUMBERS = ("items", "quantity", "price_sum", "discount_mean", "plant_month")
 CATEGORY = ("o_orderpriority",)
@@ -171,6 +171,89 @@ def _(t):
     return M.register_version(versions_of(t), "click", F.lit(7).cast("long"))
 
 
+@query("h13_published_versions", "name:s version:i stage:s run_id:s", """
+select n.name, v.version, case when v.version = 3 then 'Production' when v.version = 1 then 'Archived' else 'None' end as stage,
+ n.name || '-' || v.version as run_id from (select distinct event_type as name from events) n, (select unnest([1, 2, 3]) as version) v""")
+def _(t):
+    """Three versions of a model for each type of event; the first is in Production until the third is."""
+    root = files.scratch_dir(t.spark, "registry")
+    for (name,) in t.events.select("event_type").distinct().collect():  # a handful of types
+        for n in (1, 2, 3):
+            version = registry.register(t.spark, root, name, f"{name}-{n}", f"/models/{name}-{n}", "2024-01-01")
+            if n != 2:
+                registry.set_stage(t.spark, root, name, version, "Production", "2024-01-01")
+    return registry.current_versions(t.spark, root).drop("path")
+
+
+# Prices follow from quantities in these tables, order totals from nothing: what can be learned is asked for here.
+PRICE, PRICE_FROM = "price_sum", ("items", "quantity", "discount_mean", "plant_month")
+HOLDS = f"""with s as ({SPLIT_SQL}), p as (select l_orderkey as o_orderkey, sum(l_extendedprice) as price from lineitem group by 1)
+select count(*) as test_rows, round(sum(price), 2) as actual, 0 as missing, true as beats_mean from s left join p using (o_orderkey) where is_test"""
+HOLDS_SPEC = "test_rows:i actual:f missing:i beats_mean:b"
+
+
+def price_models(t: Tables, estimators: dict, categories=()):
+    rows = M.exact_split(order_rows(t).drop(TARGET), "o_orderkey")
+    train = files.cut_lineage(rows.where(~F.col("is_test") & F.col(PRICE).isNotNull()))
+    models = {name: M.pipeline(e, PRICE_FROM, PRICE, categories, M.bins_needed(train, categories)).fit(M.as_double(train, [*PRICE_FROM, PRICE]))
+              for name, e in estimators.items()}
+    return M.predict_all(rows.where("is_test"), models, PRICE_FROM, PRICE)
+
+
+def holds(predictions, column: str):
+    """What can be said of predictions without trees: the rows, the actual values, none missing, and better than the mean."""
+    error, known = F.col(column) - F.col("actual"), F.col("actual").isNotNull()
+    return predictions.agg(
+        F.count("*").alias("test_rows"), F.round(F.sum("actual"), 2).alias("actual"), F.count_if(F.col(column).isNull()).alias("missing"),
+        (F.avg(F.when(known, error * error)) < F.var_pop("actual")).alias("beats_mean"))
+
+
+@query("h2_boosted_holds", HOLDS_SPEC, HOLDS)
+def _(t):
+    return holds(price_models(t, {"b": GBTRegressor(maxIter=10, maxDepth=4, stepSize=0.3, subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=42)}), "pred_b")
+
+
+@query("h5_forest_profile_holds", HOLDS_SPEC, HOLDS)
+def _(t):
+    """The forest as its profile has it, all trees."""
+    return holds(price_models(t, {"forest": M.forest().make()}, CATEGORY), "pred_forest")
+
+
+@query("h7_four_members_hold", "model:s test_rows:i missing:i beats_mean:b", f"""
+with s as ({SPLIT_SQL}) select m.model, count(*) as test_rows, 0 as missing, true as beats_mean
+from s, (select unnest([{', '.join(f"'{n}'" for n in M.LEARNERS)}, 'ensemble']) as model) m where is_test group by 1""")
+def _(t):
+    """All four members of the ensemble, with fewer and larger steps than their profiles, and their mean."""
+    def smaller(tree):
+        return tree.setMaxIter(10).setStepSize(0.3) if tree.hasParam("maxIter") else tree.setNumTrees(10)
+
+    long = price_models(t, {name: smaller(learner().make()) for name, learner in M.LEARNERS.items()})
+    each = None
+    for name in (*M.LEARNERS, "ensemble"):
+        row = holds(long, f"pred_{name}").select(F.lit(name).alias("model"), "test_rows", "missing", "beats_mean")
+        each = row if each is None else each.unionByName(row)
+    return each
+
+
+@query("h11_importances_sum", "features:i total:f4 least_is_positive:b", "select 6 as features, 1.0::double as total, count(*) > 0 as least_is_positive from orders")
+def _(t):
+    model, test = fitted(t, RandomForestRegressor(numTrees=10, maxDepth=6, seed=42), CATEGORY)
+    table = M.feature_importance(model, model.transform(test))
+    return table.agg(F.count("*").alias("features"), F.sum("importance").alias("total"), (F.min("importance") >= 0).alias("least_is_positive"))
+
+
+@query("h12_loaded_model_agrees", "test_rows:i different:i", f"with s as ({SPLIT_SQL}) select count(*) as test_rows, 0 as different from s where is_test")
+def _(t):
+    """A model that was saved and loaded predicts what the fitted one does."""
+    model, test = fitted(t, RandomForestRegressor(numTrees=5, maxDepth=4, seed=42))
+    path = files.scratch_dir(t.spark, "model")
+    M.save_model(model, path)
+    first = model.transform(test).select("o_orderkey", "prediction")
+    again = M.load_model(path).transform(test).select("o_orderkey", F.col("prediction").alias("loaded"))
+    return first.join(again, "o_orderkey").agg(
+        F.count("*").alias("test_rows"), F.count_if(~F.col("prediction").eqNullSafe(F.col("loaded"))).alias("different"))
+
+
 @query("h14_batch_scoring", "plot_id:i predicted_yield_kg_per_ha:f2 model_name:s", """
 select r.plot_id, round(case when f.plot_id is null then 0 + case when coalesce(r.altitude, 0) = 0 then 1200 else r.altitude end
  else f.precip_total end, 2) as predicted_yield_kg_per_ha, 'linear' as model_name from score_requests r

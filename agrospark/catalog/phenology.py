@@ -145,6 +145,17 @@ def _(t):
     return P.vt_source_summary(P.vt_dates(stages_of(t)))
 
 
+@query("d15_run_metadata", "execution_date:s plot_count:i vt_stage_found:i average_confidence:f sources:s", """
+select '2024-01-01' as execution_date, count(*) as plot_count, count("VT") as vt_stage_found, avg(confidence) as average_confidence,
+ (select string_agg(source || ':' || n, ',' order by source) from (select source, count(*) as n from vt group by source)) as sources
+from stages""", ("stages", "vt"))
+def _(t):
+    stages = stages_of(t)
+    rows = P.run_metadata(stages, P.vt_dates(stages), "2024-01-01")
+    listed = F.array_sort(F.transform(F.map_entries("source_distribution"), lambda e: F.concat_ws(":", e["key"], e["value"].cast("string"))))
+    return rows.select("execution_date", "plot_count", "vt_stage_found", "average_confidence", F.array_join(listed, ",").alias("sources"))
+
+
 @query("d16_plot_metadata", "plot_id:i planting_date:d altitude:f season:s",
        "select plot_id, inferred_planting_date as planting_date, altitude, season from planting", ("planting",))
 def _(t):

@@ -92,6 +92,27 @@ def _(t):
     return snapshots.union_last_n(t.snapshots, n=7)
 
 
+@query("a8_skip_damaged_day", SNAP_SPEC, """
+select * from snapshots where ds in (select ds from (select distinct ds from snapshots
+ where ds <= (select max(ds) from snapshots) - 1) order by ds desc limit 7) and ds <> (select max(ds) from snapshots) - 3""", ("snapshots",))
+def _(t):
+    """Stored by day; one of the days has a file that is no Parquet, and is left out as a whole."""
+    root = files.scratch_dir(t.spark, "damaged")
+    t.snapshots.where(F.col("ds") >= t.snapshots.agg(F.date_sub(F.max("ds"), 20)).scalar()) \
+        .write.partitionBy("ds").parquet(root)
+    newest = snapshots.list_days(t.spark, root)[-1]
+    bad = t.spark.createDataFrame([("no footer",)], "value string").coalesce(1)
+    damaged = f"{root}/ds={newest - dt.timedelta(days=3)}"
+    bad.write.mode("append").text(f"{root}/_text")
+    jvm = t.spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{root}/_text")
+    fs = folder.getFileSystem(t.spark.sparkContext._jsc.hadoopConfiguration())
+    part = next(f.getPath() for f in fs.listStatus(folder) if f.getPath().getName().startswith("part-"))
+    fs.rename(part, jvm.org.apache.hadoop.fs.Path(f"{damaged}/part-damaged.parquet"))
+    found = snapshots.read_last_n(t.spark, root, newest, n=7, skip_unreadable=True)
+    return found.select(*t.snapshots.columns)
+
+
 WEATHER_SPEC = ("plot_id:i latitude:f longitude:f date:d max_temp_c:f min_temp_c:f mean_temp_c:f precip_mm:f humidity_pct:f "
                 "solar_energy_mjm2:f wind_speed_kmh:f cloud_cover_pct:f")
 
@@ -189,6 +210,21 @@ def _(t):
     return t.spark.read.schema("total_models long, models_trained array<string>, best_model string").json(paths["summary"])
 
 
+@query("a13_training_files", "model:s RMSE:f MAE:f compared:i predictions:i best_model:s", """
+with m as (select 'a' as model, sqrt(avg(pow(pred_a - actual, 2))) as "RMSE", avg(abs(pred_a - actual)) as "MAE" from scores
+ union all select 'b', sqrt(avg(pow(pred_b - actual, 2))), avg(abs(pred_b - actual)) from scores)
+select m.*, (select count(*) from m) as compared, (select count(*) from scores) as predictions, (select arg_min(model, "RMSE") from m) as best_model
+from m""", ("scores",))
+def _(t):
+    """All four files of a run, read back: metrics, comparison, summary and predictions."""
+    paths = files.write_training_results(files.scratch_dir(t.spark, "results"), MIDDLE_DAY, M.evaluate(t.scores), t.scores)
+    metrics = t.spark.read.schema("model string, RMSE double, MAE double, R2 double").json(paths["metrics"])
+    compared = t.spark.read.option("header", True).csv(paths["comparison"]).agg(F.count("*")).scalar()
+    predictions = t.spark.read.parquet(paths["predictions"]).agg(F.count("*")).scalar()
+    best = t.spark.read.schema("best_model string").json(paths["summary"]).select("best_model").scalar()
+    return metrics.select("model", "RMSE", "MAE", compared.alias("compared"), predictions.alias("predictions"), best.alias("best_model"))
+
+
 @query("a14_text_safe", "plot_id:i date:s sample:s precip_mm:f", """
 select plot_id, strftime(date, '%Y-%m-%d') as date, strftime(date, '%Y-%m-%dT00:00:00') as sample,
  case when precip_mm <> 0 then precip_mm end as precip_mm from weather""", ("weather",))
