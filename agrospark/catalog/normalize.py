@@ -78,6 +78,32 @@ def _(t):
     return N.split_valid(N.validate_plots(t.plots))[0]
 
 
+@query("b8_score_requests", "request_id:i model_name:s altitude:f reasons:s", """
+select request_id, case when request_id % 5 = 0 then 'forest' when request_id % 5 = 1 then 'oracle' else 'ensemble' end as model_name, altitude,
+ concat_ws(',', case when plot_id % 9 = 0 then 'plot_id' end, case when request_id % 7 = 0 then 'latitude' end,
+  case when request_id % 6 = 0 then 'planting_date' end, case when altitude < 0 or altitude > 10000 then 'altitude' end,
+  case when request_id % 5 = 1 then 'model_name' end) as reasons from score_requests""", ("score_requests",))
+def _(t):
+    """Requests as they come: dates as text, some of them unreadable, plots and places out of range, unknown models."""
+    i = F.col("request_id")
+    raw = t.score_requests.withColumns({
+        "plot_id": F.when(F.col("plot_id") % 9 == 0, -F.col("plot_id")).otherwise(F.col("plot_id")),
+        "latitude": F.when(i % 7 == 0, 91.0).otherwise(F.col("latitude")),
+        "planting_date": F.when(i % 6 == 0, "soon").otherwise(F.col("planting_date").cast("string")),
+        "model_name": F.when(i % 5 == 0, "forest").when(i % 5 == 1, "oracle")})
+    out = N.validate_requests(raw, ["forest", "ensemble"])
+    return out.select("request_id", "model_name", "altitude", F.concat_ws(",", "reasons").alias("reasons"))
+
+
+@query("b8_stage_input", "request_id:i altitude:f reasons:s", """
+select request_id, a as altitude, concat_ws(',', case when a < 0 or a > 5000 then 'altitude' end,
+  case when season is null then 'season' end, case when request_id % 6 = 0 then 'planting_date' end) as reasons
+from (select *, coalesce(altitude, 1200) as a from score_requests)""", ("score_requests",))
+def _(t):
+    dated = t.score_requests.withColumn("planting_date", F.when(F.col("request_id") % 6 != 0, F.col("planting_date")))
+    return N.validate_stage_input(dated).select("request_id", "altitude", F.concat_ws(",", "reasons").alias("reasons"))
+
+
 @query("b9_normalize_labels",
        "plot_id:i Planting_Date:d crop_type:s latitude:f longitude:f wet_kgs_crop_box1:f wet_kgs_crop_box2:f "
        "dry_box1_dry_weight:f dry_box2_dry_weight:f",

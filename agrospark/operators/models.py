@@ -65,6 +65,8 @@ def _steps(low: float, high: float, n: int) -> list[float]:
     return [round(low + i * (high - low) / (n - 1), 6) for i in range(n)]
 
 
+# The defaults and search ranges of the four profiles.
+
 def boosted() -> Learner:
     """Boosted trees with row and column sampling."""
     return Learner(

@@ -142,6 +142,29 @@ def validate_stage_input(df: DataFrame) -> DataFrame:
         F.col("planting_date").isNull(), F.concat("reasons", missing)).otherwise(F.col("reasons")))
 
 
+def validate_requests(df: DataFrame, models: Sequence[str] | None = None, default: str = "ensemble") -> DataFrame:
+    """Scoring requests with the list of violated rules.
+
+    The planting date may be text; one that is no date breaks its rule. Season and altitude may be missing, but an
+    altitude that is given lies within 0 and 10 000 m. A request that names no model takes the default; with `models`,
+    others than these are unknown.
+    """
+    named = F.col("model_name") if "model_name" in df.columns else F.lit(None).cast("string")
+    out = df.withColumn("planting_date", C.to_day(F.col("planting_date"))).withColumn(
+        "model_name", F.coalesce(named, F.lit(default)))
+    rules = {
+        "plot_id": F.col("plot_id") > 0,
+        "latitude": C.clean_nan(F.col("latitude")).between(-90, 90),
+        "longitude": C.clean_nan(F.col("longitude")).between(-180, 180),
+        "planting_date": F.col("planting_date").isNotNull(),
+    }
+    if "altitude" in df.columns:
+        rules["altitude"] = F.col("altitude").isNull() | F.col("altitude").between(0, 10_000)
+    if models is not None:
+        rules["model_name"] = F.col("model_name").isin(*models)
+    return with_reasons(out, rules)
+
+
 def normalize_labels(df: DataFrame) -> DataFrame:
     """Harvest sheet names and types; unreadable numbers and dates become NULL."""
     df = df.toDF(*[c.strip() for c in df.columns])

@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from agrospark.functions import columns as C
 from agrospark.functions.names import rename_first
 from agrospark.operators.normalize import normalize_labels
+from agrospark.sources.files import store
 
+# The columns of the label table and the features that say whether a row was matched.
 LABEL_COLUMNS = (
     "plot_id", "Planting_Date", "crop_type", "latitude", "longitude", "wet_harvest_kg/ha", "dry_harvest_kg/ha",
 )
@@ -192,6 +194,7 @@ def merge_features(
         chosen = F.coalesce("_t1", "_t2", "_t3")
         tier = F.when(present("_t1"), 1).when(present("_t2"), 2).when(present("_t3"), 3).otherwise(0)
     else:
+        joined = store(joined, "merged")  # the three joins are done once, to choose and to answer
         step = joined.agg(
             F.when(F.count_if(~present("_t1")) == 0, 1).when(F.count_if(~present("_t2")) == 0, 2).otherwise(3)
         ).scalar()

@@ -242,6 +242,29 @@ def stored_sketches(
             None if counts is None else (counts.where(~here).drop(snapshots.DAY), counts.where(here).drop(snapshots.DAY)))
 
 
+def score_requests(
+    spark: SparkSession, tables: Tables, requests: DataFrame, models: dict[str, PipelineModel], columns: Sequence[str],
+    day: str | dt.date, default: str = "ensemble",
+) -> tuple[DataFrame, DataFrame]:
+    """Check requests, score the valid ones with the model each of them names, and store both.
+
+    Returns the predictions and the rejected requests with their reasons.
+    """
+    checked = files.store(N.validate_requests(requests, list(models), default), "requests")
+    good, bad = N.split_valid(checked)
+    store(spark, tables, "rejected_requests", bad, day)
+    features = snapshots.read_latest(spark, tables.path("plot_features"), day)
+    if features is None:
+        raise FileNotFoundError("no plot features; run materialize_features first")
+    parts = None
+    for name, model in models.items():
+        rows = X.features_for_scoring(good.where(F.col("model_name") == name).drop("model_name"), features.drop(snapshots.DAY))
+        scored = M.score_batch(rows, lambda df, m=model: m.transform(M.as_double(df, columns)), name)
+        parts = scored if parts is None else parts.unionByName(scored)
+    return (store(spark, tables, "predictions", parts, day),
+            snapshots.read_snapshot(spark, tables.path("rejected_requests"), day))
+
+
 def drift_check(
     spark: SparkSession, tables: Tables, day: str | dt.date, reference_days: int = 30
 ) -> tuple[DataFrame | None, DataFrame]:

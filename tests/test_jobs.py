@@ -56,6 +56,11 @@ def test_daily_runs_from_weather_to_drift(spark, tmp_path):
         M.as_double(M.training_rows(table), [*numbers, M.TARGET]))
     scored, counts = jobs.score_plots(spark, tables, t.score_requests, model, numbers, "forest", "2024-01-02")
     assert tuple(counts.first()) == (150, 150, 0) and scored.select("model_name").distinct().count() == 1
+    requests = t.score_requests.withColumn("model_name", F.when(F.col("request_id") % 2 == 0, "forest"))
+    done, refused = jobs.score_requests(spark, tables, requests, {"forest": model, "ensemble": model}, numbers, "2024-01-03")
+    bad = requests.where("altitude < 0 or altitude > 10000").count()
+    assert bad > 0 and done.count() == 150 - bad and refused.count() == bad
+    assert {r.model_name for r in done.collect()} == {"forest", "ensemble"} and refused.first().reasons == ["altitude"]
     meta = P.run_metadata(out["crop_stages"], out["vt_stages"], "2024-01-01").first()
     assert sum(meta.source_distribution.values()) == meta.plot_count == 10
 

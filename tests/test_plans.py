@@ -93,6 +93,22 @@ def test_daily_features_place_stored_days_once(spark, tmp_path):
     assert len(exchanges) == 4  # days, samples and the two plot tables, each once
 
 
+def test_table_mode_joins_once(spark):
+    plan = physical(REGISTRY["g6_merge_table_mode"].run(spark, SF))
+    assert "Join" not in plan  # choosing and answering read the stored join
+
+
+def test_as_of_answers_are_placed_by_key_and_day(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = physical(REGISTRY["a10_lookup_asof"].run(spark, SF))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    join = plan.index("SortMergeJoin")
+    placed = re.findall(r"Exchange hashpartitioning\(([^)]*\)?[^)]*)\)", plan[join:])
+    assert sum(p.count(",") >= 2 for p in placed) >= 2, placed  # both sides by key and day
+
+
 def test_bucketed_tables_need_no_shuffle(spark):
     t = Tables(spark, SF)
     snapshots.write_bucketed(t.weather, "weather_b", 4)
