@@ -34,6 +34,22 @@ def _(t):
     return G.assign_nearest_plot(points, t.plots)
 
 
+@query("g2_nearest_in_a_crowd", "label_no:i plot_id:i", """
+with x as (select s_suppkey as label_no, -1.0::double + (s_suppkey % 10) * 0.0011::double as latitude, 37.0::double + (s_suppkey // 10) * 0.0007::double as longitude from supplier),
+ p as (select c_custkey as plot_id, -0.995::double + (c_custkey * 7919 % 10007) * 0.00000002::double as latitude,
+  37.003::double + (c_custkey * 104729 % 10009) * 0.00000002::double as longitude from customer),
+ d as (select label_no, plot_id, sqrt(pow(x.latitude - p.latitude, 2) + pow(x.longitude - p.longitude, 2)) as d from x, p)
+select x.label_no, n.plot_id from x left join (select label_no, arg_min(plot_id, (d, plot_id)) as plot_id from d where d <= 0.01 group by 1) n on n.label_no = x.label_no""")
+def _(t):
+    """All plots within some twenty metres, seen by the labels from up to a kilometre away."""
+    s, c = F.col("s_suppkey"), F.col("c_custkey")
+    labels = t.supplier.select(s.alias("label_no"), F.lit(None).cast("bigint").alias("plot_id"), (F.lit(-1.0) + (s % 10) * F.lit(0.0011)).alias("latitude"),
+                               (F.lit(37.0) + F.floor(s / 10) * F.lit(0.0007)).alias("longitude"))
+    plots = t.customer.select(c.alias("plot_id"), (F.lit(-0.995) + (c * 7919 % 10007) * F.lit(0.00000002)).alias("latitude"),
+                              (F.lit(37.003) + (c * 104729 % 10009) * F.lit(0.00000002)).alias("longitude"))
+    return G.assign_nearest_plot(labels, plots).select("label_no", "plot_id")
+
+
 @query("g3_join_plot_and_date", f"label_no:i plot_id:i {FEATURES}", """
 select l.label_no, l.plot_id, f.precip_total, f.gdd_sum from labels_in l left join feature_rows f
  on f.plot_id = l.plot_id and f.planting_date = l.planting_date""", ("labels_in", "feature_rows"))

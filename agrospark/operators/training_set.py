@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from agrospark.functions import columns as C
 from agrospark.functions.names import rename_first
@@ -48,14 +48,11 @@ def tidy_keys(df: DataFrame) -> DataFrame:
 
 
 def assign_nearest_plot(
-    labels: DataFrame, features: DataFrame, tolerance_deg: float = 0.01, levels: Sequence[int] = (512, 64, 8, 1),
+    labels: DataFrame, features: DataFrame, tolerance_deg: float = 0.01, leaf: int = 32, depth: int = 7,
 ) -> DataFrame:
     """Labels without plot_id take the nearest plot, if within the tolerance; ties take the least id.
 
-    Nearest is Euclidean in degrees. Each level searches a grid of cell tolerance / level: a match
-    no farther than the cell must lie in the 3 x 3 neighbourhood, hence is the nearest one overall.
-    Only points still without a match go on to the next, coarser grid, so crowded areas are settled
-    in small cells and no cell pairs up a crowd. Equal coordinates are searched once.
+    Nearest is Euclidean in degrees. Equal coordinates are searched once.
     """
     plots = (
         features.select("plot_id", "latitude", "longitude").dropna()
@@ -64,32 +61,8 @@ def assign_nearest_plot(
         .agg(F.min("plot_id").alias("_pid"))
     )
     seeking = labels["plot_id"].isNull() & labels["latitude"].isNotNull() & labels["longitude"].isNotNull()
-    points = (
-        labels.where(seeking).select("latitude", "longitude").distinct()
-        .withColumn("_found", F.lit(None).cast("bigint"))
-    )
-    for level in levels:
-        reach = tolerance_deg / level
-        cell = reach * (1 + 1e-9)
-        grid = plots.select(
-            "_plat", "_plon", "_pid",
-            F.floor(F.col("_plat") / cell).alias("_row"), F.floor(F.col("_plon") / cell).alias("_col"))
-
-        def around(c: str) -> Column:
-            middle = F.floor(F.col(c) / cell)
-            return F.when(F.col("_found").isNull(), F.sequence(middle - 1, middle + 1))
-
-        distance = F.sqrt(
-            F.pow(F.col("latitude") - F.col("_plat"), 2) + F.pow(F.col("longitude") - F.col("_plon"), 2))
-        near = F.when(distance <= reach, F.struct(distance.alias("d"), F.col("_pid").alias("id")))
-        points = (
-            points.select("*", F.explode_outer(around("latitude")).alias("_row"))
-            .select("*", F.explode_outer(around("longitude")).alias("_col"))
-            .join(grid, ["_row", "_col"], "left")
-            .groupBy("latitude", "longitude")
-            .agg(F.coalesce(F.max("_found"), F.min(near)["id"]).alias("_found"))
-        )
-    found = points.where(F.col("_found").isNotNull())
+    points = labels.where(seeking).select("latitude", "longitude").distinct()
+    found = nearest(points, plots, tolerance_deg, leaf, depth)
     return (
         labels.join(found, ["latitude", "longitude"], "left")
         .withColumn("plot_id", F.coalesce("plot_id", "_found"))
@@ -97,6 +70,69 @@ def assign_nearest_plot(
     )
 
 
+def nearest(
+    points: DataFrame, plots: DataFrame, tolerance: float, leaf: int = 32, depth: int = 7, trace: list | None = None
+) -> DataFrame:
+    """(latitude, longitude, _found): the nearest of (_plat, _plon, _pid) to each point that has one within the tolerance.
+
+    A best-first search, all points in step. Cells of a quadtree with sixteen parts per cell are as large as the
+    tolerance first; a cell that holds any plot promises one no farther than its far corner, and cells whose near corner
+    lies beyond the best promise, or the best plot found, are out. Of the others, those with up to `leaf` plots are
+    looked into, and fuller ones go on as their occupied parts. So a crowd is never paired with the points that see it,
+    from whatever distance: only its parts along the nearest edge are opened. `depth` times a cell is parted, which
+    ends at some centimetres. `trace` takes the pairs of each step, for tests.
+    """
+    side = tolerance * (1 + 1e-9)
+    finest = side / 4 ** depth
+    at = lambda c: F.floor(F.col(c) / finest).cast("bigint")
+    part = lambda c, level: F.shiftright(F.col(c), 2 * (depth - level))
+    plots = store(plots.select("*", at("_plat").alias("_r"), at("_plon").alias("_c")), "nearest-plots")
+    points = store(points.select("*", at("latitude").alias("_pr"), at("longitude").alias("_pc"),
+                                 F.monotonically_increasing_id().alias("_p")), "nearest-points")
+
+    def cells(level: int) -> DataFrame:
+        above = [] if level == 0 else [part("_r", level - 1).alias("_row_above"), part("_c", level - 1).alias("_col_above")]
+        return plots.groupBy(part("_r", level).alias("_row"), part("_c", level).alias("_col"), *above).agg(F.count("*").alias("_n"))
+
+    def with_bounds(rows: DataFrame, level: int) -> DataFrame:
+        size, slack = finest * 4 ** (depth - level), 1e-11
+        near, far = [], []
+        for place, cell in (("latitude", "_row"), ("longitude", "_col")):
+            low = F.col(cell) * size
+            near.append(F.greatest(low - F.col(place), F.col(place) - low - size, F.lit(0.0)))
+            far.append(F.greatest(F.col(place) - low, low + size - F.col(place)))
+        distance = lambda d: F.sqrt(d[0] * d[0] + d[1] * d[1])
+        return rows.withColumn("_least", distance(near) - slack).withColumn("_most", distance(far) + slack)
+
+    neighbour = F.array(F.lit(-1), F.lit(0), F.lit(1))
+    around = points.select("*", F.explode(neighbour).alias("_i")).select("*", F.explode(neighbour).alias("_j"))
+    around = around.withColumn("_row", part("_pr", 0) + F.col("_i")).withColumn("_col", part("_pc", 0) + F.col("_j"))
+    opened = around.join(cells(0), ["_row", "_col"]).select("_p", "latitude", "longitude", "_row", "_col", "_n", F.lit(None).cast("double").alias("_best"))
+    best = None
+    for level in range(depth + 1):
+        # A point has a bounded number of open cells.
+        promise = F.min(F.least("_most", F.coalesce("_best", F.lit(tolerance)), F.lit(tolerance))).over(W.partitionBy("_p"))
+        kept = store(with_bounds(opened, level).withColumn("_limit", promise).where(F.col("_least") <= F.col("_limit")), "nearest-cells")
+        full = (F.col("_n") > leaf) & F.lit(level < depth)
+        inside = plots.select("_plat", "_plon", "_pid", part("_r", level).alias("_row"), part("_c", level).alias("_col"))
+        pairs = kept.where(~full).select("_p", "latitude", "longitude", "_row", "_col").join(inside, ["_row", "_col"])
+        if trace is not None:
+            trace.append(pairs)
+        distance = F.sqrt(F.pow(F.col("latitude") - F.col("_plat"), 2) + F.pow(F.col("longitude") - F.col("_plon"), 2))
+        hits = pairs.withColumn("_d", distance).where(F.col("_d") <= tolerance).select("_p", F.struct(F.col("_d").alias("d"), F.col("_pid").alias("id")).alias("_hit"))
+        hits = hits if best is None else hits.unionByName(best)
+        best = hits.groupBy("_p").agg(F.min("_hit").alias("_hit"))
+        further = kept.where(full)
+        if level == depth or further.isEmpty():
+            break
+        best = store(best, "nearest-best")
+        parents = further.select("_p", "latitude", "longitude", F.col("_row").alias("_row_above"), F.col("_col").alias("_col_above"))
+        opened = parents.join(cells(level + 1), ["_row_above", "_col_above"]).join(
+            best.select("_p", F.col("_hit.d").alias("_best")), "_p", "left").select(
+            "_p", "latitude", "longitude", "_row", "_col", "_n", "_best")
+    return points.join(best, "_p").select("latitude", "longitude", F.col("_hit.id").alias("_found"))
+
+
 def _feature_columns(labels: DataFrame, features: DataFrame) -> list[str]:
     taken = {c.lower() for c in labels.columns}
     return [c for c in features.columns if c.lower() not in taken]

@@ -50,6 +50,23 @@ def test_nearest_plot_equals_brute_force_in_a_crowd(spark):
         assert got[i] == (int(d[i].argmin()) if d[i].min() <= 0.01 else None)
 
 
+def test_a_distant_crowd_is_not_paired_with_those_who_see_it(spark):
+    rng = np.random.default_rng(6)
+    # 20,000 plots within some metres, 300 points around them at every distance, and some lone plots.
+    lat, lon = rng.uniform(0.5, 0.5001, 20_000), rng.uniform(36.5, 36.5001, 20_000)
+    lat, lon = np.append(lat, rng.uniform(0.48, 0.52, 50)), np.append(lon, rng.uniform(36.48, 36.52, 50))
+    angle, far = rng.uniform(0, 2 * np.pi, 300), 10 ** rng.uniform(-4.5, -1.9, 300)
+    la, lo = 0.50005 + far * np.sin(angle), 36.50005 + far * np.cos(angle)
+    plots = spark.createDataFrame([(float(a), float(b), i) for i, (a, b) in enumerate(zip(lat, lon))], "_plat double, _plon double, _pid long")
+    points = spark.createDataFrame([(float(a), float(b)) for a, b in zip(la, lo)], "latitude double, longitude double")
+    trace = []
+    got = {(r.latitude, r.longitude): r._found for r in G.nearest(points, plots, 0.01, trace=trace).collect()}
+    for a, b in zip(la, lo):
+        d = np.sqrt((a - lat) ** 2 + (b - lon) ** 2)
+        assert got.get((a, b)) == (int(d.argmin()) if d.min() <= 0.01 else None)
+    assert sum(p.count() for p in trace) < 300 * 400  # of 6,000,000 pairs
+
+
 def cascade(spark):
     labels = spark.createDataFrame(
         [(1, 1, day("2021-10-01"), 1.0, 2.0), (2, 2, day("2021-10-01"), 1.0, 2.0), (3, 99, day("2021-10-03"), 3.00001, 4.0),
