@@ -197,8 +197,7 @@ SUMMARY_SPEC = ("plot_id:i latitude:f longitude:f planting_date:d max_temp_c:f m
 
 
 def summary_of(t: Tables):
-    planting = stored_planting(t)
-    return P.season_summary(t.weather, P.latest_stage(P.long_form_stages(t.weather, planting)), planting)
+    return P.season_summary_from_weather(t.weather, t.plots)
 
 
 @query("d19_season_summary", SUMMARY_SPEC + " latest_stage:s latest_stage_date:d", SUMMARY_SQL, ("weather", "cumulative"))
@@ -206,6 +205,13 @@ def _(t):
     return summary_of(t)
 
 
+@query("d19_season_summary_of_stages", SUMMARY_SPEC + " latest_stage:s latest_stage_date:d", SUMMARY_SQL, ("weather", "cumulative"))
+def _(t):
+    """From stored planting dates and long-form stages."""
+    planting = stored_planting(t)
+    return P.season_summary(t.weather, P.latest_stage(P.long_form_stages(t.weather, planting)), planting)
+
+
 @query("d20_current_stage", "plot_id:i date:d current_stage:s",
        """select w.plot_id, w.date, case when w.date < s.planting_date then 'pre_planting' when w.date >= "R6" then 'R6'
  when w.date >= "R4" then 'R4' when w.date >= "R1" then 'R1' when w.date >= "VT" then 'VT' when w.date >= "V6" then 'V6'

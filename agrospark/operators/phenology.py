@@ -288,6 +288,31 @@ def season_summary(weather: DataFrame, latest: DataFrame, planting: DataFrame) -
     period = latest.join(planting.select("plot_id", "planting_date"), "plot_id")
     inside = weather.join(period, "plot_id").where(
         F.col("date").between(F.col("planting_date"), F.col("stage_date")))
+    return _summary(inside)
+
+
+def season_summary_from_weather(
+    weather: DataFrame, plots: DataFrame, thresholds: dict[str, int] | None = None, base: float = S.GDD_BASE_C
+) -> DataFrame:
+    """`infer_planting_dates`, `long_form_stages`, `latest_stage` and `season_summary` in one pass over the weather.
+
+    Planting day, running sum and whole sum share one placement by plot. The latest stage is the highest threshold the
+    whole sum reaches; a day belongs to the period if the sum before it has not reached that threshold.
+    """
+    days = _days_since_planting(weather, plots, base).where(F.col("date") >= F.col("planting_date"))
+    step = C.gdd_units(F.col("daily_gdd"))
+    whole = W.partitionBy("plot_id").orderBy("date").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    days = days.withColumn("_before", F.sum(step).over(_so_far()) - step).withColumn("_all", F.sum(step).over(whole))
+    ordered = sorted((thresholds or S.LONG_FORM_STAGES).items(), key=lambda x: -x[1])
+    need, stage = F.lit(None).cast("bigint"), F.lit(None).cast("string")
+    for name, units in reversed(ordered):  # the highest is asked for first
+        reached = F.col("_all") >= units * S.GDD_UNIT
+        need, stage = F.when(reached, F.lit(units * S.GDD_UNIT)).otherwise(need), F.when(reached, F.lit(name)).otherwise(stage)
+    inside = days.withColumn("crop_stage", stage).where(F.col("_before") < need)
+    return _summary(inside, F.max("date"))
+
+
+def _summary(inside: DataFrame, stage_date: Column | None = None) -> DataFrame:
     wanted = {
         "max_temp_c": F.max, "min_temp_c": F.min, "mean_temp_c": F.avg, "precip_mm": F.sum,
         "humidity_pct": F.avg, "solar_energy_mjm2": F.sum, "evapotranspiration_mm": F.sum,
@@ -295,14 +320,14 @@ def season_summary(weather: DataFrame, latest: DataFrame, planting: DataFrame) -
     }
     aggregates = [
         (F.coalesce(f(c), F.lit(0.0)) if f is F.sum else f(c)).alias(c)
-        for c, f in wanted.items() if c in weather.columns
+        for c, f in wanted.items() if c in inside.columns
     ]
     return inside.groupBy("plot_id").agg(
         F.min_by("latitude", "date").alias("latitude"),
         F.min_by("longitude", "date").alias("longitude"),
         F.first("planting_date").alias("planting_date"),
         F.first("crop_stage").alias("latest_stage"),
-        F.first("stage_date").alias("latest_stage_date"),
+        (F.first("stage_date") if stage_date is None else stage_date).alias("latest_stage_date"),
         *aggregates,
     )
 

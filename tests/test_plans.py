@@ -93,6 +93,21 @@ def test_daily_features_place_stored_days_once(spark, tmp_path):
     assert len(exchanges) == 4  # days, samples and the two plot tables, each once
 
 
+def test_season_summary_reads_and_places_the_weather_once(spark, tmp_path):
+    t = Tables(spark, SF)
+    t.weather.write.parquet(str(tmp_path / "weather"))
+    t.plots.write.parquet(str(tmp_path / "plots"))
+    weather, plots = (spark.read.parquet(str(tmp_path / n)) for n in ("weather", "plots"))
+    got = P.season_summary_from_weather(weather, plots)
+    plan = physical(got)
+    assert len(re.findall(r"FileScan parquet \[[^\]]*precip_mm", plan)) == 1
+    assert len(re.findall(r"Exchange hashpartitioning\(plot_id", plan)) == 1
+    planting = P.with_plot_metadata(P.infer_planting_dates(weather, plots), plots)
+    want = P.season_summary(weather, P.latest_stage(P.long_form_stages(weather, planting)), planting)
+    key = lambda df: sorted([round(v, 9) if isinstance(v, float) else v for v in r] for r in df.collect())
+    assert key(got) == key(want)
+
+
 def test_table_mode_joins_once(spark):
     plan = physical(REGISTRY["g6_merge_table_mode"].run(spark, SF))
     assert "Join" not in plan  # choosing and answering read the stored join
