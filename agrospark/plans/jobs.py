@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from agrospark.functions import columns as C
 from agrospark.operators import drift as D
 from agrospark.operators import features as X
 from agrospark.operators import indices as I
@@ -17,7 +18,8 @@ from agrospark.operators import normalize as N
 from agrospark.operators import phenology as P
 from agrospark.operators import quality as Q
 from agrospark.operators import training_set as G
-from agrospark.sources import files, registry, snapshots
+from agrospark.sources import files, payload, registry, snapshots
+from agrospark.streaming import intake
 
 
 @dataclass(frozen=True)
@@ -50,6 +52,45 @@ def store_profile(spark: SparkSession, tables: Tables, name: str, columns: Seque
         .option("partitionOverwriteMode", "dynamic").partitionBy(snapshots.DAY, "table").parquet(tables.path("profiles"))
 
 
+def plot_list(spark: SparkSession, tables: Tables, source: str | DataFrame, day: str | dt.date) -> tuple[DataFrame, DataFrame]:
+    """A plot list as it is kept (a table, or the path of a CSV) to one clean row per plot; rows that break a rule go, with
+    their reasons, to `rejected_plots`."""
+    raw = files.read_plots(spark, source) if isinstance(source, str) else source
+    checked = files.store(N.validate_plots(N.load_plots(raw)), "plots")
+    good, bad = N.split_valid(checked)
+    plots = store(spark, tables, "plots", good, day, keyed=True)
+    return plots, store(spark, tables, "rejected_plots", bad, day)
+
+
+def payloads_to_weather(
+    spark: SparkSession, tables: Tables, landing: str, day: str | dt.date
+) -> tuple[DataFrame, DataFrame]:
+    """Landed payload documents to gated weather, without a stream.
+
+    Days and documents that cannot be used are stored with their reasons; of repeated days `unique_days` keeps one.
+    """
+    days = files.store(intake.weather_days(payload.read_payloads(spark, landing)), "payload-days")
+    good = F.size("reasons") == 0
+    rejects = store(spark, tables, "rejected_weather", days.where(~good), day)
+    snapshots.write_snapshot(days.where(good).drop("reasons", "unread"), tables.path("raw_weather"), day, ["plot_id"])
+    return validate_weather(spark, tables, day), rejects
+
+
+def season_table(
+    spark: SparkSession, tables: Tables, harvest: DataFrame, plots: DataFrame, day: str | dt.date
+) -> DataFrame:
+    """The training set of whole seasons: season summary of the validated weather, yields of the harvest sheet and index
+    totals of the stored samples, a row per plot and harvest."""
+    weather = snapshots.read_first_weather(spark, tables.path("validated_weather"), tables.path("raw_weather"), day)
+    samples = snapshots.read_latest(spark, tables.path("satellite_indices"), day)
+    if weather is None or samples is None:
+        raise FileNotFoundError("weather and satellite samples are needed")
+    labels = G.tidy_keys(G.yield_labels(harvest)).withColumn("plot_id", C.to_long(F.col("plot_id")))
+    summary = P.season_summary_from_weather(weather.drop(snapshots.DAY), plots)
+    table = X.yield_table(summary, labels, X.index_totals(samples.drop(snapshots.DAY)))
+    return store(spark, tables, "season_table", table, day, date="planting_date")
+
+
 def validate_weather(spark: SparkSession, tables: Tables, day: str | dt.date) -> DataFrame:
     """Raw weather to validated weather: one read of the raw day counts everything that gate and profile need while a
     staged copy is written; the copy is published if the gate holds, else the counts are raised."""
@@ -297,8 +338,6 @@ def local_stage_run(
     spark: SparkSession, weather_path: str, planting_path: str, out: str
 ) -> tuple[DataFrame, DataFrame]:
     """Stages and VT dates from two files (CSV or Parquet) into two CSV folders."""
-    from agrospark.functions import columns as C
-
     weather = files.read_table(spark, weather_path)
     numbers = [c for c in ("latitude", "longitude", "max_temp_c", "min_temp_c") if c in weather.columns]
     weather = weather.withColumns({

@@ -8,6 +8,7 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -82,19 +83,28 @@ def _by_header(spark: SparkSession, path: str) -> dict[str, list[str]]:
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark.sparkContext._jsc.hadoopConfiguration())
-    found: dict[str, list[str]] = {}
-    for status in fs.listStatus(p):
-        file = status.getPath()
-        if status.isDirectory() or file.getName()[0] in "_.":
-            continue
+    def first_line(file) -> str | None:
         codec, raw = codecs.getCodec(file), fs.open(file)
         try:
             stream = codec.createInputStream(raw) if codec is not None else raw
-            line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
+            return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
         finally:
             raw.close()
-        if line is not None:
-            found.setdefault(line, []).append(file.toString())
+
+    # Sub-folders as well; hidden files and folders are none of the data.
+    paths, listing = [], fs.listFiles(p, True)
+    root = len(fs.makeQualified(p).toString()) if fs.getFileStatus(p).isDirectory() else None
+    while listing.hasNext():
+        file = listing.next().getPath()
+        inside = file.getName() if root is None else file.toString()[root:].lstrip("/")
+        if not any(part[0] in "_." for part in inside.split("/")):
+            paths.append(file)
+    paths.sort(key=lambda f: f.toString())
+    found: dict[str, list[str]] = {}
+    with ThreadPoolExecutor(32) as opening:  # opening a file is waiting, not work
+        for file, line in zip(paths, opening.map(first_line, paths)):
+            if line is not None:
+                found.setdefault(line, []).append(file.toString())
     return found
 
 

@@ -5,6 +5,7 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
 
 from agrospark.catalog.base import Tables as TestTables
+from agrospark.catalog.sources import payloads_of
 from agrospark.operators import drift as D
 from agrospark.operators import models as M
 from agrospark.operators import phenology as P
@@ -107,3 +108,23 @@ def test_counts_of_repeated_and_missing_rows(spark, tmp_path):
             assert spark.read.parquet(str(tmp_path / f"out{n}")).columns == [*df.columns, "ds"]
             with pytest.raises(Q.QualityError):
                 Q.check_gate(seen)
+
+
+def test_plots_and_payloads_to_a_season_table(spark, tmp_path):
+    t, tables = TestTables(spark, SF), jobs.Tables(str(tmp_path))
+    plots, refused = jobs.plot_list(spark, tables, t.raw_plots, "2024-01-01")
+    kept = plots.count()
+    assert kept > 0 and plots.select("plot_id").distinct().count() == kept
+    assert all(r.reasons for r in refused.collect())
+    with pytest.raises(FileNotFoundError):
+        jobs.season_table(spark, tables, t.harvest, t.plots, "2024-01-01")
+    payloads_of(t).select(F.col("payload").alias("value")).union(spark.createDataFrame([("{cut",)], "value string")).write.text(str(tmp_path / "landing"))
+    weather, rejects = jobs.payloads_to_weather(spark, tables, str(tmp_path / "landing"), "2024-01-01")
+    assert weather.count() == t.weather.count() and [r.reasons for r in rejects.collect()] == [["document"]]
+    jobs.weather_to_stages(spark, tables, weather.drop("ds"), t.plots, "2024-01-01")
+    jobs.satellite_samples(spark, tables, t.pixels, "2024-01-01")
+    table = jobs.season_table(spark, tables, t.harvest, t.plots, "2024-01-01")
+    assert table.count() == 10 and table.where("`wet_harvest_kg/ha` is not null").count() > 0
+    assert {"total_mean_ndvi", "precip_mm", "crop_type"} <= set(table.columns)
+    names = {r.table for r in spark.read.parquet(tables.path("profiles")).collect()}
+    assert {"plots", "rejected_plots", "rejected_weather", "validated_weather", "season_table"} <= names

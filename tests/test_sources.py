@@ -150,3 +150,13 @@ def test_scratch_follows_the_session(spark):
     assert files.scratch_dir(spark, "x").startswith(spark.sparkContext.getCheckpointDir())
     stored = files.store(table(spark, 3), "x")
     assert stored.count() == 3 and stored.dtypes == table(spark, 3).dtypes
+
+
+def test_csv_files_in_sub_folders_are_read(spark, tmp_path):
+    for name, text in {"a.csv": "plot_id,x\n1,a\n", "more/b.csv": "x,plot_id\nb,2\n", "more/_hidden.csv": "plot_id,x\n3,c\n",
+                       "_temporary/c.csv": "plot_id,x\n4,d\n", "more/empty.csv": ""}.items():
+        (tmp_path / "in" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "in" / name).write_text(text)
+    got = files.read_text_table(spark, str(tmp_path / "in")).collect()
+    assert sorted((r.plot_id, r.x) for r in got) == [("1", "a"), ("2", "b")]
+    assert files.read_text_table(spark, str(tmp_path / "in" / "a.csv")).count() == 1
