@@ -188,6 +188,20 @@ def _(t):
     return N.tidy_harvest_sheet(sheet, "key")
 
 
+@query("b17_farm_columns", "Plot_No:i Altitude:f crop_type:s planting_date:d season:s county:s columns:i", """
+select row_number() over (order by o_orderkey) as "Plot_No", o_totalprice / 100 as "Altitude", o_orderpriority as crop_type, cast(o_orderdate as date) as planting_date,
+ case when month(o_orderdate) between 3 and 5 then 'Long Rains' when month(o_orderdate) between 10 and 12 then 'Short Rains'
+ else 'Off Season' end as season, o_orderstatus as county, 6 as columns from orders""")
+def _(t):
+    """The farm's own columns of a tidied sheet, in their order; weights and comments stay out."""
+    sheet = t.orders.select(
+        (F.col("o_orderkey") * 7 + 3).alias("key"), F.col("o_orderpriority").alias("boxes_crop"), F.lit(1.0).alias("wet_kgs_crop_box1"),
+        F.col("o_orderdate").cast("date").cast("string").alias("boxes_planting_date"), (F.col("o_totalprice") / 100).alias("Altitude"),
+        F.col("o_orderstatus").alias("boxes_farmer_district"), F.lit("0,0").alias("boxes_box1_gps"), F.lit("x").alias("comment"))
+    farm = N.select_farm_columns(N.tidy_harvest_sheet(sheet, "key"))
+    return farm.withColumn("columns", F.lit(len(farm.columns)))
+
+
 @query("b18_validate_stages", "plot_id:i reasons:s", """
 select plot_id, concat_ws(',', case when altitude is null then 'altitude' end, case when planting_date is null then 'planting_date' end,
  case when confidence between 0 and 1 then null else 'confidence' end) as reasons from stages""", ("stages",))
