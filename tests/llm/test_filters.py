@@ -1,6 +1,8 @@
+import itertools
 import math
 import re
 
+from pyspark.sql import functions as F
 import pytest
 
 from agrospark.llm import decontaminate as D, line_templates as T, quality as Q
@@ -150,7 +152,11 @@ def plain_overlaps(rows, items, window=16, percent=80, least=11):
         for k, item in items:
             v = hashes(item or "")
             size = min(window, len(v))
+            if len(v) < 5:
+                continue
             if len(v) < least:
+                if any(w[i:i + len(v)] == v for i in range(len(w))):
+                    found.add((d, k))
                 continue
             for shift in range(-len(v), len(w)):
                 same = [0 <= shift + i < len(w) and w[shift + i] == v[i] for i in range(len(v))]
@@ -186,3 +192,42 @@ def test_without_broadcast_and_with_empty_tables(spark, documents, monkeypatch):
     assert {r.doc_id for r in D.overlaps(documents(ROWS), bench).collect()} == {9, 10, 16, 18}
     assert D.overlaps(documents([]), bench).count() == 0
     assert D.overlaps(documents(ROWS), bench.limit(0)).count() == 0
+
+
+def test_some_mask_takes_equal_tokens_only_whatever_is_substituted():
+    span = len(D.MASKS[0])
+    for n, changed in ((11, 2), (12, 2), (13, 2), (14, 2), (15, 3), (16, 3)):
+        assert 100 * (n - changed) >= 80 * n > 100 * (n - changed - 1)
+        for bad in itertools.combinations(range(n), changed):
+            assert any(all(m[i] == "0" or s + i not in bad for i in range(span))
+                       for s in range(n - span + 1) for m in D.MASKS), (n, bad)
+
+
+def test_every_accepted_substitution_of_short_stretches_is_found(spark, documents):
+    words = [f"w{i}" for i in range(16)]
+    patterns = [(n, bad) for n, changed in ((11, 2), (12, 2), (15, 3)) for bad in itertools.combinations(range(n), changed)]
+    rows = [(n * 1000 + k, substituted(" ".join(words[:n]), set(bad))) for k, (n, bad) in enumerate(patterns)]
+    for n in (11, 12, 15):
+        bench = spark.createDataFrame([(n, " ".join(words[:n]), 0)], BENCH)
+        got = D.overlaps(documents([r for r in rows if r[0] // 1000 == n]), bench)
+        assert {r.doc_id for r in got.collect()} == {r[0] for r in rows if r[0] // 1000 == n}
+
+
+def test_short_items_count_word_for_word(spark, documents):
+    items = [(1, "alpha beta gamma delta epsilon"), (2, "one two three four five six seven eight nine ten"),
+             (3, "only four words here"), (4, "Alpha, beta: gamma delta zeta?")]
+    rows = [(1, "so alpha BETA gamma, delta epsilon it is"), (2, "alpha beta gamma delta other"), (3, "only four words here"),
+            (4, "one two three four five six seven eight nine"), (5, "x " + items[1][1]), (6, items[0][1]), (7, "alpha beta gamma delta"),
+            (8, items[3][1] + " " + items[0][1]), (9, None), (None, items[0][1])]
+    got = D.overlaps(documents(rows), spark.createDataFrame([(*i, 0) for i in items], BENCH)).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == plain_overlaps(rows, items) == {
+        (1, 1), (5, 2), (6, 1), (8, 1), (8, 4), (None, 1)}
+    assert all(r.n_equal == r.n_tokens for r in got)
+
+
+def test_columns_of_any_name_come_through(spark, documents):
+    docs = documents([(1, PASSAGE), (2, prose(700, 30))])
+    for name in ("_d", "_h", "h", "d", "f", "row", "tokens", "seed", "place"):
+        docs = docs.withColumn(name, F.lit(1))
+    left = D.drop_contaminated(docs, spark.createDataFrame([(1, PASSAGE, 0)], BENCH))
+    assert left.columns == docs.columns and [r.doc_id for r in left.collect()] == [2]
