@@ -17,6 +17,7 @@ from agrospark.sources.files import store
 
 WINDOW = 5
 LEAST_COMMON = 0.26  # documents labelled good come up to 0.25; a language with fewer common words cannot be told by them
+REACH = 0.9  # of the distance of a text without any common word
 BROADCAST_LANGUAGES = 10_000  # rows of some hundred bytes
 # Common words by language; the bins of the word histogram.
 COMMON = {
@@ -100,13 +101,13 @@ def distance(counts: Column, reference: Column) -> Column:
 
 
 def judged(docs: DataFrame, max_class: float = 0.28, max_common: float = 0.5, min_words_class: int = 50,
-           min_words_common: int = 100, reach: float | None = None) -> DataFrame:
+           min_words_common: int = 100, reach: float | None = REACH) -> DataFrame:
     """`row` with the base counts, base_failed, both distances and kept.
 
     A document fails the base rule with fewer than 10 words, or if more than a fifth of its words stand in windows
     of five that it holds twice. A null or empty text has no words and fails. One that passes is kept unless it is long enough
-    to be compared and further than the limit from its language. With `reach` the limit of the words is, for each
-    language, that share of the distance of a text without any common word, if that is less than max_common.
+    to be compared and further than the limit from its language. The limit of the words is, for each
+    language, the share `reach` of the distance of a text without any common word, if that is less than max_common.
     """
     ref = store(references(docs), "language-references")
     if ref.count() <= BROADCAST_LANGUAGES:  # else documents meet their language's row by a join on it
@@ -127,10 +128,10 @@ def judged(docs: DataFrame, max_class: float = 0.28, max_common: float = 0.5, mi
     return j.withColumn("kept", ~F.col("base_failed") & ~F.coalesce(far, F.lit(False)))
 
 
-def quality_filter(docs: DataFrame, reach: float | None = 0.9, **limits) -> DataFrame:
+def quality_filter(docs: DataFrame, **limits) -> DataFrame:
     """The rows of docs that are kept, with their columns. Long texts without common words of their language go."""
     # Stored first: a filter on the verdict would be pushed below, where each part of it computes all of it again.
-    return store(judged(docs, reach=reach, **limits).select("row", "kept"), "judged").where("kept").select("row.*")
+    return store(judged(docs, **limits).select("row", "kept"), "judged").where("kept").select("row.*")
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

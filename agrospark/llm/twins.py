@@ -18,7 +18,8 @@ def _less(pattern: str) -> str:
     return f"length(t) - length(regexp_replace(t, {_literal(pattern)}, '', 'g'))"
 
 
-def quality_sql(max_class: float = 0.28, max_common: float = 0.5, min_class: int = 50, min_common: int = 100) -> str:
+def quality_sql(max_class: float = 0.28, max_common: float = 0.5, min_class: int = 50, min_common: int = 100,
+                reach: float = quality.REACH, floor: float = quality.LEAST_COMMON) -> str:
     classes = [_less(p) for p in quality.CLASSES.values()]
     bins = " ".join(f"when '{k}' then [{', '.join(map(_literal, v.split()))}]" for k, v in quality.COMMON.items())
 
@@ -43,9 +44,10 @@ with d as (select doc_id, lang, coalesce(text, '') as t from documents),
  f as (select lang as l, list_transform([{", ".join(f"c{i}" for i in range(1, len(classes) + 2))}], lambda x: x / ({" + ".join(f"c{i}" for i in range(1, len(classes) + 2))})) as rc,
   list_transform([{", ".join(f"b{i}" for i in range(1, 22))}], lambda x: x / ({" + ".join(f"b{i}" for i in range(1, 22))})) as rb from s),
  j as (select *, {distance("cs", "rc")} as jc, case when bs is not null then {distance("bs", "rb")} end as jb,
-  n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed from h left join f on lang is not distinct from l)
+  least({max_common}, greatest({floor}, {reach} * {distance("no", "rb")})) as lim, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed
+  from (select *, list_append(list_transform(range(20), lambda x: 0.0), 1.0) as no from h) h left join f on lang is not distinct from l)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed
- and not coalesce(n_words >= {min_class} and jc > {max_class}, false) and not coalesce(n_words >= {min_common} and jb > {max_common}, false) as kept,
+ and not coalesce(n_words >= {min_class} and jc > {max_class}, false) and not coalesce(n_words >= {min_common} and jb > lim, false) as kept,
  round(jc, 4) as js_classes, round(jb, 4) as js_common from j"""
 
 
