@@ -9,6 +9,10 @@ from agrospark.operators import features as X
 from agrospark.operators import indices as I
 from agrospark.operators import phenology as P
 from agrospark.operators import training_set as G
+from agrospark.plans import jobs
+from agrospark.sources import files
+
+DAY = "2024-01-15"  # of the stored tables
 
 DAILY_SPEC = ("plot_id:i date:d latitude:f longitude:f max_temp_c:f min_temp_c:f precip_mm:f daily_gdd:f gdd_cumulative:f "
               "days_since_planting:i current_stage:s " + " ".join(f"mean_{i}:f cumulative_{i}:f" for i in IDX))
@@ -33,6 +37,14 @@ def _(t):
     return daily_of(t)
 
 
+@query("f1_from_placed_tables", DAILY_SPEC, "select * from daily", ("daily",))
+def _(t):
+    tables = jobs.Tables(files.scratch_dir(t.spark, "tables"), buckets=8)
+    jobs.weather_to_stages(t.spark, tables, t.weather, t.plots, DAY)
+    jobs.satellite_samples(t.spark, tables, t.pixels, DAY)
+    return jobs.materialize_features(t.spark, tables, DAY)["daily_features"]
+
+
 @query("f2_plot_totals", TOTALS_SPEC, TOTALS_SQL, ("daily",))
 def _(t):
     return X.plot_totals(daily_of(t))

@@ -85,6 +85,16 @@ def _(t):
     return snapshots.read_latest(t.spark, root)
 
 
+@query("a7_placed_day", "plot_id:i days:i rain:f", "select plot_id, count(*) as days, sum(precip_mm) as rain from weather group by plot_id",
+       ("weather",))
+def _(t):
+    root = files.scratch_dir(t.spark, "weather")
+    for _ in range(2):
+        snapshots.write_snapshot(t.weather, root, MIDDLE_DAY, ["plot_id"], buckets=8)
+    return snapshots.read_latest(t.spark, root).groupBy("plot_id").agg(
+        F.count("*").alias("days"), F.sum("precip_mm").alias("rain"))
+
+
 @query("a8_union_last_n", SNAP_SPEC, """
 select * from snapshots where ds in (select ds from (select distinct ds from snapshots
  where ds <= (select max(ds) from snapshots) - 1) order by ds desc limit 7)""", ("snapshots",))

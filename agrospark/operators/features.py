@@ -29,14 +29,15 @@ def one_per_plot(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def daily_features(
     weather: DataFrame, planting: DataFrame, stages: DataFrame, indices: DataFrame | None = None,
-    dedupe: bool = True, base: float = S.GDD_BASE_C,
+    dedupe: bool = True, base: float = S.GDD_BASE_C, buckets: int | None = None,
 ) -> DataFrame:
     """One row per plot-day with GDD, stage label and the indices of sample days.
 
     Days and samples are placed by plot_id once; the joins on plot and on (plot, date) and the
     running sum all work on that placement. Duplicate plots or samples on the right are reduced to
-    one unless `dedupe` is off.
+    one unless `dedupe` is off. Tables that lie in that many `buckets` by plot_id stay where they are.
     """
+    place = [buckets, "plot_id"] if buckets else ["plot_id"]
     planted = planting.withColumnsRenamed(
         {"inferred_planting_date": "planting_date"}).select("plot_id", "planting_date")
     calendar = stages.select("plot_id", "planting_date", *S.STAGES)
@@ -45,11 +46,11 @@ def daily_features(
         calendar = one_per_plot(calendar, ["planting_date", *S.STAGES])
     days = weather.select(
         "plot_id", "date", "latitude", "longitude", "max_temp_c", "min_temp_c", "precip_mm"
-    ).repartition("plot_id")
+    ).repartition(*place)
     extra: list[str] = []
     if indices is not None:
         extra = [c for pair in zip(MEANS, CUMULATIVES) for c in pair if c in indices.columns]
-        samples = indices.select("plot_id", "date", *extra).repartition("plot_id")
+        samples = indices.select("plot_id", "date", *extra).repartition(*place)
         if dedupe:
             samples = samples.groupBy("plot_id", "date").agg(F.min(C.complete_row(extra)).alias("row")).select(
                 "plot_id", "date", *[F.col(f"row.`{c}`").alias(c) for c in extra])

@@ -24,9 +24,14 @@ from agrospark.streaming import intake
 
 @dataclass(frozen=True)
 class Tables:
-    """Folders of the dated tables under one root."""
+    """Folders of the dated tables under one root.
+
+    With `buckets`, weather, planting dates, stages, samples and daily features are placed by plot in that many files a
+    day, and the runs between them do not shuffle weather or daily rows again.
+    """
 
     root: str
+    buckets: int | None = None
 
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
@@ -34,13 +39,17 @@ class Tables:
 
 def store(
     spark: SparkSession, tables: Tables, name: str, df: DataFrame, day: str | dt.date, cluster: Sequence[str] = (),
-    date: str | None = None, keyed: bool = False,
+    date: str | None = None, keyed: bool = False, placed: bool = False,
 ) -> DataFrame:
-    """Write the day of a table, and its profile from what the write has counted; `keyed`: a row per plot."""
+    """Write the day of a table, and its profile from what the write has counted.
+
+    `keyed`: a row per plot; `placed`: in the buckets of `tables`, if it has any, by plot.
+    """
     metrics = Q.table_metrics(df.drop(snapshots.DAY), date)
     if keyed:
         metrics |= {"plot_count": F.count("plot_id"), "duplicate_count": F.lit(0) * F.count(F.lit(1))}
-    seen = snapshots.write_snapshot(df, tables.path(name), day, cluster, metrics)
+    buckets = tables.buckets if placed else None
+    seen = snapshots.write_snapshot(df, tables.path(name), day, ["plot_id"] if buckets else cluster, metrics, buckets)
     store_profile(spark, tables, name, df.drop(snapshots.DAY).columns, seen, day)
     return snapshots.read_snapshot(spark, tables.path(name), day)
 
@@ -72,7 +81,8 @@ def payloads_to_weather(
     days = files.store(intake.weather_days(payload.read_payloads(spark, landing)), "payload-days")
     good = F.size("reasons") == 0
     rejects = store(spark, tables, "rejected_weather", days.where(~good), day)
-    snapshots.write_snapshot(days.where(good).drop("reasons", "unread"), tables.path("raw_weather"), day, ["plot_id"])
+    snapshots.write_snapshot(days.where(good).drop("reasons", "unread"), tables.path("raw_weather"), day, ["plot_id"],
+                             buckets=tables.buckets)
     return validate_weather(spark, tables, day), rejects
 
 
@@ -96,7 +106,8 @@ def validate_weather(spark: SparkSession, tables: Tables, day: str | dt.date) ->
     staged copy is written; the copy is published if the gate holds, else the counts are raised."""
     raw = snapshots.read_snapshot(spark, tables.path("raw_weather"), day).drop(snapshots.DAY)
     staged = tables.path("staged_weather")
-    seen = snapshots.write_snapshot(Q.counted_days(raw), staged, day, metrics=Q.gate_metrics(raw.columns))
+    seen = snapshots.write_snapshot(
+        Q.counted_days(raw), staged, day, ["plot_id"] if tables.buckets else (), Q.gate_metrics(raw.columns), tables.buckets)
     store_profile(spark, tables, "raw_weather", raw.columns, seen, day)
     try:
         Q.check_gate(seen)
@@ -114,12 +125,12 @@ def weather_to_stages(
 
     Planting dates and stages come of one read of the validated weather.
     """
-    snapshots.write_snapshot(weather, tables.path("raw_weather"), day, ["plot_id"])
+    snapshots.write_snapshot(weather, tables.path("raw_weather"), day, ["plot_id"], buckets=tables.buckets)
     checked = validate_weather(spark, tables, day).drop(snapshots.DAY)
     both = files.store(P.planting_and_stages(checked, plots), "planting-and-stages")
-    planting = store(spark, tables, "planting_dates", P.planting_rows(both), day, date="inferred_planting_date", keyed=True)
+    planting = store(spark, tables, "planting_dates", P.planting_rows(both), day, date="inferred_planting_date", keyed=True, placed=True)
     Q.require_rows(planting, "planting dates inferred")
-    stages = store(spark, tables, "crop_stages", both.drop("day"), day, date="planting_date", keyed=True)
+    stages = store(spark, tables, "crop_stages", both.drop("day"), day, date="planting_date", keyed=True, placed=True)
     vt = store(spark, tables, "vt_stages", P.vt_dates(stages.drop(snapshots.DAY)), day, date="vt_stage_date", keyed=True)
     return {"planting_dates": planting, "crop_stages": stages, "vt_stages": vt}
 
@@ -133,7 +144,7 @@ def satellite_samples(
     if stages is None or vt is None:
         raise FileNotFoundError("no crop stages or VT dates; run weather_to_stages first")
     samples = I.plot_indices(pixels, I.satellite_input(stages, vt))
-    return Q.require_rows(store(spark, tables, "satellite_indices", samples, day), "satellite samples")
+    return Q.require_rows(store(spark, tables, "satellite_indices", samples, day, placed=True), "satellite samples")
 
 
 def materialize_features(spark: SparkSession, tables: Tables, day: str | dt.date) -> dict[str, DataFrame]:
@@ -145,8 +156,8 @@ def materialize_features(spark: SparkSession, tables: Tables, day: str | dt.date
     samples = snapshots.read_latest(spark, tables.path("satellite_indices"), day)
     if weather is None or planting is None or stages is None:
         raise FileNotFoundError("weather, planting dates and crop stages are needed")
-    daily = X.daily_features(weather, planting, stages, samples)
-    stored = store(spark, tables, "daily_features", daily, day, ["plot_id"], "date")
+    daily = X.daily_features(weather, planting, stages, samples, buckets=tables.buckets)
+    stored = store(spark, tables, "daily_features", daily, day, ["plot_id"], "date", placed=True)
     store_sketches(spark, tables, day)
     return {"daily_features": stored, "plot_features": store(spark, tables, "plot_features", X.plot_features(stored, stages), day, keyed=True)}
 

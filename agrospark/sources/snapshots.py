@@ -1,13 +1,20 @@
-"""Dated tables: one partition `ds` per run day, resolved without touching the data."""
+"""Dated tables: one partition `ds` per run day, resolved without touching the data.
+
+A day may be placed: its rows lie in buckets of some columns, each sorted. A file beside them says so, so every
+session that reads the day joins and aggregates by these columns without a shuffle.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
+import json
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 DAY = "ds"
+PLACEMENT = "_placement"  # Spark passes over files that begin with an underscore
 HELPER = "_count_"  # columns that only the metrics of a write need; they are not written
 
 
@@ -33,7 +40,11 @@ def list_days(spark: SparkSession, root: str) -> list[dt.date]:
 
 
 def read_snapshot(spark: SparkSession, root: str, day: str | dt.date) -> DataFrame:
-    """One day of a dated table; the equality prunes every other partition."""
+    """One day of a dated table, as it is placed if it is; else the equality prunes every other partition."""
+    files, folder = _folder(spark, root, day)
+    marker = _child(spark, folder, PLACEMENT)
+    if files.exists(marker):
+        return _read_placed(spark, folder, json.loads(_read_text(spark, files, marker))).withColumn(DAY, F.lit(_as_date(day)))
     return spark.read.parquet(root).where(F.col(DAY) == F.lit(_as_date(day)))
 
 
@@ -158,22 +169,34 @@ def damaged_files(spark: SparkSession, root: str, days: Sequence[dt.date]) -> li
 
 def write_snapshot(
     df: DataFrame, root: str, day: str | dt.date, files_per_day: Sequence[str] = (),
-    metrics: dict[str, Column] | None = None,
+    metrics: dict[str, Column] | None = None, buckets: int | None = None,
 ) -> dict:
     """Replace one day of a dated table; other days stay untouched.
 
     `files_per_day` names columns to cluster rows by. Rebalancing lets AQE size the files and
     split a skewed cluster. `metrics` are aggregates that the write itself collects: they are taken
     of the rows as they are written, behind the last exchange, so that a repeated stage counts once.
+    With `buckets` the day is placed by these columns instead, one file per bucket, sorted by them and by `date`. The
+    number belongs to the size of the table (a few hundred MB a bucket), and to be joined without a shuffle, tables need
+    the same one. Rows that are placed so already are not shuffled again.
     """
+    if buckets and not files_per_day:
+        raise ValueError("a placed day needs the columns to place it by")
     out = df.drop(DAY)
-    out = out.hint("rebalance", *files_per_day) if files_per_day else out
+    if buckets:
+        out = out.repartition(buckets, *files_per_day)
+    elif files_per_day:
+        out = out.hint("rebalance", *files_per_day)
     seen = Observation() if metrics else None
     if metrics:
         out = out.observe(seen, *[c.alias(name) for name, c in metrics.items()])
+    out = out.drop(*[c for c in out.columns if c.startswith(HELPER)])
+    if buckets:
+        _write_placed(out, root, day, list(files_per_day), buckets)
+        return dict(seen.get) if metrics else {}
     (
-        out.withColumn(DAY, F.lit(_as_date(day))).drop(*[c for c in out.columns if c.startswith(HELPER)])
-        .write.mode("overwrite")
+        out.withColumn(DAY, F.lit(_as_date(day))).write
+        .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(DAY)
         .parquet(root)
@@ -186,6 +209,50 @@ def _folder(spark: SparkSession, root: str, day: str | dt.date):
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
 
 
+def _child(spark: SparkSession, folder, name: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder, name)
+
+
+def _read_text(spark: SparkSession, files, path) -> str:
+    stream = files.open(path)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def _entry(path: str, schema: str, buckets: int, by: Sequence[str]) -> str:
+    """The catalog's name for a placed day; another schema or placement is another entry."""
+    return "agrospark_" + hashlib.md5(json.dumps([path, schema, buckets, list(by)]).encode()).hexdigest()
+
+
+def _write_placed(df: DataFrame, root: str, day: str | dt.date, by: list[str], buckets: int) -> None:
+    spark = df.sparkSession
+    files, folder = _folder(spark, root, day)
+    schema = df._jdf.schema().toDDL()
+    order = [*by, *[c for c in ("date",) if c in df.columns and c not in by]]
+    entry = _entry(folder.toString(), schema, buckets, by)
+    # The entry is for the write alone: the files of a table with a path of its own stay when it is dropped.
+    df.write.mode("overwrite").format("parquet").option("path", folder.toString()) \
+        .bucketBy(buckets, *by).sortBy(*order).saveAsTable(entry)
+    spark.sql(f"drop table {entry}")
+    stream = files.create(_child(spark, folder, PLACEMENT), True)
+    try:
+        stream.write(bytearray(json.dumps({"buckets": buckets, "by": by, "order": order, "schema": schema}), "utf-8"))
+    finally:
+        stream.close()
+
+
+def _read_placed(spark: SparkSession, folder, placement: dict) -> DataFrame:
+    by, order = (", ".join(f"`{c}`" for c in placement[k]) for k in ("by", "order"))
+    entry = _entry(folder.toString(), placement["schema"], placement["buckets"], placement["by"])
+    location = folder.toString().replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"create table if not exists {entry} ({placement['schema']}) using parquet clustered by ({by}) "
+              f"sorted by ({order}) into {placement['buckets']} buckets location '{location}'")
+    spark.catalog.refreshTable(entry)  # the day may have been written again
+    return spark.table(entry)
+
+
 def publish_snapshot(spark: SparkSession, staged: str, root: str, day: str | dt.date) -> None:
     """Move a staged day into a dated table, in place of the day that is there. No file is read."""
     files, source = _folder(spark, staged, day)

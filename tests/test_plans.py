@@ -8,6 +8,7 @@ from agrospark.catalog.base import REGISTRY, Tables
 from agrospark.operators import features as X
 from agrospark.operators import indices as I
 from agrospark.operators import phenology as P
+from agrospark.plans import jobs
 from agrospark.sources import snapshots
 
 SF = "/root/testdata/sf0.001"
@@ -138,3 +139,28 @@ def test_bucketed_tables_need_no_shuffle(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.sql("drop table weather_b")
         spark.sql("drop table planting_b")
+
+
+def test_jobs_over_placed_tables_do_not_shuffle_weather_or_daily_rows(spark, tmp_path):
+    t = Tables(spark, SF)
+    placed, plain = jobs.Tables(str(tmp_path / "placed"), buckets=3), jobs.Tables(str(tmp_path / "plain"))
+    key = lambda df: sorted(map(str, df.collect()))
+    out = {}
+    for tables in (placed, plain):
+        jobs.weather_to_stages(spark, tables, t.weather, t.plots, "2024-01-01")
+        jobs.satellite_samples(spark, tables, t.pixels, "2024-01-01")
+        out[tables.root] = jobs.materialize_features(spark, tables, "2024-01-01")
+    for name in ("daily_features", "plot_features"):
+        assert key(out[placed.root][name]) == key(out[plain.root][name])
+    weather, planting, stages, samples, daily = (
+        snapshots.read_snapshot(spark, placed.path(n), "2024-01-01")
+        for n in ("validated_weather", "planting_dates", "crop_stages", "satellite_indices", "daily_features"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "Exchange" not in physical(X.daily_features(weather, planting, stages, samples, buckets=3))
+        assert "Exchange" not in physical(X.plot_features(daily, stages))
+        again = physical(P.planting_and_stages(weather.drop("ds"), t.plots))
+        plots = re.findall(r"Exchange hashpartitioning\(plot_id#\d+L?, (\d+)\)", again)
+        assert plots in ([], ["3"]), again  # at most the plot list, to where the weather is
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

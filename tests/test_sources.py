@@ -160,3 +160,23 @@ def test_csv_files_in_sub_folders_are_read(spark, tmp_path):
     got = files.read_text_table(spark, str(tmp_path / "in")).collect()
     assert sorted((r.plot_id, r.x) for r in got) == [("1", "a"), ("2", "b")]
     assert files.read_text_table(spark, str(tmp_path / "in" / "a.csv")).count() == 1
+
+
+def test_a_placed_day_is_rewritten_moved_and_read_by_other_means(spark, tmp_path):
+    root, other = str(tmp_path / "it's"), str(tmp_path / "moved")
+    rows = spark.range(100).select((F.col("id") % 7).alias("plot_id"), F.lit(1.5).alias("x"))
+    for df in (rows, rows.limit(40)):
+        assert snapshots.write_snapshot(df, root, "2024-01-01", ["plot_id"], {"n": F.count("*")}, 4) == {"n": df.count()}
+        day = snapshots.read_snapshot(spark, root, "2024-01-01")
+        assert day.count() == df.count() and day.columns == ["plot_id", "x", "ds"]
+        assert "Exchange" not in day.groupBy("plot_id").count()._jdf.queryExecution().executedPlan().toString()
+    assert snapshots.read_days(spark, root, snapshots.list_days(spark, root)).count() == 40
+    snapshots.publish_snapshot(spark, root, other, "2024-01-01")
+    moved = snapshots.read_snapshot(spark, other, "2024-01-01")
+    assert moved.count() == 40 and "Exchange" not in moved.groupBy("plot_id").count()._jdf.queryExecution().executedPlan().toString()
+    snapshots.write_snapshot(rows, other, "2024-01-01", ["plot_id"])  # no longer placed
+    assert snapshots.read_snapshot(spark, other, "2024-01-01").count() == 100
+    snapshots.write_snapshot(rows.limit(0), other, "2024-01-02", ["plot_id"], buckets=4)
+    assert snapshots.read_snapshot(spark, other, "2024-01-02").count() == 0
+    with pytest.raises(ValueError):
+        snapshots.write_snapshot(rows, other, "2024-01-03", buckets=4)
