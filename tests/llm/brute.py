@@ -1,6 +1,7 @@
 """Plain versions of the operators, for tests."""
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -131,3 +132,73 @@ def pii(text):
     spans = base_spans(text)
     counts = Counter(s[3] for s in spans)
     return (*(counts[k] for k in ("email", "ip", "card", "phone")), sha(",".join(f"{n}:{a}:{b}" for a, _, b, n in spans)))
+
+
+def line_templates(rows, min_docs=5, depth=3, min_tokens=3, min_fixed=0.6, agreed=0.5, long=20):
+    """{text: numbers of the lines that go}, by loops over all lines; rows are (doc_id, text) with ids of their own."""
+    first_of, lines = {}, []
+    for doc, text in rows:
+        first_of[text] = min(doc, first_of.get(text, doc))
+    for text in first_of:
+        for at, line in enumerate(text.split("\n")):
+            said = WORD.findall(line)
+            tokens = tuple("<*>" if re.search("[0-9]", t) else t for t in said)
+            if len(tokens) >= min_tokens:
+                lines.append((text, at, tokens, " ".join(said) if "<*>" in tokens else None))
+    order = lambda texts: min(texts, key=first_of.get)
+    texts_of = defaultdict(set)
+    for text, _, tokens, _ in lines:
+        texts_of[tokens].add(text)
+    leaves = defaultdict(list)
+    for tokens in texts_of:
+        leaves[len(tokens), tokens[:depth]].append(tokens)
+    held_by, choices = defaultdict(list), defaultdict(list)
+    for leaf, members in leaves.items():
+        count = {t: len(texts_of[t]) for t in members}
+        if sum(count.values()) < min_docs:
+            continue
+        loose = {t: n if n < min_docs else 0 for t, n in count.items()}
+        whole = sum(loose.values())
+        half = max(agreed * whole, min_docs)
+        for line in members:
+            words = []
+            for place, token in enumerate(line):
+                if any(c.isalpha() for c in token):
+                    seen = sum(loose[t] for t in members if t[place] == token)
+                    words.append((place, token, seen if seen >= min_docs else 0))
+            limits = {2 ** math.floor(math.log2(w[2])) for w in words if w[2]} | {half}
+            if count[line] >= min_docs:
+                limits.add(0)
+            for held in {tuple(w for w in words if w[2] >= limit) for limit in limits}:
+                full = count[line] >= min_docs and len(held) == len(words)
+                if (held and len(held) >= min_fixed * len(words)) or (not held and full and "<*>" not in line):
+                    name = leaf, tuple(w[:2] for w in held) or line
+                    chance = None if held and not whole else whole * math.prod(w[2] / whole for w in held)
+                    held_by[name].append((line, count[line], loose[line], full or all(w[2] >= half for w in held), chance))
+    for name, found in held_by.items():
+        docs, others = sum(f[1] for f in found), sum(f[2] for f in found)
+        chance = max((f[4] for f in found if f[4] is not None), default=math.inf)
+        together = others * agreed >= chance and others >= chance + 2 * math.sqrt(chance) if chance < math.inf else False
+        if docs >= min_docs and (any(f[3] for f in found) or together):
+            for f in found:
+                choices[f[0]].append((docs, name))
+    taken = defaultdict(list)
+    for line, names in choices.items():
+        taken[max(names, key=lambda x: x[0])[1]].append(line)
+    kept_in = {}
+    for members in taken.values():
+        keeper = order({t for line in members for t in texts_of[line]})
+        kept_in.update(dict.fromkeys(members, keeper))
+    gone = {text: set() for text in first_of}
+    again = defaultdict(set)
+    said_again = lambda tokens, raw: (raw if raw is not None else " ".join(tokens), len(tokens) >= long)
+    for text, at, tokens, raw in lines:
+        if tokens in kept_in and kept_in[tokens] != text:
+            gone[text].add(at)
+        if raw is not None or len(tokens) >= long:
+            again[said_again(tokens, raw)].add(text)
+    for text, at, tokens, raw in lines:
+        same = again.get(said_again(tokens, raw), ())
+        if len(same) >= (2 if len(tokens) >= long else min_docs) and order(same) != text:
+            gone[text].add(at)
+    return gone

@@ -1,5 +1,6 @@
 import itertools
 import math
+import random
 import re
 
 from pyspark.sql import functions as F
@@ -138,6 +139,41 @@ def test_odd_rows_stay(spark, documents):
     assert T.drop_recurring_lines(documents([])).count() == 0
 
 
+def random_lines(seed):
+    """Documents of templates with fields and varying words, prose that begins alike, tables, passages and copies."""
+    r = random.Random(seed)
+    words = prose(2000 + seed, 60).split()
+    some = lambda n: " ".join(r.choices(words, k=n))
+    frames = [some(r.randint(5, 8)).split() for _ in range(6)]
+    passages = [some(r.randint(18, 24)) for _ in range(4)]
+    rows = []
+    for doc in range(150):
+        lines = [some(r.randint(1, 12)) for _ in range(3)]
+        for frame in r.sample(frames, 2):
+            line = list(frame)
+            for place in r.sample(range(len(line)), r.randint(0, 2)):
+                line[place] = r.choice([str(r.randint(0, 99)), r.choice(words), f"id{doc}"])
+            lines.append(r.choice([" ", "  ", "\t"]).join(line))
+        lines.append(" ".join(frames[0][:3]) + " " + some(len(frames[0]) - 3))
+        lines.append(f"| {r.randint(0, 5)} | {r.randint(0, 1)} |")
+        if r.random() < 0.2:
+            lines.append(r.choice(passages))
+        r.shuffle(lines)
+        rows.append((doc, "\n".join(lines)))
+    return rows + [(200 + i, rows[r.randrange(20)][1]) for i in range(8)] + [(300, "")]
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_dropped_lines_equal_a_plain_search_for_templates(spark, documents, seed):
+    rows = random_lines(seed)
+    gone = brute.line_templates(rows)
+    assert sum(map(len, gone.values())) > 150
+    for r in T.drop_recurring_lines(documents(rows)).collect():
+        text = dict(rows)[r.doc_id]
+        left = [x for i, x in enumerate(text.split("\n")) if i not in gone[text]]
+        assert (r.text, r.n_dropped) == ("\n".join(left), len(gone[text])), r.doc_id
+
+
 # --- benchmark ----------------------------------------------------------------------------------
 
 def hashes(text):
