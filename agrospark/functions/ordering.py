@@ -46,20 +46,21 @@ def fill_from_neighbours(df: DataFrame, key: str, first_value: str, last_value:
     """
     cut = in_ranges(df, F.col(key))
     inside = W.partitionBy("_block").orderBy(key)
-    following = inside.rowsBetween(1, W.unboundedFollowing)
+    # Read backwards: a frame that ends with the last row would be gone through anew for every row.
+    following = W.partitionBy("_block").orderBy(F.desc(key)).rowsBetween(W.unboundedPreceding, -1)
     preceding = inside.rowsBetween(W.unboundedPreceding, 0)
     blocks = cut.groupBy("_block").agg(
         F.min_by(first_value, F.when(F.col(first_value).isNotNull(), F.col(key))).alias("_head"),
         F.max_by(last_value, F.when(F.col(last_value).isNotNull(), F.col(key))).alias("_tail"),
     )
-    across = W.orderBy("_block")
+    before = (W.unboundedPreceding, -1)
     blocks = blocks.select(
         "_block",
-        F.first("_head", ignorenulls=True).over(across.rowsBetween(1, W.unboundedFollowing)).alias("_next"),
-        F.last("_tail", ignorenulls=True).over(across.rowsBetween(W.unboundedPreceding, -1)).alias("_prev"),
+        F.last("_head", ignorenulls=True).over(W.orderBy(F.desc("_block")).rowsBetween(*before)).alias("_next"),
+        F.last("_tail", ignorenulls=True).over(W.orderBy("_block").rowsBetween(*before)).alias("_prev"),
     )
     return (
-        cut.withColumn("_ahead", F.first(first_value, ignorenulls=True).over(following))
+        cut.withColumn("_ahead", F.last(first_value, ignorenulls=True).over(following))
         .withColumn("_behind", F.last(last_value, ignorenulls=True).over(preceding))
         .join(blocks, "_block")
         .withColumn(name, F.coalesce("_ahead", "_next", "_behind", "_prev"))

@@ -4,6 +4,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from agrospark.functions import ordering as O
+from tests.conftest import by
 
 
 def test_number_rows_is_global_and_gapless(spark):
@@ -51,3 +52,18 @@ def test_extreme_probabilities(spark):
     df = spark.range(5000).select(F.lit(1).alias("k"), F.col("id").cast("double").alias("v"))
     r = O.exact_quantiles(df, ["k"], "v", [0.0, 0.5, 1.0], accuracy=100).first()
     assert r.quantiles == [0.0, 2499.5, 4999.0]
+
+
+def test_fill_reads_every_block_once_each_way(spark):
+    n = 3000
+    known = lambda k: k % 7 == 3 and not 500 <= k < 900
+    df = spark.range(n).select(F.col("id").alias("k")).withColumn("first", F.when((F.col("k") % 7 == 3) & ~F.col("k").between(500, 899), F.col("k"))) \
+        .withColumn("last", F.col("first") + 10_000)
+    out = O.fill_from_neighbours(df, "k", "first", "last", "filled")
+    assert "unboundedfollowing" not in out._jdf.queryExecution().optimizedPlan().toString().lower()  # quadratic in a block
+    offers = [k for k in range(n) if known(k)]
+    got = by(out, "k")
+    for k in range(n):
+        ahead = next((o for o in offers if o > k), None)
+        behind = next((o for o in reversed(offers) if o <= k), None)
+        assert got[k].filled == (ahead if ahead is not None else behind + 10_000), k
