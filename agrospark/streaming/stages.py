@@ -28,10 +28,11 @@ def with_growth_inputs(days: DataFrame, plots: DataFrame, base: float = S.GDD_BA
 
 
 class Season(StatefulProcessor):
-    """One plot's season: a record per month with its days' degree days and the sum before it, and what was reported.
+    """One plot's season: its complete days in order with their degree days, and what was reported.
 
-    A new day changes its month; sums are carried on from there and no earlier month is read. The first delivery of a
-    day that has both temperatures counts. A day without them is known but adds nothing, until it comes complete.
+    The first delivery of a day that has both temperatures counts. A day without them adds nothing, until it comes
+    complete. Degree days are never negative, so a stage can only move to an earlier day: days after R6 say nothing
+    more and are not kept. All a plot has is one value, read and written once a micro-batch.
 
     When R6 is reached, the season is kept for `grace` days, else for `idle` days from its last delivery; then a timer
     clears it. What is left is a mark, for `remember` days, by which days that come after the end are known and
@@ -43,8 +44,7 @@ class Season(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.months = handle.getMapState("months", "month int", "before bigint, complete int, units binary")
-        self.reported = handle.getValueState("reported", "revision bigint, " + ", ".join(f"{s} int" for s in S.STAGES))
+        self.season = handle.getValueState("season", "revision bigint, days binary, units binary, " + ", ".join(f"{s} int" for s in S.STAGES))
         self.ended = handle.getValueState("ended", "day int", max(1, int(self.remember * K.DAY_MS)))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
@@ -54,68 +54,45 @@ class Season(StatefulProcessor):
         for chunk in rows:
             if thresholds is None:
                 thresholds = {s: float(chunk[s].iloc[0]) * S.GDD_UNIT for s in S.STAGES}
-            chunk = chunk.dropna(subset=["units"]).drop_duplicates("day")
+            chunk = chunk.dropna(subset=["units"])
             for day, units in zip(chunk["day"].tolist(), chunk["units"].tolist()):
                 given.setdefault(day, units)
-        if thresholds is None or self.ended.exists():
+        if thresholds is None:
             return
-        before = self.reported.get() if self.reported.exists() else (0, *[None] * len(S.STAGES))
-        stages, totals = dict(zip(S.STAGES, before[1:])), {}
-        touched = self._enter(given)
-        if touched is not None:
-            self._carry_on(touched, thresholds, stages, totals)
-        changed = [s for s, old in zip(S.STAGES, before[1:]) if stages[s] != old]
-        revision = before[0] + 1
-        self.reported.update((revision, *[stages[s] for s in S.STAGES]))
-        K.set_timer(self.handle, now, int((self.idle if stages[S.STAGES[-1]] is None else self.grace) * K.DAY_MS))
+        held = self.season.get() if self.season.exists() else None
+        if held is None and self.ended.exists():
+            return
+        revision, days, units = held[:3] if held is not None else (0, b"", b"")
+        before = dict(zip(S.STAGES, held[3:] if held is not None else [None] * len(S.STAGES)))
+        days, units = self._enter(given, np.frombuffer(days, np.int32), np.frombuffer(units, np.int64))
+        sums = np.cumsum(units)
+        places = {s: int(np.searchsorted(sums, need)) for s, need in thresholds.items()}
+        stages = {s: int(days[p]) if p < len(days) else None for s, p in places.items()}
+        changed = [s for s in S.STAGES if stages[s] != before[s]]
+        revision += 1
+        end = stages[S.STAGES[-1]]
+        kept = len(days) if end is None else places[S.STAGES[-1]] + 1
+        self.season.update((revision, days[:kept].tobytes(), units[:kept].tobytes(), *stages.values()))
+        K.set_timer(self.handle, now, int((self.idle if end is None else self.grace) * K.DAY_MS), first=held is None)
         if changed:
             yield pd.DataFrame({
                 "plot_id": [key[0]] * len(changed), "stage": changed,
                 "stage_date": [K.EPOCH + dt.timedelta(days=stages[s]) for s in changed],
-                "gdd": [totals[s] / S.GDD_UNIT for s in changed], "revision": [revision] * len(changed)})
-
-    def _enter(self, given: dict[int, float]) -> int | None:
-        """Put the days that are not known complete into their months; the first month that has changed."""
-        by_month: dict[int, dict[int, int]] = {}
-        for day, units in given.items():
-            month, place = K.month_of(day)
-            by_month.setdefault(month, {})[place] = int(units)
-        changed = []
-        for month, places in by_month.items():
-            held = self.months.getValue((month,)) if self.months.containsKey((month,)) else (0, 0, bytes(31 * 8))
-            units, complete = np.frombuffer(held[2], np.int64).copy(), held[1]
-            for place, value in places.items():
-                if not complete >> place & 1:
-                    complete |= 1 << place
-                    units[place] = value
-            if complete != held[1]:
-                self.months.updateValue((month,), (held[0], complete, units.tobytes()))
-                changed.append(month)
-        return min(changed, default=None)
-
-    def _carry_on(self, touched: int, thresholds: dict[str, float], stages: dict[str, int | None], totals: dict[str, int]) -> None:
-        """Sums from the first changed month on, and the stages that are reached in these months."""
-        known = sorted(k[0] for k in self.months.keys())
-        ahead = [m for m in known if m < touched]
-        running = 0
-        if ahead:
-            before, _, units = self.months.getValue((ahead[-1],))
-            running = before + int(np.frombuffer(units, np.int64).sum())
-        for month in known[len(ahead):]:
-            before, complete, data = self.months.getValue((month,))
-            if before != running:
-                self.months.updateValue((month,), (running, complete, data))
-            sums = running + np.cumsum(np.frombuffer(data, np.int64))
-            for stage, need in thresholds.items():
-                if running < need <= sums[-1]:
-                    place = int(np.searchsorted(sums, need))
-                    stages[stage], totals[stage] = K.first_day(month) + place, int(sums[place])
-            running = int(sums[-1])
+                "gdd": [int(sums[places[s]]) / S.GDD_UNIT for s in changed], "revision": [revision] * len(changed)})
+
+    @staticmethod
+    def _enter(given: dict[int, float], days: np.ndarray, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The known days and, of the given ones, those that are not known, in order."""
+        came = np.fromiter(given.keys(), np.int32, len(given))
+        new = ~np.isin(came, days)
+        days = np.concatenate([days, came[new]])
+        units = np.concatenate([units, np.fromiter(given.values(), np.float64, len(given))[new].astype(np.int64)])
+        order = np.argsort(days)
+        return days[order], units[order]
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        last = self.reported.get()[-1] if self.reported.exists() else None
-        self.months.clear()
-        self.reported.clear()
+        last = self.season.get()[-1] if self.season.exists() else None
+        self.season.clear()
         self.ended.update((last,))
         return iter(())
 

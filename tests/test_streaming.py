@@ -1,5 +1,6 @@
 import json
 
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -174,3 +175,32 @@ def test_a_day_that_comes_complete_later_moves_the_stage(spark, tmp_path):
     want = P.stage_dates(spark.createDataFrame(frame, schema), plots).first()
     assert found[1] == found[2] == {s: want[s] for s in S.STAGES if want[s] is not None}
     assert found[0]["VE"] > found[1]["VE"]
+
+
+def state_rows(query):
+    query.awaitTermination()
+    return query.recentProgress[-1].stateOperators[0].numRowsTotal
+
+
+def test_what_a_plot_has_in_state_is_one_value_however_many_months_it_spans(spark, tmp_path):
+    intake_rows, stage_rows = [], []
+    for n in (20, 200):
+        base = tmp_path / str(n)
+        (base / "landing").mkdir(parents=True)
+        (base / "landing" / "1.txt").write_text(season(1, "2021-10-01", n))
+        intake_rows.append(state_rows(intake.start_intake(intake.payload_stream(spark, str(base / "landing"), 1), *(str(base / p) for p in ("w", "r", "s1")))))
+        frame, schema = weather_rows((1,), n, hi=11.0)
+        spark.createDataFrame(frame, schema).coalesce(1).write.parquet(str(base / "days"))
+        plots = spark.createDataFrame([(1, 1300.0, "a", day("2021-01-01"))], PLOTS)
+        stage_rows.append(state_rows(stages.start_stages(spark.readStream.schema(schema).parquet(str(base / "days")), plots, str(base / "e"), str(base / "s2"))))
+    assert intake_rows[0] == intake_rows[1] and stage_rows[0] == stage_rows[1]
+
+
+def test_far_days_of_one_delivery_are_known_afterwards():
+    held = []
+    keeper = intake.KnownDays(["day"], 100, 400)
+    keeper.known = type("Value", (), {"update": lambda self, v: held.append(v)})()
+    assert keeper._enter(np.array([5, 300, 250, 299]), None).all()
+    assert held[-1][:3] == (300, 200, 250)
+    assert keeper._enter(np.array([299, 298, 301, 250]), held[-1]).tolist() == [False, True, True, False]
+    assert held[-1][:3] == (301, 201, 250)
