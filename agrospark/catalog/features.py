@@ -13,6 +13,7 @@ from agrospark.plans import jobs
 from agrospark.sources import files
 
 DAY = "2024-01-15"  # of the stored tables
+PLOTS_A_BUCKET = 2000  # some years of days of so many plots are about 100 MB
 
 DAILY_SPEC = ("plot_id:i date:d latitude:f longitude:f max_temp_c:f min_temp_c:f precip_mm:f daily_gdd:f gdd_cumulative:f "
               "days_since_planting:i current_stage:s " + " ".join(f"mean_{i}:f cumulative_{i}:f" for i in IDX))
@@ -39,7 +40,8 @@ def _(t):
 
 @query("f1_from_placed_tables", DAILY_SPEC, "select * from daily", ("daily",))
 def _(t):
-    tables = jobs.Tables(files.scratch_dir(t.spark, "tables"), buckets=8)
+    buckets = max(8, -(-t.plots.count() // PLOTS_A_BUCKET))
+    tables = jobs.Tables(files.scratch_dir(t.spark, "tables"), buckets=buckets)
     jobs.weather_to_stages(t.spark, tables, t.weather, t.plots, DAY)
     jobs.satellite_samples(t.spark, tables, t.pixels, DAY)
     return jobs.materialize_features(t.spark, tables, DAY)["daily_features"]

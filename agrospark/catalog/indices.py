@@ -26,8 +26,8 @@ def scenes_of(t: Tables):
     return I.with_indices(I.with_bands(I.usable_scenes(t.pixels)))
 
 
-def matched_of(t: Tables):
-    return I.match_samples(scenes_of(t).select("plot_id", "date", "pixel_id", *IDX), inputs_of(t))
+def matched_of(t: Tables, by_plot: bool = False):
+    return I.match_samples(scenes_of(t).select("plot_id", "date", "pixel_id", *IDX), inputs_of(t), by_plot=by_plot)
 
 
 def medians_of(t: Tables):
@@ -92,7 +92,7 @@ def _(t):
        + " from (select plot_id, sample_date, pixel_id, " + ", ".join(f"avg({i}) as {i}" for i in IDX)
        + " from matched group by plot_id, sample_date, pixel_id) group by plot_id, sample_date", ("matched",))
 def _(t):
-    return I.image_statistics(I.mean_image(matched_of(t)))
+    return I.image_statistics(I.mean_image(matched_of(t, by_plot=True)))
 
 
 @query("e10_cumulative_means", "plot_id:i sample_date:d " + " ".join(f"cumulative_{i}:f" for i in IDX), "select * from sat", ("sat",))

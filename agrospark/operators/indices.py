@@ -93,19 +93,23 @@ def sample_dates(plots: DataFrame, step_days: int = 5, default_days: int = 60) -
 
 def match_samples(
     pixels: DataFrame, plots: DataFrame, window_days: int = 10, step_days: int = 5, default_days: int = 60,
-    place: bool = False,
+    place: bool = False, by_plot: bool = False,
 ) -> DataFrame:
     """Pixels with every sample whose window [sample - w, sample + w) holds their scene.
 
     The sample numbers follow from the day difference, so the interval join is an equi-join on
     the plot plus a sequence of at most 2 w / step numbers. With `place`, rows are placed by
     (plot, pixel) before they are multiplied: the shuffle carries each scene once, and grouping by
-    (plot, sample, pixel) afterwards needs no other. Leave it off where partial aggregates follow.
+    (plot, sample, pixel) afterwards needs no other. With `by_plot`, they are placed by plot before
+    the join, and statistics by (plot, sample) and running sums by plot need no other either. Leave
+    both off where partial aggregates follow that make far fewer rows.
     """
     period = with_period_end(plots.where(F.col("planting_date").isNotNull()), default_days).select(
         "plot_id", "planting_date", "vt_date")
     offset = F.datediff("date", "planting_date")
     last = F.floor(F.datediff("vt_date", "planting_date") / step_days).cast("int")
+    if by_plot:
+        pixels = pixels.repartition("plot_id")
     joined = (
         pixels.join(period, "plot_id")
         .withColumn("_from", F.greatest(F.floor((offset - window_days) / step_days).cast("int") + 1, F.lit(0)))
@@ -176,9 +180,9 @@ def sampled_medians(
     scenes: DataFrame, plots: DataFrame, window_days: int = 10, step_days: int = 5, default_days: int = 60,
     busy: DataFrame | None = None,
 ) -> DataFrame:
-    """Scenes to median images. Rows of `busy` pixels part before anything is placed by pixel."""
-    def matched(part: DataFrame, place: bool) -> DataFrame:
-        return match_samples(part, plots, window_days, step_days, default_days, place).select(*PIXEL_KEY, *S.INDICES)
+    """Scenes to median images, placed by plot. Rows of `busy` pixels part before anything is placed."""
+    def matched(part: DataFrame, by_plot: bool) -> DataFrame:
+        return match_samples(part, plots, window_days, step_days, default_days, by_plot=by_plot).select(*PIXEL_KEY, *S.INDICES)
 
     if busy is None:
         return median_image(matched(scenes, True))

@@ -3,13 +3,16 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
+from agrospark import schemas as S
 from agrospark.catalog.base import REGISTRY, Tables
 from agrospark.operators import features as X
 from agrospark.operators import indices as I
 from agrospark.operators import phenology as P
 from agrospark.plans import jobs
 from agrospark.sources import snapshots
+from tests.conftest import day
 
 SF = "/root/testdata/sf0.001"
 # Scoring and streaming queries run jobs while they are built; their plans are Spark ML's or end in a file.
@@ -68,6 +71,21 @@ def test_window_match_shuffles_scenes_once(spark):
     stages.unpersist()
 
 
+def test_scenes_are_placed_by_plot_once_for_medians_statistics_and_sums(spark):
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")  # so few scenes would be broadcast
+    scenes = spark.range(200).select(
+        (F.col("id") % 5).alias("plot_id"), F.date_add(F.lit("2021-01-01").cast("date"), (F.col("id") % 50).cast("int")).alias("date"),
+        (F.col("id") % 3).alias("pixel_id"), *[F.rand(i).alias(c) for i, c in enumerate(S.INDICES)])
+    plots = spark.createDataFrame([(i, day("2021-01-01"), day("2021-02-01")) for i in range(5)], "plot_id long, planting_date date, vt_date date")
+    for images in (I.sampled_medians(scenes, plots), I.mean_image(I.match_samples(scenes, plots, by_plot=True))):
+        plan = physical(I.with_cumulative_means(I.image_statistics(images)))
+        assert len(re.findall(r"Exchange hashpartitioning\(plot_id#\d+L, \d+\), REPARTITION", plan)) == 1
+        assert not re.search(r"Exchange hashpartitioning\(plot_id#\d+L, [a-z]", plan)
+    spark.conf.set(limit, before)
+
+
 @pytest.mark.parametrize("name", ["g2_nearest_plot", "a10_lookup_asof", "i2_numeric_psi", "b6_derive_year", "b17_tidy_harvest_sheet"])
 def test_single_partition_windows_run_over_block_summaries_only(spark, name):
     plan = physical(REGISTRY[name].run(spark, SF))
