@@ -71,3 +71,13 @@ def test_luhn_sums(spark):
     df = spark.createDataFrame([(n,) for n in numbers], "d string").select("d", P._luhn(F.col("d")).alias("ok"))
     for r in df.collect():
         assert r.ok == (12 <= len(r.d) <= 19 and brute.luhn(r.d)), r.d
+
+
+def test_every_candidate_is_learned_from(spark, documents, monkeypatch):
+    seen = []
+    fit = P.GBTClassifier.fit
+    monkeypatch.setattr(P.GBTClassifier, "fit", lambda self, df, *a: seen.append(df.count()) or fit(self, df, *a))
+    rows = [(i, " ".join(f"x{i}y{j}@b.org 0{j % 10}12 {i % 900 + 100} 5{j:03d}" for j in range(110))) for i in range(100)]
+    found = P.store(P.beside_base(P.features(P.candidates(documents(rows)))), "all-candidates")
+    P.added(found, rounds=1, depth=1)
+    assert sum(seen) == found.count() > 20_000
