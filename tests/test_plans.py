@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from agrospark import schemas as S
+from agrospark.catalog import models
 from agrospark.catalog.base import REGISTRY, Tables
 from agrospark.operators import features as X
 from agrospark.operators import indices as I
@@ -86,6 +87,14 @@ def test_scenes_are_placed_by_plot_once_for_medians_statistics_and_sums(spark):
     spark.conf.set(limit, before)
 
 
+def test_ensemble_members_read_one_stored_split(spark, monkeypatch):
+    calls = []
+    split = models.M.exact_split
+    monkeypatch.setattr(models.M, "exact_split", lambda *a: calls.append(1) or split(*a))
+    plan = physical(REGISTRY["h7_voting_ensemble"].run(spark, SF))
+    assert len(calls) == 1 and "lineitem.parquet" not in plan
+
+
 @pytest.mark.parametrize("name", ["g2_nearest_plot", "a10_lookup_asof", "i2_numeric_psi", "b6_derive_year", "b17_tidy_harvest_sheet"])
 def test_single_partition_windows_run_over_block_summaries_only(spark, name):
     plan = physical(REGISTRY[name].run(spark, SF))
