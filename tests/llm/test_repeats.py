@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from agrospark.llm import suffix_repeats as S
 from tests.llm import brute
@@ -29,6 +30,25 @@ def test_overlapping_repeats_and_split_groups(spark, documents, seed, limit):
     assert spans(S.remove_repeats(documents(rows), limit=limit)) == brute.repeats(rows)
 
 
+def ends_of_their_own(n):
+    """A passage that n texts hold whole and n more hold ever longer beginnings of, all with other ends."""
+    rng = random.Random(7)
+    letters = lambda k: "".join(rng.choices("abcd", k=k))
+    passage = letters(560)
+    return list(enumerate(letters(60) + passage[:k] + letters(60) for k in [560] * n + [410 + 150 * i // n for i in range(n)]))
+
+
+def test_shared_contents_are_not_multiplied_by_their_repeats(spark, documents):
+    rows = {}
+    for n in (16, 32):
+        docs = documents(ends_of_their_own(n)).select("doc_id", F.xxhash64("text").alias("h"), "text")
+        repeats, parts, _ = S.repeat_groups(docs, limit=4)
+        rows[n] = sum(t.count() for t in (*repeats, *parts))
+    assert rows[32] < 3 * rows[16]  # a row for each class and repeat: 718 and 2682
+    few = ends_of_their_own(16)
+    assert spans(S.remove_repeats(documents(few), limit=4)) == brute.repeats(few)
+
+
 def test_chunk_borders_change_nothing(monkeypatch):
     import numpy as np
     data = np.frombuffer(pieces(5, 1)[0][1].encode() * 3, np.uint8)
