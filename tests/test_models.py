@@ -50,6 +50,34 @@ def test_many_categories_and_the_first_registration(spark):
     assert (first.version, first.run_id) == (1, "run-1")
 
 
+def test_a_forest_in_parts_is_the_mean_of_all_its_trees(spark, tmp_path):
+    rows = training(spark)
+    forest = RandomForestRegressor(numTrees=5, maxDepth=4, minInstancesPerNode=2, seed=1)
+    model = M.pipeline(forest, ["a", "b"], M.TARGET, ["crop"], trees_at_once=2).fit(rows)
+    parts = [s for s in model.stages if hasattr(s, "trees")]
+    assert [p.getNumTrees for p in parts] == [2, 2, 1]
+    assert all(p.getMaxDepth() == 4 and p.getMinInstancesPerNode() == 2 for p in parts)
+    trees = [t for p in parts for t in p.trees]
+    assert len({t.toDebugString.split("\n", 1)[1] for t in trees}) == 5  # each has its own seed
+    M.save_model(model, str(tmp_path / "m"))
+    for m in (model, M.load_model(str(tmp_path / "m"))):
+        for r in m.transform(rows).orderBy("id").limit(20).collect():
+            assert r.prediction == pytest.approx(sum(t.predict(r.features) for t in trees) / 5)
+    whole = M.pipeline(forest, ["a", "b"], M.TARGET, ["crop"], trees_at_once=5)
+    assert whole.getStages()[-1].getNumTrees() == 5
+
+
+@pytest.mark.parametrize("n, most, least, sizes", [
+    (8_000, 500_000, 1_000, 8), (8_000, 400, 100, 24), (3_000, 500_000, 1_000, 3), (0, 500_000, 1_000, 1)])
+def test_training_rows_lie_in_even_parts(spark, n, most, least, sizes):
+    """Eight cores; all rows come in one part, as a small table is read."""
+    rows = spark.range(0, n, 1, 1).withColumn("x", F.col("id") % 7)
+    got = M.spread(rows, most, least)
+    parts = got.rdd.glom().map(len).collect()
+    assert len(parts) == sizes and max(parts) - min(parts) <= 1 + sizes and sum(parts) == n
+    assert {r.id for r in got.collect()} == set(range(n))
+
+
 def test_parameter_draws_are_distinct_and_repeatable():
     learner = M.Learner("x", lambda: None, {"numTrees": [1, 2], "maxDepth": [3, 4]})
 
