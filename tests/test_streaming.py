@@ -1,4 +1,5 @@
 import json
+import pathlib
 
 import numpy as np
 import pandas as pd
@@ -6,6 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from agrospark import schemas as S
+from agrospark.catalog import streaming as catalog
+from agrospark.catalog.base import Tables
+from agrospark.catalog.sources import documents_of, payloads_of
 from agrospark.operators import phenology as P
 from agrospark.streaming import intake, metrics, stages
 from tests.conftest import by, day
@@ -204,3 +208,102 @@ def test_far_days_of_one_delivery_are_known_afterwards():
     assert held[-1][:3] == (300, 200, 250)
     assert keeper._enter(np.array([299, 298, 301, 250]), held[-1]).tolist() == [False, True, True, False]
     assert held[-1][:3] == (301, 201, 250)
+
+
+def test_a_row_comes_back_from_its_text_as_it_was(spark):
+    rows = spark.createDataFrame(
+        [(1, day("2021-10-01"), 0.1 + 0.2, float("inf"), [], None), (None, None, None, -0.0, ["date", "max_temp_c"], 'a "b"\n\u00e9\U0001f33d'),
+         (2**62, day("0001-01-01"), 1e-300, float("nan"), ["late"], "")],
+        "plot_id long, date date, a double, `b.c` double, reasons array<string>, unread string")
+    text = rows.select(F.lit(7).alias("kept"), intake.packed(rows).alias("row"))
+    got = intake.unpacked(text, rows.schema)
+    assert got.columns == ["kept", *rows.columns] and got.drop("kept").dtypes == rows.dtypes
+    assert sorted(map(str, got.drop("kept").collect())) == sorted(map(str, rows.collect()))
+
+
+class Kept:
+    """What a processor asks of Spark for one plot: its value, its timers and the time."""
+
+    def __init__(self, keeper):
+        self.value, self.timers, self.now = None, [], 1
+        keeper.known, keeper.handle = self, self
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+    def getCurrentProcessingTimeInMs(self):
+        return self.now
+
+
+def test_a_delivery_leaves_the_timer_and_what_was_seen_sets_the_next():
+    keeper = intake.KnownDays(["plot_id", "date", "x"], 100, 1)
+    kept, whole_day = Kept(keeper), 86_400_000
+
+    def deliver(now, *days):
+        kept.now = now
+        chunks = keeper.handleInputRows(("1", 0), iter([pd.DataFrame({"day": days, "row": [json.dumps({"2": d}) for d in days]})]), kept)
+        return [(json.loads(r)["2"], late) for c in chunks for r, late in zip(c["row"], c["late"])]
+
+    assert deliver(5, 10, 11) == [(10, False), (11, False)]
+    assert deliver(9, 11, 10, 12) == [(12, False)] and deliver(10, 12) == []
+    assert kept.timers == [5 + whole_day]  # repeats count as something that came, and cost no timer
+    kept.now = 5 + whole_day
+    list(keeper.handleExpiredTimer(("1", 0), kept, None))
+    assert kept.timers[1:] == [10 + whole_day] and deliver(kept.now, 13) == [(13, False)]
+    kept.now += whole_day
+    list(keeper.handleExpiredTimer(("1", 0), kept, None))
+    assert len(kept.timers) == 2 and deliver(kept.now, 13, 14) == [(13, True), (14, False)]
+    assert len(kept.timers) == 3
+
+
+def test_of_several_deliveries_the_least_counts_missing_values_last():
+    keeper = intake.KnownDays(["plot_id", "date", "x", "y", "reasons", "unread"], 100, 400)
+    Kept(keeper)
+    texts = [{"2": 3.5}, {"2": 3.5, "3": "Infinity"}, {"2": 3.5, "3": 10.0}, {"2": 3.5, "3": 9.0, "4": []}, {"3": 1.0}, {"2": "NaN", "3": 0.5}]
+    chunks = [pd.DataFrame({"day": [1] * 3, "row": [json.dumps(t) for t in part]}) for part in (texts[:3], texts[3:])]
+    told = pd.concat(keeper.handleInputRows(("1", 0), iter(chunks), keeper.known))
+    assert [json.loads(r) for r in told["row"]] == [{"2": 3.5, "3": 9.0, "4": []}]
+
+
+@pytest.fixture
+def weather_of_lines(spark, tmp_path):
+    lines = pd.DataFrame([
+        (plot, d, 1 + i % 50, 0.05, 0.01 * (i % 8), 1000.0 + i, i % 200, 1 + i % 7, i)
+        for plot in range(5) for i, d in enumerate(pd.date_range("1995-01-01", periods=150))],
+        columns=["l_suppkey", "l_shipdate", "l_quantity", "l_discount", "l_tax", "l_extendedprice", "l_partkey", "l_linenumber", "l_orderkey"])
+    spark.createDataFrame(lines).write.parquet(str(tmp_path / "tables" / "lineitem.parquet"))
+    return Tables(spark, str(tmp_path / "tables"))
+
+
+def landed(base):
+    """The folder of a run, and the bytes in it that have landed."""
+    folder = pathlib.Path(base.removeprefix("file:"))
+    sizes = [f.stat().st_size for f in (folder / "landing").glob("part-*")]
+    assert sizes
+    return folder, sum(sizes)
+
+
+def test_seasons_in_turn_land_in_less_than_their_text(spark, weather_of_lines):
+    text = payloads_of(weather_of_lines).agg(F.sum(F.length("payload"))).first()[0]
+    base, size = landed(catalog.run_in_turn(weather_of_lines))
+    assert size < text / 2  # all documents twice, and a day of 1980 for some
+    assert spark.read.parquet(str(base / "weather")).count() == 750
+    late = spark.read.parquet(str(base / "rejects"))
+    assert {(r.plot_id, str(r.date), *r.reasons) for r in late.collect()} == {(4, "1980-01-01", "late")}
+
+
+def test_documents_of_days_that_lie_in_place_are_not_shuffled_again(weather_of_lines):
+    days = weather_of_lines.weather.withColumn("place", F.year("date") * 100_000 + F.col("plot_id") % 1000)
+    placed = documents_of(days.repartitionByRange(3, F.desc("place")), "place")
+    plan = placed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 2 and plan.count("rangepartitioning") == 1  # the days, and their places
+    assert {r.payload for r in placed.collect()} == {r.payload for r in payloads_of(weather_of_lines).collect()}
