@@ -301,6 +301,15 @@ def test_seasons_in_turn_land_in_less_than_their_text(spark, weather_of_lines):
     assert {(r.plot_id, str(r.date), *r.reasons) for r in late.collect()} == {(4, "1980-01-01", "late")}
 
 
+def test_landed_documents_are_compressed(spark, weather_of_lines):
+    text = payloads_of(weather_of_lines).agg(F.sum(F.length("payload"))).first()[0]
+    base, size = landed(catalog.run_intake(weather_of_lines))
+    assert size < text / 2  # all documents, and those of a third of the plots twice more
+    assert spark.read.parquet(str(base / "weather")).count() == 750
+    reasons = spark.read.parquet(str(base / "rejects")).groupBy(F.concat_ws(",", "reasons")).count()
+    assert {tuple(r) for r in reasons.collect()} == {("max_temp_c", 150), ("document", 1)}
+
+
 def test_documents_of_days_that_lie_in_place_are_not_shuffled_again(weather_of_lines):
     days = weather_of_lines.weather.withColumn("place", F.year("date") * 100_000 + F.col("plot_id") % 1000)
     placed = documents_of(days.repartitionByRange(3, F.desc("place")), "place")
