@@ -78,6 +78,21 @@ def test_training_rows_lie_in_even_parts(spark, n, most, least, sizes):
     assert {r.id for r in got.collect()} == set(range(n))
 
 
+def test_rows_of_a_part_lie_in_order_and_prepared_rows_give_the_same_trees(spark):
+    rows = training(spark, 4_000).withColumn("n", F.col("id").cast("double"))
+    train = M.spread(rows, most=300, least=1_000, near=("crop", "a", "b"))
+    parts = train.rdd.map(lambda r: (r.crop, r.a, r.b if r.b is not None else -1.0)).glom().collect()
+    assert len(parts) == 4 and all(p == sorted(p) for p in parts)
+    assert {r.id for r in train.collect()} == set(range(4_000))
+    forest = RandomForestRegressor(numTrees=5, maxDepth=4, minInstancesPerNode=2, seed=1)
+    flow = M.pipeline(forest, ["a", "b"], M.TARGET, ["crop"], trees_at_once=2)
+    models = [flow.fit(train), M.fit_prepared(flow, train)]
+    trees = [[t.toDebugString.split("\n", 1)[1] for s in m.stages if hasattr(s, "trees") for t in s.trees] for m in models]
+    assert trees[0] == trees[1] and len(trees[0]) == 5 and any("in {" in t for t in trees[0])  # crops stay categories
+    first, again = ([r.prediction for r in m.transform(rows).orderBy("id").collect()] for m in models)
+    assert first == again
+
+
 def test_parameter_draws_are_distinct_and_repeatable():
     learner = M.Learner("x", lambda: None, {"numTrees": [1, 2], "maxDepth": [3, 4]})
 
